@@ -1 +1,111 @@
-"""Query keys (filled in below)."""
+"""Query keys: events.parquet as a file stream, loaded with the batch
+operators, written to a fresh sink and read back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import hashing
+from ..operators import dedupe, quality, scd
+from ..session import scratch_path
+from ..streaming import sinks as ss
+from ..streaming.sources import file_name, stream, with_stream_control
+from .inputs import AS_OF
+from .registry import query
+from .sqlgen import md5_of
+
+
+def _events_stream(spark, d, lineage=False):
+    return stream(spark, "parquet", d, {"pathGlobFilter": "events.parquet", "maxFilesPerTrigger": 1},
+                  lineage=lineage)
+
+
+@query("stream_append", f"""
+SELECT *, 1 AS is_current, 0 AS is_deleted, TIMESTAMP '{AS_OF}' AS start_time, CAST(NULL AS TIMESTAMP) AS end_time,
+  TIMESTAMP '{AS_OF}' AS row_creation_time, 'events.parquet' AS file_name FROM events""")
+def stream_append(spark, d):
+    root = scratch_path(spark, "stream-append")
+    s = with_stream_control(file_name(_events_stream(spark, d, lineage=True)), AS_OF)
+    s = s.drop("file_path", "file_modification_time")
+    ss.append(s, f"{root}/out", f"{root}/_checkpoint", query_name=None)
+    return spark.read.parquet(f"{root}/out")
+
+
+LATEST_USER = ("SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, "
+               "event_id DESC) AS rn FROM events) WHERE rn = 1")
+
+
+def _run_batches(spark, d, root, fn):
+    q = ss.for_each_batch(_events_stream(spark, d), fn, f"{root}/_checkpoint")
+    return spark.read.parquet(ss.batch_path(f"{root}/out", ss.last_batch(q)))
+
+
+@query("stream_overwrite", LATEST_USER)
+def stream_overwrite(spark, d):
+    root = scratch_path(spark, "stream-overwrite")
+    fn = ss.overwrite_latest(spark, f"{root}/out",
+                             lambda b: dedupe.latest_per_key(b, ["user_id"], ["ts"], ["event_id"]))
+    return _run_batches(spark, d, root, fn)
+
+
+@query("stream_scd1", LATEST_USER)
+def stream_scd1(spark, d):
+    root = scratch_path(spark, "stream-scd1")
+
+    def load(target, batch):
+        return scd.scd1_latest(target, batch, ["user_id"], ["ts"], ["event_id"])
+    return _run_batches(spark, d, root, ss.snapshot_loader(spark, f"{root}/out", load))
+
+
+@query("stream_scd2", """
+SELECT *, ts AS start_time, 0 AS is_deleted, lead(ts) OVER w AS end_time,
+  CASE WHEN lead(ts) OVER w IS NULL THEN 1 ELSE 0 END AS is_current
+FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
+def stream_scd2(spark, d):
+    root = scratch_path(spark, "stream-scd2")
+
+    def load(target, batch):
+        b = batch.withColumns({"start_time": F.col("ts"), "is_deleted": F.lit(0)})
+        if target is None:                       # first batch: every version, newest current
+            return scd.scd2_first_load(b, ["user_id"], "start_time", ["event_id"])
+        return scd.scd2_versions(target, b, ["user_id"], "start_time", ["event_id"])
+    return _run_batches(spark, d, root, ss.snapshot_loader(spark, f"{root}/out", load))
+
+
+RAW_RULES = [
+    {"id": 701, "rule_dim_id": 9, "rule_type": "valid_values_check", "column": "event_type",
+     "valid_values": ["click", "view", "purchase", "signup"]},
+    {"id": 702, "rule_dim_id": 2, "rule_type": "range_check", "column": "value", "operator": "<", "low": 40},
+]
+EV_KINDS = [("ts", "str"), ("user_id", "str"), ("event_type", "str"), ("value", "double"), ("props", "str")]
+
+
+@query("stream_landing_to_raw", f"""
+SELECT *, CASE WHEN r <> '' THEN 'N' ELSE 'Y' END AS data_quality_valid_flag FROM (
+SELECT e.*, {md5_of([('event_id', 'str')])} AS hkey, {md5_of(EV_KINDS)} AS hdiff,
+  concat_ws(',', CASE WHEN coalesce(NOT (event_type IN ('click', 'view', 'purchase', 'signup')), false) THEN '701' END,
+                 CASE WHEN coalesce(NOT (value < 40), false) THEN '702' END) AS r
+FROM events e) x""".replace("AS r\n", "AS data_quality_result_array\n").replace("WHEN r <>", "WHEN data_quality_result_array <>"))
+def stream_landing_to_raw(spark, d):
+    """Per micro-batch: de-duplicate on the key, hash, flag rules, upsert on
+    hkey into the raw snapshot."""
+    root = scratch_path(spark, "stream-raw")
+
+    def load(target, batch):
+        b = dedupe.latest_per_key(batch, ["event_id"], ["ts"])
+        b = hashing.hash_keys(b, ["event_id"])
+        b = quality.flag_rules(b, RAW_RULES)
+        b = b.withColumn("data_quality_result_array", F.array_join("data_quality_result_array", ","))
+        return b if target is None else scd.scd1(target, b, ["hkey"])
+    return _run_batches(spark, d, root, ss.snapshot_loader(spark, f"{root}/out", load))
+
+
+@query("stream_dedupe_watermark", "SELECT DISTINCT user_id, event_type FROM events")
+def stream_dedupe_watermark(spark, d):
+    root = scratch_path(spark, "stream-dedupe")
+    # watermarks need a zoned timestamp; the table's ts is timestamp_ntz
+    s = (_events_stream(spark, d).withColumn("event_time", F.col("ts").cast("timestamp"))
+         .withWatermark("event_time", "10 minutes")
+         .dropDuplicatesWithinWatermark(["user_id", "event_type"]).select("user_id", "event_type"))
+    ss.append(s, f"{root}/out", f"{root}/_checkpoint")
+    return spark.read.parquet(f"{root}/out")
