@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _order(order: Sequence, ties: Sequence = (), descending: bool = True) -> list[Column]:
@@ -35,19 +36,103 @@ def number_versions(df: DataFrame, keys: Sequence[str], order: Sequence, ties: S
     return df.withColumn(name, F.row_number().over(w))
 
 
+# Skew handling for version numbering.  A window puts every row of a key in
+# one task; a key with a third of all rows would stall the whole stage.  Hot
+# keys are found from a seeded sample of the key and order columns only, and
+# each is split into sub-ranges of its order column at sampled quantiles.
+SKEW_DEFAULTS = {
+    "fraction": 0.01,        # sample fraction for hot-key detection
+    "min_sample_rows": 1000,  # a key is hot with at least this many sampled rows
+    "max_hot_keys": 1000,    # bound of the broadcast split table (top keys by count)
+    "splits": 64,            # sub-ranges per hot key
+    "seed": 17,
+}
+
+
+def _order_value(c: Column, dtype) -> Column | None:
+    """A non-decreasing double image of an order column (None: unsupported)."""
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(c.cast("timestamp")).cast("double")
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(c).cast("double")
+    if isinstance(dtype, T.NumericType):
+        return c.cast("double")
+    return None
+
+
+def hot_key_splits(df: DataFrame, keys: Sequence[str], start: str, **opts) -> DataFrame | None:
+    """Split points of the keys that hold a large share of rows.
+
+    Returns a literal DataFrame (keys, _bounds) with at most ``max_hot_keys``
+    rows -- a bounded summary built from a sample and fetched once, so every
+    later use sees exactly the same split points -- or None when no key is
+    hot or the order column has no numeric image.
+    """
+    o = {**SKEW_DEFAULTS, **opts}
+    ov = _order_value(F.col(start), df.schema[start].dataType)
+    if ov is None:
+        return None
+    smp = df.select(*keys, ov.alias("_ov")).sample(fraction=o["fraction"], seed=o["seed"])
+    hot = (smp.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+           .where(F.col("_n") >= o["min_sample_rows"])
+           .orderBy(F.desc("_n")).limit(o["max_hot_keys"]).drop("_n"))
+    pct = [i / o["splits"] for i in range(1, o["splits"])]
+    bounds = (smp.join(F.broadcast(hot), on=list(keys), how="left_semi")
+              .groupBy(*keys).agg(F.array_distinct(F.percentile_approx("_ov", pct, 10000)).alias("_bounds")))
+    found = bounds.collect()
+    if not found:
+        return None
+    schema = T.StructType([df.schema[k] for k in keys] + [T.StructField("_bounds", T.ArrayType(T.DoubleType()))])
+    return df.sparkSession.createDataFrame(found, schema)
+
+
 def versions_per_key(df: DataFrame, keys: Sequence[str], start: str, ties: Sequence = (),
                      end_col: str = "end_time", current_col: str = "is_current",
-                     version_col: str | None = "version") -> DataFrame:
+                     version_col: str | None = "version", skew: bool | dict = True) -> DataFrame:
     """All versions kept: end = next version's start, newest is current.
 
-    One window pass (the reference loops on the driver over version numbers).
+    One window pass (the reference loops on the driver over version
+    numbers).  With ``skew`` (default), keys that hold a large share of the
+    rows are split into sub-ranges of ``start``: each sub-range is windowed
+    on its own, and its last row takes the first row of the key's next
+    non-empty sub-range, found in a per-(key, sub-range) table whose size is
+    bounded by max_hot_keys x splits.  Keys that are not hot take the plain
+    window, so the result is exact either way.
     """
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc() for c in [start, *ties]])
-    nxt = F.lead(F.col(start)).over(w)
-    out = df.withColumns({end_col: nxt, current_col: F.when(nxt.isNull(), 1).otherwise(0)})
+    keys = list(keys)
+    order = [F.col(c).asc() for c in [start, *ties]]
+    splits = hot_key_splits(df, keys, start, **(skew if isinstance(skew, dict) else {})) if skew else None
+    if splits is None:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        nxt = F.lead(F.col(start)).over(w)
+        out = df.withColumns({end_col: nxt, current_col: F.when(nxt.isNull(), 1).otherwise(0)})
+        if version_col:
+            out = out.withColumn(version_col, F.row_number().over(w))
+        return out
+
+    cols = df.columns
+    ov = _order_value(F.col(start), df.schema[start].dataType)
+    b = df.join(F.broadcast(splits), on=keys, how="left")            # bounded: <= max_hot_keys rows
+    b = b.withColumns({
+        "_hot": F.col("_bounds").isNotNull(),
+        "_sub": F.when(F.col("_bounds").isNull(), F.lit(0))
+                 .otherwise(F.size(F.filter("_bounds", lambda x: x <= ov))),
+    }).drop("_bounds")
+    stats = (b.where("_hot").groupBy(*keys, "_sub")
+             .agg(F.min(F.struct(*[start, *ties])).alias("_first"), F.count(F.lit(1)).alias("_cnt")))
+    ws = Window.partitionBy(*keys).orderBy("_sub")
+    stats = stats.select(*keys, "_sub", F.lead("_first").over(ws).getField(start).alias("_next"),
+                         F.coalesce(F.sum("_cnt").over(ws.rowsBetween(Window.unboundedPreceding, -1)),
+                                    F.lit(0)).alias("_off"))
+    w = Window.partitionBy(*keys, "_sub").orderBy(*order)
+    b = b.withColumns({"_lead": F.lead(F.col(start)).over(w), "_rn": F.row_number().over(w)})
+    out = b.join(F.broadcast(stats), on=[*keys, "_sub"], how="left")  # bounded: hot keys x splits
+    end = F.when(F.col("_hot"), F.coalesce(F.col("_lead"), F.col("_next"))).otherwise(F.col("_lead"))
+    out = out.withColumns({end_col: end, current_col: F.when(end.isNull(), 1).otherwise(0)})
     if version_col:
-        out = out.withColumn(version_col, F.row_number().over(w))
-    return out
+        out = out.withColumn(version_col, F.col("_rn") + F.coalesce(F.col("_off"), F.lit(0)))
+    added = [c for c in (end_col, current_col, version_col) if c and c not in cols]
+    return out.select(*cols, *added)
 
 
 def key_validity(df: DataFrame, keys: Sequence[str]) -> DataFrame:

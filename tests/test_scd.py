@@ -119,3 +119,18 @@ def test_empty_target_and_source(spark):
     src = spark.createDataFrame([(1, "a")], "k int, v string")
     assert rows(scd.scd1(tgt, src, ["k"])) == [(1, "a")]
     assert scd.scd1(src, tgt, ["k"]).count() == 1
+
+
+def test_versions_skew_split_matches_plain_window(spark):
+    import random
+    rnd = random.Random(5)
+    data = [(1, T(2020, 1, 1) + dt.timedelta(minutes=rnd.randint(0, 3000)), i) for i in range(4000)]
+    data += [(2, T(2021, 1, 1), 1), (2, T(2021, 1, 2), 2), (None, T(2021, 1, 1), 3), (3, T(2022, 1, 1), 4)]
+    df = spark.createDataFrame(data, "k int, s timestamp_ntz, tb int")
+    plain = dedupe.versions_per_key(df, ["k"], "s", ["tb"], skew=False)
+    split = dedupe.versions_per_key(df, ["k"], "s", ["tb"],
+                                    skew={"fraction": 1.0, "min_sample_rows": 100, "splits": 8})
+    assert dedupe.hot_key_splits(df, ["k"], "s", fraction=1.0, min_sample_rows=100, splits=8).count() == 1
+    assert split.columns == plain.columns
+    cols = ("k", "s", "tb", "end_time", "is_current", "version")
+    assert rows(split, *cols) == rows(plain, *cols)
