@@ -60,18 +60,41 @@ def create_empty_table(spark: SparkSession, schema_df: DataFrame, name: str, scd
 def fanout(df: DataFrame, sinks: Sequence[dict]) -> None:
     """Write one source to several sinks, computing it once.
 
-    The frame is persisted (memory and disk, so a lost executor recomputes
-    only its partitions) for the duration of the writes.
+    When the first sink is an overwrite in a self-describing format (or a
+    catalog table), the later sinks read the rows back
+    from it: the source plan runs once, nothing is held in executor memory,
+    and a lost executor costs a re-read of files, not a recomputation.
+    Otherwise the frame is persisted (memory and disk) for the writes.
     """
+    if not sinks:
+        return
+    first, rest = sinks[0], list(sinks[1:])
+    _write_spec(df, first)
+    if not rest:
+        return
+    fmt = first.get("format", "parquet")
+    typed = first.get("table") or fmt in ("parquet", "orc", "avro", "delta")
+    if first.get("mode", "append") == "overwrite" and typed:
+        spark = df.sparkSession
+        src = (spark.read.table(first["table"]) if first.get("table")
+               else spark.read.format(fmt).options(**{k: str(v) for k, v in (first.get("options") or {}).items()
+                                                      if k != "path"}).load(first["path"]))
+        for s in rest:
+            _write_spec(src, s)
+        return
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        for s in sinks:
-            write(cached, s.get("mode", "append"), s.get("format", "parquet"), s.get("path"), s.get("table"),
-                  s.get("options"), s.get("partition_by", ()))
+        for s in rest:
+            _write_spec(cached, s)
     finally:
         cached.unpersist()
 
 
+def _write_spec(df: DataFrame, s: dict) -> None:
+    write(df, s.get("mode", "append"), s.get("format", "parquet"), s.get("path"), s.get("table"),
+          s.get("options"), s.get("partition_by", ()))
+
+
 def publish_snapshot(spark: SparkSession, df: DataFrame, table: str, root: str, fmt: str = "parquet",
                      partition_by: Sequence[str] = ()) -> str:
     """Write ``df`` as a new snapshot folder, then point ``table`` at it.
