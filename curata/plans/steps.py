@@ -69,7 +69,7 @@ def add_timestamps(df: DataFrame, as_of, file_time_col: str = "file_modification
     cols = {"create_date": t, "change_date": t, "src_file_process_time": t,
             "hkey": F.lit(""), "hdiff": F.lit("")}
     if file_time_col not in df.columns:
-        cols[file_time_col] = F.lit(None).cast("timestamp")
+        cols[file_time_col] = F.lit(None).cast("timestamp_ntz")
     return df.withColumns(cols)
 
 

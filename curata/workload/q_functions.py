@@ -63,9 +63,9 @@ def fn_conditional(spark, d):
 
 @query("fn_nested", """
 SELECT user_id, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS types, count(*) AS n_events,
-  sum(CAST(json_extract_string(props, '$.k') AS INTEGER)) AS k_sum,
+  CAST(sum(CAST(json_extract_string(props, '$.k') AS INTEGER)) AS BIGINT) AS k_sum,
   CAST(to_json(struct_pack(user_id := user_id, n_events := count(*))) AS VARCHAR) AS info,
-  max(len([event_type, CAST(event_id AS VARCHAR)])) AS arr_size FROM events GROUP BY user_id""")
+  CAST(max(len([event_type, CAST(event_id AS VARCHAR)])) AS INTEGER) AS arr_size FROM events GROUP BY user_id""")
 def fn_nested(spark, d):
     ev = table(spark, d, "events")
     kv = ev.select("user_id", "event_type", "event_id",

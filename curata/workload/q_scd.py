@@ -31,7 +31,7 @@ def dedupe_latest(spark, d):
 @query("scd2_versions", f"""
 SELECT *, lead(l_shipdate) OVER ({LI_W_ASC}) AS end_time,
   CASE WHEN lead(l_shipdate) OVER ({LI_W_ASC}) IS NULL THEN 1 ELSE 0 END AS is_current,
-  row_number() OVER ({LI_W_ASC}) AS version
+  CAST(row_number() OVER ({LI_W_ASC}) AS INTEGER) AS version
 FROM lineitem""")
 def scd2_versions(spark, d):
     return dedupe.versions_per_key(li_batch(spark, d), LI_KEYS, "l_shipdate", LI_TIES)
