@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
@@ -202,9 +202,12 @@ def rule_catalog(relations: DataFrame, rule_dim: DataFrame, lists: DataFrame, im
     j = (relations.join(rule_dim, "rule_dim_id", "inner")
          .join(lists, relations["valid_list_id"] == lists["list_id"], "left")
          .where((F.upper(F.col("enabled")) == "Y") & (F.col("implement_type") == implement_type)))
+    # rule number per table: the catalog is a small control table, one row per rule
+    w = Window.partitionBy("table_name").orderBy("rule_object_rel_id")
     return j.select("rule_object_rel_id", "rule_dim_id", "rule_type_desc", "table_name", "column_name",
                     "operator", "threshold_low", "threshold_high",
-                    F.regexp_replace(F.col("valid_list"), r"\|", ",").alias("valid_list"))
+                    F.regexp_replace(F.col("valid_list"), r"\|", ",").alias("valid_list"),
+                    F.row_number().over(w).alias("rule_no"))
 
 
 def rule_dicts(catalog_rows: Sequence[Row]) -> list[dict]:

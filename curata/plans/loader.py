@@ -37,6 +37,8 @@ def run_load(spark: SparkSession, config: dict, target: DataFrame | None = None,
              registry: dict | None = None) -> DataFrame:
     """Read, transform, and compute the new target content."""
     df = read_source(spark, config["source"])
+    if config.get("skip_if_empty") and not df.isStreaming and files.is_empty(df):
+        return target                       # empty source: the target stays as it is
     df, _ = step_mod.run(df, config.get("steps", []), registry)
     load = config.get("load")
     if not load:

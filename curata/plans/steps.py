@@ -25,6 +25,12 @@ def select(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.selectExpr(*columns)
 
 
+def has_columns(df: DataFrame, columns: Sequence[str]) -> bool:
+    """Column presence test (case-insensitive, like Spark's resolver)."""
+    present = {c.lower() for c in df.columns}
+    return all(c.lower() in present for c in columns)
+
+
 def drop(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Drop columns; names that are absent are ignored."""
     return df.drop(*columns)

@@ -110,3 +110,24 @@ def publish_snapshot(spark: SparkSession, df: DataFrame, table: str, root: str,
     else:
         spark.catalog.createTable(table, path=path, source=fmt)
     return path
+
+
+def materialize(spark: SparkSession, df: DataFrame, name: str, root: str | None = None) -> tuple[DataFrame, str]:
+    """Write a staging frame to the shared checkpoint folder and read it back.
+
+    Later steps read files instead of recomputing the staging plan, and the
+    lineage is cut (unlike an in-memory cache, this survives lost
+    executors).  Returns (frame, folder); ``drop_staging`` removes the folder
+    when the load is done.
+    """
+    from ..session import scratch_path
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}" if root else scratch_path(spark, name)
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path), path
+
+
+def drop_staging(spark: SparkSession, path: str) -> None:
+    """Delete a staging folder through the Hadoop file system of the path."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

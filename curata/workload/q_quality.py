@@ -301,7 +301,8 @@ REL_COLS = ("rule_object_rel_id, rule_dim_id, database_name, table_name, column_
 dim AS ({_values(DIM_ROWS, 'rule_dim_id, rule_type_desc, rule_desc, enabled')})
 SELECT r.rule_object_rel_id, r.rule_dim_id, d.rule_type_desc, r.table_name, r.column_name, r.operator,
   CAST(r.threshold_low AS DOUBLE) AS threshold_low, CAST(r.threshold_high AS DOUBLE) AS threshold_high,
-  replace(l.valid_list, '|', ',') AS valid_list
+  replace(l.valid_list, '|', ',') AS valid_list,
+  CAST(row_number() OVER (PARTITION BY r.table_name ORDER BY r.rule_object_rel_id) AS INTEGER) AS rule_no
 FROM rel r JOIN dim d ON r.rule_dim_id = d.rule_dim_id LEFT JOIN lists l ON r.valid_list_id = l.list_id
 WHERE upper(d.enabled) = 'Y' AND r.implement_type = 'flag'""")
 def dq_rule_catalog(spark, d):

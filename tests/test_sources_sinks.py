@@ -71,3 +71,25 @@ def test_jdbc_round_trip_embedded_derby(spark):
     assert jdbc.read_jdbc(spark, url, "AUDIT_T", props).count() == 4
     agg = jdbc.read_jdbc_query(spark, url, 'SELECT MAX("ID") AS M FROM AUDIT_T', props)
     assert agg.first()["M"] == 2
+
+
+def test_materialize_and_drop_staging(spark):
+    df, path = sinks.materialize(spark, spark.range(5), "stage")
+    assert df.count() == 5 and os.path.exists(path)
+    sinks.drop_staging(spark, path)
+    assert not os.path.exists(path)
+
+
+def test_loader_skips_empty_source(spark):
+    from curata.plans import loader
+    root = scratch_path(spark, "empty-src")
+    spark.range(0).write.parquet(root)
+    target = spark.range(3)
+    cfg = {"source": {"source_table_type": "path", "path": root}, "skip_if_empty": True,
+           "load": {"type": "update", "keys": ["id"], "order": ["id"]}}
+    assert loader.run_load(spark, cfg, target=target) is target
+
+
+def test_has_columns(spark):
+    from curata.plans import steps
+    assert steps.has_columns(spark.range(1), ["ID"]) and not steps.has_columns(spark.range(1), ["x"])
