@@ -96,19 +96,42 @@ def _write_spec(df: DataFrame, s: dict) -> None:
 
 
 def publish_snapshot(spark: SparkSession, df: DataFrame, table: str, root: str, fmt: str = "parquet",
-                     partition_by: Sequence[str] = ()) -> str:
+                     partition_by: Sequence[str] = (), bucket_by: tuple[int, Sequence[str]] | None = None) -> str:
     """Write ``df`` as a new snapshot folder, then point ``table`` at it.
 
     Readers of the old snapshot are never disturbed, and a failed write leaves
-    the table on its previous snapshot.  Returns the new folder.
+    the table on its previous snapshot.  ``bucket_by=(n, keys)`` writes the
+    snapshot bucketed (and sorted) by the business key: the next merge joins
+    the table on that key without shuffling it -- only the batch is
+    shuffled.  ``partition_by=["is_current"]`` lets the open-row read of the
+    next type-2 merge prune the closed history.  Returns the new folder.
     """
     path = f"{root.rstrip('/')}/{table.replace('.', '_')}/v-{uuid.uuid4().hex[:16]}"
-    write(df, "error", fmt, path=path, partition_by=partition_by)
-    if spark.catalog.tableExists(table):
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
-        spark.catalog.refreshTable(table)
-    else:
-        spark.catalog.createTable(table, path=path, source=fmt)
+    if bucket_by is None:
+        write(df, "error", fmt, path=path, partition_by=partition_by)
+        if spark.catalog.tableExists(table):
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+            spark.catalog.refreshTable(table)
+        else:
+            spark.catalog.createTable(table, path=path, source=fmt)
+        return path
+    n, keys = bucket_by
+    if not spark.catalog.tableExists(table):
+        w = df.write.format(fmt).option("path", path).bucketBy(n, *keys).sortBy(*keys)
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.saveAsTable(table)
+        return path
+    # write the new snapshot under a staging name with the table's bucket spec,
+    # then move the table to it and forget the staging name (its files stay)
+    stage = f"{table}__v{uuid.uuid4().hex[:8]}"
+    w = df.write.format(fmt).option("path", path).bucketBy(n, *keys).sortBy(*keys)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.saveAsTable(stage)
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+    spark.catalog.refreshTable(table)
+    spark.sql(f"DROP TABLE {stage}")
     return path
 
 

@@ -93,3 +93,27 @@ def test_loader_skips_empty_source(spark):
 def test_has_columns(spark):
     from curata.plans import steps
     assert steps.has_columns(spark.range(1), ["ID"]) and not steps.has_columns(spark.range(1), ["x"])
+
+
+def test_bucketed_snapshot_merge_does_not_shuffle_target(spark):
+    from pyspark.sql import functions as F
+    from curata.operators import scd
+    root = scratch_path(spark, "bucketed")
+    name = "curata_bkt_" + os.path.basename(root).split("-")[-1]
+    tgt = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    sinks.publish_snapshot(spark, tgt, name, root, bucket_by=(4, ["k"]))
+    batch = spark.range(990, 1010).select(F.col("id").alias("k"), F.lit(-1).cast("bigint").alias("v"))
+    with_conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in with_conf}
+    try:
+        for k, v in with_conf.items():
+            spark.conf.set(k, v)
+        merged = scd.scd1(spark.table(name), batch, ["k"])
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1      # the batch side only
+        sinks.publish_snapshot(spark, merged, name, root, bucket_by=(4, ["k"]))   # reads the old folder, writes a new one
+        assert spark.table(name).count() == 1010
+        assert spark.table(name).where("v = -1").count() == 20
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
