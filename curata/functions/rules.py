@@ -67,6 +67,8 @@ def column_violation(rule: dict, col: str) -> Column:
         return c.isNotNull() & F.try_to_timestamp(c, F.lit(rule["format"])).isNull()
     if t == "fixed_length_check":
         return _nz(F.length(c) != F.lit(rule["length"]))
+    if t == "valid_values_check" and rule.get("values_from") is not None:
+        return c.isNotNull() & F.col(f"_val_{rule['name']}_{col}").isNull()
     if t == "valid_values_check":
         return _nz(~c.isin(list(rule["valid_values"])))
     raise ValueError(f"unknown check type {t!r}")

@@ -29,13 +29,6 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence, ties: Se
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
-def number_versions(df: DataFrame, keys: Sequence[str], order: Sequence, ties: Sequence = (),
-                    name: str = "rn", newest_first: bool = True) -> DataFrame:
-    """Version number per key (1 = newest when newest_first)."""
-    w = Window.partitionBy(*keys).orderBy(*_order(order, ties, descending=newest_first))
-    return df.withColumn(name, F.row_number().over(w))
-
-
 # Skew handling for version numbering.  A window puts every row of a key in
 # one task; a key with a third of all rows would stall the whole stage.  Hot
 # keys are found from a seeded sample of the key and order columns only, and

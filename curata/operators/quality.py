@@ -51,11 +51,16 @@ def prepare(df: DataFrame, checks: Sequence[dict]) -> DataFrame:
         elif chk["type"] == "orphan_check" and chk.get("related") is not None:
             for c in chk["columns"]:
                 df = with_related_marker(df, c, chk["related"], chk["related_column"], f"_rel_{chk['name']}_{c}")
+        elif chk["type"] == "valid_values_check" and chk.get("values_from") is not None:
+            # long value lists live in a table: membership by a join on the
+            # distinct values instead of a huge IN list
+            for c in chk["columns"]:
+                df = with_related_marker(df, c, chk["values_from"], chk["values_column"], f"_val_{chk['name']}_{c}")
     return df
 
 
 def _helpers(df: DataFrame) -> list[str]:
-    return [c for c in df.columns if c.startswith("_dup_") or c.startswith("_rel_") or c.startswith("_cnt_")]
+    return [c for c in df.columns if c.startswith(("_dup_", "_rel_", "_cnt_", "_val_"))]
 
 
 # ---------------------------------------------------------------- split checks

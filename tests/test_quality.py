@@ -103,3 +103,12 @@ def test_checks_from_rule_rows(spark):
     assert checks[0]["length"] == 1 and checks[1]["valid_values"] == ["x", "y"]
     _, invalid = Q.split(_df(spark), checks)
     assert rows(invalid, "id") == [(3,)]
+
+
+def test_valid_values_from_table_equals_list(spark):
+    df = _df(spark)
+    allowed = spark.createDataFrame([("x",), ("y",), ("y",)], "v string")
+    by_list = Q.split(df, [{"type": "valid_values_check", "columns": ["s2"], "valid_values": ["x"]}])[1]
+    by_table = Q.split(df, [{"type": "valid_values_check", "columns": ["s2"], "values_from": allowed.where("v = 'x'"),
+                             "values_column": "v"}])[1]
+    assert rows(by_list, "id") == rows(by_table, "id") == [(3,)]
