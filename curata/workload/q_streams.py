@@ -5,8 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import hashing
-from ..operators import dedupe, quality, scd
+from ..operators import dedupe, scd
+from ..plans import flows
 from ..session import scratch_path
 from ..streaming import sinks as ss
 from ..streaming.sources import file_name, stream, with_stream_control
@@ -92,11 +92,10 @@ def stream_landing_to_raw(spark, d):
     root = scratch_path(spark, "stream-raw")
 
     def load(target, batch):
-        b = dedupe.latest_per_key(batch, ["event_id"], ["ts"])
-        b = hashing.hash_keys(b, ["event_id"])
-        b = quality.flag_rules(b, RAW_RULES)
-        b = b.withColumn("data_quality_result_array", F.array_join("data_quality_result_array", ","))
-        return b if target is None else scd.scd1(target, b, ["hkey"])
+        if target is not None:
+            target = target.withColumn("data_quality_result_array", F.split("data_quality_result_array", ","))
+        new, _counts = flows.landing_to_raw(target, batch, ["event_id"], ["ts"], rules=RAW_RULES)
+        return new.withColumn("data_quality_result_array", F.array_join("data_quality_result_array", ","))
     return _run_batches(spark, d, root, ss.snapshot_loader(spark, f"{root}/out", load))
 
 
