@@ -66,24 +66,47 @@ def surrogate(prefix: str, keys: Sequence[str], suffix: str | None = None) -> Co
 
 
 def scd2_apply(dim: DataFrame, staging: DataFrame, keys: Sequence[str], as_of: str, id_col: str,
-               id_prefix: str = "sap_", fixed: dict | None = None, close_gap: str = "INTERVAL 1 SECOND") -> DataFrame:
-    """Close open rows of 'close' keys at ``as_of - close_gap``; insert
-    'insert' rows from ``as_of`` and 'new' rows from MIN_DATE, open-ended,
-    with an md5 surrogate of (prefix, key, as_of)."""
+               id_prefix: str = "sap_", fixed: dict | None = None, close_gap: str = "INTERVAL 1 SECOND",
+               merge_key: str = "merge_key") -> DataFrame:
+    """Apply a type-2 staging set in one join: open rows FULL JOIN staging ON
+    key = merge_key.  A 'close' row matches its open row, which closes at
+    ``as_of - close_gap``; 'insert' and 'new' rows carry a null merge key, never
+    match, and are inserted open-ended ('insert' from ``as_of``, 'new' from
+    MIN_DATE) with an md5 surrogate of (prefix, key, as_of).  Closed history
+    passes through untouched.  The staging set is read once."""
     opened, closed = open_rows(dim)
     t = as_of_col(as_of)
-    close_keys = staging.where(F.col("stage") == "close").select(*keys).distinct().withColumn("_close", F.lit(True))
-    o = opened.join(close_keys, on=list(keys), how="left")
-    o = o.withColumn("valid_through_date", F.when(F.col("_close"), t - F.expr(close_gap))
-                     .otherwise(F.col("valid_through_date"))).drop("_close").select(*dim.columns)
-    ins = staging.where(F.col("stage").isin("insert", "new"))
-    ins = ins.withColumns({
-        id_col: surrogate(id_prefix, keys, str(as_of)),
-        **{k: F.lit(v) for k, v in (fixed or {}).items()},
-        "valid_from_date": F.when(F.col("stage") == "new", _ts(MIN_DATE)).otherwise(t),
-        "valid_through_date": _ts(OPEN_END),
-    }).select(*dim.columns)
-    return closed.unionByName(o).unionByName(ins)
+    fixed = fixed or {}
+    scols = [c for c in staging.columns if c not in (merge_key, "stage")]
+    st = staging.select(F.col(merge_key).alias("_mk"), F.col("stage").alias("_stage"),
+                        *[F.col(c).alias(f"_s_{c}") for c in scols])
+    okey = F.col(keys[0]) if len(keys) == 1 else F.concat_ws("\u001f", *[F.col(k).cast("string") for k in keys])
+    o = opened.withColumn("_ok", okey).withColumn("_open", F.lit(True))
+    j = o.join(st, o["_ok"] == st["_mk"], "full")
+    has_o = F.col("_open").isNotNull()
+    matched = has_o & F.col("_mk").isNotNull()
+    new_id = F.md5(F.concat(F.lit(id_prefix), *[F.col(f"_s_{k}").cast("string") for k in keys],
+                            F.lit("_"), F.lit(str(as_of))))
+    out = []
+    for c in dim.columns:
+        if c == id_col:
+            ins = new_id
+        elif c in fixed:
+            ins = F.lit(fixed[c])
+        elif c == "valid_from_date":
+            ins = F.when(F.col("_stage") == "new", _ts(MIN_DATE)).otherwise(t)
+        elif c == "valid_through_date":
+            ins = _ts(OPEN_END)
+        elif c in scols:
+            ins = F.col(f"_s_{c}")
+        else:
+            ins = F.lit(None)
+        cur = F.col(c)
+        if c == "valid_through_date":
+            cur = F.when(matched, t - F.expr(close_gap)).otherwise(F.col(c))
+        out.append(F.when(has_o, cur).otherwise(ins).cast(dim.schema[c].dataType).alias(c))
+    merged = j.where(has_o | F.col("_stage").isin("insert", "new")).select(*out)
+    return closed.unionByName(merged)
 
 
 def scd1_apply(dim: DataFrame, src: DataFrame, keys: Sequence[str], tracked: Sequence[str],
