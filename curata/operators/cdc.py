@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .dedupe import latest_per_key
-from .scd import scd1
+from .scd import scd1_full_join
 
 
 @dataclass
@@ -53,9 +53,8 @@ def apply_changes(target: DataFrame, changes: ChangeFrame, order: Sequence[str],
     """New target after a change batch: per key the newest change wins; a
     delete removes the key, anything else upserts the row (op dropped)."""
     latest = latest_per_key(changes.df, changes.ids, order, ties)
-    keep = latest.where(F.col(changes.op_col) != F.lit(changes.delete_val)).drop(changes.op_col)
-    gone = latest.where(F.col(changes.op_col) == F.lit(changes.delete_val))
-    return scd1(remove_deleted(target, gone, changes.ids), keep, changes.ids)
+    # one full join: the de-duplicated changes are computed once
+    return scd1_full_join(target, latest, changes.ids, delete_if=(changes.op_col, changes.delete_val))
 
 
 def handle_deletes(df: DataFrame, action_col: str = "ACTION", delete_val: str = "DELETE",

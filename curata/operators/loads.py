@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from .dedupe import latest_per_key
-from .scd import scd1
+from .scd import scd1_full_join
 
 
 def apply_load(load_type: str, target: DataFrame | None, batch: DataFrame, keys: Sequence[str],
@@ -23,7 +23,7 @@ def apply_load(load_type: str, target: DataFrame | None, batch: DataFrame, keys:
         return batch if target is None else target.unionByName(batch, allowMissingColumns=True)
     if kind == "update":
         latest = latest_per_key(batch, keys, order, ties)
-        return latest if target is None else scd1(target, latest, keys)
+        return latest if target is None else scd1_full_join(target, latest, keys)
     if kind == "complete":
         return latest_per_key(batch, keys, order, ties)
     raise ValueError(f"unknown load type {load_type!r} (append, update, complete)")

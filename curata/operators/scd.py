@@ -28,6 +28,40 @@ def _drop_existing(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 # --------------------------------------------------------------------- type 1
+def scd1_full_join(target: DataFrame, source: DataFrame, keys: Sequence[str],
+                   action_col: str | None = None, delete_if: tuple[str, object] | None = None) -> DataFrame:
+    """Type-1 upsert as one full join on the keys: each input is read once.
+
+    Per key the source row wins, else the target row stays.  With
+    ``delete_if=(column, value)`` a source row whose column equals the value
+    removes its key instead, and that column is left out of the result.  Use
+    this form when the source is expensive to recompute (e.g. freshly
+    de-duplicated): its exchange on the keys serves the join, and a target
+    bucketed by the keys is not shuffled at all.
+    """
+    keys = list(keys)
+    drop = {delete_if[0]} if delete_if else set()
+    tcols = [c for c in target.columns if c not in keys]
+    scols = [c for c in source.columns if c not in keys]
+    t = target.select(*keys, *[F.col(c).alias(f"_t_{c}") for c in tcols], F.lit(True).alias("_t"))
+    s = source.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in scols], F.lit(True).alias("_s"))
+    j = t.join(s, on=keys, how="full")
+    has_s, has_t = F.col("_s").isNotNull(), F.col("_t").isNotNull()
+    if delete_if:
+        j = j.where(~(has_s & F.coalesce(F.col(f"_s_{delete_if[0]}") == F.lit(delete_if[1]), F.lit(False))))
+    out = [F.col(k) for k in keys]
+    for c in dict.fromkeys(tcols + scols):
+        if c in drop:
+            continue
+        sv = F.col(f"_s_{c}") if c in scols else F.lit(None)
+        tv = F.col(f"_t_{c}") if c in tcols else F.lit(None)
+        dtype = (source.schema[c] if c in scols else target.schema[c]).dataType
+        out.append(F.when(has_s, sv).otherwise(tv).cast(dtype).alias(c))
+    if action_col:
+        out.append(F.when(has_s & has_t, "UPDATE").when(has_s, "INSERT").otherwise("KEEP").alias(action_col))
+    return j.select(*out)
+
+
 def scd1(target: DataFrame, source: DataFrame, keys: Sequence[str],
          update: Sequence[str] | None = None, insert: Sequence[str] | None = None,
          action_col: str | None = None) -> DataFrame:
@@ -88,7 +122,8 @@ def scd1_latest(target: DataFrame | None, source: DataFrame, keys: Sequence[str]
     if target is None:
         return latest
     target = _drop_existing(target, list(CONTROL_COLUMNS) + list(except_columns))
-    return scd1(target, latest, keys)
+    # the de-duplicated batch is read once: one full join instead of anti join + union
+    return scd1_full_join(target, latest, keys)
 
 
 # --------------------------------------------------------------------- type 2
