@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..constants import MIN_DATE, OPEN_END, as_of_col
 from ..functions.compare import any_differs
-from .scd import scd1
+from .scd import scd1_full_join
 
 
 def _ts(v: str) -> Column:
@@ -181,8 +181,9 @@ def staged_load(src: DataFrame, dim: DataFrame, keys: Sequence[str], tracked: Se
 
 
 def staged_merge(dim: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Final merge of staged rows on (surrogate key, source system)."""
-    return scd1(dim, staged.drop("load_type"), keys)
+    """Final merge of staged rows on (surrogate key, source system): one full
+    join, so the staged set is computed once."""
+    return scd1_full_join(dim, staged.drop("load_type"), keys)
 
 
 def collapse_max(df: DataFrame, keys: Sequence[str], attributes: Sequence[str]) -> DataFrame:

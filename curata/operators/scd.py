@@ -191,26 +191,25 @@ def scd2_versions(target: DataFrame, source: DataFrame, keys: Sequence[str], sta
                   deleted_col: str | None = "is_deleted") -> DataFrame:
     """Type-2 upsert of a multi-version batch in one pass.
 
-    Versions of a key are applied oldest to newest: each closes at the next
-    version's start, the newest stays open, and the open target row of the
-    key closes at the batch's earliest start.  (The reference loops on the
-    driver once per version number; here it is one window + one join.)
+    The open target rows and the batch rows form one timeline per key: a
+    single window over their union gives every row the next row's start as
+    its end, and the newest row stays open.  So the open row closes at the
+    batch's earliest start, batch versions close at each other's starts, and
+    a batch row older than the open row slots in before it -- intervals never
+    overlap.  Closed history passes through.  (The reference loops on the
+    driver once per version number.)
     """
     keys = list(keys)
     tcols = target.columns
-    v = scd2_first_load(source, keys, start, ties, end_col, current_col)
-    for c in tcols:
-        if c not in v.columns:
-            v = v.withColumn(c, F.lit(None).cast(target.schema[c].dataType))
-    v = v.select(*tcols)
-    first = source.groupBy(*keys).agg(F.min(start).alias("_first"))
     opened, closed = _split_open(target, current_col, deleted_col)
-    o = opened.join(first, on=keys, how="left")
-    o = (o.withColumns({
-        end_col: F.when(F.col("_first").isNotNull(), F.col("_first")).otherwise(F.col(end_col)),
-        current_col: F.when(F.col("_first").isNotNull(), F.lit(0)).otherwise(F.col(current_col)),
-    }).select(*tcols))
-    return closed.unionByName(o).unionByName(v)
+    src = source.select(*[c for c in source.columns if c in tcols])
+    for c in tcols:
+        if c not in src.columns and c not in (end_col, current_col):
+            src = src.withColumn(c, F.lit(None).cast(target.schema[c].dataType))
+    base = [c for c in tcols if c not in (end_col, current_col)]
+    timeline = opened.select(*base).unionByName(src.select(*base))
+    v = versions_per_key(timeline, keys, start, ties, end_col, current_col, version_col=None)
+    return closed.unionByName(v.select(*tcols))
 
 
 def scd2_full_compare(target: DataFrame, snapshot: DataFrame, keys: Sequence[str],

@@ -134,3 +134,13 @@ def test_versions_skew_split_matches_plain_window(spark):
     assert split.columns == plain.columns
     cols = ("k", "s", "tb", "end_time", "is_current", "version")
     assert rows(split, *cols) == rows(plain, *cols)
+
+
+def test_scd2_versions_out_of_order_row_slots_into_timeline(spark):
+    hist = _hist(spark, [(1, "b", T(2021, 1, 1), None, 1, 0)])
+    src = spark.createDataFrame([(1, "a", T(2020, 6, 1), 0), (1, "c", T(2022, 1, 1), 0)],
+                                "k int, v string, start_time timestamp_ntz, is_deleted int")
+    out = scd.scd2_versions(hist, src, ["k"], "start_time")
+    got = rows(out, "v", "start_time", "end_time", "is_current")
+    assert got == [("a", T(2020, 6, 1), T(2021, 1, 1), 0), ("b", T(2021, 1, 1), T(2022, 1, 1), 0),
+                   ("c", T(2022, 1, 1), None, 1)]
