@@ -66,7 +66,7 @@ def surrogate(prefix: str, keys: Sequence[str], suffix: str | None = None) -> Co
 
 
 def scd2_apply(dim: DataFrame, staging: DataFrame, keys: Sequence[str], as_of: str, id_col: str,
-               id_prefix: str = "sap_", fixed: dict | None = None, close_gap: str = "INTERVAL 1 SECOND",
+               id_prefix: str = "v2_", fixed: dict | None = None, close_gap: str = "INTERVAL 1 SECOND",
                merge_key: str = "merge_key") -> DataFrame:
     """Apply a type-2 staging set in one join: open rows FULL JOIN staging ON
     key = merge_key.  A 'close' row matches its open row, which closes at

@@ -38,12 +38,12 @@ UNION ALL BY NAME
 SELECT o.* REPLACE (CASE WHEN c.k IS NOT NULL THEN {T} - INTERVAL 1 SECOND ELSE o.valid_through_date END AS valid_through_date)
 FROM opn o LEFT JOIN (SELECT DISTINCT merge_key AS k FROM stg WHERE stage = 'close') c ON o.p_partkey = c.k
 UNION ALL BY NAME
-SELECT md5('sap_' || CAST(p_partkey AS VARCHAR) || '_{AS_OF}') AS part_dim_id, 'erp' AS source_system,
+SELECT md5('v2_' || CAST(p_partkey AS VARCHAR) || '_{AS_OF}') AS part_dim_id, 'erp' AS source_system,
   p_partkey, p_name, p_brand, p_type, p_size, p_retailprice,
   CASE WHEN stage = 'new' THEN {MIN} ELSE {T} END AS valid_from_date, {OPEN} AS valid_through_date
 FROM stg WHERE stage IN ('insert', 'new')""")
 def dim_scd2_apply(spark, d):
-    return dims.scd2_apply(dim_part(spark, d), _staging(spark, d), KEYS, AS_OF, "part_dim_id", "sap_",
+    return dims.scd2_apply(dim_part(spark, d), _staging(spark, d), KEYS, AS_OF, "part_dim_id", "v2_",
                            fixed={"source_system": "erp"})
 
 

@@ -31,17 +31,17 @@ def test_raw_to_curated_matches_operators_and_is_idempotent(spark, sf):
     dim, src = dim_part(spark, sf), src_part(spark, sf)
     keys, tracked, attrs = ["p_partkey"], ["p_retailprice"], ["p_name", "p_brand", "p_type", "p_size"]
     out, mark = flows.raw_to_curated(dim, src.withColumn("change_date", F.lit(T(2001, 6, 1)).cast("timestamp_ntz")),
-                                     keys, tracked, attrs, AS_OF, "part_dim_id", "sap_", {"source_system": "erp"},
+                                     keys, tracked, attrs, AS_OF, "part_dim_id", "v2_", {"source_system": "erp"},
                                      change_col="change_date", window=("2001-01-01 00:00:00", AS_OF),
                                      watermark_ids={"table_name": "part_dim"})
     staging = dims.scd2_staging(src, dim, keys, tracked)
-    expect = dims.scd1_apply(dims.scd2_apply(dim, staging, keys, AS_OF, "part_dim_id", "sap_",
+    expect = dims.scd1_apply(dims.scd2_apply(dim, staging, keys, AS_OF, "part_dim_id", "v2_",
                                              {"source_system": "erp"}), src, keys, tracked, attrs)
     assert rows(out) == rows(expect)
     assert mark.first()["change_date"] == T(2001, 6, 1)
     # at most one open row per member, and a second run changes nothing
     open_rows = out.where("valid_through_date = TIMESTAMP_NTZ '9999-12-31 00:00:00'")
     assert open_rows.groupBy("p_partkey").count().where("count > 1").count() == 0
-    out2, _ = flows.raw_to_curated(out, src, keys, tracked, attrs, AS_OF, "part_dim_id", "sap_",
+    out2, _ = flows.raw_to_curated(out, src, keys, tracked, attrs, AS_OF, "part_dim_id", "v2_",
                                    {"source_system": "erp"})
     assert rows(out2) == rows(out)
