@@ -33,6 +33,13 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
     return spark
 
 
+def _spark_context(spark: SparkSession):
+    try:
+        return spark.sparkContext          # absent on Spark Connect sessions
+    except Exception:  # noqa: BLE001
+        return None
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by spark.checkpoint.dir.
 
@@ -40,15 +47,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     when it is unset -- local runs and tests -- a folder is created here and
     registered, so later checkpoint() calls and written snapshots agree.
     """
+    sc = _spark_context(spark)
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="curata-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
-    elif spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+        try:
+            spark.conf.set("spark.checkpoint.dir", root)
+        except Exception:  # noqa: BLE001 -- some deployments refuse core confs at runtime
+            pass
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
