@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import dedupe, scd
-from ..plans import flows
+from ..plans import flows, steps
 from ..session import scratch_path
 from ..streaming import sinks as ss
 from ..streaming.sources import file_name, stream, with_stream_control
@@ -21,11 +21,13 @@ def _events_stream(spark, d, lineage=False):
 
 
 @query("stream_append", f"""
-SELECT *, 1 AS is_current, 0 AS is_deleted, TIMESTAMP '{AS_OF}' AS start_time, CAST(NULL AS TIMESTAMP) AS end_time,
+SELECT event_id, ts, user_id, event_type, CAST(value AS DECIMAL(13,3)) AS value, props, 1 AS is_current, 0 AS is_deleted, TIMESTAMP '{AS_OF}' AS start_time, CAST(NULL AS TIMESTAMP) AS end_time,
   TIMESTAMP '{AS_OF}' AS row_creation_time, 'events.parquet' AS file_name FROM events""")
 def stream_append(spark, d):
     root = scratch_path(spark, "stream-append")
-    s = with_stream_control(file_name(_events_stream(spark, d, lineage=True)), AS_OF)
+    # change log with a typed cast (the cast step works on streams as on batches)
+    s, _ = steps.run(_events_stream(spark, d, lineage=True), [{"op": "cast", "types": {"value": "decimal(13,3)"}}])
+    s = with_stream_control(file_name(s), AS_OF)
     s = s.drop("file_path", "file_modification_time")
     ss.append(s, f"{root}/out", f"{root}/_checkpoint", query_name=None)
     return spark.read.parquet(f"{root}/out")
