@@ -227,7 +227,3 @@ def rule_dicts(catalog_rows: Sequence[Row]) -> list[dict]:
             rule["valid_values"] = [v.strip().strip("'") for v in d["valid_list"].split(",")]
         out.append(rule)
     return out
-
-
-def spark_rows(spark: SparkSession, rows, schema) -> DataFrame:
-    return spark.createDataFrame(rows, schema)

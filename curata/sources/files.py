@@ -141,7 +141,3 @@ READERS: dict[str, Callable] = {
 def is_empty(df: DataFrame) -> bool:
     """Early exit test: one-row probe, not a count."""
     return df.isEmpty()
-
-
-def lineage_or_null(df: DataFrame) -> Column:
-    return F.col("file_path") if "file_path" in df.columns else F.lit(None).cast("string")
