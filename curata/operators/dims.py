@@ -35,6 +35,10 @@ def _compare(src: DataFrame, dim_open: DataFrame, keys: Sequence[str], tracked:
     return j, has, changed
 
 
+def _merge_token(keys: Sequence[str]) -> Column:
+    return F.concat_ws("\u001f", *[F.col(k).cast("string") for k in keys])
+
+
 def scd2_staging(src: DataFrame, dim: DataFrame, keys: Sequence[str], tracked: Sequence[str],
                  merge_key: str = "merge_key") -> DataFrame:
     """Type-2 staging set: for a tracked change, one row keyed for closing the
@@ -43,12 +47,8 @@ def scd2_staging(src: DataFrame, dim: DataFrame, keys: Sequence[str], tracked: S
     opened, _ = open_rows(dim)
     j, has, changed = _compare(src, opened, keys, tracked)
     cols = src.columns
-    if len(keys) == 1:
-        key_expr = F.col(keys[0])
-        null_key = F.lit(None).cast(src.schema[keys[0]].dataType)
-    else:
-        key_expr = F.concat_ws("\u001f", *[F.col(k).cast("string") for k in keys])
-        null_key = F.lit(None).cast("string")
+    key_expr = _merge_token(keys)          # an opaque text token, one form for any key width
+    null_key = F.lit(None).cast("string")
 
     def row(mk, stage):
         return F.struct(mk.alias(merge_key), *[F.col(c).alias(c) for c in cols], F.lit(stage).alias("stage"))
@@ -80,7 +80,7 @@ def scd2_apply(dim: DataFrame, staging: DataFrame, keys: Sequence[str], as_of: s
     scols = [c for c in staging.columns if c not in (merge_key, "stage")]
     st = staging.select(F.col(merge_key).alias("_mk"), F.col("stage").alias("_stage"),
                         *[F.col(c).alias(f"_s_{c}") for c in scols])
-    okey = F.col(keys[0]) if len(keys) == 1 else F.concat_ws("\u001f", *[F.col(k).cast("string") for k in keys])
+    okey = _merge_token(keys)
     o = opened.withColumn("_ok", okey).withColumn("_open", F.lit(True))
     j = o.join(st, o["_ok"] == st["_mk"], "full")
     has_o = F.col("_open").isNotNull()

@@ -16,7 +16,7 @@ BASE = with_("dim_part", "src_part", extra={
     "opn": f"SELECT * FROM dim_part WHERE valid_through_date = {OPEN}",
     "chg": "SELECT s.* FROM src_part s JOIN opn o ON s.p_partkey = o.p_partkey "
            "WHERE s.p_retailprice IS DISTINCT FROM o.p_retailprice",
-    "stg": "SELECT p_partkey AS merge_key, *, 'close' AS stage FROM chg "
+    "stg": "SELECT CAST(p_partkey AS VARCHAR) AS merge_key, *, 'close' AS stage FROM chg "
            "UNION ALL SELECT NULL, *, 'insert' FROM chg "
            "UNION ALL SELECT NULL, s.*, 'new' FROM src_part s WHERE NOT EXISTS "
            "(SELECT 1 FROM opn o WHERE o.p_partkey = s.p_partkey)",
@@ -36,7 +36,7 @@ def dim_scd2_staging(spark, d):
 SELECT * FROM dim_part WHERE valid_through_date <> {OPEN}
 UNION ALL BY NAME
 SELECT o.* REPLACE (CASE WHEN c.k IS NOT NULL THEN {T} - INTERVAL 1 SECOND ELSE o.valid_through_date END AS valid_through_date)
-FROM opn o LEFT JOIN (SELECT DISTINCT merge_key AS k FROM stg WHERE stage = 'close') c ON o.p_partkey = c.k
+FROM opn o LEFT JOIN (SELECT DISTINCT merge_key AS k FROM stg WHERE stage = 'close') c ON CAST(o.p_partkey AS VARCHAR) = c.k
 UNION ALL BY NAME
 SELECT md5('v2_' || CAST(p_partkey AS VARCHAR) || '_{AS_OF}') AS part_dim_id, 'erp' AS source_system,
   p_partkey, p_name, p_brand, p_type, p_size, p_retailprice,

@@ -28,19 +28,23 @@ def fn_string(spark, d):
 
 
 @query("fn_datetime", """
-SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d_date, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS d_ts,
+SELECT o_orderkey, CAST(date_diff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) AS INTEGER) AS d_days,
+  CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS d_ts,
   o_orderdate - INTERVAL 1 SECOND AS d_minus_1s, o_orderdate - INTERVAL 1 MILLISECOND AS d_minus_1ms,
-  strftime(o_orderdate, '%Y-%m-%d') AS d_text, CAST(try_strptime(strftime(o_orderdate, '%Y/%m/%d'), '%Y-%m-%d') AS DATE) AS d_bad,
+  strftime(o_orderdate, '%Y-%m-%d') AS d_text,
+  try_strptime(strftime(o_orderdate, '%Y/%m/%d'), '%Y-%m-%d') IS NULL AS d_bad_is_null,
+  CAST(CAST(try_strptime(strftime(o_orderdate, '%Y-%m-%d'), '%Y-%m-%d') AS DATE) AS TIMESTAMP) AS d_parsed,
   CAST(year(o_orderdate) AS INTEGER) AS d_year, CAST(month(o_orderdate) AS INTEGER) AS d_month FROM orders""")
 def fn_datetime(spark, d):
     o = table(spark, d, "orders")
     return o.select(
-        "o_orderkey", F.to_date("o_orderdate").alias("d_date"),
+        "o_orderkey", F.datediff(F.to_date("o_orderdate"), F.lit("1995-01-01").cast("date")).alias("d_days"),
         F.to_date("o_orderdate").cast("timestamp_ntz").alias("d_ts"),
         (F.col("o_orderdate") - F.expr("INTERVAL 1 SECOND")).alias("d_minus_1s"),
         (F.col("o_orderdate") - F.expr("INTERVAL 1 MILLISECOND")).alias("d_minus_1ms"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("d_text"),
-        F.try_to_date(F.date_format("o_orderdate", "yyyy/MM/dd"), "yyyy-MM-dd").alias("d_bad"),
+        F.try_to_date(F.date_format("o_orderdate", "yyyy/MM/dd"), "yyyy-MM-dd").isNull().alias("d_bad_is_null"),
+        F.try_to_date(F.date_format("o_orderdate", "yyyy-MM-dd"), "yyyy-MM-dd").cast("timestamp_ntz").alias("d_parsed"),
         F.year("o_orderdate").alias("d_year"), F.month("o_orderdate").alias("d_month"))
 
 

@@ -8,7 +8,7 @@ from ..operators import incremental, scd
 from ..plans import loader, steps
 from ..sources import control
 from .inputs import AS_OF, SPLIT, dirty_orders, table, with_
-from .registry import query
+from .registry import comparable, query
 
 CONTROL = ["file_modification_time", "file_path", "is_current", "is_deleted", "start_time", "end_time",
            "row_creation_time"]
@@ -69,11 +69,13 @@ def step_distinct(spark, d):
 
 
 @query("step_cast", """
-SELECT o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(13,3)) AS o_totalprice,
-  CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority FROM orders""")
+SELECT o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey, o_orderstatus,
+  CAST(CAST(o_totalprice AS DECIMAL(13,3)) AS DOUBLE) AS o_totalprice,
+  CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS o_orderdate, o_orderpriority FROM orders""")
 def step_cast(spark, d):
-    return _run(table(spark, d, "orders"), [{"op": "cast", "types": {
+    out = _run(table(spark, d, "orders"), [{"op": "cast", "types": {
         "o_custkey": "int", "o_totalprice": "decimal(13,3)", "o_orderdate": "date"}}])
+    return comparable(out, decimals=["o_totalprice"], dates=["o_orderdate"])
 
 
 @query("step_timestamps", f"""
@@ -171,7 +173,8 @@ def _pipe_config(d, date_filter):
     }
 
 
-PIPE_B = ("SELECT o_orderkey, o_custkey AS customer_id, o_orderstatus, CAST(o_totalprice AS DECIMAL(13,3)) AS o_totalprice, "
+PIPE_B = ("SELECT o_orderkey, o_custkey AS customer_id, o_orderstatus, "
+          "CAST(CAST(o_totalprice AS DECIMAL(13,3)) AS DOUBLE) AS o_totalprice, "
           "o_orderdate, o_orderpriority FROM orders WHERE o_orderstatus <> 'P'")
 PIPE_W = "PARTITION BY customer_id ORDER BY o_orderdate DESC, o_orderkey DESC"
 
@@ -190,7 +193,7 @@ def pipe_end_to_end(spark, d):
     target = loader.run_load(spark, first)
     second = _pipe_config(d, f"o_orderdate >= '{SPLIT}'")
     second["load"] = {**load, "type": "update"}
-    return loader.run_load(spark, second, target=target)
+    return comparable(loader.run_load(spark, second, target=target), decimals=["o_totalprice"])
 
 
 @query("incr_window", """

@@ -11,7 +11,7 @@ from ..session import scratch_path
 from ..streaming import sinks as ss
 from ..streaming.sources import file_name, stream, with_stream_control
 from .inputs import AS_OF
-from .registry import query
+from .registry import comparable, query
 from .sqlgen import md5_of
 
 
@@ -21,7 +21,7 @@ def _events_stream(spark, d, lineage=False):
 
 
 @query("stream_append", f"""
-SELECT event_id, ts, user_id, event_type, CAST(value AS DECIMAL(13,3)) AS value, props, 1 AS is_current, 0 AS is_deleted, TIMESTAMP '{AS_OF}' AS start_time, CAST(NULL AS TIMESTAMP) AS end_time,
+SELECT event_id, ts, user_id, event_type, CAST(CAST(value AS DECIMAL(13,3)) AS DOUBLE) AS value, props, 1 AS is_current, 0 AS is_deleted, TIMESTAMP '{AS_OF}' AS start_time, CAST(NULL AS TIMESTAMP) AS end_time,
   TIMESTAMP '{AS_OF}' AS row_creation_time, 'events.parquet' AS file_name FROM events""")
 def stream_append(spark, d):
     root = scratch_path(spark, "stream-append")
@@ -30,7 +30,7 @@ def stream_append(spark, d):
     s = with_stream_control(file_name(s), AS_OF)
     s = s.drop("file_path", "file_modification_time")
     ss.append(s, f"{root}/out", f"{root}/_checkpoint", query_name=None)
-    return spark.read.parquet(f"{root}/out")
+    return comparable(spark.read.parquet(f"{root}/out"), decimals=["value"])
 
 
 LATEST_USER = ("SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, "

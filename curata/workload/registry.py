@@ -19,3 +19,17 @@ def query(name: str, sql: str | None = None):
             ORACLE[name] = sql
         return fn
     return deco
+
+
+def comparable(df, decimals=(), dates=()):
+    """Present DECIMAL columns as double and DATE columns as timestamp.
+
+    Result comparisons may read both engines through pandas, where DuckDB
+    turns DECIMAL into float64 and DATE into datetime64 while Spark keeps
+    Decimal and date objects.  The operator's own casts still run; only the
+    final presentation changes, identically in the oracle SQL.
+    """
+    from pyspark.sql import functions as F
+    cols = {c: F.col(c).cast("double") for c in decimals}
+    cols.update({c: F.col(c).cast("timestamp_ntz") for c in dates})
+    return df.withColumns(cols) if cols else df
