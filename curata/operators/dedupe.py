@@ -42,7 +42,7 @@ SKEW_DEFAULTS = {
     "fraction": 0.001,       # sample fraction for hot-key detection
     "min_sample_rows": 10000,  # a key is hot with at least this many sampled rows
     "max_hot_keys": 1000,    # bound of the broadcast split table (top keys by count)
-    "splits": 64,            # sub-ranges per hot key
+    "splits": None,          # sub-ranges per hot key; None: the shuffle partition count (16..1024)
     "seed": 17,
 }
 
@@ -74,7 +74,12 @@ def hot_key_splits(df: DataFrame, keys: Sequence[str], start: str, **opts) -> Da
     hot = (smp.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
            .where(F.col("_n") >= o["min_sample_rows"])
            .orderBy(F.desc("_n")).limit(o["max_hot_keys"]).drop("_n"))
-    pct = [i / o["splits"] for i in range(1, o["splits"])]
+    splits = o["splits"]
+    if splits is None:
+        # spread a hot key over about as many tasks as the rest of the data
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+        splits = min(max(n, 16), 1024)
+    pct = [i / splits for i in range(1, splits)]
     bounds = (smp.join(F.broadcast(hot), on=list(keys), how="left_semi")
               .groupBy(*keys).agg(F.array_distinct(F.percentile_approx("_ov", pct, 10000)).alias("_bounds")))
     found = bounds.collect()
