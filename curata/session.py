@@ -21,6 +21,26 @@ RECOMMENDED = {
 }
 
 
+def scale_settings(input_bytes: int, partition_bytes: int = 256 << 20, max_partitions: int = 100_000) -> dict:
+    """Starting settings for a job that reads about ``input_bytes``.
+
+    Shuffle partitions are sized so one holds about ``partition_bytes``
+    (AQE coalesces the small ones at run time and splits skewed join
+    partitions); scans split files at 512 MB; broadcasts stay under 64 MB,
+    checked by Spark against measured sizes.
+    """
+    parts = min(max(int(input_bytes // partition_bytes), 200), max_partitions)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(512 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "curata",
                   extra: dict | None = None) -> SparkSession:
     b = (SparkSession.builder.master(master).appName(app)
