@@ -89,16 +89,14 @@ SELECT e.*, {md5_of([('event_id', 'str')])} AS hkey, {md5_of(EV_KINDS)} AS hdiff
                  CASE WHEN coalesce(NOT (value < 40), false) THEN '702' END) AS r
 FROM events e) x""".replace("AS r\n", "AS data_quality_result_array\n").replace("WHEN r <>", "WHEN data_quality_result_array <>"))
 def stream_landing_to_raw(spark, d):
-    """Per micro-batch: de-duplicate on the key, hash, flag rules, upsert on
-    hkey into the raw snapshot."""
+    """Per micro-batch (plans.flows.landing_to_raw): de-duplicate on the key,
+    hash, flag rules, upsert on hkey into the raw snapshot."""
     root = scratch_path(spark, "stream-raw")
 
     def load(target, batch):
-        if target is not None:
-            target = target.withColumn("data_quality_result_array", F.split("data_quality_result_array", ","))
-        new, _counts = flows.landing_to_raw(target, batch, ["event_id"], ["ts"], rules=RAW_RULES)
-        return new.withColumn("data_quality_result_array", F.array_join("data_quality_result_array", ","))
-    return _run_batches(spark, d, root, ss.snapshot_loader(spark, f"{root}/out", load))
+        return flows.landing_to_raw(target, batch, ["event_id"], ["ts"], rules=RAW_RULES)[0]
+    out = _run_batches(spark, d, root, ss.snapshot_loader(spark, f"{root}/out", load))
+    return out.withColumn("data_quality_result_array", F.array_join("data_quality_result_array", ","))
 
 
 @query("stream_dedupe_watermark", "SELECT DISTINCT user_id, event_type FROM events")
