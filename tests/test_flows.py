@@ -45,3 +45,18 @@ def test_raw_to_curated_matches_operators_and_is_idempotent(spark, sf):
     out2, _ = flows.raw_to_curated(out, src, keys, tracked, attrs, AS_OF, "part_dim_id", "v2_",
                                    {"source_system": "erp"})
     assert rows(out2) == rows(out)
+
+
+def test_late_members_rerun_is_noop(spark, sf):
+    from curata.operators import late
+    from curata.workload.inputs import table
+    dim = dim_part(spark, sf)
+    fact = table(spark, sf, "lineitem")
+    window = ("1995-01-01 00:00:00", AS_OF)
+    first = late.late_members(fact, dim, "l_partkey", "l_shipdate", "p_partkey", AS_OF, ["p_name"],
+                              id_col="part_dim_id", fixed={"source_system": "erp"}, window=window)
+    assert first.count() > 0
+    grown = dim.unionByName(first, allowMissingColumns=True)
+    again = late.late_members(fact, grown, "l_partkey", "l_shipdate", "p_partkey", AS_OF, ["p_name"],
+                              id_col="part_dim_id", fixed={"source_system": "erp"}, window=window)
+    assert again.count() == 0
