@@ -117,3 +117,13 @@ def test_bucketed_snapshot_merge_does_not_shuffle_target(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_append_with_new_column_reads_merged(spark):
+    from pyspark.sql import functions as F
+    path = scratch_path(spark, "evolve")
+    sinks.overwrite_write(spark.range(2), path=path)
+    sinks.append_write(spark.range(2, 4).withColumn("extra", F.lit("x")), path=path)
+    df = files.read(spark, "parquet", path, {"mergeSchema": "true"})
+    assert set(df.columns) == {"id", "extra"}
+    assert rows(df, "id", "extra") == [(0, None), (1, None), (2, "x"), (3, "x")]
