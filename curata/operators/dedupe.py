@@ -71,16 +71,21 @@ def hot_key_splits(df: DataFrame, keys: Sequence[str], start: str, **opts) -> Da
     if ov is None:
         return None
     smp = df.select(*keys, ov.alias("_ov")).sample(fraction=o["fraction"], seed=o["seed"])
-    hot = (smp.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-           .where(F.col("_n") >= o["min_sample_rows"])
-           .orderBy(F.desc("_n")).limit(o["max_hot_keys"]).drop("_n"))
+    # at most max_hot_keys rows; usually none, and then this is the only job
+    hot_rows = (smp.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+                .where(F.col("_n") >= o["min_sample_rows"])
+                .orderBy(F.desc("_n")).limit(o["max_hot_keys"]).drop("_n").collect())
+    if not hot_rows:
+        return None
+    spark = df.sparkSession
+    hot = spark.createDataFrame(hot_rows, T.StructType([df.schema[k] for k in keys]))
     splits = o["splits"]
     if splits is None:
         # spread a hot key over about as many tasks as the rest of the data
-        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+        n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
         splits = min(max(n, 16), 1024)
     pct = [i / splits for i in range(1, splits)]
-    bounds = (smp.join(F.broadcast(hot), on=list(keys), how="left_semi")
+    bounds = (smp.join(F.broadcast(hot), on=list(keys), how="left_semi")    # same seeded sample
               .groupBy(*keys).agg(F.array_distinct(F.percentile_approx("_ov", pct, 10000)).alias("_bounds")))
     found = bounds.collect()
     if not found:
