@@ -144,3 +144,18 @@ def test_scd2_versions_out_of_order_row_slots_into_timeline(spark):
     got = rows(out, "v", "start_time", "end_time", "is_current")
     assert got == [("a", T(2020, 6, 1), T(2021, 1, 1), 0), ("b", T(2021, 1, 1), T(2022, 1, 1), 0),
                    ("c", T(2022, 1, 1), None, 1)]
+
+
+def test_versions_skew_split_composite_key_date_order(spark):
+    import random
+    rnd = random.Random(11)
+    base = dt.date(2020, 1, 1)
+    data = [("a", 1, base + dt.timedelta(days=rnd.randint(0, 400)), i) for i in range(3000)]
+    data += [("b", 2, base, 1), ("b", 2, base + dt.timedelta(days=1), 2), ("a", 2, base, 3)]
+    df = spark.createDataFrame(data, "k1 string, k2 int, d date, tb int")
+    opts = {"fraction": 1.0, "min_sample_rows": 100, "splits": 6}
+    assert dedupe.hot_key_splits(df, ["k1", "k2"], "d", **opts).count() == 1
+    plain = dedupe.versions_per_key(df, ["k1", "k2"], "d", ["tb"], skew=False)
+    split = dedupe.versions_per_key(df, ["k1", "k2"], "d", ["tb"], skew=opts)
+    cols = ("k1", "k2", "d", "tb", "end_time", "is_current", "version")
+    assert rows(split, *cols) == rows(plain, *cols)
