@@ -9,6 +9,7 @@ reproducible; pass ``F.current_timestamp()`` for wall-clock stamping.
 from __future__ import annotations
 
 from collections.abc import Callable
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -114,7 +115,8 @@ def read_latest_file(spark: SparkSession, fmt: str, path: str, options: dict | N
     newest = latest_file(spark, fmt, path, options).first()
     if newest is None or newest["file_path"] is None:
         return _reader(spark, fmt, options).load(path).limit(0)
-    return _reader(spark, fmt, options).load(newest["file_path"])
+    # _metadata.file_path is a URL-encoded URI (a blank is %20); load wants the path
+    return _reader(spark, fmt, options).load(unquote(newest["file_path"]))
 
 
 def schema_of(spark: SparkSession, fmt: str, path: str, options: dict | None = None):

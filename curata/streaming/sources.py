@@ -34,4 +34,5 @@ def with_stream_control(df: DataFrame, as_of) -> DataFrame:
 
 
 def file_name(df: DataFrame, path_col: str = "file_path") -> DataFrame:
-    return df.withColumn("file_name", F.element_at(F.split(path_col, "/"), -1))
+    # _metadata.file_path is URL-encoded; the name is decoded
+    return df.withColumn("file_name", F.url_decode(F.element_at(F.split(path_col, "/"), -1)))

@@ -127,3 +127,11 @@ def test_append_with_new_column_reads_merged(spark):
     df = files.read(spark, "parquet", path, {"mergeSchema": "true"})
     assert set(df.columns) == {"id", "extra"}
     assert rows(df, "id", "extra") == [(0, None), (1, None), (2, "x"), (3, "x")]
+
+
+def test_latest_file_with_blank_in_path(spark):
+    root = scratch_path(spark, "landing zone")
+    spark.range(3).write.parquet(f"{root}/old batch")
+    spark.range(5).withColumnRenamed("id", "n").write.parquet(f"{root}/new batch")
+    newest = files.read_latest_file(spark, "parquet", root, {"recursiveFileLookup": "true"})
+    assert newest.columns == ["n"]
