@@ -34,5 +34,12 @@ def with_stream_control(df: DataFrame, as_of) -> DataFrame:
 
 
 def file_name(df: DataFrame, path_col: str = "file_path") -> DataFrame:
-    # _metadata.file_path is URL-encoded; the name is decoded
-    return df.withColumn("file_name", F.url_decode(F.element_at(F.split(path_col, "/"), -1)))
+    return df.withColumn("file_name", decoded_name(F.col(path_col)))
+
+
+def decoded_name(path):
+    """Last path segment of a ``_metadata.file_path`` URI, decoded.  The URI
+    encodes blanks as %20 but leaves '+' alone, while url_decode reads '+' as
+    a blank -- so '+' is escaped first."""
+    last = F.element_at(F.split(path, "/"), -1)
+    return F.url_decode(F.regexp_replace(last, r"\+", "%2B"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources import control, files, sinks, tables
+from ..streaming.sources import decoded_name
 from .inputs import AS_OF, SPLIT, table
 from .registry import query
 
@@ -22,7 +23,7 @@ SELECT *, 'orders.parquet' AS file_name, 1 AS is_current, 0 AS is_deleted,
 FROM orders""")
 def src_parquet_lineage(spark, d):
     df = files.read_parquet(spark, _path(d, "orders"), options={"mergeSchema": "false"}, as_of=AS_OF)
-    return (df.withColumn("file_name", F.url_decode(F.element_at(F.split("file_path", "/"), -1)))
+    return (df.withColumn("file_name", decoded_name(F.col("file_path")))
             .drop("file_path", "file_modification_time"))
 
 
@@ -30,7 +31,7 @@ def src_parquet_lineage(spark, d):
 SELECT *, 'lineitem.parquet' AS file_name, TIMESTAMP '{AS_OF}' AS read_creation_time, 0 AS is_deleted FROM lineitem""")
 def src_parquet_plain(spark, d):
     df = files.read_parquet(spark, _path(d, "lineitem"), as_of=AS_OF)
-    return (df.withColumn("file_name", F.url_decode(F.element_at(F.split("file_path", "/"), -1)))
+    return (df.withColumn("file_name", decoded_name(F.col("file_path")))
             .drop("file_path", "file_modification_time"))
 
 
