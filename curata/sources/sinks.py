@@ -135,22 +135,22 @@ def publish_snapshot(spark: SparkSession, df: DataFrame, table: str, root: str,
     return path
 
 
-def materialize(spark: SparkSession, df: DataFrame, name: str, root: str | None = None) -> tuple[DataFrame, str]:
-    """Write a staging frame to the shared checkpoint folder and read it back.
+def materialize(spark: SparkSession, df: DataFrame, name: str, database: str = "curata_staging") -> tuple[DataFrame, str]:
+    """Write a staging frame as a managed table of a staging database that
+    lives under the shared checkpoint folder, and read it back.
 
     Later steps read files instead of recomputing the staging plan, and the
-    lineage is cut (unlike an in-memory cache, this survives lost
-    executors).  Returns (frame, folder); ``drop_staging`` removes the folder
-    when the load is done.
+    lineage is cut (unlike an in-memory cache, this survives lost executors).
+    Returns (frame, table name); ``drop_staging`` drops the table and, since
+    it is managed, its files.
     """
-    from ..session import scratch_path
-    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}" if root else scratch_path(spark, name)
-    df.write.mode("error").parquet(path)
-    return spark.read.parquet(path), path
+    from ..session import checkpoint_root
+    root = checkpoint_root(spark)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}/{database}'")
+    table = f"{database}.{name}_{uuid.uuid4().hex[:12]}"
+    df.write.mode("error").format("parquet").saveAsTable(table)
+    return spark.table(table), table
 
 
-def drop_staging(spark: SparkSession, path: str) -> None:
-    """Delete a staging folder through the Hadoop file system of the path."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+def drop_staging(spark: SparkSession, table: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {table}")

@@ -74,10 +74,13 @@ def test_jdbc_round_trip_embedded_derby(spark):
 
 
 def test_materialize_and_drop_staging(spark):
-    df, path = sinks.materialize(spark, spark.range(5), "stage")
-    assert df.count() == 5 and os.path.exists(path)
-    sinks.drop_staging(spark, path)
-    assert not os.path.exists(path)
+    from curata.session import checkpoint_root
+    df, table = sinks.materialize(spark, spark.range(5), "stage")
+    assert df.count() == 5
+    folder = os.path.join(checkpoint_root(spark).replace("file:", ""), "curata_staging", table.split(".")[1])
+    assert os.path.isdir(folder)
+    sinks.drop_staging(spark, table)
+    assert not spark.catalog.tableExists(table) and not os.path.exists(folder)
 
 
 def test_loader_skips_empty_source(spark):
