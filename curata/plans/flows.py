@@ -48,7 +48,8 @@ def landing_to_raw(target: DataFrame | None, batch: DataFrame, keys: Sequence[st
 def raw_to_curated(dim: DataFrame, raw: DataFrame, keys: Sequence[str], tracked: Sequence[str],
                    attributes: Sequence[str], as_of: str, id_col: str, id_prefix: str,
                    fixed: dict | None = None, change_col: str | None = None, window: tuple | None = None,
-                   watermark_ids: dict | None = None) -> tuple[DataFrame, DataFrame | None]:
+                   watermark_ids: dict | None = None,
+                   checkpoint_staging: bool = False) -> tuple[DataFrame, DataFrame | None]:
     """(new dimension, watermark row or None).
 
     The increment is ``raw`` limited to ``window`` on ``change_col`` (a
@@ -56,11 +57,18 @@ def raw_to_curated(dim: DataFrame, raw: DataFrame, keys: Sequence[str], tracked:
     new version (the open row closes one second before ``as_of``), new
     members are inserted open-ended, and every other member's open row takes
     the increment's untracked attributes.  Running the same increment twice
-    gives the same dimension.
+    gives the same dimension.  ``checkpoint_staging`` writes the type-2
+    staging set to spark.checkpoint.dir (a reliable checkpoint), cutting the
+    lineage: a lost executor then re-reads staged files instead of
+    recomputing the increment join.
     """
     inc = incremental.window(raw, change_col, *window) if (change_col and window) else raw
     inc = inc.select(*keys, *dict.fromkeys([*tracked, *attributes]))
     staging = dims.scd2_staging(inc, dim, keys, tracked)
+    if checkpoint_staging:
+        from ..session import checkpoint_root
+        checkpoint_root(dim.sparkSession)          # registers a folder only where none is set
+        staging = staging.checkpoint(eager=True)
     after2 = dims.scd2_apply(dim, staging, keys, as_of, id_col, id_prefix, fixed)
     after1 = dims.scd1_apply(after2, inc, keys, tracked, attributes)
     mark = None

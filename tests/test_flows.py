@@ -43,7 +43,7 @@ def test_raw_to_curated_matches_operators_and_is_idempotent(spark, sf):
     open_rows = out.where("valid_through_date = TIMESTAMP_NTZ '9999-12-31 00:00:00'")
     assert open_rows.groupBy("p_partkey").count().where("count > 1").count() == 0
     out2, _ = flows.raw_to_curated(out, src, keys, tracked, attrs, AS_OF, "part_dim_id", "v2_",
-                                   {"source_system": "erp"})
+                                   {"source_system": "erp"}, checkpoint_staging=True)
     assert rows(out2) == rows(out)
 
 
