@@ -58,7 +58,8 @@ def overwrite_latest(spark: SparkSession, root: str, transform: Callable[[DataFr
 
 
 def snapshot_loader(spark: SparkSession, root: str, load: Callable[[DataFrame | None, DataFrame], DataFrame],
-                    initial: DataFrame | None = None):
+                    initial: DataFrame | None = None, bucket_by: tuple[int, list] | None = None,
+                    table_prefix: str | None = None):
     """foreachBatch function for merges (SCD-1, SCD-2, CDC) without a
     row-level table format.
 
@@ -67,10 +68,44 @@ def snapshot_loader(spark: SparkSession, root: str, load: Callable[[DataFrame |
     writes snapshot N to its own folder.  Readers never see a half-written
     folder, the lineage is cut at every batch (the target is re-read from
     files), and a replay of batch N recomputes exactly the same snapshot.
+
+    With ``bucket_by=(n, keys)`` each snapshot is also a catalog table
+    ``<table_prefix>_b<N>`` bucketed and sorted by the keys, so the next
+    batch's merge joins it without shuffling the target -- only the batch
+    moves.  If the catalog forgot the table (a new session without a
+    persistent metastore), it is registered again from its folder with the
+    same bucket spec.
     """
+    if bucket_by and not table_prefix:
+        raise ValueError("bucket_by needs a table_prefix")
+
+    def _table(batch_id: int) -> str:
+        return f"{table_prefix}_b{batch_id}"
+
+    def _target(batch_id: int):
+        if batch_id == 0:
+            return initial
+        prev = batch_path(root, batch_id - 1)
+        if not bucket_by:
+            return spark.read.parquet(prev)
+        name = _table(batch_id - 1)
+        if not spark.catalog.tableExists(name):
+            n, keys = bucket_by
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(prev).schema)
+            ks = ", ".join(f"`{k}`" for k in keys)
+            spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY ({ks}) SORTED BY ({ks}) "
+                      f"INTO {n} BUCKETS LOCATION '{prev}'")
+        return spark.table(name)
+
     def fn(batch_df: DataFrame, batch_id: int):
-        target = initial if batch_id == 0 else spark.read.parquet(batch_path(root, batch_id - 1))
-        load(target, batch_df).write.mode("overwrite").parquet(batch_path(root, batch_id))
+        new = load(_target(batch_id), batch_df)
+        path = batch_path(root, batch_id)
+        if bucket_by:
+            n, keys = bucket_by
+            (new.write.mode("overwrite").format("parquet").option("path", path)
+             .bucketBy(n, *keys).sortBy(*keys).saveAsTable(_table(batch_id)))
+        else:
+            new.write.mode("overwrite").parquet(path)
     return fn
 
 

@@ -56,7 +56,10 @@ def stream_scd1(spark, d):
 
     def load(target, batch):
         return scd.scd1_latest(target, batch, ["user_id"], ["ts"], ["event_id"])
-    return _run_batches(spark, d, root, ss.snapshot_loader(spark, f"{root}/out", load))
+    # snapshots bucketed by the key: a later batch merges without shuffling the target
+    fn = ss.snapshot_loader(spark, f"{root}/out", load, bucket_by=(8, ["user_id"]),
+                            table_prefix="curata_scd1_" + root.rsplit("-", 1)[-1])
+    return _run_batches(spark, d, root, fn)
 
 
 @query("stream_scd2", """
@@ -95,7 +98,9 @@ def stream_landing_to_raw(spark, d):
 
     def load(target, batch):
         return flows.landing_to_raw(target, batch, ["event_id"], ["ts"], rules=RAW_RULES)[0]
-    out = _run_batches(spark, d, root, ss.snapshot_loader(spark, f"{root}/out", load))
+    fn = ss.snapshot_loader(spark, f"{root}/out", load, bucket_by=(8, ["hkey"]),
+                            table_prefix="curata_raw_" + root.rsplit("-", 1)[-1])
+    out = _run_batches(spark, d, root, fn)
     return out.withColumn("data_quality_result_array", F.array_join("data_quality_result_array", ","))
 
 

@@ -71,3 +71,25 @@ def test_stream_source_type_check(spark):
     import pytest
     with pytest.raises(ValueError):
         stream(spark, "kafka-ish", "/nowhere")
+
+
+def test_bucketed_snapshots_equal_plain_and_survive_catalog_loss(spark):
+    import os
+    root = scratch_path(spark, "t-bkt")
+    _land(spark, root, B)
+    prefix = "curata_stream_" + os.path.basename(root).split("-")[-1]
+    s = stream(spark, "parquet", f"{root}/landing", {"recursiveFileLookup": "true", "maxFilesPerTrigger": 1})
+    fn = ss.snapshot_loader(spark, f"{root}/out", lambda t, b: scd.scd1_latest(t, b, ["k"], ["ts"]),
+                            bucket_by=(4, ["k"]), table_prefix=prefix)
+    q = ss.for_each_batch(s, fn, f"{root}/_ck")
+    last = ss.last_batch(q)
+    assert rows(spark.table(f"{prefix}_b{last}")) == rows(
+        dedupe.latest_per_key(spark.createDataFrame([r for b in B for r in b], SCHEMA), ["k"], ["ts"]))
+    before = rows(spark.table(f"{prefix}_b{last}"))
+    # the catalog forgets the previous snapshot (external table: files stay);
+    # replaying the last batch re-registers it, bucket spec included
+    spark.sql(f"DROP TABLE {prefix}_b{last - 1}")
+    fn(spark.createDataFrame(B[last], SCHEMA), last)
+    assert rows(spark.table(f"{prefix}_b{last}")) == before
+    desc = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {prefix}_b{last - 1}").collect()}
+    assert desc.get("Num Buckets") == "4"
