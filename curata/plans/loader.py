@@ -44,3 +44,39 @@ def run_load(spark: SparkSession, config: dict, target: DataFrame | None = None,
     if not load:
         return df
     return apply_load(load["type"], target, df, load["keys"], load.get("order", []), load.get("ties", ()))
+
+
+def run_config_load(spark: SparkSession, config: dict, target: DataFrame | None = None,
+                    registry: dict | None = None) -> tuple[DataFrame | None, dict]:
+    """The whole configured load: read -> steps -> data quality -> load.
+
+    ``config["dq"] = {"active": [...], "passive": [...]}``: rows failing an
+    active check are held back (returned as ``info["invalid"]`` with their
+    reasons, for a quarantine table), passive failures stay in the load with
+    ``passive_reason`` set.  ``info`` also carries the step ids and
+    Observations of the source and loaded row counts, filled when the new
+    target is written -- no extra jobs.
+    """
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+    from ..operators import quality
+
+    df = read_source(spark, config["source"])
+    if config.get("skip_if_empty") and not df.isStreaming and files.is_empty(df):
+        return target, {"skipped": True}
+    df, step_ids = step_mod.run(df, config.get("steps", []), registry)
+    src_obs, out_obs = Observation(), Observation()
+    df = df.observe(src_obs, F.count(F.lit(1)).alias("rows"))
+    invalid = None
+    dq = config.get("dq")
+    if dq:
+        flagged = quality.active_passive(df, dq.get("active", []), dq.get("passive", []))
+        invalid = flagged.where("blocked").drop("blocked")
+        df = flagged.where(~F.col("blocked")).drop("blocked", "active_reason")
+        if not dq.get("passive"):
+            df = df.drop("passive_reason")
+    df = df.observe(out_obs, F.count(F.lit(1)).alias("rows"))
+    load = config.get("load")
+    new = df if not load else apply_load(load["type"], target, df, load["keys"], load.get("order", []),
+                                         load.get("ties", ()))
+    return new, {"steps": step_ids, "source_rows": src_obs, "loaded_rows": out_obs, "invalid": invalid}

@@ -60,3 +60,21 @@ def test_late_members_rerun_is_noop(spark, sf):
     again = late.late_members(fact, grown, "l_partkey", "l_shipdate", "p_partkey", AS_OF, ["p_name"],
                               id_col="part_dim_id", fixed={"source_system": "erp"}, window=window)
     assert again.count() == 0
+
+
+def test_config_load_blocks_active_failures(spark):
+    from curata.plans import loader
+    from curata.session import scratch_path
+    path = scratch_path(spark, "cfg-src")
+    spark.createDataFrame([(1, "a", "x"), (2, None, "y"), (3, "c", "z#")], "k int, s string, t string") \
+        .write.parquet(path)
+    cfg = {"source": {"source_table_type": "path", "path": path},
+           "steps": [{"op": "where", "expr": "k > 0"}],
+           "dq": {"active": [{"type": "null_check", "columns": ["s"]}],
+                  "passive": [{"type": "special_character_check", "columns": ["t"]}]},
+           "load": {"type": "complete", "keys": ["k"], "order": ["k"]}}
+    new, info = loader.run_config_load(spark, cfg)
+    assert rows(new, "k", "passive_reason") == [(1, None), (3, "special_character_check:t")]
+    assert info["source_rows"].get["rows"] == 3 and info["loaded_rows"].get["rows"] == 2
+    assert rows(info["invalid"], "k", "active_reason") == [(2, "null_check:s")]
+    assert info["steps"] == ["0:where"]
