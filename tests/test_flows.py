@@ -78,3 +78,23 @@ def test_config_load_blocks_active_failures(spark):
     assert info["source_rows"].get["rows"] == 3 and info["loaded_rows"].get["rows"] == 2
     assert rows(info["invalid"], "k", "active_reason") == [(2, "null_check:s")]
     assert info["steps"] == ["0:where"]
+
+
+def test_command_line_load_publishes_and_counts(spark, tmp_path):
+    import json
+    from curata.__main__ import main
+    from curata.session import scratch_path
+    src = scratch_path(spark, "cli-src")
+    spark.createDataFrame([(1, "a"), (2, None), (1, "b")], "k int, s string").write.parquet(src)
+    root = scratch_path(spark, "cli-root")
+    cfg = {"source": {"source_table_type": "path", "path": src},
+           "dq": {"active": [{"type": "null_check", "columns": ["s"]}]},
+           "load": {"type": "update", "keys": ["k"], "order": ["s"]},
+           "target": {"table": "curata_cli_target", "root": root, "bucket_by": [4, ["k"]]},
+           "quarantine": {"table": "curata_cli_invalid", "root": root}}
+    p = tmp_path / "load.json"
+    p.write_text(json.dumps(cfg))
+    out = main([str(p)], spark=spark)
+    assert rows(spark.table("curata_cli_target"), "k", "s") == [(1, "b")]
+    assert spark.table("curata_cli_invalid").count() == 1
+    assert out["source_rows"] == 3 and out["loaded_rows"] == 2
