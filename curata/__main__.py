@@ -7,7 +7,8 @@ The JSON file holds one load (the decoded control row):
      "load": {"type": "update", "keys": [...], "order": [...]},
      "target": {"table": "curated.orders", "root": "<shared folder>",
                 "bucket_by": [64, ["o_orderkey"]]},
-     "quarantine": {"table": "curated.orders_invalid", "root": "<shared folder>"}}
+     "quarantine": {"table": "curated.orders_invalid", "root": "<shared folder>"},
+     "audit": {"url": "jdbc:...", "table": "AUDIT_FACT", "properties": {...}}}
 
 The target table (if it exists) is the merge target; the new content is
 published as a fresh snapshot and the table re-pointed.  Counts are printed
@@ -53,9 +54,24 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         new.write.format("noop").mode("overwrite").save()
     out.update({"steps": info["steps"], "source_rows": info["source_rows"].get.get("rows"),
                 "loaded_rows": info["loaded_rows"].get.get("rows")})
+    a = config.get("audit")
+    if a:
+        _write_audit(spark, a, out)
     print(json.dumps(out))
     return out
 
 
+def _write_audit(spark: SparkSession, a: dict, out: dict) -> None:
+    """Audit count rows (audit-fact layout) appended to a JDBC table."""
+    import datetime as dt
+    from .operators.audit import FACT_SCHEMA
+    from .sources.jdbc import write_jdbc
+    now = dt.datetime.fromisoformat(a["as_of"]) if a.get("as_of") else dt.datetime.now()
+    counts = [("source_row_count", out["source_rows"]), ("loaded_row_count", out["loaded_rows"]),
+              ("invalid_row_count", out["source_rows"] - out["loaded_rows"])]
+    rows = [(a.get("sla_dim_id", 0), kind, now, int(v), "Y", a.get("audit_dim_id", 0)) for kind, v in counts]
+    write_jdbc(spark.createDataFrame(rows, FACT_SCHEMA), a["url"], a["table"], a.get("properties"))
+
+
 if __name__ == "__main__":
     main()

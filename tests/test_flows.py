@@ -91,10 +91,17 @@ def test_command_line_load_publishes_and_counts(spark, tmp_path):
            "dq": {"active": [{"type": "null_check", "columns": ["s"]}]},
            "load": {"type": "update", "keys": ["k"], "order": ["s"]},
            "target": {"table": "curata_cli_target", "root": root, "bucket_by": [4, ["k"]]},
-           "quarantine": {"table": "curata_cli_invalid", "root": root}}
+           "quarantine": {"table": "curata_cli_invalid", "root": root},
+           "audit": {"url": "jdbc:derby:memory:curata_cli;create=true", "table": "AUDIT_FACT",
+                     "properties": {"driver": "org.apache.derby.jdbc.EmbeddedDriver"},
+                     "as_of": "2002-01-01 00:00:00", "sla_dim_id": 7, "audit_dim_id": 42}}
     p = tmp_path / "load.json"
     p.write_text(json.dumps(cfg))
     out = main([str(p)], spark=spark)
     assert rows(spark.table("curata_cli_target"), "k", "s") == [(1, "b")]
     assert spark.table("curata_cli_invalid").count() == 1
     assert out["source_rows"] == 3 and out["loaded_rows"] == 2
+    from curata.sources import jdbc
+    audit = jdbc.read_jdbc(spark, cfg["audit"]["url"], "AUDIT_FACT", cfg["audit"]["properties"])
+    got = {r["audit_record_type_desc"]: r["audit_value"] for r in audit.collect()}
+    assert got == {"source_row_count": 3, "loaded_row_count": 2, "invalid_row_count": 1}
