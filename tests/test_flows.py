@@ -105,3 +105,18 @@ def test_command_line_load_publishes_and_counts(spark, tmp_path):
     audit = jdbc.read_jdbc(spark, cfg["audit"]["url"], "AUDIT_FACT", cfg["audit"]["properties"])
     got = {r["audit_record_type_desc"]: r["audit_value"] for r in audit.collect()}
     assert got == {"source_row_count": 3, "loaded_row_count": 2, "invalid_row_count": 1}
+
+
+def test_staged_load_invariants(spark, sf):
+    dim, src = dim_part(spark, sf), src_part(spark, sf)
+    staged = dims.staged_load(src, dim, ["p_partkey"], ["p_retailprice"], AS_OF, "part_dim_id", "part_",
+                              fixed={"source_system": "erp"})
+    by = {t: {r["p_partkey"] for r in staged.where(F.col("load_type") == t).select("p_partkey").collect()}
+          for t in ("U2", "N2", "N", "U1")}
+    opened, _ = dims.open_rows(dim)
+    open_keys = {r["p_partkey"] for r in opened.select("p_partkey").collect()}
+    src_keys = {r["p_partkey"] for r in src.select("p_partkey").collect()}
+    assert by["U2"] == by["N2"]                                  # every close has its new version
+    assert by["U2"] | by["U1"] == open_keys & src_keys and not (by["U2"] & by["U1"])
+    assert by["N"] == src_keys - open_keys
+    assert staged.groupBy("part_dim_id", "load_type").count().where("count > 1").count() == 0
