@@ -96,7 +96,8 @@ def _write_spec(df: DataFrame, s: dict) -> None:
 
 
 def publish_snapshot(spark: SparkSession, df: DataFrame, table: str, root: str, fmt: str = "parquet",
-                     partition_by: Sequence[str] = (), bucket_by: tuple[int, Sequence[str]] | None = None) -> str:
+                     partition_by: Sequence[str] = (), bucket_by: tuple[int, Sequence[str]] | None = None,
+                     repartition_by: tuple[int, Sequence[str]] | None = None) -> str:
     """Write ``df`` as a new snapshot folder, then point ``table`` at it.
 
     Readers of the old snapshot are never disturbed, and a failed write leaves

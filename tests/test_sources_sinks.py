@@ -138,3 +138,12 @@ def test_latest_file_with_blank_in_path(spark):
     spark.range(5).withColumnRenamed("id", "n").write.parquet(f"{root}/new batch")
     newest = files.read_latest_file(spark, "parquet", root, {"recursiveFileLookup": "true"})
     assert newest.columns == ["n"]
+
+
+def test_publish_compacts_by_key(spark):
+    import glob
+    root = scratch_path(spark, "compact")
+    name = "curata_compact_" + os.path.basename(root).split("-")[-1]
+    path = sinks.publish_snapshot(spark, spark.range(1000).repartition(20), name, root, repartition_by=(3, ["id"]))
+    files_ = [f for f in glob.glob(f"{path.replace('file:', '')}/*.parquet")]
+    assert len(files_) <= 3 and spark.table(name).count() == 1000
