@@ -105,9 +105,15 @@ def publish_snapshot(spark: SparkSession, df: DataFrame, table: str, root: str,
     snapshot bucketed (and sorted) by the business key: the next merge joins
     the table on that key without shuffling it -- only the batch is
     shuffled.  ``partition_by=["is_current"]`` lets the open-row read of the
-    next type-2 merge prune the closed history.  Returns the new folder.
+    next type-2 merge prune the closed history.  ``repartition_by=(n, keys)``
+    compacts the snapshot into ``n`` files clustered by key (every snapshot
+    is a full rewrite, so small files never pile up across loads).  Returns
+    the new folder.
     """
     path = f"{root.rstrip('/')}/{table.replace('.', '_')}/v-{uuid.uuid4().hex[:16]}"
+    if repartition_by is not None:
+        n_files, by = repartition_by
+        df = df.repartition(n_files, *by)
     if bucket_by is None:
         write(df, "error", fmt, path=path, partition_by=partition_by)
         if spark.catalog.tableExists(table):
