@@ -48,13 +48,22 @@ SKEW_DEFAULTS = {
 
 
 def _order_value(c: Column, dtype) -> Column | None:
-    """A non-decreasing double image of an order column (None: unsupported)."""
+    """A non-decreasing double image of an order column (None: unsupported).
+
+    Numbers, dates, timestamps, strings and binaries are supported."""
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         return F.unix_micros(c.cast("timestamp")).cast("double")
     if isinstance(dtype, T.DateType):
         return F.unix_date(c).cast("double")
     if isinstance(dtype, T.NumericType):
         return c.cast("double")
+    if isinstance(dtype, (T.StringType, T.BinaryType)):
+        # first 6 bytes, zero-padded, as an unsigned 48-bit number: exact in a
+        # double and never decreasing in binary (UTF-8) order; ties only merge
+        # neighbouring values into one sub-range
+        b = c if isinstance(dtype, T.BinaryType) else F.encode(c, "UTF-8")
+        head = F.rpad(F.substring(b, 1, 6), 6, F.lit(bytes(1)))
+        return F.conv(F.hex(head), 16, 10).cast("double")
     return None
 
 

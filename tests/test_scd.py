@@ -159,3 +159,17 @@ def test_versions_skew_split_composite_key_date_order(spark):
     split = dedupe.versions_per_key(df, ["k1", "k2"], "d", ["tb"], skew=opts)
     cols = ("k1", "k2", "d", "tb", "end_time", "is_current", "version")
     assert rows(split, *cols) == rows(plain, *cols)
+
+
+def test_versions_skew_split_string_order(spark):
+    import random
+    rnd = random.Random(3)
+    words = ["", "a", "ab", "abc", "b", "ba", "zz", "é", "éa", "A", "a\u0001", "abcdefg", "abcdefh"]
+    data = [(1, rnd.choice(words) + str(rnd.randint(0, 50)), i) for i in range(2000)] + [(2, "x", 1)]
+    df = spark.createDataFrame(data, "k int, s string, tb int")
+    opts = {"fraction": 1.0, "min_sample_rows": 100, "splits": 8}
+    assert dedupe.hot_key_splits(df, ["k"], "s", **opts) is not None
+    plain = dedupe.versions_per_key(df, ["k"], "s", ["tb"], end_col="nxt", skew=False)
+    split = dedupe.versions_per_key(df, ["k"], "s", ["tb"], end_col="nxt", skew=opts)
+    cols = ("k", "s", "tb", "nxt", "is_current", "version")
+    assert rows(split, *cols) == rows(plain, *cols)
