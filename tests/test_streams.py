@@ -93,3 +93,20 @@ def test_bucketed_snapshots_equal_plain_and_survive_catalog_loss(spark):
     assert rows(spark.table(f"{prefix}_b{last}")) == before
     desc = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {prefix}_b{last - 1}").collect()}
     assert desc.get("Num Buckets") == "4"
+
+
+def test_csv_landing_stream_and_headerless_positional_names(spark):
+    from curata.plans import steps
+    from curata.sources import files
+    root = scratch_path(spark, "t-csv")
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id int, name string")
+    df.coalesce(1).write.option("header", "true").csv(f"{root}/landing/h")
+    s = stream(spark, "csv", f"{root}/landing", {"header": "true", "recursiveFileLookup": "true",
+                                                 "pathGlobFilter": "*.csv", "maxFilesPerTrigger": 1})
+    ss.append(s, f"{root}/out", f"{root}/_ck")
+    assert rows(spark.read.parquet(f"{root}/out"), "id", "name") == [("1", "a"), ("2", "b"), ("3", "c")]
+    # headerless landing file: names come from the mapping order
+    df.coalesce(1).write.csv(f"{root}/raw")
+    raw = files.read_csv(spark, f"{root}/raw")
+    named = steps.positional_names(raw, ["customer_id", "customer_name"])
+    assert rows(named) == [("1", "a"), ("2", "b"), ("3", "c")]
