@@ -13,13 +13,18 @@ STREAM_FORMATS = ("parquet", "csv", "json", "orc", "delta", "cloudFiles")
 def stream(spark: SparkSession, fmt: str, path: str, options: dict | None = None, schema=None,
            lineage: bool = False, normalize: bool = True) -> DataFrame:
     """A file stream.  Without a schema it is taken from a zero-row batch
-    read of the same path (no data job).  Options such as pathGlobFilter,
+    read of the same path (no data job); ``schema="newest"`` takes it from
+    the most recently modified file instead (older files then read with
+    nulls for columns they lack).  Options such as pathGlobFilter,
     recursiveFileLookup and maxFilesPerTrigger pass through."""
     if fmt not in STREAM_FORMATS:
         raise ValueError(f"unsupported stream source {fmt!r}; one of {STREAM_FORMATS}")
     opts = {k: str(v) for k, v in (options or {}).items()}
+    batch_opts = {k: v for k, v in opts.items() if k not in ("maxFilesPerTrigger", "maxBytesPerTrigger")}
+    if isinstance(schema, str) and schema == "newest":
+        from ..sources.files import read_latest_file
+        schema = read_latest_file(spark, fmt, path, batch_opts).schema
     if schema is None:
-        batch_opts = {k: v for k, v in opts.items() if k not in ("maxFilesPerTrigger", "maxBytesPerTrigger")}
         schema = spark.read.format(fmt).options(**batch_opts).load(path).limit(0).schema
     df = spark.readStream.format(fmt).options(**opts).schema(schema).load(path)
     if normalize:

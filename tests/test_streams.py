@@ -110,3 +110,14 @@ def test_csv_landing_stream_and_headerless_positional_names(spark):
     raw = files.read_csv(spark, f"{root}/raw")
     named = steps.positional_names(raw, ["customer_id", "customer_name"])
     assert rows(named) == [("1", "a"), ("2", "b"), ("3", "c")]
+
+
+def test_stream_schema_from_newest_file(spark):
+    from pyspark.sql import functions as F
+    root = scratch_path(spark, "t-newest")
+    spark.range(2).write.parquet(f"{root}/landing/old")
+    spark.range(2, 4).withColumn("extra", F.lit("x")).write.parquet(f"{root}/landing/new")
+    s = stream(spark, "parquet", f"{root}/landing", {"recursiveFileLookup": "true"}, schema="newest")
+    assert s.columns == ["id", "extra"]
+    ss.append(s, f"{root}/out", f"{root}/_ck")
+    assert rows(spark.read.parquet(f"{root}/out")) == [(0, None), (1, None), (2, "x"), (3, "x")]
