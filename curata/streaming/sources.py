@@ -9,6 +9,31 @@ from ..sources.files import with_lineage
 
 STREAM_FORMATS = ("parquet", "csv", "json", "orc", "delta", "cloudFiles")
 
+# Auto-loader options with a native file-stream equivalent;
+# the other cloudFiles.* options belong to the notification service and the
+# schema-rescue store, which a native file stream does not have.
+CLOUDFILES_NATIVE = {
+    "cloudFiles.maxFilesPerTrigger": "maxFilesPerTrigger",
+    "cloudFiles.maxBytesPerTrigger": "maxBytesPerTrigger",
+    "cloudFiles.pathGlobFilter": "pathGlobFilter",
+}
+
+
+def _native_options(fmt: str, opts: dict) -> tuple[str, dict]:
+    """Map an auto-loader source (``cloudFiles``) onto the native file stream
+    of its ``cloudFiles.format``."""
+    if fmt != "cloudFiles":
+        return fmt, opts
+    if "cloudFiles.format" not in opts:
+        raise ValueError("a cloudFiles source needs the cloudFiles.format option")
+    native = {}
+    for k, v in opts.items():
+        if k in CLOUDFILES_NATIVE:
+            native[CLOUDFILES_NATIVE[k]] = v
+        elif not k.startswith("cloudFiles."):
+            native[k] = v
+    return opts["cloudFiles.format"], native
+
 
 def stream(spark: SparkSession, fmt: str, path: str, options: dict | None = None, schema=None,
            lineage: bool = False, normalize: bool = True) -> DataFrame:
@@ -20,6 +45,7 @@ def stream(spark: SparkSession, fmt: str, path: str, options: dict | None = None
     if fmt not in STREAM_FORMATS:
         raise ValueError(f"unsupported stream source {fmt!r}; one of {STREAM_FORMATS}")
     opts = {k: str(v) for k, v in (options or {}).items()}
+    fmt, opts = _native_options(fmt, opts)
     batch_opts = {k: v for k, v in opts.items() if k not in ("maxFilesPerTrigger", "maxBytesPerTrigger")}
     if isinstance(schema, str) and schema == "newest":
         from ..sources.files import read_latest_file

@@ -121,3 +121,13 @@ def test_stream_schema_from_newest_file(spark):
     assert s.columns == ["id", "extra"]
     ss.append(s, f"{root}/out", f"{root}/_ck")
     assert rows(spark.read.parquet(f"{root}/out")) == [(0, None), (1, None), (2, "x"), (3, "x")]
+
+
+def test_cloudfiles_source_maps_to_native_stream(spark):
+    root = scratch_path(spark, "t-cf")
+    spark.range(5).write.parquet(f"{root}/landing")
+    s = stream(spark, "cloudFiles", f"{root}/landing", {"cloudFiles.format": "parquet",
+                                                         "cloudFiles.maxFilesPerTrigger": 1,
+                                                         "cloudFiles.schemaLocation": "/ignored"})
+    ss.append(s, f"{root}/out", f"{root}/_ck")
+    assert spark.read.parquet(f"{root}/out").count() == 5
