@@ -131,3 +131,15 @@ def test_cloudfiles_source_maps_to_native_stream(spark):
                                                          "cloudFiles.schemaLocation": "/ignored"})
     ss.append(s, f"{root}/out", f"{root}/_ck")
     assert spark.read.parquet(f"{root}/out").count() == 5
+
+
+def test_processing_time_trigger(spark):
+    root = scratch_path(spark, "t-trig")
+    spark.range(7).write.parquet(f"{root}/landing")
+    s = stream(spark, "parquet", f"{root}/landing")
+    q = ss.append(s, f"{root}/out", f"{root}/_ck", query_name=None, trigger="1 second", wait=False)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert spark.read.parquet(f"{root}/out").count() == 7
