@@ -18,15 +18,31 @@ from ..functions import rules as R
 
 # ------------------------------------------------------------------ helpers
 def with_duplicate_marker(df: DataFrame, cols: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
-    """``name`` = true for every row of a key except its first by ``order``.
-
-    Equivalent to ``row_number() over (partition by cols order by order) > 1``
-    without putting a whole key into one window partition.
+    """``name`` = true for every row of a key except exactly one: the first
+    by ``order``, then by the rest of the row.
+
+    Equivalent to ``row_number() over (partition by cols order by ...) > 1``
+    without putting a whole key into one window partition: the first row's
+    content comes from a grouped aggregate (map-side partials); rows above it
+    are duplicates; rows equal to it are identical copies, collapsed with a
+    count and re-expanded as one valid copy plus flagged copies.
     """
-    first = df.groupBy(*cols).agg(F.min(F.struct(*order)).alias("_first"))
+    from pyspark.sql import types as T
+    if any(isinstance(f.dataType, T.MapType) for f in df.schema.fields):
+        # map values cannot be ordered or grouped: number the rows instead
+        w = Window.partitionBy(*cols).orderBy(*order)
+        return df.withColumn(name, F.row_number().over(w) > 1)
+    rest = [c for c in df.columns if c not in set(order)]
+    content = F.struct(*order, *rest)
+    first = df.groupBy(*cols).agg(F.min(content).alias("_first"))
     j = df.join(first, on=[df[c].eqNullSafe(first[c]) for c in cols], how="left")
     j = j.drop(*[first[c] for c in cols])
-    return j.withColumn(name, F.struct(*order) != F.col("_first")).drop("_first")
+    same = content.eqNullSafe(F.col("_first"))
+    above = j.where(~same).drop("_first").withColumn(name, F.lit(True))
+    equal = (j.where(same).groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+             .select(*df.columns, F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))).alias("_i"))
+             .withColumn(name, F.col("_i") > 1).drop("_i"))
+    return above.unionByName(equal)
 
 
 def with_group_count(df: DataFrame, cols: Sequence[str], name: str) -> DataFrame:

@@ -112,3 +112,13 @@ def test_valid_values_from_table_equals_list(spark):
     by_table = Q.split(df, [{"type": "valid_values_check", "columns": ["s2"], "values_from": allowed.where("v = 'x'"),
                              "values_column": "v"}])[1]
     assert rows(by_list, "id") == rows(by_table, "id") == [(3,)]
+
+
+def test_unique_without_order_and_exact_duplicates(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "a"), (2, "a"), (3, None), (4, None), (5, "b")], "id int, g string")
+    valid, invalid = Q.split(df, [{"type": "unique_check", "columns": ["g"]}])
+    assert valid.count() + invalid.count() == 6
+    assert rows(valid.groupBy("g").count(), "g", "count") == [(None, 1), ("a", 1), ("b", 1)]
+    exact = spark.createDataFrame([(7, "x"), (7, "x"), (7, "x")], "id int, g string")
+    v2, i2 = Q.split(exact, [{"type": "unique_check", "columns": ["g"], "order": ["id"]}])
+    assert v2.count() == 1 and i2.count() == 2
