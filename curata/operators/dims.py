@@ -41,7 +41,9 @@ def _merge_token(keys: Sequence[str]) -> Column:
 
 def scd2_staging(src: DataFrame, dim: DataFrame, keys: Sequence[str], tracked: Sequence[str],
                  merge_key: str = "merge_key") -> DataFrame:
-    """Type-2 staging set: for a tracked change, one row keyed for closing the
+    """Type-2 staging set (``src`` holds one row per key -- see
+    ``plans.flows.raw_to_curated``, which de-duplicates an increment first):
+    for a tracked change, one row keyed for closing the
     open row ('close') and a copy with a never-matching merge key ('insert');
     keys without an open row are new members ('new')."""
     opened, _ = open_rows(dim)
@@ -131,7 +133,7 @@ def new_members(src: DataFrame, dim: DataFrame, keys: Sequence[str]) -> DataFram
 def staged_load(src: DataFrame, dim: DataFrame, keys: Sequence[str], tracked: Sequence[str], as_of: str,
                 id_col: str, id_prefix: str, fixed: dict | None = None,
                 close_gap: str = "INTERVAL 1 MILLISECOND") -> DataFrame:
-    """Staging rows tagged with ``load_type``:
+    """Staging rows tagged with ``load_type`` (``src`` holds one row per key):
 
     * U2 -- open row of a member whose tracked attributes changed, closed at
       ``as_of - close_gap``

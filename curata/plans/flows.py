@@ -63,7 +63,11 @@ def raw_to_curated(dim: DataFrame, raw: DataFrame, keys: Sequence[str], tracked:
     recomputing the increment join.
     """
     inc = incremental.window(raw, change_col, *window) if (change_col and window) else raw
-    inc = inc.select(*keys, *dict.fromkeys([*tracked, *attributes]))
+    # several changes of one member in the window: its newest row is the one
+    # that counts (by change_col; else a deterministic pick by value)
+    attrs = list(dict.fromkeys([*tracked, *attributes]))
+    inc = dedupe.latest_per_key(inc, keys, [change_col] if change_col else attrs, ties=attrs)
+    inc = inc.select(*keys, *attrs)
     staging = dims.scd2_staging(inc, dim, keys, tracked)
     if checkpoint_staging:
         from ..session import checkpoint_root

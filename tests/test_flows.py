@@ -120,3 +120,16 @@ def test_staged_load_invariants(spark, sf):
     assert by["U2"] | by["U1"] == open_keys & src_keys and not (by["U2"] & by["U1"])
     assert by["N"] == src_keys - open_keys
     assert staged.groupBy("part_dim_id", "load_type").count().where("count > 1").count() == 0
+
+
+def test_raw_to_curated_dedupes_the_increment(spark, sf):
+    dim, src = dim_part(spark, sf), src_part(spark, sf)
+    raw = (src.withColumn("change_date", F.lit(T(2001, 6, 1)).cast("timestamp_ntz"))
+           .unionByName(src.withColumn("p_retailprice", F.col("p_retailprice") + 1)
+                        .withColumn("change_date", F.lit(T(2001, 7, 1)).cast("timestamp_ntz"))))
+    out, _ = flows.raw_to_curated(dim, raw, ["p_partkey"], ["p_retailprice"], ["p_name"], AS_OF,
+                                  "part_dim_id", "v2_", {"source_system": "erp"}, change_col="change_date")
+    open_rows = out.where("valid_through_date = TIMESTAMP_NTZ '9999-12-31 00:00:00'")
+    assert open_rows.groupBy("p_partkey").count().where("count > 1").count() == 0
+    joined = open_rows.join(src.select("p_partkey", F.col("p_retailprice").alias("sp")), "p_partkey")
+    assert joined.where("abs(p_retailprice - (sp + 1)) > 1e-9").count() == 0   # the newer change won
