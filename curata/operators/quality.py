@@ -200,7 +200,7 @@ def immediate_update(df: DataFrame, rules: Sequence[dict], flag_col: str = "vali
     ``dq_updated`` marks them (its sum is the affected-row count)."""
     prepared = prepare_table_rules(df, rules)
     bad = R._any([R.table_rule_violation(r, mode) for r in rules])
-    hit = bad & (F.upper(F.col(flag_col)) == "Y")
+    hit = F.coalesce(bad & (F.upper(F.col(flag_col)) == "Y"), F.lit(False))   # a null flag is not updated
     return (prepared.withColumn("dq_updated", hit)
             .withColumn(flag_col, F.when(hit, F.lit("n")).otherwise(F.col(flag_col)))
             .drop(*_helpers(prepared)))

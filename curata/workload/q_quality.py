@@ -352,9 +352,10 @@ def _flagged_orders(spark, d):
 
 
 @query("dq_immediate", D + f"""
-SELECT o_orderkey, CASE WHEN hit THEN 'n' ELSE valid_flag END AS valid_flag, hit AS dq_updated FROM (
+SELECT o_orderkey, CASE WHEN coalesce(hit0, false) THEN 'n' ELSE valid_flag END AS valid_flag,
+  coalesce(hit0, false) AS dq_updated FROM (
  SELECT o_orderkey, valid_flag, ({' OR '.join(c for _, _, c in [IMMEDIATE_CONDS[0], IMMEDIATE_CONDS[1], IMMEDIATE_CONDS[4]])})
-   AND upper(valid_flag) = 'Y' AS hit
+   AND upper(valid_flag) = 'Y' AS hit0
  FROM (SELECT *, CASE WHEN o_orderstatus = 'F' THEN 'y' WHEN o_orderstatus = 'O' THEN 'Y' ELSE 'N' END AS valid_flag
        FROM dirty_orders))""")
 def dq_immediate(spark, d):
