@@ -10,7 +10,8 @@ The JSON file holds one load (the decoded control row):
      "quarantine": {"table": "curated.orders_invalid", "root": "<shared folder>"},
      "audit": {"url": "jdbc:...", "table": "AUDIT_FACT", "properties": {...}}}
 
-The target table (if it exists) is the merge target; the new content is
+``root`` defaults to a folder under spark.checkpoint.dir.  The target
+table (if it exists) is the merge target; the new content is
 published as a fresh snapshot and the table re-pointed.  Counts are printed
 as one JSON line.
 """
@@ -43,12 +44,14 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     if info.get("skipped"):
         print(json.dumps(out))
         return out
+    from .session import checkpoint_root
+    default_root = f"{checkpoint_root(spark)}/tables"        # the cluster's shared folder
     q = config.get("quarantine")
     if q and info["invalid"] is not None:
-        publish_snapshot(spark, info["invalid"], q["table"], q["root"])
+        publish_snapshot(spark, info["invalid"], q["table"], q.get("root", default_root))
     if name:
         bucket = tgt_cfg.get("bucket_by")
-        out["snapshot"] = publish_snapshot(spark, new, name, tgt_cfg["root"],
+        out["snapshot"] = publish_snapshot(spark, new, name, tgt_cfg.get("root", default_root),
                                            bucket_by=(bucket[0], bucket[1]) if bucket else None)
     else:
         new.write.format("noop").mode("overwrite").save()

@@ -133,3 +133,13 @@ def test_raw_to_curated_dedupes_the_increment(spark, sf):
     assert open_rows.groupBy("p_partkey").count().where("count > 1").count() == 0
     joined = open_rows.join(src.select("p_partkey", F.col("p_retailprice").alias("sp")), "p_partkey")
     assert joined.where("abs(p_retailprice - (sp + 1)) > 1e-9").count() == 0   # the newer change won
+
+
+def test_example_config_runs(spark):
+    import os
+    from curata.__main__ import main
+    ex = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "examples",
+                      "orders_latest_by_customer.json")
+    out = main([ex], spark=spark)
+    t = spark.table("curated_orders_by_customer")
+    assert out["loaded_rows"] == out["source_rows"] and t.count() == t.select("customer_id").distinct().count()
