@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh, ident, small_batches
+from .common import fresh, ident, python_ready
 
 MEMO = 300_000                  # pre-tokens remembered by a worker before it starts afresh
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -170,7 +170,7 @@ def load(path: str, pattern: str) -> Codec:
 
 def _mapped(docs: DataFrame, codec: Codec, kept: list[str], made: list[T.StructField], row) -> DataFrame:
     spark = docs.sparkSession
-    small_batches(spark)
+    python_ready(spark)
     shared = spark.sparkContext.broadcast(codec)       # bounded by the vocabulary file
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

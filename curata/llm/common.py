@@ -6,7 +6,10 @@ extra columns of the input (whatever their names) cannot clash with its own.
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,8 +24,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
-    """Hand texts to Python tasks in small Arrow batches."""
+def python_ready(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
+    """Let Python tasks import this library wherever they run (its archive goes
+    out once with the job's files), and hand them texts in small Arrow batches."""
+    sc = spark.sparkContext
+    if not getattr(sc, "_curata_sent", False):
+        package = Path(__file__).resolve().parents[1]
+        archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='curata-code-')}/curata", "zip", package.parent, package.name)
+        sc.addPyFile(archive)
+        sc._curata_sent = True
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key, "10000"))
     if now <= 0 or now > rows:

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh, hash_fold, ident, small_batches
+from .common import fresh, hash_fold, ident, python_ready
 
 ORDER = 4
 PAD = 1                          # stands before a text; never produced by fold()
@@ -254,7 +254,7 @@ def train(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "t
     predicts ``und`` for everything.
     """
     spark = docs.sparkSession
-    small_batches(spark)
+    python_ready(spark)
     d = docs.where(learn).select(ident(doc_id).alias("doc_id"), ident(text).alias("text"), ident(lang).alias("lang"))
     d = d.where("lang IS NOT NULL AND text IS NOT NULL")
     teach = F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(4)) != 0
@@ -291,7 +291,7 @@ def predict(docs: DataFrame, who: Identifier, text: str = "text", names=("lang_p
     A text that is null or has no letter is ``und`` with score 0 and rejected.
     Equal entropies go to the language first in code point order.
     """
-    small_batches(docs.sparkSession)
+    python_ready(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(who)
     low = [n.lower() for n in names]
     kept = [c for c in docs.columns if c.lower() not in low]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, langid, mixing, simhash
+from . import bpe, langid, licenses, linededup, lmscore, merkle, mixing, pii, rpforest, simhash
 from .common import table
 
 QUERIES = {}
@@ -21,11 +21,47 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+@query("op1_license_scan")
+def license_scan(spark, sf_dir):
+    """The documents as a tree of files: a folder per source with one folder per
+    100 ids below it; every fifth batch of 20 ids holds licence files, every
+    fiftieth those of the sources themselves."""
+    k = F.coalesce(F.col("doc_id"), F.lit(0))
+    batch = F.floor(k / 20)
+    top = F.coalesce("source", F.lit("unknown"))
+    name = F.when(batch % 5 == 0, F.lit("LICENSE")).otherwise(F.concat(F.lit("doc-"), k.cast("string"), F.lit(".txt")))
+    deep = F.concat_ws("/", top, F.concat(F.lit("part-"), F.floor(k / 100).cast("string")), name)
+    path = F.when(batch % 50 == 0, F.concat_ws("/", top, F.lit("LICENSE"))).otherwise(deep)
+    files = table(spark, sf_dir, "documents").select("doc_id", path.alias("path"), "text")
+    return licenses.scan(files).withColumnRenamed("file_id", "doc_id")
+
+
+@query("op2_rp_forest")
+def rp_forest(spark, sf_dir):
+    return rpforest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@query("op3_merkle")
+def merkle_fingerprints(spark, sf_dir):
+    return merkle.compare_edits(table(spark, sf_dir, "documents"))
+
+
 @query("op4_language_id")
 def language_id(spark, sf_dir):
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+@query("op5_lm_scoring")
+def lm_scoring(spark, sf_dir):
+    return lmscore.score(table(spark, sf_dir, "documents"))
+
+
+@query("op6_line_dedup")
+def line_dedup(spark, sf_dir):
+    d = linededup.dedup(table(spark, sf_dir, "documents"), t=0.8)
+    return d.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 @query("op7_byte_bpe")
 def byte_bpe(spark, sf_dir):
     codec = bpe.load(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -40,3 +76,8 @@ def simhash_near_dedup(spark, sf_dir):
 @query("op9_source_mix")
 def source_mix(spark, sf_dir):
     return mixing.taken(mixing.mix(table(spark, sf_dir, "documents")))
+
+
+@query("op10_pii")
+def personal_data(spark, sf_dir):
+    return pii.summary(table(spark, sf_dir, "documents"))
