@@ -10,7 +10,10 @@ The JSON file holds one load (the decoded control row):
      "quarantine": {"table": "curated.orders_invalid", "root": "<shared folder>"},
      "audit": {"url": "jdbc:...", "table": "AUDIT_FACT", "properties": {...}}}
 
-``root`` defaults to a folder under spark.checkpoint.dir.  The target
+``root`` defaults to spark.sql.warehouse.dir.  ``master`` and
+``shuffle_partitions`` may be named for local runs; by default both come from
+the submitted configuration.  Held-back rows are appended to the quarantine
+table.  The target
 table (if it exists) is the merge target; the new content is
 published as a fresh snapshot and the table re-pointed.  Counts are printed
 as one JSON line.
@@ -24,7 +27,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from .plans.loader import run_config_load
-from .sources.sinks import publish_snapshot
+from .sources.sinks import append_write, publish_snapshot
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict:
@@ -35,7 +38,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         config = json.load(fh)
     if spark is None:
         from .session import build_session
-        spark = build_session(master=config.get("master", "local[*]"))
+        spark = build_session(master=config.get("master"), shuffle_partitions=config.get("shuffle_partitions"))
     tgt_cfg = config.get("target", {})
     name = tgt_cfg.get("table")
     target = spark.table(name) if name and spark.catalog.tableExists(name) else None
@@ -44,11 +47,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     if info.get("skipped"):
         print(json.dumps(out))
         return out
-    from .session import checkpoint_root
-    default_root = f"{checkpoint_root(spark)}/tables"        # the cluster's shared folder
+    default_root = spark.conf.get("spark.sql.warehouse.dir")
     q = config.get("quarantine")
     if q and info["invalid"] is not None:
-        publish_snapshot(spark, info["invalid"], q["table"], q.get("root", default_root))
+        where = f"{q.get('root', default_root).rstrip('/')}/{q['table'].replace('.', '_')}"
+        append_write(info["invalid"], table=q["table"], options={"path": where})       # earlier rows stay
     if name:
         bucket = tgt_cfg.get("bucket_by")
         out["snapshot"] = publish_snapshot(spark, new, name, tgt_cfg.get("root", default_root),

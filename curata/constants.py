@@ -27,6 +27,8 @@ CONTROL_COLUMNS = (
     "is_deleted",
 )
 
+# System columns left out of a row's hash (valid_flag is the corrected
+# spelling of a misspelt name).
 HASH_EXCLUDE = (
     "hkey",
     "hdiff",

@@ -3,7 +3,9 @@
 Fixed values (the encoding both the loader and an SQL check must share):
   field separator  = chr(31)  (unit separator)
   null marker      = chr(1)
-  doubles/floats   = decimal(38, scale) text, scale 6 by default (-0.0 -> 0)
+  doubles/floats   = decimal(38, scale) text, scale 6 by default (-0.0 -> 0), where that text
+                     stands for exactly the same double; any other value (more digits, out of
+                     range, NaN, infinity) = '~' and its shortest text
   row hash for tables without a key: sha2(concat_ws('||', cols), 256)
 """
 
@@ -24,8 +26,9 @@ NULL_MARK = "\u0001"
 def encode(c: Column, dtype: T.DataType, scale: int = 6) -> Column:
     """Fixed text form of a value, null marked."""
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        # +0.0 normalises -0.0 before the decimal cast
-        txt = (c + F.lit(0.0)).cast(T.DecimalType(38, scale)).cast("string")
+        v = c.cast("double") + F.lit(0.0)                  # +0.0 makes -0.0 the same as 0.0
+        fixed = v.try_cast(T.DecimalType(38, scale))
+        txt = F.when(fixed.cast("double") == v, fixed.cast("string")).otherwise(F.concat(F.lit("~"), v.cast("string")))
     elif isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
         txt = F.to_json(c)
     else:

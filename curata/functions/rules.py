@@ -54,11 +54,11 @@ def column_violation(rule: dict, col: str) -> Column:
     if t in ("null_check", "orphan_check") and not rule.get("related"):
         return c.isNull()
     if t == "orphan_check":
-        return c.isNull() | F.col(f"_rel_{rule['name']}_{col}").isNull()
+        return c.isNull() | F.col(rule["helper"][col]).isNull()
     if t == "range_check":
         return _any([_nz(_range_rule(c, r)) for r in rule["rules"]])
     if t == "unique_check":
-        return _nz(F.col(f"_dup_{rule['name']}"))
+        return _nz(F.col(rule["helper"][col]))
     if t == "datatype_check":
         return c.isNotNull() & c.try_cast(rule["datatype"]).isNull()
     if t == "special_character_check":
@@ -68,7 +68,7 @@ def column_violation(rule: dict, col: str) -> Column:
     if t == "fixed_length_check":
         return _nz(F.length(c) != F.lit(rule["length"]))
     if t == "valid_values_check" and rule.get("values_from") is not None:
-        return c.isNotNull() & F.col(f"_val_{rule['name']}_{col}").isNull()
+        return c.isNotNull() & F.col(rule["helper"][col]).isNull()
     if t == "valid_values_check":
         return _nz(~c.isin(list(rule["valid_values"])))
     raise ValueError(f"unknown check type {t!r}")
@@ -114,9 +114,9 @@ def table_rule_violation(rule: dict, mode: str = "valid_if") -> Column:
     if t == "range_check":
         return range_violation(c, rule["operator"], rule.get("low"), rule.get("high"), mode)
     if t == "orphan_check":
-        return F.col(f"_rel_{rule['id']}").isNull()
+        return F.col(rule["helper"]).isNull()
     if t == "unique_check":
-        return _nz(F.col(f"_dup_{rule['id']}"))
+        return _nz(F.col(rule["helper"]))
     if t == "datatype_check":
         return _nz(_typeof_base(c) != F.lit(rule["expected"].lower()))
     if t == "special_character_check":
@@ -125,6 +125,8 @@ def table_rule_violation(rule: dict, mode: str = "valid_if") -> Column:
         return F.try_to_timestamp(F.coalesce(c, F.lit("")), F.lit(rule["format"])).isNull() & c.isNotNull()
     if t == "fixed_length_check":
         return _nz(F.length(c) > F.lit(rule["length"]))
+    if t == "valid_values_check" and rule.get("values_from") is not None:
+        return c.isNotNull() & F.col(rule["helper"]).isNull()
     if t == "valid_values_check":
         return _nz(~c.isin(list(rule["valid_values"])))
     raise ValueError(f"unknown rule type {t!r}")

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.compare import columns_differ
+from .dedupe import one_per_key
 
 
 def _value_cols(df: DataFrame, keys: Sequence[str], compare: Sequence[str] | None,
@@ -30,12 +31,14 @@ def diff_rows(source: DataFrame, target: DataFrame | None, keys: Sequence[str],
     if target is None:
         return source
     vals = _value_cols(source, keys, None)
-    t = target.select(*keys, *[F.col(c).alias(c + suffix) for c in vals])
-    j = source.join(t, on=list(keys), how="full")
-    cond = F.lit(False)
+    out = [*source.columns, *[c + suffix for c in vals]]
+    in_s, in_t = "in_source" + suffix, "in" + suffix
+    t = target.select(*keys, *[F.col(c).alias(c + suffix) for c in vals], F.lit(True).alias(in_t))
+    j = source.withColumn(in_s, F.lit(True)).join(t, on=list(keys), how="full")
+    cond = F.col(in_s).isNull() | F.col(in_t).isNull()          # on one side only: a difference whatever its values
     for c in vals:
         cond = cond | ~F.col(c).eqNullSafe(F.col(c + suffix))
-    return j.where(cond)
+    return j.where(cond).select(*out)
 
 
 def classify(source: DataFrame, target: DataFrame, keys: Sequence[str],
@@ -43,10 +46,11 @@ def classify(source: DataFrame, target: DataFrame, keys: Sequence[str],
              skip: Sequence[str] = ()) -> DataFrame:
     """One full join; every key gets NEW / UPDATED / SAME / DELETED.
 
-    Output: keys, the source values (target values for DELETED), action.
+    Output: keys, the source values (target values for DELETED), action.  A
+    source with a repeated key is refused when the result is computed.
     """
     vals = _value_cols(source, keys, compare, skip)
-    s = source.select(*keys, *vals, F.lit(True).alias("_s"))
+    s = one_per_key(source, keys).select(*keys, *vals, F.lit(True).alias("_s"))
     t = target.select(*keys, *vals, F.lit(True).alias("_t"))
     j = s.alias("s").join(t.alias("t"), on=list(keys), how="full")
     action = (F.when(F.col("t._t").isNull(), "NEW")

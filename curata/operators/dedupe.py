@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,78 +29,71 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence, ties: Se
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
+def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` unchanged; computing it fails if a (non-null) key repeats.
+
+    The check numbers the rows of each key, at most two of which are ever
+    looked at, on the partitioning that a join on the keys needs anyway.
+    """
+    n = F.row_number().over(Window.partitionBy(*keys).orderBy(*[F.col(k) for k in keys]))
+    present = F.lit(True)
+    for k in keys:
+        present = present & F.col(k).isNotNull()
+    message = F.concat(F.lit(f"repeated key ({', '.join(keys)}): "), F.concat_ws(", ", *[F.col(k).cast("string") for k in keys]))
+    fine = F.when(present & (F.col("_nth") > 1), F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    return df.withColumn("_nth", n).where(fine).drop("_nth")
+
+
 # Skew handling for version numbering.  A window puts every row of a key in
-# one task; a key with a third of all rows would stall the whole stage.  Hot
-# keys are found from a seeded sample of the key and order columns only, and
-# each is split into sub-ranges of its order column at sampled quantiles.
-# A key is hot when it would hold about 10 million rows or more -- far more
-# than one task should sort.  The sample reads only key and order columns and
-# its shuffle is about 0.1 % of the window's own; the split points are a
-# bounded table.  Detection quality only decides which path a key takes,
-# never the result.
+# one task; a key with a third of all rows would stall the whole stage.  So a
+# key that holds more than half an even partition's share of the rows is split
+# into ranges of (start, ties) at sampled quantiles.  Shares are measured on a
+# seeded sample of key and order columns; at most 2n keys can have such a
+# share of n partitions, which bounds the table of split points without a cap.
+# A key takes one path or the other, its result is the same.
 SKEW_DEFAULTS = {
-    "fraction": 0.001,       # sample fraction for hot-key detection
-    "min_sample_rows": 10000,  # a key is hot with at least this many sampled rows
-    "max_hot_keys": 1000,    # bound of the broadcast split table (top keys by count)
-    "splits": None,          # sub-ranges per hot key; None: the shuffle partition count (16..1024)
+    "fraction": 0.001,       # sample for the keys' shares
+    "partitions": None,      # n; None: the shuffle partition count
+    "per_split": 50,         # sampled rows behind each split point
     "seed": 17,
 }
 
 
-def _order_value(c: Column, dtype) -> Column | None:
-    """A non-decreasing double image of an order column (None: unsupported).
-
-    Numbers, dates, timestamps, strings and binaries are supported."""
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(c).cast("double")
-    if isinstance(dtype, T.NumericType):
-        return c.cast("double")
-    if isinstance(dtype, (T.StringType, T.BinaryType)):
-        # first 6 bytes, zero-padded, as an unsigned 48-bit number: exact in a
-        # double and never decreasing in binary (UTF-8) order; ties only merge
-        # neighbouring values into one sub-range
-        b = c if isinstance(dtype, T.BinaryType) else F.encode(c, "UTF-8")
-        head = F.rpad(F.substring(b, 1, 6), 6, F.lit(bytes(1)))
-        return F.conv(F.hex(head), 16, 10).cast("double")
-    return None
-
-
-def hot_key_splits(df: DataFrame, keys: Sequence[str], start: str, **opts) -> DataFrame | None:
-    """Split points of the keys that hold a large share of rows.
-
-    Returns a literal DataFrame (keys, _bounds) with at most ``max_hot_keys``
-    rows -- a bounded summary built from a sample and fetched once, so every
-    later use sees exactly the same split points -- or None when no key is
-    hot or the order column has no numeric image.
+def _same_key(keys: Sequence[str]) -> Column:
+    return F.struct(*[F.col(k) for k in keys]).eqNullSafe(F.col("_key"))
+
+
+def hot_key_splits(df: DataFrame, keys: Sequence[str], start: str, ties: Sequence[str] = (), **opts) -> DataFrame | None:
+    """Split points of the keys that hold a large share of rows: a literal
+    DataFrame (_key, _bounds), or None when there is no such key.
+
+    Null keys count as a key; ties belong to the order, so rows of one start
+    are split too.  Order columns may be of any type that can be ordered.
     """
     o = {**SKEW_DEFAULTS, **opts}
-    ov = _order_value(F.col(start), df.schema[start].dataType)
-    if ov is None:
-        return None
-    smp = df.select(*keys, ov.alias("_ov")).sample(fraction=o["fraction"], seed=o["seed"])
-    # at most max_hot_keys rows; usually none, and then this is the only job
-    hot_rows = (smp.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-                .where(F.col("_n") >= o["min_sample_rows"])
-                .orderBy(F.desc("_n")).limit(o["max_hot_keys"]).drop("_n").collect())
-    if not hot_rows:
+    n = int(o["partitions"] or df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    key = F.struct(*[F.col(k) for k in keys])
+    smp = df.select(key.alias("_key"), F.struct(*[F.col(c) for c in [start, *ties]]).alias("_at"))
+    smp = smp.sample(fraction=o["fraction"], seed=o["seed"])
+    seen = Observation()
+    top = (smp.observe(seen, F.count(F.lit(1)).alias("n")).groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
+           .orderBy(F.desc("_n")).limit(2 * n).collect())          # no more keys than these can qualify
+    total = seen.get["n"] if top else 0
+    hot = [r for r in top if r["_n"] > 1 and r["_n"] * 2 * n >= total]
+    if not hot:
         return None
     spark = df.sparkSession
-    hot = spark.createDataFrame(hot_rows, T.StructType([df.schema[k] for k in keys]))
-    splits = o["splits"]
-    if splits is None:
-        # spread a hot key over about as many tasks as the rest of the data
-        n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-        splits = min(max(n, 16), 1024)
-    pct = [i / splits for i in range(1, splits)]
-    bounds = (smp.join(F.broadcast(hot), on=list(keys), how="left_semi")    # same seeded sample
-              .groupBy(*keys).agg(F.array_distinct(F.percentile_approx("_ov", pct, 10000)).alias("_bounds")))
-    found = bounds.collect()
-    if not found:
-        return None
-    schema = T.StructType([df.schema[k] for k in keys] + [T.StructField("_bounds", T.ArrayType(T.DoubleType()))])
-    return df.sparkSession.createDataFrame(found, schema)
+    schema = T.StructType([T.StructField("_hk", smp.schema["_key"].dataType), T.StructField("_n", T.LongType())])
+    table = spark.createDataFrame([(r["_key"], r["_n"]) for r in hot], schema)
+    want = float(n * o["per_split"])
+    picked = (smp.join(F.broadcast(table), smp["_key"].eqNullSafe(F.col("_hk")))
+              .where(F.rand(o["seed"]) < want / F.col("_n"))         # about n * per_split rows of a key, or all
+              .groupBy("_key").agg(F.sort_array(F.collect_list("_at")).alias("_all")))
+    # every key gets as many ranges as its share of rows needs, at most n
+    parts = F.least(F.lit(n), F.size("_all"))
+    at = F.transform(F.sequence(F.lit(1), parts), lambda i: F.get("_all", F.floor(i * F.size("_all") / (parts + 1)).cast("int")))
+    found = picked.select("_key", F.array_distinct(at).alias("_bounds"))
+    return spark.createDataFrame(found.collect(), found.schema)
 
 
 def versions_per_key(df: DataFrame, keys: Sequence[str], start: str, ties: Sequence = (),
@@ -108,47 +101,44 @@ def versions_per_key(df: DataFrame, keys: Sequence[str], start: str, ties: Seque
                      version_col: str | None = "version", skew: bool | dict = True) -> DataFrame:
     """All versions kept: end = next version's start, newest is current.
 
-    One window pass (the reference loops on the driver over version
-    numbers).  With ``skew`` (default), keys that hold a large share of the
-    rows are split into sub-ranges of ``start``: each sub-range is windowed
-    on its own, and its last row takes the first row of the key's next
-    non-empty sub-range, found in a per-(key, sub-range) table whose size is
-    bounded by max_hot_keys x splits.  Keys that are not hot take the plain
-    window, so the result is exact either way.
+    One window pass.  With ``skew`` (default), keys that hold a large share of
+    the rows are split into ranges of (start, ties): each range is windowed on
+    its own, and its last row takes the first row of the key's next range,
+    found in a table of one row per (key, range) of those keys only.  Other
+    keys take the plain window, so the result is exact either way.
     """
     keys = list(keys)
     order = [F.col(c).asc() for c in [start, *ties]]
-    splits = hot_key_splits(df, keys, start, **(skew if isinstance(skew, dict) else {})) if skew else None
+    splits = hot_key_splits(df, keys, start, ties, **(skew if isinstance(skew, dict) else {})) if skew else None
+    added = [c for c in (end_col, current_col, version_col) if c]
+    cols = [c for c in df.columns if c not in added]
     if splits is None:
         w = Window.partitionBy(*keys).orderBy(*order)
         nxt = F.lead(F.col(start)).over(w)
-        out = df.withColumns({end_col: nxt, current_col: F.when(nxt.isNull(), 1).otherwise(0)})
+        out = df.withColumns({end_col: nxt, current_col: F.when(F.lead(F.lit(1)).over(w).isNull(), 1).otherwise(0)})
         if version_col:
             out = out.withColumn(version_col, F.row_number().over(w))
-        return out
-
-    cols = df.columns
-    ov = _order_value(F.col(start), df.schema[start].dataType)
-    b = df.join(F.broadcast(splits), on=keys, how="left")            # bounded: <= max_hot_keys rows
-    b = b.withColumns({
-        "_hot": F.col("_bounds").isNotNull(),
-        "_sub": F.when(F.col("_bounds").isNull(), F.lit(0))
-                 .otherwise(F.size(F.filter("_bounds", lambda x: x <= ov))),
-    }).drop("_bounds")
-    stats = (b.where("_hot").groupBy(*keys, "_sub")
-             .agg(F.min(F.struct(*[start, *ties])).alias("_first"), F.count(F.lit(1)).alias("_cnt")))
-    ws = Window.partitionBy(*keys).orderBy("_sub")
-    stats = stats.select(*keys, "_sub", F.lead("_first").over(ws).getField(start).alias("_next"),
-                         F.coalesce(F.sum("_cnt").over(ws.rowsBetween(Window.unboundedPreceding, -1)),
-                                    F.lit(0)).alias("_off"))
+        return out.select(*cols, *added)
+
+    at = F.struct(*[F.col(c) for c in [start, *ties]])
+    b = df.join(F.broadcast(splits), _same_key(keys), "left").drop("_key")      # at most 2n keys
+    b = b.withColumns({"_hot": F.col("_bounds").isNotNull(),
+                       "_sub": F.when(F.col("_bounds").isNull(), F.lit(0))
+                                .otherwise(F.size(F.filter("_bounds", lambda x: x <= at)))}).drop("_bounds")
+    stats = (b.where("_hot").groupBy(F.struct(*[F.col(k) for k in keys]).alias("_key"), F.col("_sub").alias("_s"))
+             .agg(F.min(at).alias("_first"), F.count(F.lit(1)).alias("_cnt")))
+    ws = Window.partitionBy("_key").orderBy("_s")
+    stats = stats.select("_key", "_s", F.lead("_first").over(ws).getField(start).alias("_next"),
+                         F.lead(F.lit(1)).over(ws).alias("_more"),
+                         F.coalesce(F.sum("_cnt").over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
     w = Window.partitionBy(*keys, "_sub").orderBy(*order)
-    b = b.withColumns({"_lead": F.lead(F.col(start)).over(w), "_rn": F.row_number().over(w)})
-    out = b.join(F.broadcast(stats), on=[*keys, "_sub"], how="left")  # bounded: hot keys x splits
-    end = F.when(F.col("_hot"), F.coalesce(F.col("_lead"), F.col("_next"))).otherwise(F.col("_lead"))
-    out = out.withColumns({end_col: end, current_col: F.when(end.isNull(), 1).otherwise(0)})
+    b = b.withColumns({"_lead": F.lead(F.col(start)).over(w), "_here": F.lead(F.lit(1)).over(w), "_rn": F.row_number().over(w)})
+    out = b.join(F.broadcast(stats), _same_key(keys) & (F.col("_sub") == F.col("_s")), "left")     # 2n keys x n ranges
+    here, more = F.col("_here").isNotNull(), F.col("_hot") & F.col("_more").isNotNull()
+    out = out.withColumns({end_col: F.when(here, F.col("_lead")).when(more, F.col("_next")),
+                           current_col: F.when(here | more, 0).otherwise(1)})
     if version_col:
-        out = out.withColumn(version_col, F.col("_rn") + F.coalesce(F.col("_off"), F.lit(0)))
-    added = [c for c in (end_col, current_col, version_col) if c and c not in cols]
+        out = out.withColumn(version_col, (F.col("_rn") + F.coalesce(F.col("_off"), F.lit(0))).cast("int"))
     return out.select(*cols, *added)
 
 

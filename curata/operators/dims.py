@@ -1,8 +1,8 @@
 """Validity-interval dimensions: type-2 staging/apply, type-1 apply,
 staged loads tagged U2 / N2 / N / U1, detail collapse.
 
-Each load compares the increment with the *open* rows only (one join on the
-business key); closed history passes through without a shuffle.
+Each load compares the increment with the *open* rows (one join on the
+business key); of closed rows only the keys are looked at.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from ..constants import MIN_DATE, OPEN_END, as_of_col
 from ..functions.compare import any_differs
+from ..functions.hashing import NULL_MARK, SEP
+from .dedupe import one_per_key
 from .scd import scd1_full_join
 
 
@@ -35,8 +37,14 @@ def _compare(src: DataFrame, dim_open: DataFrame, keys: Sequence[str], tracked:
     return j, has, changed
 
 
+def _key_text(keys: Sequence[str]) -> Column:
+    """One text per key: parts separated, nulls marked, so different composite
+    keys never share it (a single non-null key is its own text)."""
+    return F.concat_ws(SEP, *[F.coalesce(F.col(k).cast("string"), F.lit(NULL_MARK)) for k in keys])
+
+
 def _merge_token(keys: Sequence[str]) -> Column:
-    return F.concat_ws("\u001f", *[F.col(k).cast("string") for k in keys])
+    return _key_text(keys)
 
 
 def scd2_staging(src: DataFrame, dim: DataFrame, keys: Sequence[str], tracked: Sequence[str],
@@ -45,9 +53,13 @@ def scd2_staging(src: DataFrame, dim: DataFrame, keys: Sequence[str], tracked: S
     ``plans.flows.raw_to_curated``, which de-duplicates an increment first):
     for a tracked change, one row keyed for closing the
     open row ('close') and a copy with a never-matching merge key ('insert');
-    keys without an open row are new members ('new')."""
+    keys without any row, open or closed, are new members ('new').  A member
+    that has only closed rows is neither."""
     opened, _ = open_rows(dim)
     j, has, changed = _compare(src, opened, keys, tracked)
+    known = dim.select(*keys, F.lit(True).alias("_known")).distinct()
+    j = j.join(known, on=list(keys), how="left")
+    fresh = F.col("_known").isNull()
     cols = src.columns
     key_expr = _merge_token(keys)          # an opaque text token, one form for any key width
     null_key = F.lit(None).cast("string")
@@ -56,12 +68,12 @@ def scd2_staging(src: DataFrame, dim: DataFrame, keys: Sequence[str], tracked: S
         return F.struct(mk.alias(merge_key), *[F.col(c).alias(c) for c in cols], F.lit(stage).alias("stage"))
 
     rows = F.array(F.when(changed, row(key_expr, "close")), F.when(changed, row(null_key, "insert")),
-                   F.when(~has, row(null_key, "new")))
+                   F.when(fresh, row(null_key, "new")))
     return j.select(F.inline(F.filter(rows, lambda x: x.isNotNull())))
 
 
 def surrogate(prefix: str, keys: Sequence[str], suffix: str | None = None) -> Column:
-    parts = [F.lit(prefix)] + [F.col(k).cast("string") for k in keys]
+    parts = [F.lit(prefix), _key_text(keys)]
     if suffix is not None:
         parts += [F.lit("_"), F.lit(suffix)]
     return F.md5(F.concat(*parts))
@@ -87,8 +99,7 @@ def scd2_apply(dim: DataFrame, staging: DataFrame, keys: Sequence[str], as_of: s
     j = o.join(st, o["_ok"] == st["_mk"], "full")
     has_o = F.col("_open").isNotNull()
     matched = has_o & F.col("_mk").isNotNull()
-    new_id = F.md5(F.concat(F.lit(id_prefix), *[F.col(f"_s_{k}").cast("string") for k in keys],
-                            F.lit("_"), F.lit(str(as_of))))
+    new_id = surrogate(id_prefix, [f"_s_{k}" for k in keys], str(as_of))
     out = []
     for c in dim.columns:
         if c == id_col:
@@ -125,9 +136,8 @@ def scd1_apply(dim: DataFrame, src: DataFrame, keys: Sequence[str], tracked: Seq
 
 
 def new_members(src: DataFrame, dim: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Increment rows whose key has no open dimension row (anti join)."""
-    opened, _ = open_rows(dim)
-    return src.join(opened.select(*keys), on=list(keys), how="left_anti")
+    """Increment rows whose key has no dimension row, open or closed (anti join)."""
+    return src.join(dim.select(*keys), on=list(keys), how="left_anti")
 
 
 def staged_load(src: DataFrame, dim: DataFrame, keys: Sequence[str], tracked: Sequence[str], as_of: str,
@@ -138,15 +148,19 @@ def staged_load(src: DataFrame, dim: DataFrame, keys: Sequence[str], tracked: Se
     * U2 -- open row of a member whose tracked attributes changed, closed at
       ``as_of - close_gap``
     * N2 -- the new version of that member, valid from ``as_of``
-    * N  -- a new member, valid from MIN_DATE
+    * N  -- a member without an open row, valid from the last close of its
+      closed rows, without any from MIN_DATE
     * U1 -- open row of a member without tracked change, attributes
       overwritten (type 1)
+
+    A repeated key in ``src`` is refused when the result is computed.
     """
-    opened, _ = open_rows(dim)
+    opened, closed = open_rows(dim)
     t = as_of_col(as_of)
     attrs = [c for c in src.columns if c not in keys]
-    s = src.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in attrs], F.lit(True).alias("_src"))
-    j = opened.alias("o").join(s, on=list(keys), how="full")
+    s = one_per_key(src, keys).select(*keys, *[F.col(c).alias(f"_s_{c}") for c in attrs], F.lit(True).alias("_src"))
+    ended = closed.groupBy(*keys).agg(F.max("valid_through_date").alias("_ended"))
+    j = opened.alias("o").join(s, on=list(keys), how="full").join(ended, on=list(keys), how="left")
     has_o, has_s = F.col("o." + id_col).isNotNull(), F.col("_src").isNotNull()
     changed = has_o & has_s & any_differs([(F.col(f"o.{c}"), F.col(f"_s_{c}")) for c in tracked])
     new_id = surrogate(id_prefix, keys, str(as_of))
@@ -175,7 +189,7 @@ def staged_load(src: DataFrame, dim: DataFrame, keys: Sequence[str], tracked: Se
     rows = F.array(
         F.when(changed, row("U2", F.col(f"o.{id_col}"), F.col("o.valid_from_date"), t - F.expr(close_gap), False)),
         F.when(changed, row("N2", new_id, t, _ts(OPEN_END), True)),
-        F.when(has_s & ~has_o, row("N", new_id, _ts(MIN_DATE), _ts(OPEN_END), True)),
+        F.when(has_s & ~has_o, row("N", new_id, F.coalesce(F.col("_ended"), _ts(MIN_DATE)), _ts(OPEN_END), True)),
         F.when(has_o & has_s & ~changed, row("U1", F.col(f"o.{id_col}"), F.col("o.valid_from_date"),
                                              F.col("o.valid_through_date"), True)),
     )

@@ -69,8 +69,7 @@ def fallback_key(fact: DataFrame, lookup: DataFrame, fact_lookup_col: str, looku
 
 def expand_calendar(fact: DataFrame, calendar: DataFrame, fact_period: str, cal_period: str, cal_day: str,
                     day_out: str = "day") -> DataFrame:
-    """Week -> days expansion.  The calendar is one row per day in the data's
-    date range (a few thousand rows for decades), a proven bound, so it is
-    broadcast."""
+    """Week -> days expansion.  No hint: the planner broadcasts the distinct
+    days when their measured size allows."""
     cal = calendar.select(F.col(cal_period).alias("_p"), F.col(cal_day).alias(day_out)).distinct()
-    return fact.join(F.broadcast(cal), fact[fact_period] == cal["_p"], "inner").drop("_p")
+    return fact.join(cal, fact[fact_period] == cal["_p"], "inner").drop("_p")

@@ -17,32 +17,35 @@ from ..functions import rules as R
 
 
 # ------------------------------------------------------------------ helpers
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def with_duplicate_marker(df: DataFrame, cols: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
     """``name`` = true for every row of a key except exactly one: the first
-    by ``order``, then by the rest of the row.
+    by ``order``, then by a hash of the row.
 
     Equivalent to ``row_number() over (partition by cols order by ...) > 1``
-    without putting a whole key into one window partition: the first row's
-    content comes from a grouped aggregate (map-side partials); rows above it
-    are duplicates; rows equal to it are identical copies, collapsed with a
-    count and re-expanded as one valid copy plus flagged copies.
+    without putting a whole key into one window partition: rows are numbered
+    per (key, input partition), and the first ones of a key's input partitions
+    are compared by a grouped aggregate (map-side partials) joined back.  Rows
+    pass through unchanged, whatever their types.
     """
-    from pyspark.sql import types as T
-    if any(isinstance(f.dataType, T.MapType) for f in df.schema.fields):
-        # map values cannot be ordered or grouped: number the rows instead
-        w = Window.partitionBy(*cols).orderBy(*order)
-        return df.withColumn(name, F.row_number().over(w) > 1)
-    rest = [c for c in df.columns if c not in set(order)]
-    content = F.struct(*order, *rest)
-    first = df.groupBy(*cols).agg(F.min(content).alias("_first"))
-    j = df.join(first, on=[df[c].eqNullSafe(first[c]) for c in cols], how="left")
-    j = j.drop(*[first[c] for c in cols])
-    same = content.eqNullSafe(F.col("_first"))
-    above = j.where(~same).drop("_first").withColumn(name, F.lit(True))
-    equal = (j.where(same).groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
-             .select(*df.columns, F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))).alias("_i"))
-             .withColumn(name, F.col("_i") > 1).drop("_i"))
-    return above.unionByName(equal)
+    part, tie, nth, first, key = (free_name(df, n) for n in ("_part", "_tie", "_nth", "_first", "_dupkey"))
+    plain = [F.to_json(c) if "map<" in t else F.col(c) for c, t in df.dtypes]
+    d = df.withColumns({part: F.spark_partition_id(), tie: F.xxhash64(*plain), key: F.struct(*cols)})
+    w = Window.partitionBy(key, part).orderBy(*order, tie)
+    d = d.withColumn(nth, F.row_number().over(w))
+    rank = F.struct(*order, tie, part)
+    best = d.where(F.col(nth) == 1).groupBy(key).agg(F.min(rank).alias(first))
+    best = best.select(F.col(key).alias(key + "2"), first)
+    j = d.join(best, F.col(key).eqNullSafe(F.col(key + "2")), "left")
+    mine = (F.col(nth) == 1) & rank.eqNullSafe(F.col(first))
+    return j.withColumn(name, ~mine).select(*df.columns, name)
 
 
 def with_group_count(df: DataFrame, cols: Sequence[str], name: str) -> DataFrame:
@@ -54,38 +57,42 @@ def with_group_count(df: DataFrame, cols: Sequence[str], name: str) -> DataFrame
 
 def with_related_marker(df: DataFrame, col: str, related: DataFrame, related_col: str, name: str) -> DataFrame:
     """``name`` is non-null when ``col`` exists in the related table."""
-    keys = related.select(F.col(related_col).alias("_rk")).distinct().withColumn(name, F.lit(True))
-    return df.join(keys, df[col] == keys["_rk"], "left").drop("_rk")
+    key = free_name(df, "_rk")
+    keys = related.select(F.col(related_col).alias(key)).distinct().withColumn(name, F.lit(True))
+    return df.join(keys, df[col] == keys[key], "left").drop(key)
 
 
-def prepare(df: DataFrame, checks: Sequence[dict]) -> DataFrame:
-    """Add the helper columns of checks that look at other rows."""
-    for i, chk in enumerate(checks):
-        chk.setdefault("name", str(i))
+def prepare(df: DataFrame, checks: Sequence[dict]) -> tuple[DataFrame, list[dict], list[str]]:
+    """Add the helper columns of checks that look at other rows: (frame, checks
+    that know their helpers, names of the added columns)."""
+    out, added = [], []
+    for chk in checks:
+        chk = {**chk, "helper": {}}
         if chk["type"] == "unique_check":
-            df = with_duplicate_marker(df, chk["columns"], chk.get("order", chk["columns"]), f"_dup_{chk['name']}")
+            name = free_name(df, "_dup")
+            df = with_duplicate_marker(df, chk["columns"], chk.get("order", chk["columns"]), name)
+            chk["helper"] = {c: name for c in chk["columns"]}
         elif chk["type"] == "orphan_check" and chk.get("related") is not None:
             for c in chk["columns"]:
-                df = with_related_marker(df, c, chk["related"], chk["related_column"], f"_rel_{chk['name']}_{c}")
+                chk["helper"][c] = free_name(df, "_rel")
+                df = with_related_marker(df, c, chk["related"], chk["related_column"], chk["helper"][c])
         elif chk["type"] == "valid_values_check" and chk.get("values_from") is not None:
             # long value lists live in a table: membership by a join on the
             # distinct values instead of a huge IN list
             for c in chk["columns"]:
-                df = with_related_marker(df, c, chk["values_from"], chk["values_column"], f"_val_{chk['name']}_{c}")
-    return df
-
-
-def _helpers(df: DataFrame) -> list[str]:
-    return [c for c in df.columns if c.startswith(("_dup_", "_rel_", "_cnt_", "_val_"))]
+                chk["helper"][c] = free_name(df, "_val")
+                df = with_related_marker(df, c, chk["values_from"], chk["values_column"], chk["helper"][c])
+        added += list(dict.fromkeys(chk["helper"].values()))
+        out.append(chk)
+    return df, out, added
 
 
 # ---------------------------------------------------------------- split checks
 def flag(df: DataFrame, checks: Sequence[dict], reasons_col: str = "invalid_reasons") -> DataFrame:
     """One pass: every row gets the array of reasons it fails."""
-    checks = [dict(c) for c in checks]
-    df = prepare(df, checks)
+    df, checks, added = prepare(df, checks)
     arr = F.array_compact(F.array(*[F.when(R.violation(c), F.lit(R.reason(c))) for c in checks]))
-    return df.withColumn(reasons_col, arr).drop(*_helpers(df))
+    return df.withColumn(reasons_col, arr).drop(*added)
 
 
 def split(df: DataFrame, checks: Sequence[dict]) -> tuple[DataFrame, DataFrame]:
@@ -132,40 +139,51 @@ def checks_from_rows(rows: Sequence[Row]) -> list[dict]:
 
 
 # ----------------------------------------------------------------- table rules
-def prepare_table_rules(df: DataFrame, rules: Sequence[dict]) -> DataFrame:
+def prepare_table_rules(df: DataFrame, rules: Sequence[dict]) -> tuple[DataFrame, list[dict], list[str]]:
+    """As :func:`prepare`, for rules of a catalog (one column each)."""
+    out, added = [], []
     for r in rules:
+        r = dict(r)
         if r["rule_type"] == "orphan_check":
-            df = with_related_marker(df, r["column"], r["related"], r["related_column"], f"_rel_{r['id']}")
+            r["helper"] = free_name(df, "_rel")
+            df = with_related_marker(df, r["column"], r["related"], r["related_column"], r["helper"])
+        elif r["rule_type"] == "valid_values_check" and r.get("values_from") is not None:
+            r["helper"] = free_name(df, "_val")
+            df = with_related_marker(df, r["column"], r["values_from"], r["values_column"], r["helper"])
         elif r["rule_type"] == "unique_check":
-            cols = r.get("columns") or [r["column"]]
-            df = with_group_count(df, cols, f"_cnt_{r['id']}")
-            df = df.withColumn(f"_dup_{r['id']}", F.col(f"_cnt_{r['id']}") > 1)
-    return df
+            count = free_name(df, "_cnt")
+            df = with_group_count(df, r.get("columns") or [r["column"]], count)
+            r["helper"] = free_name(df, "_dup")
+            df = df.withColumn(r["helper"], F.col(count) > 1).drop(count)
+        if r.get("helper"):
+            added.append(r["helper"])
+        out.append(r)
+    return df, out, added
 
 
 def flag_rules(df: DataFrame, rules: Sequence[dict], mode: str = "valid_if",
                result_col: str = "data_quality_result_array",
                flag_col: str = "data_quality_valid_flag") -> DataFrame:
     """Rule ids of violated rules as an array, plus a Y/N valid flag."""
-    df = prepare_table_rules(df, rules)
+    df, rules, added = prepare_table_rules(df, rules)
     arr = F.array_compact(F.array(*[F.when(R.table_rule_violation(r, mode), F.lit(str(r["id"]))) for r in rules]))
     return (df.withColumn(result_col, arr)
               .withColumn(flag_col, F.when(F.size(result_col) > 0, "N").otherwise("Y"))
-              .drop(*_helpers(df)))
+              .drop(*added))
 
 
 def rule_columns(df: DataFrame, rules: Sequence[dict], mode: str = "valid_if", prefix: str = "rule") -> DataFrame:
     """One 0/1 column per rule, named ``<prefix>_<rel id>_<rule dim id>``."""
-    df = prepare_table_rules(df, rules)
+    df, rules, added = prepare_table_rules(df, rules)
     cols = {f"{prefix}_{r['id']}_{r['rule_dim_id']}": F.when(R.table_rule_violation(r, mode), 1).otherwise(0)
             for r in rules}
-    return df.withColumns(cols).drop(*_helpers(df))
+    return df.withColumns(cols).drop(*added)
 
 
 def labels(df: DataFrame, rules: Sequence[dict], mode: str = "valid_if") -> DataFrame:
-    df = prepare_table_rules(df, rules)
+    df, rules, added = prepare_table_rules(df, rules)
     cols = {f"label_{r['id']}": R.label(r, R.table_rule_violation(r, mode)) for r in rules}
-    return df.withColumns(cols).drop(*_helpers(df))
+    return df.withColumns(cols).drop(*added)
 
 
 def rule_counts(df: DataFrame, rules: Sequence[dict], mode: str = "valid_if", prefix: str = "rule") -> DataFrame:
@@ -198,12 +216,12 @@ def immediate_update(df: DataFrame, rules: Sequence[dict], flag_col: str = "vali
                      mode: str = "flag_if") -> DataFrame:
     """Rows failing any rule that are still valid ('Y', any case) become 'n';
     ``dq_updated`` marks them (its sum is the affected-row count)."""
-    prepared = prepare_table_rules(df, rules)
+    prepared, rules, added = prepare_table_rules(df, rules)
     bad = R._any([R.table_rule_violation(r, mode) for r in rules])
     hit = F.coalesce(bad & (F.upper(F.col(flag_col)) == "Y"), F.lit(False))   # a null flag is not updated
     return (prepared.withColumn("dq_updated", hit)
             .withColumn(flag_col, F.when(hit, F.lit("n")).otherwise(F.col(flag_col)))
-            .drop(*_helpers(prepared)))
+            .drop(*added))
 
 
 # -------------------------------------------------------------- rule catalogs
@@ -217,29 +235,59 @@ def value_lists(values: DataFrame, list_col: str = "list_id", value_col: str = "
     return q.groupBy(list_col).agg(F.array_join(F.sort_array(F.collect_list("_q")), ",").alias("valid_list"))
 
 
+# Parameter columns that a relation or rule row may carry.
+PARAMETERS = ("regex_string", "expected_datatype", "expected_date_format", "related_table_name", "related_column_name",
+              "grouping_columns")
+
+
 def rule_catalog(relations: DataFrame, rule_dim: DataFrame, lists: DataFrame, implement_type: str) -> DataFrame:
-    """relation ⋈ rule ⟕ value list, enabled rules of one implement type;
-    '|' in regex/list text becomes ','."""
+    """relation ⋈ rule ⟕ value list, enabled rules of one implement type, with
+    every parameter column that the two tables have; '|' in list text becomes ','."""
     j = (relations.join(rule_dim, "rule_dim_id", "inner")
          .join(lists, relations["valid_list_id"] == lists["list_id"], "left")
          .where((F.upper(F.col("enabled")) == "Y") & (F.col("implement_type") == implement_type)))
     # rule number per table: the catalog is a small control table, one row per rule
     w = Window.partitionBy("table_name").orderBy("rule_object_rel_id")
+    more = [c for c in PARAMETERS if c in relations.columns or c in rule_dim.columns]
     return j.select("rule_object_rel_id", "rule_dim_id", "rule_type_desc", "table_name", "column_name",
                     "operator", "threshold_low", "threshold_high",
-                    F.regexp_replace(F.col("valid_list"), r"\|", ",").alias("valid_list"),
-                    F.row_number().over(w).alias("rule_no"))
+                    F.regexp_replace(F.col("valid_list"), r"\|", ",").alias("valid_list"), *more,
+                    *(["valid_list_id"] if more else []), F.row_number().over(w).alias("rule_no"))
 
 
-def rule_dicts(catalog_rows: Sequence[Row]) -> list[dict]:
-    """Catalog rows (small) -> rule dicts for ``flag_rules``."""
+def rule_dicts(catalog_rows: Sequence[Row], values: DataFrame | None = None, tables: dict[str, DataFrame] | None = None,
+               list_col: str = "list_id", value_col: str = "column_value") -> list[dict]:
+    """Catalog rows (one per rule, few) -> rule dicts for ``flag_rules``.
+
+    Value lists stay rows: with ``values`` (list id, value) a rule's values are
+    joined, so a list may have any length and its values any character; the
+    catalog's list text is only a fallback.  ``tables`` holds the related
+    tables of orphan checks by name.
+    """
     out = []
     for r in catalog_rows:
         d = r.asDict()
-        rule = {"id": d["rule_object_rel_id"], "rule_dim_id": d["rule_dim_id"], "rule_type": d["rule_type_desc"],
+        kind = d["rule_type_desc"]
+        rule = {"id": d["rule_object_rel_id"], "rule_dim_id": d["rule_dim_id"], "rule_type": kind,
                 "column": d["column_name"], "operator": d.get("operator"), "low": d.get("threshold_low"),
                 "high": d.get("threshold_high")}
-        if d.get("valid_list"):
-            rule["valid_values"] = [v.strip().strip("'") for v in d["valid_list"].split(",")]
+        if kind == "valid_values_check":
+            if values is not None and d.get("valid_list_id") is not None:
+                mine = values.where(F.col(list_col) == F.lit(d["valid_list_id"])).select(F.col(value_col).alias("value"))
+                rule.update(values_from=mine, values_column="value")
+            else:
+                rule["valid_values"] = [v.strip().strip("'") for v in (d.get("valid_list") or "").split(",") if v]
+        elif kind == "special_character_check" and d.get("regex_string"):
+            rule["pattern"] = d["regex_string"]
+        elif kind == "datatype_check":
+            rule["expected"] = d["expected_datatype"]
+        elif kind == "date_format_check":
+            rule["format"] = d["expected_date_format"]
+        elif kind == "fixed_length_check":
+            rule["length"] = int(d["threshold_low"])
+        elif kind == "orphan_check":
+            rule.update(related=(tables or {})[d["related_table_name"]], related_column=d["related_column_name"])
+        elif kind == "unique_check" and d.get("grouping_columns"):
+            rule["columns"] = [c.strip() for c in d["grouping_columns"].split(",")]
         out.append(rule)
     return out

@@ -10,12 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import CONTROL_COLUMNS, as_of_col
 from ..functions.compare import columns_differ
-from .dedupe import latest_per_key, versions_per_key
+from .dedupe import latest_per_key, one_per_key, versions_per_key
 
 
 def _cols(c) -> Column:
@@ -32,7 +32,9 @@ def scd1_full_join(target: DataFrame, source: DataFrame, keys: Sequence[str],
                    action_col: str | None = None, delete_if: tuple[str, object] | None = None) -> DataFrame:
     """Type-1 upsert as one full join on the keys: each input is read once.
 
-    Per key the source row wins, else the target row stays.  With
+    Per key the source row wins, else the target row stays; columns that only
+    the target has keep their value, columns of both have the target's type.
+    With
     ``delete_if=(column, value)`` a source row whose column equals the value
     removes its key instead, and that column is left out of the result.  Use
     this form when the source is expensive to recompute (e.g. freshly
@@ -41,6 +43,8 @@ def scd1_full_join(target: DataFrame, source: DataFrame, keys: Sequence[str],
     """
     keys = list(keys)
     drop = {delete_if[0]} if delete_if else set()
+    wide = {f.name: f.dataType for f in target.schema.fields}
+    source = source.withColumns({k: F.col(k).cast(wide[k]) for k in keys})      # compare keys in the target's type
     tcols = [c for c in target.columns if c not in keys]
     scols = [c for c in source.columns if c not in keys]
     t = target.select(*keys, *[F.col(c).alias(f"_t_{c}") for c in tcols], F.lit(True).alias("_t"))
@@ -53,10 +57,12 @@ def scd1_full_join(target: DataFrame, source: DataFrame, keys: Sequence[str],
     for c in dict.fromkeys(tcols + scols):
         if c in drop:
             continue
-        sv = F.col(f"_s_{c}") if c in scols else F.lit(None)
-        tv = F.col(f"_t_{c}") if c in tcols else F.lit(None)
-        dtype = (source.schema[c] if c in scols else target.schema[c]).dataType
-        out.append(F.when(has_s, sv).otherwise(tv).cast(dtype).alias(c))
+        if c not in scols:
+            out.append(F.col(f"_t_{c}").alias(c))
+            continue
+        dtype = (target.schema[c] if c in tcols else source.schema[c]).dataType
+        sv = F.col(f"_s_{c}").cast(dtype)
+        out.append((F.when(has_s, sv).otherwise(F.col(f"_t_{c}")) if c in tcols else sv).alias(c))
     if action_col:
         out.append(F.when(has_s & has_t, "UPDATE").when(has_s, "INSERT").otherwise("KEEP").alias(action_col))
     return j.select(*out)
@@ -76,8 +82,13 @@ def scd1(target: DataFrame, source: DataFrame, keys: Sequence[str],
     """
     keys = list(keys)
     if update is None and insert is None:
-        src = source
+        kinds = {f.name: f.dataType for f in target.schema.fields}
+        src = source.select(*[F.col(c).cast(kinds[c]).alias(c) if c in kinds and source.schema[c].dataType != kinds[c]
+                              else F.col(c) for c in source.columns])
         kept = target.join(src.select(*keys), on=keys, how="left_anti")
+        own = [c for c in target.columns if c not in source.columns]      # what only the target has stays
+        if own:
+            src = src.join(target.select(*keys, *own), on=keys, how="left")
         if action_col:
             kept = kept.withColumn(action_col, F.lit("KEEP"))
             m = target.select(*keys, F.lit(True).alias("_m"))
@@ -149,10 +160,14 @@ def scd2(target: DataFrame, source: DataFrame, keys: Sequence[str], start: str,
     Open target rows of changed keys close at the new row's start; the new
     row is appended open.  Only open rows close (closed history is never
     touched).  Unchanged keys are skipped unless ``skip_unchanged=False``.
-    A source row older than the open row is inserted closed (end = the open
-    row's start) and the open row stays current.
+    A source row older than the open row takes its place in the key's history:
+    it ends where the next row starts, a closed row that reached over its
+    start now ends there, and the open row stays current.  A version that the
+    history already has (same start and values) is not added again.  A source
+    with a repeated key is refused when the result is computed.
     """
     keys = list(keys)
+    source = one_per_key(source, keys)
     tcols = target.columns
     vals = list(compare) if compare is not None else [
         c for c in source.columns if c not in set(keys) | set(CONTROL_COLUMNS) | {start}]
@@ -182,8 +197,29 @@ def scd2(target: DataFrame, source: DataFrame, keys: Sequence[str], start: str,
         F.when(change | (has_s & ~has_t), new_s),
         F.when(late & diff, late_s),
     )
-    merged = j.select(F.inline(F.filter(rows, lambda x: x.isNotNull())))
-    return closed.unionByName(merged)
+    kinds = F.array(F.when(has_t & ~change, 0), F.when(change, 0), F.when(change | (has_s & ~has_t), 0), F.when(late & diff, 1))
+    pairs = F.arrays_zip(rows.alias("row"), kinds.alias("late"))
+    merged = j.select(F.explode(F.filter(pairs, lambda x: x["row"].isNotNull())).alias("p")).select("p.row.*", F.col("p.late").alias("_late"))
+    return _settle_late(closed, merged, keys, start, vals, end_col)
+
+
+def _settle_late(closed: DataFrame, merged: DataFrame, keys: list[str], start: str, vals: Sequence[str],
+                 end_col: str) -> DataFrame:
+    """Fit late rows (_late = 1) into the histories of their keys: closed rows
+    of those keys join the timeline, repeats go, ends stop at the next start.
+    Closed rows of all other keys pass through."""
+    cols = closed.columns
+    late_keys = merged.where("_late = 1").select(*keys)
+    old = closed.join(late_keys, on=keys, how="left_semi").withColumn("_late", F.lit(0))
+    rest = closed.join(late_keys, on=keys, how="left_anti")
+    same = Window.partitionBy(*keys, start, *vals)
+    line = Window.partitionBy(*keys).orderBy(F.col(start).asc(), F.col("_late").desc())
+    t = old.unionByName(merged).withColumn("_kept", F.min("_late").over(same))
+    t = t.where((F.col("_late") == 0) | (F.col("_kept") == 1))           # a late row that the history already has goes
+    nxt, after_late = F.lead(start).over(line), F.lead("_late").over(line) == 1
+    cut = (F.col("_late") == 1) | (after_late & (F.col(end_col) > nxt))
+    end = F.when(F.coalesce(cut, F.lit(False)), nxt).otherwise(F.col(end_col)).cast(closed.schema[end_col].dataType)
+    return rest.unionByName(t.withColumn("_end", end).withColumn(end_col, F.col("_end")).select(*cols))
 
 
 def scd2_versions(target: DataFrame, source: DataFrame, keys: Sequence[str], start: str,
@@ -195,9 +231,11 @@ def scd2_versions(target: DataFrame, source: DataFrame, keys: Sequence[str], sta
     single window over their union gives every row the next row's start as
     its end, and the newest row stays open.  So the open row closes at the
     batch's earliest start, batch versions close at each other's starts, and
-    a batch row older than the open row slots in before it -- intervals never
-    overlap.  Closed history passes through.  (The reference loops on the
-    driver once per version number.)
+    a batch row older than the open row slots in before it.  Where the batch
+    reaches back to or before the open start of a key, that key's closed rows
+    join the timeline (they only ever end earlier), so intervals never overlap;
+    a version that the history already has is not added again.  Other closed
+    history passes through.
     """
     keys = list(keys)
     tcols = target.columns
@@ -207,9 +245,23 @@ def scd2_versions(target: DataFrame, source: DataFrame, keys: Sequence[str], sta
         if c not in src.columns and c not in (end_col, current_col):
             src = src.withColumn(c, F.lit(None).cast(target.schema[c].dataType))
     base = [c for c in tcols if c not in (end_col, current_col)]
-    timeline = opened.select(*base).unionByName(src.select(*base))
-    v = versions_per_key(timeline, keys, start, ties, end_col, current_col, version_col=None)
-    return closed.unionByName(v.select(*tcols))
+    back = src.select(*keys, F.col(start).alias("_from")).join(
+        opened.select(*keys, F.col(start).alias("_open")), on=keys).where("_from <= _open").select(*keys).distinct()
+    old = closed.join(back, on=keys, how="left_semi")
+    rest = closed.join(back, on=keys, how="left_anti")
+    mark = [F.lit(None).cast(target.schema[end_col].dataType).alias("_was"), F.lit(False).alias("_closed")]
+    timeline = (opened.select(*base, *mark)
+                .unionByName(old.select(*base, F.col(end_col).alias("_was"), F.lit(True).alias("_closed")))
+                .withColumn("_new", F.lit(0)).unionByName(src.select(*base, *mark, F.lit(1).alias("_new"))))
+    # repeats of a version: the target's row stays, else one of the batch's
+    vals = [c for c in base if c not in CONTROL_COLUMNS or c == start]
+    nth = F.row_number().over(Window.partitionBy(*keys, *[c for c in vals if c not in keys]).orderBy("_new"))
+    timeline = timeline.withColumn("_nth", nth).where((F.col("_new") == 0) | (F.col("_nth") == 1)).drop("_nth")
+    v = versions_per_key(timeline, keys, start, [*ties, "_new"], end_col, current_col, version_col=None)
+    end = F.when(F.col("_closed"), F.least("_was", end_col)).otherwise(F.col(end_col))
+    v = v.withColumn("_end", end.cast(target.schema[end_col].dataType)).withColumn(end_col, F.col("_end"))
+    v = v.withColumn(current_col, F.when(F.col("_closed"), 0).otherwise(F.col(current_col)).cast(target.schema[current_col].dataType))
+    return rest.unionByName(v.select(*tcols))
 
 
 def scd2_full_compare(target: DataFrame, snapshot: DataFrame, keys: Sequence[str],
@@ -221,9 +273,11 @@ def scd2_full_compare(target: DataFrame, snapshot: DataFrame, keys: Sequence[str
     Changed keys: open row closed at ``as_of``, snapshot row inserted with
     start = greatest(start_cols).  New keys: inserted.  Keys missing from the
     snapshot: soft-deleted (is_current=0, is_deleted=1, end = as_of).
-    Identical keys: untouched.
+    Identical keys: untouched.  A snapshot with a repeated key is refused
+    when the result is computed.
     """
     keys = list(keys)
+    snapshot = one_per_key(snapshot, keys)
     t_as_of = as_of_col(as_of)
     tcols = target.columns
     data_cols = [c for c in tcols if c not in set(keys) | set(CONTROL_COLUMNS)]

@@ -2,7 +2,7 @@
 
 * ``landing_to_raw`` -- one landed batch (or micro-batch): latest row per key,
   hash keys, data-quality flags, then the load type (update = upsert on the
-  key hash, append, complete).  Raw and de-duplicated row counts are gathered
+  key hash, append of every row, complete).  Raw and de-duplicated row counts are gathered
   with ``observe`` while the load itself runs -- no extra jobs.
 * ``raw_to_curated`` -- an increment of a raw table into a validity-interval
   dimension: type-2 staging and apply for tracked attributes, type-1 apply for
@@ -17,32 +17,53 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import hashing
-from ..operators import dedupe, dims, incremental, quality, scd
+from ..operators import compare, dedupe, dims, incremental, quality, scd
 
 
 def landing_to_raw(target: DataFrame | None, batch: DataFrame, keys: Sequence[str], order: Sequence,
                    ties: Sequence = (), rules: Sequence[dict] = (), load_type: str = "update",
                    hash_exclude: Sequence[str] = ()) -> tuple[DataFrame, dict]:
-    """New raw table content and the observations {"raw", "dedup"}."""
+    """New raw table content and the observations {"raw", "dedup"} (an append
+    does not de-duplicate and has no "dedup")."""
     raw_obs, dedup_obs = Observation(), Observation()      # unique names: loads can be chained
     b = batch.observe(raw_obs, F.count(F.lit(1)).alias("rows"))
     latest = dedupe.latest_per_key(b, keys, order, ties).observe(dedup_obs, F.count(F.lit(1)).alias("rows"))
-    hashed = hashing.hash_keys(latest, keys, exclude=hash_exclude)
+    kind = load_type.lower()
+    # append keeps every row of the batch; the other load types its newest row per key
+    hashed = hashing.hash_keys(b if kind == "append" else latest, keys, exclude=hash_exclude)
     if rules:
         flagged = quality.flag_rules(hashed, rules)
     else:
         flagged = hashed.withColumns({"data_quality_result_array": F.array().cast("array<string>"),
                                       "data_quality_valid_flag": F.lit("Y")})
-    kind = load_type.lower()
     if kind == "update":
-        new = flagged if target is None else scd.scd1(target, flagged, ["hkey"])
+        # one full join: the de-duplicated, hashed and flagged batch is computed once
+        new = flagged if target is None else scd.scd1_full_join(target, flagged, ["hkey"])
     elif kind == "append":
         new = flagged if target is None else target.unionByName(flagged, allowMissingColumns=True)
     elif kind == "complete":
         new = flagged
     else:
         raise ValueError(f"unknown load type {load_type!r}")
-    return new, {"raw": raw_obs, "dedup": dedup_obs}
+    return new, {"raw": raw_obs} if kind == "append" else {"raw": raw_obs, "dedup": dedup_obs}
+
+
+def landing_history(target: DataFrame | None, batch: DataFrame, keys: Sequence[str], order: Sequence,
+                    ties: Sequence = (), hash_exclude: Sequence[str] = (), flag_col: str = "curr_row_flg") -> DataFrame:
+    """Raw table content that keeps what a batch replaces.
+
+    The newest row per key is compared with the table's current rows ('Y') by
+    key and value hash: new and changed rows come in as 'Y', the rows they
+    replace stay as 'N', rows whose key is gone from the batch become 'D', and
+    unchanged rows and all earlier history stay as they are.
+    """
+    latest = hashing.hash_keys(dedupe.latest_per_key(batch, keys, order, ties), keys, exclude=[*hash_exclude, flag_col])
+    if target is None:
+        return latest.withColumn(flag_col, F.lit("Y"))
+    cols = [*latest.columns, flag_col]
+    current = target.where(F.col(flag_col) == "Y").select(*latest.columns)
+    delta = compare.hash_delta(current, latest, flag_col=flag_col)
+    return target.where(F.col(flag_col) != "Y").select(*cols).unionByName(delta.select(*cols))
 
 
 def raw_to_curated(dim: DataFrame, raw: DataFrame, keys: Sequence[str], tracked: Sequence[str],

@@ -43,7 +43,36 @@ def run_load(spark: SparkSession, config: dict, target: DataFrame | None = None,
     load = config.get("load")
     if not load:
         return df
-    return apply_load(load["type"], target, df, load["keys"], load.get("order", []), load.get("ties", ()))
+    return _loaded(load, target, df)
+
+
+def _loaded(load: dict, target: DataFrame | None, df: DataFrame) -> DataFrame:
+    return apply_load(load["type"], target, df, load["keys"], load.get("order", []), load.get("ties", ()),
+                      load.get("as_of"), load.get("start_cols", ()), load.get("compare"))
+
+
+def run_targets(spark: SparkSession, config: dict, targets: dict[str, DataFrame | None],
+                registry: dict | None = None) -> dict[str, DataFrame]:
+    """One source, several targets: {name: new content} for every entry of
+    ``config["targets"]`` (name -> its own load), read and transformed alike."""
+    df = read_source(spark, config["source"])
+    df, _ = step_mod.run(df, config.get("steps", []), registry)
+    return {name: _loaded(load, targets.get(name), df) for name, load in config["targets"].items()}
+
+
+def run_stream_load(spark: SparkSession, config: dict, root: str, checkpoint: str, initial: DataFrame | None = None,
+                    registry: dict | None = None) -> DataFrame | None:
+    """A configured load of a streaming source: every micro-batch runs the steps
+    and the load against the snapshot of the batch before.  Processes what has
+    arrived (availableNow) and returns the last snapshot (None: nothing yet)."""
+    from ..streaming import sinks as ss
+
+    def load(target: DataFrame | None, batch: DataFrame) -> DataFrame:
+        out, _ = step_mod.run(batch, config.get("steps", []), registry)
+        return _loaded(config["load"], target, out)
+    q = ss.for_each_batch(read_source(spark, config["source"]), ss.snapshot_loader(spark, root, load, initial), checkpoint)
+    last = ss.last_batch(q)
+    return initial if last is None else spark.read.parquet(ss.batch_path(root, last))
 
 
 def run_config_load(spark: SparkSession, config: dict, target: DataFrame | None = None,
@@ -77,6 +106,5 @@ def run_config_load(spark: SparkSession, config: dict, target: DataFrame | None
             df = df.drop("passive_reason")
     df = df.observe(out_obs, F.count(F.lit(1)).alias("rows"))
     load = config.get("load")
-    new = df if not load else apply_load(load["type"], target, df, load["keys"], load.get("order", []),
-                                         load.get("ties", ()))
+    new = df if not load else _loaded(load, target, df)
     return new, {"steps": step_ids, "source_rows": src_obs, "loaded_rows": out_obs, "invalid": invalid}

@@ -21,7 +21,7 @@ RECOMMENDED = {
 }
 
 
-def scale_settings(input_bytes: int, partition_bytes: int = 256 << 20, max_partitions: int = 100_000) -> dict:
+def scale_settings(input_bytes: int, partition_bytes: int = 256 << 20) -> dict:
     """Starting settings for a job that reads about ``input_bytes``.
 
     Shuffle partitions are sized so one holds about ``partition_bytes``
@@ -29,7 +29,7 @@ def scale_settings(input_bytes: int, partition_bytes: int = 256 << 20, max_parti
     partitions); scans split files at 512 MB; broadcasts stay under 64 MB,
     checked by Spark against measured sizes.
     """
-    parts = min(max(int(input_bytes // partition_bytes), 200), max_partitions)
+    parts = 1 + int(input_bytes // partition_bytes)
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
@@ -41,11 +41,15 @@ def scale_settings(input_bytes: int, partition_bytes: int = 256 << 20, max_parti
     }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "curata",
+def build_session(master: str | None = "local[*]", shuffle_partitions: int | None = 8, app: str = "curata",
                   extra: dict | None = None) -> SparkSession:
-    b = (SparkSession.builder.master(master).appName(app)
-         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-         .config("spark.ui.enabled", "false"))
+    """A session with the recommended settings.  ``master=None`` and
+    ``shuffle_partitions=None`` leave both to the submitted configuration."""
+    b = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    if master is not None:
+        b = b.master(master)
+    if shuffle_partitions is not None:
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in {**RECOMMENDED, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -63,14 +67,17 @@ def _spark_context(spark: SparkSession):
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by spark.checkpoint.dir.
 
-    On a cluster this is set by the deployment (a shared file system).  Only
-    when it is unset -- local runs and tests -- a folder is created here and
-    registered, so later checkpoint() calls and written snapshots agree.
+    On a cluster this must be set by the deployment (a shared file system):
+    without it this fails, because a folder of one machine would lose data.
+    Only a local run or test gets a folder created here, registered so that
+    later checkpoint() calls and written snapshots agree.
     """
     sc = _spark_context(spark)
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root and sc is not None:
         root = sc.getCheckpointDir()
+    if not root and (sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="curata-ckpt-")
         try:

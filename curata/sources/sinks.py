@@ -69,13 +69,14 @@ def fanout(df: DataFrame, sinks: Sequence[dict]) -> None:
     if not sinks:
         return
     first, rest = sinks[0], list(sinks[1:])
-    _write_spec(df, first)
     if not rest:
+        _write_spec(df, first)
         return
     fmt = first.get("format", "parquet")
     typed = first.get("table") or fmt in ("parquet", "orc", "avro", "delta")
     if first.get("mode", "append") == "overwrite" and typed:
         spark = df.sparkSession
+        _write_spec(df, first)
         src = (spark.read.table(first["table"]) if first.get("table")
                else spark.read.format(fmt).options(**{k: str(v) for k, v in (first.get("options") or {}).items()
                                                       if k != "path"}).load(first["path"]))
@@ -84,7 +85,7 @@ def fanout(df: DataFrame, sinks: Sequence[dict]) -> None:
         return
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        for s in rest:
+        for s in sinks:
             _write_spec(cached, s)
     finally:
         cached.unpersist()
@@ -101,7 +102,8 @@ def publish_snapshot(spark: SparkSession, df: DataFrame, table: str, root: str,
     """Write ``df`` as a new snapshot folder, then point ``table`` at it.
 
     Readers of the old snapshot are never disturbed, and a failed write leaves
-    the table on its previous snapshot.  ``bucket_by=(n, keys)`` writes the
+    the table on its previous snapshot (a partitioned or bucketed table has no
+    name for the moment between dropping the old entry and renaming the new).  ``bucket_by=(n, keys)`` writes the
     snapshot bucketed (and sorted) by the business key: the next merge joins
     the table on that key without shuffling it -- only the batch is
     shuffled.  ``partition_by=["is_current"]`` lets the open-row read of the
@@ -114,31 +116,29 @@ def publish_snapshot(spark: SparkSession, df: DataFrame, table: str, root: str,
     if repartition_by is not None:
         n_files, by = repartition_by
         df = df.repartition(n_files, *by)
-    if bucket_by is None:
-        write(df, "error", fmt, path=path, partition_by=partition_by)
+    if bucket_by is None and not partition_by:
+        write(df, "error", fmt, path=path)
         if spark.catalog.tableExists(table):
             spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
             spark.catalog.refreshTable(table)
         else:
             spark.catalog.createTable(table, path=path, source=fmt)
         return path
-    n, keys = bucket_by
-    if not spark.catalog.tableExists(table):
-        w = df.write.format(fmt).option("path", path).bucketBy(n, *keys).sortBy(*keys)
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.saveAsTable(table)
-        return path
-    # write the new snapshot under a staging name with the table's bucket spec,
-    # then move the table to it and forget the staging name (its files stay)
+    # partitions and buckets belong to the table's own metadata, which a changed
+    # location would leave behind: the snapshot is registered whole under a
+    # staging name, then that entry takes the table's name (external: files stay)
     stage = f"{table}__v{uuid.uuid4().hex[:8]}"
-    w = df.write.format(fmt).option("path", path).bucketBy(n, *keys).sortBy(*keys)
+    w = df.write.format(fmt).option("path", path)
+    if bucket_by is not None:
+        n, keys = bucket_by
+        w = w.bucketBy(n, *keys).sortBy(*keys)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.saveAsTable(stage)
-    spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+    if spark.catalog.tableExists(table):
+        spark.sql(f"DROP TABLE {table}")
+    spark.sql(f"ALTER TABLE {stage} RENAME TO {table}")
     spark.catalog.refreshTable(table)
-    spark.sql(f"DROP TABLE {stage}")
     return path
 
 

@@ -3,8 +3,9 @@
 Each input exists twice with the same meaning: a Spark builder and a DuckDB
 CTE.  The modulo rules below do not sample anything: they derive a *changed*
 source and an *older* target from the same whole table (which keys exist on
-each side, which values changed), so every query still reads and processes
-whole tables.
+each side, which values changed).  Every row is on at least one side (the
+target has the order keys not divisible by 5, the source those divisible by 3
+or 5), so every query reads and processes whole tables.
 
 Fixed values:
   AS_OF    = 2002-01-01 00:00:00   load time used instead of the clock
@@ -37,7 +38,8 @@ def tgt_orders(spark, d):
 
 
 def src_orders(spark, d):
-    o = table(spark, d, "orders").where(F.col("o_orderkey") % 3 == 0)
+    k = F.col("o_orderkey")
+    o = table(spark, d, "orders").where((k % 3 == 0) | (k % 5 == 0))
     return o.withColumns({
         "o_totalprice": F.when(F.col("o_orderkey") % 2 == 0, F.col("o_totalprice") + 100).otherwise(F.col("o_totalprice")),
         "o_orderpriority": F.when(F.col("o_orderkey") % 7 == 0, F.lit(None).cast("string")).otherwise(F.col("o_orderpriority")),
@@ -113,7 +115,7 @@ CTE = {
         CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice + 100 ELSE o_totalprice END AS o_totalprice,
         o_orderdate,
         CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderpriority END AS o_orderpriority
-        FROM orders WHERE o_orderkey % 3 = 0""",
+        FROM orders WHERE o_orderkey % 3 = 0 OR o_orderkey % 5 = 0""",
     "dirty_orders": """SELECT o_orderkey,
         CASE WHEN o_orderkey % 13 = 0 THEN o_custkey + 100000 ELSE o_custkey END AS o_custkey,
         CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderstatus END AS o_orderstatus,

@@ -19,7 +19,8 @@ BASE = with_("dim_part", "src_part", extra={
     "stg": "SELECT CAST(p_partkey AS VARCHAR) AS merge_key, *, 'close' AS stage FROM chg "
            "UNION ALL SELECT NULL, *, 'insert' FROM chg "
            "UNION ALL SELECT NULL, s.*, 'new' FROM src_part s WHERE NOT EXISTS "
-           "(SELECT 1 FROM opn o WHERE o.p_partkey = s.p_partkey)",
+           "(SELECT 1 FROM dim_part o WHERE o.p_partkey = s.p_partkey)",
+    "ended": f"SELECT p_partkey, max(valid_through_date) AS t FROM dim_part WHERE valid_through_date <> {OPEN} GROUP BY p_partkey",
 })
 
 
@@ -59,7 +60,7 @@ def dim_scd1_apply(spark, d):
     return dims.scd1_apply(dim_part(spark, d), src_part(spark, d), KEYS, TRACKED, ATTRS)
 
 
-@query("dim_new_members", BASE + "SELECT * FROM src_part s WHERE NOT EXISTS (SELECT 1 FROM opn o WHERE o.p_partkey = s.p_partkey)")
+@query("dim_new_members", BASE + "SELECT * FROM src_part s WHERE NOT EXISTS (SELECT 1 FROM dim_part o WHERE o.p_partkey = s.p_partkey)")
 def dim_new_members(spark, d):
     return dims.new_members(src_part(spark, d), dim_part(spark, d), KEYS)
 
@@ -73,7 +74,8 @@ UNION ALL BY NAME
 SELECT {NEW_ID} AS part_dim_id, 'erp' AS source_system, s.*, {T} AS valid_from_date, {OPEN} AS valid_through_date, 'N2' AS load_type
 FROM opn o JOIN src_part s ON o.p_partkey = s.p_partkey WHERE o.p_retailprice IS DISTINCT FROM s.p_retailprice
 UNION ALL BY NAME
-SELECT {NEW_ID} AS part_dim_id, 'erp' AS source_system, s.*, {MIN} AS valid_from_date, {OPEN} AS valid_through_date, 'N' AS load_type
+SELECT {NEW_ID} AS part_dim_id, 'erp' AS source_system, s.*,
+  coalesce((SELECT t FROM ended e WHERE e.p_partkey = s.p_partkey), {MIN}) AS valid_from_date, {OPEN} AS valid_through_date, 'N' AS load_type
 FROM src_part s WHERE NOT EXISTS (SELECT 1 FROM opn o WHERE o.p_partkey = s.p_partkey)
 UNION ALL BY NAME
 SELECT o.part_dim_id, o.source_system, s.*, o.valid_from_date, o.valid_through_date, 'U1' AS load_type

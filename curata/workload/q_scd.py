@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..constants import ts
 from ..operators import dedupe, loads, scd
 from .inputs import AS_OF, LI_KEYS, LI_ORDER, LI_TIES, li_batch, li_hist, li_new, src_orders, tgt_orders, table, with_
 from .registry import query
@@ -63,11 +64,12 @@ def scd1_merge(spark, d):
     return scd.scd1(tgt_orders(spark, d), src_orders(spark, d), ["o_orderkey"])
 
 
-@query("load_complete", with_("src_orders") + f"""
-SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY o_orderdate DESC) rn
-FROM src_orders) WHERE rn = 1""")
+@query("load_complete", f"""
+SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER ({LI_W_DESC}) rn FROM lineitem) WHERE rn = 1""")
 def load_complete(spark, d):
-    return loads.apply_load("complete", tgt_orders(spark, d), src_orders(spark, d), ["o_orderkey"], ["o_orderdate"])
+    """The whole batch, keys repeated, replaces what earlier loads left."""
+    old = scd.current_rows(li_hist(spark, d)).drop("start_time", "end_time", "is_current", "is_deleted")
+    return loads.apply_load("complete", old, li_batch(spark, d), LI_KEYS, LI_ORDER, LI_TIES)
 
 
 @query("scd1_merge_latest", with_("li_hist", "li_new", extra={
@@ -161,7 +163,8 @@ UNION ALL BY NAME
 SELECT t.* REPLACE (TIMESTAMP '{AS_OF}' AS end_time, 0 AS is_current)
 FROM t JOIN src_orders s ON t.o_orderkey = s.o_orderkey WHERE {ORD_DIFF}
 UNION ALL BY NAME
-SELECT s.*, s.o_orderdate AS start_time, CAST(NULL AS TIMESTAMP) AS end_time, 1 AS is_current, 0 AS is_deleted
+SELECT s.*, greatest(s.o_orderdate, TIMESTAMP '1995-01-01 00:00:00') AS start_time, CAST(NULL AS TIMESTAMP) AS end_time,
+  1 AS is_current, 0 AS is_deleted
 FROM src_orders s LEFT JOIN t ON t.o_orderkey = s.o_orderkey WHERE t.o_orderkey IS NULL OR ({ORD_DIFF})
 UNION ALL BY NAME
 SELECT t.* REPLACE (TIMESTAMP '{AS_OF}' AS end_time, 0 AS is_current, 1 AS is_deleted)
@@ -170,4 +173,4 @@ def scd2_full_compare(spark, d):
     t = tgt_orders(spark, d).withColumns({
         "start_time": F.col("o_orderdate"), "end_time": F.lit(None).cast("timestamp_ntz"),
         "is_current": F.lit(1), "is_deleted": F.lit(0)})
-    return scd.scd2_full_compare(t, src_orders(spark, d), ["o_orderkey"], ["o_orderdate"], AS_OF)
+    return scd.scd2_full_compare(t, src_orders(spark, d), ["o_orderkey"], ["o_orderdate", ts("1995-01-01 00:00:00")], AS_OF)

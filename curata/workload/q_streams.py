@@ -10,7 +10,8 @@ from ..plans import flows, steps
 from ..session import scratch_path
 from ..streaming import sinks as ss
 from ..streaming.sources import file_name, stream, with_stream_control
-from .inputs import AS_OF
+from ..constants import ts
+from .inputs import AS_OF, table
 from .registry import comparable, query
 from .sqlgen import md5_of
 
@@ -37,12 +38,25 @@ LATEST_USER = ("SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITI
                "event_id DESC) AS rn FROM events) WHERE rn = 1")
 
 
+WAVES = ["1900-01-01", "2024-01-11", "2024-01-21", "2999-01-01"]       # the events land in three waves, by time
+
+
+def _waves(spark, d, root):
+    """Land the events wave by wave under ``root``; yields after each."""
+    e = table(spark, d, "events")
+    for a, b in zip(WAVES, WAVES[1:]):
+        e.where((F.col("ts") >= ts(f"{a} 00:00:00")) & (F.col("ts") < ts(f"{b} 00:00:00"))).write.mode("append").parquet(f"{root}/landing")
+        yield
+
+
 def _run_batches(spark, d, root, fn):
-    q = ss.for_each_batch(_events_stream(spark, d), fn, f"{root}/_checkpoint")
+    """One micro-batch per wave: each run resumes from the checkpoint of the one before."""
+    for _ in _waves(spark, d, root):
+        q = ss.for_each_batch(stream(spark, "parquet", f"{root}/landing", {}), fn, f"{root}/_checkpoint")
     return spark.read.parquet(ss.batch_path(f"{root}/out", ss.last_batch(q)))
 
 
-@query("stream_overwrite", LATEST_USER)
+@query("stream_overwrite", LATEST_USER.replace("FROM events)", f"FROM events WHERE ts >= TIMESTAMP '{WAVES[2]} 00:00:00')"))
 def stream_overwrite(spark, d):
     root = scratch_path(spark, "stream-overwrite")
     fn = ss.overwrite_latest(spark, f"{root}/out",

@@ -10,7 +10,9 @@ NULL_MARK = "chr(1)"
 def enc(col: str, kind: str = "str", scale: int = 6) -> str:
     """DuckDB text of one value, as curata.functions.hashing.encode."""
     if kind == "double":
-        txt = f"CAST(CAST({col} + 0.0 AS DECIMAL(38,{scale})) AS VARCHAR)"
+        fixed = f"TRY_CAST({col} + 0.0 AS DECIMAL(38,{scale}))"
+        txt = (f"CASE WHEN CAST({fixed} AS DOUBLE) = {col} THEN CAST({fixed} AS VARCHAR) "
+               f"ELSE '~' || CAST({col} AS VARCHAR) END")
     else:
         txt = f"CAST({col} AS VARCHAR)"
     return f"coalesce({txt}, {NULL_MARK})"

@@ -129,8 +129,8 @@ def test_versions_skew_split_matches_plain_window(spark):
     df = spark.createDataFrame(data, "k int, s timestamp_ntz, tb int")
     plain = dedupe.versions_per_key(df, ["k"], "s", ["tb"], skew=False)
     split = dedupe.versions_per_key(df, ["k"], "s", ["tb"],
-                                    skew={"fraction": 1.0, "min_sample_rows": 100, "splits": 8})
-    assert dedupe.hot_key_splits(df, ["k"], "s", fraction=1.0, min_sample_rows=100, splits=8).count() == 1
+                                    skew={"fraction": 1.0, "partitions": 8})
+    assert dedupe.hot_key_splits(df, ["k"], "s", ["tb"], fraction=1.0, partitions=8).count() == 1
     assert split.columns == plain.columns
     cols = ("k", "s", "tb", "end_time", "is_current", "version")
     assert rows(split, *cols) == rows(plain, *cols)
@@ -153,8 +153,8 @@ def test_versions_skew_split_composite_key_date_order(spark):
     data = [("a", 1, base + dt.timedelta(days=rnd.randint(0, 400)), i) for i in range(3000)]
     data += [("b", 2, base, 1), ("b", 2, base + dt.timedelta(days=1), 2), ("a", 2, base, 3)]
     df = spark.createDataFrame(data, "k1 string, k2 int, d date, tb int")
-    opts = {"fraction": 1.0, "min_sample_rows": 100, "splits": 6}
-    assert dedupe.hot_key_splits(df, ["k1", "k2"], "d", **opts).count() == 1
+    opts = {"fraction": 1.0, "partitions": 6}
+    assert dedupe.hot_key_splits(df, ["k1", "k2"], "d", ["tb"], **opts).count() == 1
     plain = dedupe.versions_per_key(df, ["k1", "k2"], "d", ["tb"], skew=False)
     split = dedupe.versions_per_key(df, ["k1", "k2"], "d", ["tb"], skew=opts)
     cols = ("k1", "k2", "d", "tb", "end_time", "is_current", "version")
@@ -167,8 +167,8 @@ def test_versions_skew_split_string_order(spark):
     words = ["", "a", "ab", "abc", "b", "ba", "zz", "é", "éa", "A", "a\u0001", "abcdefg", "abcdefh"]
     data = [(1, rnd.choice(words) + str(rnd.randint(0, 50)), i) for i in range(2000)] + [(2, "x", 1)]
     df = spark.createDataFrame(data, "k int, s string, tb int")
-    opts = {"fraction": 1.0, "min_sample_rows": 100, "splits": 8}
-    assert dedupe.hot_key_splits(df, ["k"], "s", **opts) is not None
+    opts = {"fraction": 1.0, "partitions": 8}
+    assert dedupe.hot_key_splits(df, ["k"], "s", ["tb"], **opts) is not None
     plain = dedupe.versions_per_key(df, ["k"], "s", ["tb"], end_col="nxt", skew=False)
     split = dedupe.versions_per_key(df, ["k"], "s", ["tb"], end_col="nxt", skew=opts)
     cols = ("k", "s", "tb", "nxt", "is_current", "version")
