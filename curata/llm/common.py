@@ -56,6 +56,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+SMALL = 500_000                  # rows of a few longs that may be broadcast (some 30 MB)
+
+
+def joined(df: DataFrame, side: DataFrame, rows: int, on, how: str = "inner") -> DataFrame:
+    """Join with a narrow side of ``rows`` counted rows: broadcast while that is few, else by shuffle."""
+    return df.join(F.broadcast(side) if rows <= SMALL else side, on, how)
+
+
+def packed(df: DataFrame, rows: int, per_task: int = 200_000) -> DataFrame:
+    """``df``, of about ``rows`` rows, in no more tasks than they need."""
+    return df.coalesce(1 + rows // per_task)
+
+
 def fresh(taken, *names: str) -> list[str]:
     """``names``, each lengthened until it clashes with no column of ``taken``."""
     low = {c.lower() for c in taken}

@@ -94,7 +94,7 @@ def mix(docs: DataFrame, weights=(1, 2, 3), cap: int = 3, block: int = 64,
     share = F.sum("target").over(Window.orderBy("source_no"))
     n_rows, n_sources = d.count(), per.count()
     total = per.agg(F.sum("source_size")).first()[0] or 0
-    high = share / F.sum("target").over(Window.partitionBy())
+    high = F.coalesce(F.try_divide(share, F.sum("target").over(Window.partitionBy())), F.lit(0.0))
     per = written(per.withColumn("high", high).withColumn("low", F.lag("high", 1, 0.0).over(Window.orderBy("source_no"))), "shares")
 
     slots = written(_slots(spark, per, -(-total // block), n_sources), "slots")

@@ -55,7 +55,7 @@ def test_simhash_chains_and_families(spark):
             for _ in range(rng.randint(0, 3)):
                 base ^= 1 << rng.randrange(64)
     signed = [x - (1 << 64) if x >> 63 else x for x in rows]
-    fam = {r["fp"]: r["root"] for r in simhash.families(spark.createDataFrame([(x,) for x in signed], "fp long"), 4).collect()}
+    fam = {r["fp"]: r["root"] for r in simhash.families(spark.createDataFrame([(x,) for x in signed], "fp long"), 4)[0].collect()}
     root = components(sorted(set(rows)), lambda a, b: (a ^ b).bit_count() <= 4)
     mine = {x: fam.get(s, s) for x, s in zip(rows, signed)}
     pairs = {(root[x], mine[x]) for x in rows}
