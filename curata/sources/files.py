@@ -9,13 +9,13 @@ reproducible; pass ``F.current_timestamp()`` for wall-clock stamping.
 from __future__ import annotations
 
 from collections.abc import Callable
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import as_of_col
 
+LISTING = ("recursiveFileLookup", "pathGlobFilter", "modifiedBefore", "modifiedAfter")
 FORMATS = ("parquet", "csv", "json", "orc", "text", "avro", "delta")
 
 
@@ -95,13 +95,13 @@ def read(spark: SparkSession, fmt: str, path: str, options: dict | None = None,
 def latest_file(spark: SparkSession, fmt: str, path: str, options: dict | None = None) -> DataFrame:
     """One row (file_path, file_modification_time) for the newest file.
 
-    ``max_by`` is an aggregate with map-side partials, so no single-partition
-    window over all files is needed.
+    The files are listed as binary files, one row each; their content column is
+    pruned, so no file of any format is opened.  ``max_by`` has map-side
+    partials, so no window over all files is needed.
     """
-    meta = (_reader(spark, fmt, options).load(path)
-            .select(F.col("_metadata.file_path").alias("p"),
-                    F.col("_metadata.file_modification_time").alias("t"))
-            .distinct())
+    listing = {k: v for k, v in (options or {}).items() if k in LISTING}
+    meta = (_reader(spark, "binaryFile", listing).load(path)
+            .select(F.col("path").alias("p"), F.col("modificationTime").alias("t")))
     return meta.agg(F.max_by("p", F.struct("t", "p")).alias("file_path"),
                     F.max("t").alias("file_modification_time"))
 
@@ -115,12 +115,13 @@ def read_latest_file(spark: SparkSession, fmt: str, path: str, options: dict | N
     newest = latest_file(spark, fmt, path, options).first()
     if newest is None or newest["file_path"] is None:
         return _reader(spark, fmt, options).load(path).limit(0)
-    # _metadata.file_path is a URL-encoded URI (a blank is %20); load wants the path
-    return _reader(spark, fmt, options).load(unquote(newest["file_path"]))
+    return _reader(spark, fmt, options).load(newest["file_path"])
 
 
 def schema_of(spark: SparkSession, fmt: str, path: str, options: dict | None = None):
-    """Schema from a zero-row batch read (no data job)."""
+    """Schema from a zero-row batch read: from one file's footer for parquet and
+    orc.  JSON, and CSV with inferSchema, read every file to infer one: give
+    those readers a schema instead."""
     return _reader(spark, fmt, options).load(path).limit(0).schema
 
 

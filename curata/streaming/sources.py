@@ -38,7 +38,8 @@ def _native_options(fmt: str, opts: dict) -> tuple[str, dict]:
 def stream(spark: SparkSession, fmt: str, path: str, options: dict | None = None, schema=None,
            lineage: bool = False, normalize: bool = True) -> DataFrame:
     """A file stream.  Without a schema it is taken from a zero-row batch
-    read of the same path (no data job); ``schema="newest"`` takes it from
+    read of the same path (a footer read for parquet and orc; JSON reads every
+    file to infer one, so give it a schema); ``schema="newest"`` takes it from
     the most recently modified file instead (older files then read with
     nulls for columns they lack).  Options such as pathGlobFilter,
     recursiveFileLookup and maxFilesPerTrigger pass through."""
