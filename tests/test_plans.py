@@ -2,24 +2,41 @@
 
 import pytest
 
-import __spark_entry__ as E
 from curata.operators import incremental, scd
+from curata.workload import QUERIES
 from curata.workload.inputs import table
 
-WRITES = ("src_", "sink_", "stream_")     # keys that write while being built
+WRITES = ("src_", "sink_", "stream_", "pipe_stream")     # keys that write while being built
 
 
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(k for k in E.queries() if not k.startswith(WRITES)))
+@pytest.mark.parametrize("name", sorted(k for k in QUERIES if not k.startswith(WRITES)))
 def test_no_python_udf_no_cross_join(spark, sf, name):
-    plan = _plan(E.queries()[name](spark, sf))
+    plan = _plan(QUERIES[name](spark, sf))
     for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert bad not in plan, f"{name}: {bad}"
 
 
+def test_late_calendar_and_newest_file_plans(spark, sf):
+    assert "BroadcastNestedLoopJoin" not in _plan(QUERIES["late_demand_forecast"](spark, sf))
+    from curata.session import scratch_path
+    from curata.sources import files
+    root = scratch_path(spark, "listing")
+    spark.range(3).write.json(root)
+    plan = _plan(files.latest_file(spark, "json", root))
+    assert "binaryFile" in plan and "content" not in plan.split("ReadSchema")[-1]
+
+
+def test_one_pass_duplicate_flags(spark, sf):
+    from curata.operators import quality
+    o = table(spark, sf, "orders")
+    plan = _plan(quality.with_duplicate_marker(o, ["o_custkey"], ["o_orderkey"], "again"))
+    assert "Generate" not in plan and "Union" not in plan
+
+
 def test_incremental_window_is_pushed_to_the_scan(spark, sf):
     df = incremental.window(table(spark, sf, "orders"), "o_orderdate", "1999-01-01 00:00:00")
     plan = _plan(df)
@@ -33,6 +50,6 @@ def test_upsert_anti_join_reads_only_keys(spark, sf):
 
 
 def test_point_in_interval_join_rides_on_the_key(spark, sf):
-    plan = _plan(E.queries()["late_dc_items"](spark, sf))
+    plan = _plan(QUERIES["late_dc_items"](spark, sf))
     assert ("SortMergeJoin" in plan or "BroadcastHashJoin" in plan or "ShuffledHashJoin" in plan)
     assert "LeftAnti" in plan
