@@ -10,8 +10,8 @@ bits bounds their difference.  What passes is verified on the word sets.
 
 Equal lines form one class, represented by its earliest line.  Families of
 similar lines are thinned first: every class is checked against the earliest
-class under each of its rarest words, and only classes that this leaves
-without an earlier match go through the full join.
+class under each of its rarest words, and only pairs with a class that this
+leaves without an earlier match come out of the full join.
 """
 
 from __future__ import annotations
@@ -21,29 +21,32 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, ident, written
+from .common import SMALL, fresh, ident, joined, packed, written
 
-SPACES = r"[\x20\x09-\x0D]+"
-TRIM = " \t\r\x0b\x0c\n"
+BLANKS = "\t\x0b\x0c\r"          # white space within a line beside the space
+TRIM = " " + BLANKS + "\n"
 BUCKETS = 1 << 17                # word counts are kept by hash bucket; a bounded table
 LEADS = 3                        # rarest words under which a class meets its family's earliest line
-SMALL = 500_000                  # rows of two or three longs that may be broadcast (some 30 MB)
+FIELD = (1 << 15) - 1            # word counts and positions are kept up to here; at it, no filter applies
+LAST = (1 << 63) - 1
 
 
-def _near_side(df: DataFrame, small: DataFrame, on, how: str) -> DataFrame:
-    """Join with a written side: broadcast if its counted rows are few, else by shuffle."""
-    return df.join(F.broadcast(small) if small.count() <= SMALL else small, on, how)
+def _spaced(line: Column) -> Column:
+    """The line with every blank a space (rarely any work)."""
+    odd = F.lit(False)
+    for c in BLANKS:
+        odd = odd | F.contains(line, F.lit(c))
+    return F.when(odd, F.translate(line, BLANKS, " " * len(BLANKS))).otherwise(line)
 
 
-def rarity(docs: DataFrame) -> bytes:
-    """One byte for each hash bucket of words: how often its words occur, on a
-    logarithmic scale (at most 62, an ASCII character)."""
-    words = docs.select(F.explode(F.split(F.trim("text", F.lit(TRIM)), SPACES)).alias("w"))
-    counts = words.groupBy(F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).alias("b")).count().collect()     # at most BUCKETS rows
-    out = bytearray(b"\x01" * BUCKETS)
+def rarity(docs: DataFrame) -> list[int]:
+    """For each hash bucket of words how often its words occur, on a logarithmic scale (1 to 62)."""
+    words = docs.select(F.explode(F.split(F.replace(_spaced(F.col("text")), F.lit("\n"), F.lit(" ")), " ")).alias("w"))
+    counts = words.where("w <> ''").groupBy(F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).alias("b")).count().collect()   # at most BUCKETS rows
+    out = [1] * BUCKETS
     for b, n in counts:
         out[b] = min(62, 1 + int(1.5 * math.log2(n)))
-    return bytes(out)
+    return out
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -53,19 +56,19 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def _words(line: Column) -> Column:
-    return F.array_distinct(F.transform(F.split(line, SPACES), lambda w: F.xxhash64(w)))
+    hashes = F.array_distinct(F.transform(F.split(_spaced(line), " "), lambda w: F.xxhash64(w)))
+    return F.array_remove(hashes, F.xxhash64(F.lit("")))
 
 
-def _ordered(words: Column, levels: bytes) -> Column:
+def _ordered(words: Column, levels: list[int]) -> Column:
     """Word hashes as longs that sort by rarity: level in the high byte, hash below."""
-    table = F.lit(bytearray(levels))
+    table = F.split(F.lit(",".join(map(str, levels))), ",").cast("array<bigint>")     # folded to a constant
 
     def key(h: Column) -> Column:
-        at = (F.pmod(h, F.lit(BUCKETS)) + 1).cast("int")
-        level = F.ascii(F.substring(table, at, F.lit(1)).cast("string")).cast("long")
+        level = F.get(table, F.pmod(h, F.lit(BUCKETS)).cast("int"))
         return F.shiftleft(level, 56).bitwiseOR(F.shiftrightunsigned(h, 8))
 
-    return F.array_sort(F.transform(words, key))
+    return F.sort_array(F.transform(words, key))
 
 
 def _parity(keys: Column) -> Column:
@@ -74,67 +77,93 @@ def _parity(keys: Column) -> Column:
                        lambda a, k: a.bitwiseXOR(F.call_function("shiftleft", one, k.bitwiseAND(F.lit(63)).cast("int"))))
 
 
-def _classes(docs: DataFrame, levels: bytes, t: float) -> DataFrame:
-    """One row per different line: h, h2 (its hash), place (of the earliest), n, parity, prefix."""
+def _sub(no: Column, mark: Column) -> Column:
+    """A line's place within the rows of one doc_id: line number, then half of the row's hash."""
+    return F.shiftleft(no.cast("long"), 32).bitwiseOR(mark.bitwiseAND(F.lit((1 << 32) - 1)))
+
+
+def _classes(docs: DataFrame, levels: list[int], t: float) -> DataFrame:
+    """One row per different line: h, h2 (its hash), doc, sub, mark, no (the earliest), n, parity, prefix."""
     d = _lines(docs).select(
         F.xxhash64("line").alias("h"), F.hash("line").alias("h2"), "doc", "mark", "no",
         _ordered(_words(F.col("line")), levels).alias("keys"))
     n = F.size("keys")
     long = (n - F.ceil(n * t - 1e-9) + 1).cast("int")
     d = d.select("h", "h2", F.struct(
-        F.col("doc").isNull().alias("none"), "doc", "mark", "no", n.alias("n"), _parity(F.col("keys")).alias("parity"),
-        F.slice("keys", F.lit(1), long).alias("prefix")).alias("first"))
-    best = d.groupBy("h", "h2").agg(F.min("first").alias("first"))
-    return best.select("h", "h2", F.struct("first.none", "first.doc", "first.mark", "first.no").alias("place"),
-                       "first.n", "first.parity", "first.prefix")
+        F.coalesce("doc", F.lit(LAST)).alias("doc"), _sub(F.col("no"), F.col("mark")).alias("sub"), "mark", "no", n.alias("n"),
+        _parity(F.col("keys")).alias("parity"), F.slice("keys", F.lit(1), long).alias("prefix")).alias("first"))
+    return d.groupBy("h", "h2").agg(F.min("first").alias("first")).select("h", "h2", "first.*")
+
+
+def _packed_size(n: Column, at: Column, done: Column) -> Column:
+    """Word count, position from 1 and a flag in one number: what travels with a prefix word."""
+    return (F.least(n, F.lit(FIELD)) * (FIELD + 1) + F.least(at + 1, F.lit(FIELD))) * 2 + done
+
+
+def _opened(size: Column) -> tuple[Column, Column]:
+    return F.shiftright(size, 16), F.shiftright(size, 1).bitwiseAND(F.lit(FIELD))
 
 
 def _may_match(x: str, y: str, t: float) -> Column:
-    """The length, positional and parity filters for rows x and y that share a word at ``at``."""
-    nx, ny = F.col(f"{x}.n"), F.col(f"{y}.n")
+    """The length, positional and parity filters for entries x and y of one word."""
+    (nx, ax), (ny, ay) = (_opened(F.col(f"{side}.size")) for side in (x, y))
+    settled = F.col(f"{y}.size").bitwiseAND(F.lit(1)) * (2 * FIELD)      # a flagged y has its match: nothing fits it any more
     least = F.ceil((nx + ny) * (t / (1 + t)) - 1e-9)
-    return ((F.least(nx, ny) >= F.greatest(nx, ny) * t - 1e-9)
-            & (F.least(nx - F.col(f"{x}.at"), ny - F.col(f"{y}.at")) + 1 >= least)
-            & (F.bit_count(F.col(f"{x}.parity").bitwiseXOR(F.col(f"{y}.parity"))) <= nx + ny - 2 * least))
-
-
-def _pairs(joined: DataFrame) -> DataFrame:
-    return written(joined.select(F.col("y.h").alias("h"), F.col("y.h2").alias("h2"), F.col("y.place.mark").alias("ymark"),
-                                 F.col("y.place.no").alias("yno"), F.col("x.place.mark").alias("xmark"),
-                                 F.col("x.place.no").alias("xno")).distinct(), "line-pairs")
-
-
-def _verified(docs: DataFrame, pairs: DataFrame, t: float) -> DataFrame:
-    """(h, h2) of the classes with a pair whose word sets have Jaccard >= t."""
-    need = written(pairs.select(F.col("ymark").alias("mark"), F.col("yno").alias("no"))
-                   .union(pairs.select("xmark", "xno")).distinct(), "line-places")
-    lines = _near_side(docs, need.select("mark").distinct(), "mark", "left_semi").dropDuplicates(["mark"])
-    lines = _near_side(_lines(lines), need, ["mark", "no"], "left_semi")
-    sets = written(lines.select("mark", "no", _words(F.col("line")).alias("words")), "line-words")
-    y = sets.select(F.col("mark").alias("ymark"), F.col("no").alias("yno"), F.col("words").alias("ywords"))
-    x = sets.select(F.col("mark").alias("xmark"), F.col("no").alias("xno"), F.col("words").alias("xwords"))
-    both = F.size(F.array_intersect("xwords", "ywords"))
-    good = both / (F.size("xwords") + F.size("ywords") - both) >= t
-    return pairs.join(y, ["ymark", "yno"]).join(x, ["xmark", "xno"]).where(good).select("h", "h2").distinct()
-
-
-def matches(docs: DataFrame, t: float = 0.8) -> tuple[DataFrame, DataFrame]:
-    """For rows (doc, mark, text): the classes of lines, and (h, h2) of those
-    that match an earlier line.  Words are case-sensitive."""
+    fits = ((F.least(nx, ny) >= F.greatest(nx, ny) * t - 1e-9)
+            & (F.least(nx - ax, ny - ay) + 1 >= least)
+            & (F.bit_count(F.col(f"{x}.parity").bitwiseXOR(F.col(f"{y}.parity"))) + settled <= nx + ny - 2 * least))
+    return (F.greatest(nx, ny) >= FIELD) | fits
+
+
+def _earlier(x: str, y: str) -> Column:
+    return (F.col(f"{x}.doc") < F.col(f"{y}.doc")) | ((F.col(f"{x}.doc") == F.col(f"{y}.doc")) & (F.col(f"{x}.sub") < F.col(f"{y}.sub")))
+
+
+def _verified(docs: DataFrame, classes: DataFrame, both: DataFrame, t: float) -> tuple[DataFrame, int]:
+    """(h, h2) of the classes y among the pairs x, y whose word sets have Jaccard >= t, and their number."""
+    pairs = written(both.select(F.col("x.doc").alias("xd"), F.col("x.sub").alias("xs"), F.col("y.doc").alias("yd"), F.col("y.sub").alias("ys"))
+                    .distinct(), "line-pairs")
+    rows = pairs.count()
+    ends = pairs.select(F.col("xd").alias("doc"), F.col("xs").alias("sub")).union(pairs.select("yd", "ys")).distinct()
+    at = joined(classes.select("doc", "sub", "h", "h2", "mark", "no"), ends, 2 * rows, ["doc", "sub"], "left_semi")
+    at = written(packed(at, 2 * rows), "line-ends")
+    # the needed lines of a text by number, so that its other lines are left alone
+    need = written(at.groupBy("mark").agg(F.collect_list(F.struct("no", "doc", "sub", "h", "h2")).alias("need")), "line-needs")
+    texts = joined(docs.select("mark", "text"), need, need.count() * 4, "mark").dropDuplicates(["mark"])
+    texts = texts.select(F.split("text", "\n").alias("lines"), F.explode("need").alias("e"))
+    line = F.trim(F.get("lines", F.col("e.no")), F.lit(TRIM))
+    sets = written(texts.select("e.doc", "e.sub", "e.h", "e.h2", _words(line).alias("words")), "line-words")
+    small = rows <= SMALL // 20                                     # word sets are some 20 times as wide
+    x = sets.select(F.col("doc").alias("xd"), F.col("sub").alias("xs"), F.col("words").alias("xwords"))
+    y = sets.select(F.col("doc").alias("yd"), F.col("sub").alias("ys"), "h", "h2", F.col("words").alias("ywords"))
+    p = pairs.join(F.broadcast(x) if small else x, ["xd", "xs"]).join(F.broadcast(y) if small else y, ["yd", "ys"])
+    common = F.size(F.array_intersect("xwords", "ywords"))
+    good = common / (F.size("xwords") + F.size("ywords") - common) >= t
+    out = written(packed(p.where(good).select("h", "h2").distinct(), rows), "line-matched")
+    return out, out.count()
+
+
+def matches(docs: DataFrame, t: float = 0.8) -> tuple[DataFrame, DataFrame, int]:
+    """For rows (doc, mark, text): the classes of lines, (h, h2) of those that
+    match an earlier line, and their number.  Words are case-sensitive."""
     classes = written(_classes(docs, rarity(docs), t), "line-classes")
-    keyed = classes.select("h", "h2", "place", "n", "parity", F.posexplode("prefix").alias("at", "key")).withColumn("at", F.col("at") + 1)
-    rare = keyed.where(F.col("at") <= LEADS)
-    lead = rare.groupBy("key").agg(F.min(F.struct("place", "h", "h2", "n", "parity", "at")).alias("x"), F.count("*").alias("lines"))
-    lead = lead.where("lines > 1").select("key", "x.*")
-    first = _pairs(lead.alias("x").join(rare.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.place") < F.col("y.place"))
-                                        & _may_match("x", "y", t)))
-    done = written(_verified(docs, first, t), "line-matched")
-    open_ = done.select("h", "h2", F.lit(True).alias("done"))
-    keyed = keyed.join(F.broadcast(open_) if done.count() <= SMALL else open_, ["h", "h2"], "left")
-    x, y = keyed.alias("x"), keyed.alias("y")
-    rest = _pairs(x.join(y, (F.col("x.key") == F.col("y.key")) & F.col("y.done").isNull() & (F.col("x.place") < F.col("y.place"))
-                         & _may_match("x", "y", t)))
-    return classes, written(done.union(_verified(docs, rest, t)), "line-matched")
+    line = ["doc", "sub", "parity"]
+
+    def entries(c: DataFrame, prefix: Column, done: Column) -> DataFrame:
+        e = c.select(*line, "n", done.alias("done"), F.posexplode(prefix).alias("at", "key"))
+        return e.select("key", *line, _packed_size(F.col("n"), F.col("at"), F.col("done")).alias("size"))
+
+    rare = entries(classes, F.slice("prefix", 1, LEADS), F.lit(0))
+    lead = rare.groupBy("key").agg(F.min(F.struct(*line, "size")).alias("x"), F.count("*").alias("lines"))
+    lead = lead.where("lines > 1").select("key", "x.*").alias("x")
+    first = lead.join(rare.alias("y"), (F.col("x.key") == F.col("y.key")) & _earlier("x", "y") & _may_match("x", "y", t))
+    done, found = _verified(docs, classes, first, t)
+
+    state = joined(classes, done.withColumn("done", F.lit(1)), found, ["h", "h2"], "left")
+    full = entries(state, F.col("prefix"), F.coalesce("done", F.lit(0)))         # both sides alike: one exchange
+    rest = full.alias("x").join(full.alias("y"), (F.col("x.key") == F.col("y.key")) & _earlier("x", "y") & _may_match("x", "y", t))
+    more, also = _verified(docs, classes, rest, t)
+    return classes, written(packed(done.union(more).distinct(), found + also), "line-matched"), found + also
 
 
 def dedup(docs: DataFrame, t: float = 0.8, doc_id: str = "doc_id", text: str = "text",
@@ -142,28 +171,36 @@ def dedup(docs: DataFrame, t: float = 0.8, doc_id: str = "doc_id", text: str = "
     """``docs`` with every line removed that matches an earlier one, plus the
     number of lines with a word and of those removed.
 
-    Earlier is by doc_id (nulls last), then text, then line number; a line
-    goes if any earlier line has Jaccard >= ``t`` with it, removed or not.
-    Of wholly equal rows the first keeps its lines.  Blank lines stay; a null
-    text stays null with no lines.  Columns keep their order; extra columns
-    pass through, columns named like the two counts are replaced.
+    Earlier is by doc_id (nulls last), then line number, then a hash of id and
+    text; a line goes if any earlier line has Jaccard >= ``t`` with it,
+    removed or not.  Of rows with equal id and text one keeps its lines.
+    Blank lines stay; a null text stays null with no lines.  Columns keep
+    their order; extra columns pass through, columns named like the two
+    counts are replaced.
     """
     kept = [c for c in docs.columns if c.lower() not in (n_lines.lower(), n_removed.lower())]
     mark, copy, gone, lines = fresh([*docs.columns, n_lines, n_removed], "mark", "copy", "gone", "lines")
     key = F.xxhash64(ident(doc_id), F.lit("|"), ident(text))
-    d = docs.select(ident(doc_id).alias("doc"), key.alias("mark"), ident(text).alias("text")).where(F.col("text").isNotNull())
-    classes, matched = matches(d, t)
-    state = classes.select("h", "h2", F.col("place.mark").alias("m0"), F.col("place.no").alias("no0")).join(
-        matched.withColumn("hit", F.lit(True)), ["h", "h2"], "left")
+    d = docs.select(ident(doc_id).cast("long").alias("doc"), key.alias("mark"), ident(text).alias("text")).where(F.col("text").isNotNull())
+    classes, matched, found = matches(d, t)
+    state = joined(classes.select("h", "h2", F.col("mark").alias("m0"), F.col("no").alias("no0")),
+                   matched.withColumn("hit", F.lit(True)), found, ["h", "h2"], "left")
     seen = _lines(d).select("mark", "no", F.xxhash64("line").alias("h"), F.hash("line").alias("h2"))
     out = seen.join(state, ["h", "h2"]).where("hit OR mark <> m0 OR no <> no0")
-    out = out.groupBy("mark").agg(F.collect_set("no").alias(gone)).withColumnRenamed("mark", mark)     # within one text
+    out = written(out.groupBy("mark").agg(F.collect_set("no").alias("gone")), "line-removed")     # lists within one text
+    out = out.select(F.col("mark").alias(mark), F.col("gone").alias(gone))
+    again = written(d.groupBy("mark").count().where("count > 1").select(F.col("mark").alias(mark)), "line-repeated")
+    repeats = again.count()
+
     full = docs.select(*(ident(c) for c in kept)).withColumn(mark, key)
-    full = full.withColumn(copy, F.row_number().over(Window.partitionBy(mark).orderBy(ident(doc_id)))).join(out, mark, "left")
-    full = full.withColumn(lines, F.split(ident(text), "\n"))
+    once = joined(full, again, repeats, mark, "left_anti").withColumn(copy, F.lit(1))
+    if repeats:                                                  # equal rows: all but one lose every line
+        nth = F.row_number().over(Window.partitionBy(mark).orderBy(ident(doc_id)))
+        once = once.union(joined(full, again, repeats, mark, "left_semi").withColumn(copy, nth))
+    full = joined(once, out, out.count() * 4, mark, "left").withColumn(lines, F.split(ident(text), "\n"))
     worded = F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: F.trim(F.get(lines, i), F.lit(TRIM)) != "")
-    full = full.withColumn(gone, F.when(ident(text).isNull(), F.array().cast("array<int>")).when(F.col(copy) > 1, worded)
-                           .otherwise(F.coalesce(gone, F.array().cast("array<int>"))))
+    none = F.array().cast("array<int>")
+    full = full.withColumn(gone, F.when(ident(text).isNull(), none).when(F.col(copy) > 1, worded).otherwise(F.coalesce(gone, none)))
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
     shown = F.when(F.size(gone) == 0, ident(text)).otherwise(F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n"))
     count = F.when(ident(text).isNull(), F.lit(0)).otherwise(F.size(worded))
