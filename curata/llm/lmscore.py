@@ -5,8 +5,8 @@ uniform distribution.  The weights depend on how often the context v occurs
 (one bucket per power of two) and are learned by expectation-maximisation on
 counts from which the document at hand is deleted, over all learning documents.
 
-Layout: texts are cut into blocks of about a million tokens, each with its
-sorted word hashes and its token stream as indices into them.  A block asks
+Layout: texts are cut into blocks of about half a million tokens, each with
+its word hashes and its token stream as compressed indices into them.  A block asks
 for the corpus counts of its different words and bigrams by shards of the
 64-bit hash range; a shard adds up what all blocks send and answers only where
 the total differs from what the block already knows.  So an n-gram travels
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import hash_fold, ident, python_ready, written
 
-BLOCK_TOKENS = 1 << 20
+BLOCK_TOKENS = 1 << 19
 SHARD_ENTRIES = 1 << 21
 END = np.uint64(xxhash.xxh64_intdigest(b""))      # the end token: no word is empty
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -50,6 +50,17 @@ def _ints(b: bytes) -> np.ndarray:
     return np.frombuffer(b, f"<u{b[0]}", offset=1).astype(np.int64)
 
 
+def _stream(a: np.ndarray) -> bytes:
+    """Token indices, byte plane by byte plane, compressed: words are numbered
+    as they come up, so the high planes are nearly empty."""
+    return zlib.compress(a.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def _unstream(b: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(b), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
+
+
 def _pack(keys: np.ndarray) -> bytes:
     """Sorted 64-bit keys as differences, in as many bytes as the largest needs."""
     d = np.diff(keys, prepend=np.uint64(0))
@@ -76,12 +87,9 @@ def _unpack(b: bytes) -> np.ndarray:
 def _block_row(number: int, docs: list, at: dict) -> list:
     ids, learn, held, streams = zip(*docs)
     words = np.fromiter((xxhash.xxh64_intdigest(w) for w in at), np.uint64, len(at))
-    order = np.argsort(words)
-    rank = np.empty(len(order), np.int32)
-    rank[order] = np.arange(len(order), dtype=np.int32)
-    stream = rank[np.concatenate(streams)]
-    return [number, list(ids), list(learn), list(held), [len(s) for s in streams], words[order].tobytes(),
-            _small_ints(stream), len(words) + len(stream)]
+    stream = np.concatenate(streams)
+    return [number, list(ids), list(learn), list(held), [len(s) for s in streams], words.tobytes(),
+            _stream(stream), len(words) + len(stream)]
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,8 +120,11 @@ class Block:
     """A block's arrays: tokens, their contexts, and the bigram types in key order."""
 
     def __init__(self, r):
-        self.words = np.frombuffer(r["words"], np.uint64)
-        self.stream = _ints(r["stream"])
+        words = np.frombuffer(r["words"], np.uint64)
+        order = np.argsort(words)
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        self.words, self.stream = words[order], rank[_unstream(r["stream"])]
         self.sizes = np.array(r["sizes"], np.int64)
         self.doc = np.repeat(np.arange(len(self.sizes)), self.sizes)
         self.learns = np.repeat(np.array(r["learn"], bool), self.sizes)
@@ -154,7 +165,7 @@ def _ask(bits: int):
     return run
 
 
-def _answer(key, rows: pd.DataFrame) -> pd.DataFrame:
+def _answer(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     """Add up one shard; answer each block, 0 where it already knows the total."""
     shard, kind = int(key[0]), int(key[1])
     keys = np.concatenate([_unpack(b) for b in rows["packed"]])
@@ -278,7 +289,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: in
     blocks = written(d.mapInArrow(_blocks, BLOCK), "lm-blocks")
     entries = blocks.agg(F.sum("entries")).first()[0] or 0
     bits = max(0, int(entries // SHARD_ENTRIES).bit_length())
-    asked = blocks.repartition(F.col("block")).mapInArrow(_ask(bits), REQUEST)
+    asked = blocks.mapInArrow(_ask(bits), REQUEST)
     replies = written(asked.groupBy("shard", "kind").applyInPandas(_answer, REPLY), "lm-replies")
     total, kinds = replies.where("block = -1 AND kind = 0").agg(F.sum("total"), F.sum("kinds")).first()
     total, kinds = int(total or 0), int(kinds or 0)
