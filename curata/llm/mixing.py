@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, fresh, ident, written
+from .common import WORD, fresh, ident, joined, written
 
 GOLDEN = (math.sqrt(5) - 1) / 2                       # 0.618...
 _STEP = (GOLDEN * (1 << 20)) % 1.0                    # GOLDEN * 2**20 without its whole part
@@ -102,7 +102,7 @@ def mix(docs: DataFrame, weights=(1, 2, 3), cap: int = 3, block: int = 64,
     rows = written(_offsets(d.join(per.select("source_key", "source_no", "source_size", "target"), "source_key"), n_rows)
                    .drop("source_key"), "rows")
 
-    live = rows.where("size > 0").join(most, "source_no").select("doc_id", "source_no", "source_size", "size", "start", "slots",
+    live = joined(rows.where("size > 0"), most, n_sources, "source_no").select("doc_id", "source_no", "source_size", "size", "start", "slots",
                                                                 F.explode(F.sequence(F.lit(0), F.lit(cap - 1))).alias("round"))
     begin = F.col("round") * F.col("source_size") + F.col("start")
     live = live.withColumn("begin", begin).withColumn("end", F.col("begin") + F.col("size")).where(F.col("begin") < F.col("slots") * block)
