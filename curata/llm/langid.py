@@ -174,7 +174,7 @@ class Identifier:
         n = len(cps)
         return n, (-self.models.total(cps) / n if n and self.models else np.zeros(len(self.langs)))
 
-    def calibrate(self, rows: list[tuple[str, int, list[float]]], slack: float = 1.5, tail: float = 0.999) -> None:
+    def calibrate(self, rows: list[tuple[str, int, list[float]]], slack: float = 2.0, tail: float = 0.999) -> None:
         """rows: (language, length, cross-entropies) of labelled texts not learned from.  A text
         is rejected beyond ``slack`` times what all but 1 - ``tail`` of the calibration texts reach."""
         at = {lang: k for k, lang in enumerate(self.langs)}

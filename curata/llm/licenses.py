@@ -112,8 +112,8 @@ class Matcher:
         scores = [s.max(axis=0) for s in both]
         k = int(np.argmax(np.maximum(*scores).round(12)))
         if scores[0][k] >= scores[1][k]:
-            return self.names[k], float(scores[0][k]), int(both[0][:, k].argmax()) + 1
-        return self.names[k], float(scores[1][k]), int(np.flatnonzero((block == both[1][:, k].argmax()) & ~blank)[0]) + 1
+            return self.names[k], round(float(scores[0][k]), 9), int(both[0][:, k].argmax()) + 1
+        return self.names[k], round(float(scores[1][k]), 9), int(np.flatnonzero((block == both[1][:, k].argmax()) & ~blank)[0]) + 1
 
 
 def _statistics(texts: DataFrame, vocabulary: list[bytes]) -> tuple[dict[bytes, int], int]:
@@ -178,7 +178,7 @@ def scan(files: DataFrame, file_id: str = "doc_id", path: str = "path", text: st
     folder = F.array_join(F.slice(parts, F.lit(1), F.size(parts) - 1), "/")
     d = d.withColumn("folder", F.when(F.col("path").isNotNull(), folder))
     named = d.where(F.element_at(parts, -1).rlike(LICENCE_FILE) & F.col("license").isNotNull())
-    covers = named.groupBy("folder").agg(F.min_by("license", F.struct(-F.col("score"), "path")).alias("inherited"))
+    covers = named.groupBy("folder").agg(F.min_by("license", F.struct(-F.col("score"), "path", "license")).alias("inherited"))
     folders = d.where("folder IS NOT NULL").select("folder").distinct()
     steps = F.split("folder", "/")
     above = folders.select("folder", F.explode(F.transform(

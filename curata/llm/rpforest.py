@@ -51,7 +51,7 @@ def _unit(rows) -> np.ndarray:
 NODE = "tree int, node long, plane array<double>, cut double"
 
 
-def _fit(key, rows: pd.DataFrame) -> pd.DataFrame:
+def _fit(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     """One tree: random directions, each cut at the median of the sample there."""
     tree = int(key[0])
     rows = rows.sort_values("cls")
