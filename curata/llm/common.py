@@ -49,10 +49,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
     The files live where every executor sees them, so a lost executor costs a
     re-read and not a recomputation, and later joins see the measured size.
+    Once written, the shuffle files behind them are released.
     """
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.parquet(path)
+    release, before = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", None
+    try:
+        before = spark.conf.get(release, "false")
+        spark.conf.set(release, "true")
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(release, before or "false")
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -5,7 +5,7 @@ by rarity, from a table of word counts by hash bucket: any order that all
 lines share keeps the prefix filter exact, and rare words in front keep it
 selective.  Two lines with Jaccard >= t share a word among the first
 n - ceil(t*n) + 1, their lengths differ by at most the factor t, the position
-of the first shared word bounds their overlap, and the parity of 64 hashed
+of the first shared word bounds their overlap, and the parity of 128 hashed
 bits bounds their difference.  What passes is verified on the word sets.
 
 Equal lines form one class, represented by its earliest line.  Families of
@@ -71,10 +71,15 @@ def _ordered(words: Column, levels: list[int]) -> Column:
     return F.sort_array(F.transform(words, key))
 
 
-def _parity(keys: Column) -> Column:
-    one = F.lit(1).cast("long")
-    return F.aggregate(keys, F.lit(0).cast("long"),
-                       lambda a, k: a.bitwiseXOR(F.call_function("shiftleft", one, k.bitwiseAND(F.lit(63)).cast("int"))))
+def _parity(keys: Column, half: int) -> Column:
+    """64 of the 128 parity bits: every word flips one bit of one half."""
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+
+    def flip(a: Column, k: Column) -> Column:
+        bit = F.call_function("shiftleft", one, k.bitwiseAND(F.lit(63)).cast("int"))
+        return F.when(k.bitwiseAND(F.lit(64)) == 64 * half, a.bitwiseXOR(bit)).otherwise(a)
+
+    return F.aggregate(keys, zero, flip)
 
 
 def _sub(no: Column, mark: Column) -> Column:
@@ -83,7 +88,7 @@ def _sub(no: Column, mark: Column) -> Column:
 
 
 def _classes(docs: DataFrame, levels: list[int], t: float) -> DataFrame:
-    """One row per different line: h, h2 (its hash), doc, sub, mark, no (the earliest), n, parity, prefix."""
+    """One row per different line: h, h2 (its hash), doc, sub, mark, no (the earliest), n, parity, parity2, prefix."""
     d = _lines(docs).select(
         F.xxhash64("line").alias("h"), F.hash("line").alias("h2"), "doc", "mark", "no",
         _ordered(_words(F.col("line")), levels).alias("keys"))
@@ -91,7 +96,7 @@ def _classes(docs: DataFrame, levels: list[int], t: float) -> DataFrame:
     long = (n - F.ceil(n * t - 1e-9) + 1).cast("int")
     d = d.select("h", "h2", F.struct(
         F.coalesce("doc", F.lit(LAST)).alias("doc"), _sub(F.col("no"), F.col("mark")).alias("sub"), "mark", "no", n.alias("n"),
-        _parity(F.col("keys")).alias("parity"), F.slice("keys", F.lit(1), long).alias("prefix")).alias("first"))
+        _parity(F.col("keys"), 0).alias("parity"), _parity(F.col("keys"), 1).alias("parity2"), F.slice("keys", F.lit(1), long).alias("prefix")).alias("first"))
     return d.groupBy("h", "h2").agg(F.min("first").alias("first")).select("h", "h2", "first.*")
 
 
@@ -107,11 +112,12 @@ def _opened(size: Column) -> tuple[Column, Column]:
 def _may_match(x: str, y: str, t: float) -> Column:
     """The length, positional and parity filters for entries x and y of one word."""
     (nx, ax), (ny, ay) = (_opened(F.col(f"{side}.size")) for side in (x, y))
+    differ = sum(F.bit_count(F.col(f"{x}.{p}").bitwiseXOR(F.col(f"{y}.{p}"))) for p in ("parity", "parity2"))
     settled = F.col(f"{y}.size").bitwiseAND(F.lit(1)) * (2 * FIELD)      # a flagged y has its match: nothing fits it any more
     least = F.ceil((nx + ny) * (t / (1 + t)) - 1e-9)
     fits = ((F.least(nx, ny) >= F.greatest(nx, ny) * t - 1e-9)
             & (F.least(nx - ax, ny - ay) + 1 >= least)
-            & (F.bit_count(F.col(f"{x}.parity").bitwiseXOR(F.col(f"{y}.parity"))) + settled <= nx + ny - 2 * least))
+            & (differ + settled <= nx + ny - 2 * least))
     return (F.greatest(nx, ny) >= FIELD) | fits
 
 
@@ -129,7 +135,7 @@ def _verified(docs: DataFrame, classes: DataFrame, both: DataFrame, t: float) ->
     at = written(packed(at, 2 * rows), "line-ends")
     # the needed lines of a text by number, so that its other lines are left alone
     need = written(at.groupBy("mark").agg(F.collect_list(F.struct("no", "doc", "sub", "h", "h2")).alias("need")), "line-needs")
-    texts = joined(docs.select("mark", "text"), need, need.count() * 4, "mark").dropDuplicates(["mark"])
+    texts = joined(docs.select("mark", "text"), need, need.count() * 4, "mark")
     texts = texts.select(F.split("text", "\n").alias("lines"), F.explode("need").alias("e"))
     line = F.trim(F.get("lines", F.col("e.no")), F.lit(TRIM))
     sets = written(texts.select("e.doc", "e.sub", "e.h", "e.h2", _words(line).alias("words")), "line-words")
@@ -147,7 +153,7 @@ def matches(docs: DataFrame, t: float = 0.8) -> tuple[DataFrame, DataFrame, int]
     """For rows (doc, mark, text): the classes of lines, (h, h2) of those that
     match an earlier line, and their number.  Words are case-sensitive."""
     classes = written(_classes(docs, rarity(docs), t), "line-classes")
-    line = ["doc", "sub", "parity"]
+    line = ["doc", "sub", "parity", "parity2"]
 
     def entries(c: DataFrame, prefix: Column, done: Column) -> DataFrame:
         e = c.select(*line, "n", done.alias("done"), F.posexplode(prefix).alias("at", "key"))
@@ -182,6 +188,12 @@ def dedup(docs: DataFrame, t: float = 0.8, doc_id: str = "doc_id", text: str = "
     mark, copy, gone, lines = fresh([*docs.columns, n_lines, n_removed], "mark", "copy", "gone", "lines")
     key = F.xxhash64(ident(doc_id), F.lit("|"), ident(text))
     d = docs.select(ident(doc_id).cast("long").alias("doc"), key.alias("mark"), ident(text).alias("text")).where(F.col("text").isNotNull())
+    again = written(d.groupBy("mark").count().where("count > 1").select("mark"), "line-repeated")
+    repeats = again.count()
+    if repeats:                                                  # of equal rows one takes part
+        d = joined(d, again, repeats, "mark", "left_anti").union(
+            joined(d, again, repeats, "mark", "left_semi").dropDuplicates(["mark"]))
+    again = again.withColumnRenamed("mark", mark)
     classes, matched, found = matches(d, t)
     state = joined(classes.select("h", "h2", F.col("mark").alias("m0"), F.col("no").alias("no0")),
                    matched.withColumn("hit", F.lit(True)), found, ["h", "h2"], "left")
@@ -189,12 +201,10 @@ def dedup(docs: DataFrame, t: float = 0.8, doc_id: str = "doc_id", text: str = "
     out = seen.join(state, ["h", "h2"]).where("hit OR mark <> m0 OR no <> no0")
     out = written(out.groupBy("mark").agg(F.collect_set("no").alias("gone")), "line-removed")     # lists within one text
     out = out.select(F.col("mark").alias(mark), F.col("gone").alias(gone))
-    again = written(d.groupBy("mark").count().where("count > 1").select(F.col("mark").alias(mark)), "line-repeated")
-    repeats = again.count()
 
     full = docs.select(*(ident(c) for c in kept)).withColumn(mark, key)
     once = joined(full, again, repeats, mark, "left_anti").withColumn(copy, F.lit(1))
-    if repeats:                                                  # equal rows: all but one lose every line
+    if repeats:                                                  # the others lose every line
         nth = F.row_number().over(Window.partitionBy(mark).orderBy(ident(doc_id)))
         once = once.union(joined(full, again, repeats, mark, "left_semi").withColumn(copy, nth))
     full = joined(once, out, out.count() * 4, mark, "left").withColumn(lines, F.split(ident(text), "\n"))
