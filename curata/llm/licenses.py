@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh, ident, python_ready
+from .common import fresh, ident, python_ready, written
 
 # Names by SPDX identifier, texts as licences ask them to be cited
 # (the short ones also as authors commonly abbreviate them).
@@ -173,7 +173,7 @@ def scan(files: DataFrame, file_id: str = "doc_id", path: str = "path", text: st
     ``effective``.  A null path inherits nothing; a null text declares nothing.
     """
     d = files.select(ident(file_id).alias("file_id"), ident(path).alias("path"), ident(text).alias("text"))
-    d = declared(d, "text", templates, threshold).drop("text")
+    d = written(declared(d, "text", templates, threshold).drop("text"), "licences")        # read three times below
     parts = F.split("path", "/")
     folder = F.array_join(F.slice(parts, F.lit(1), F.size(parts) - 1), "/")
     d = d.withColumn("folder", F.when(F.col("path").isNotNull(), folder))
