@@ -26,7 +26,7 @@ from .common import SMALL, fresh, ident, joined, packed, written
 BLANKS = "\t\x0b\x0c\r"          # white space within a line beside the space
 TRIM = " " + BLANKS + "\n"
 BUCKETS = 1 << 17                # word counts are kept by hash bucket; a bounded table
-LEADS = 3                        # rarest words under which a class meets its family's earliest line
+LEADS = 5                        # rarest words under which a class meets its family's earliest line
 FIELD = (1 << 15) - 1            # word counts and positions are kept up to here; at it, no filter applies
 LAST = (1 << 63) - 1
 
@@ -135,7 +135,7 @@ def _verified(docs: DataFrame, classes: DataFrame, both: DataFrame, t: float) ->
     at = written(packed(at, 2 * rows), "line-ends")
     # the needed lines of a text by number, so that its other lines are left alone
     need = written(at.groupBy("mark").agg(F.collect_list(F.struct("no", "doc", "sub", "h", "h2")).alias("need")), "line-needs")
-    texts = joined(docs.select("mark", "text"), need, need.count() * 4, "mark")
+    texts = joined(docs.select("mark", "text"), need, need.count() * 2, "mark")
     texts = texts.select(F.split("text", "\n").alias("lines"), F.explode("need").alias("e"))
     line = F.trim(F.get("lines", F.col("e.no")), F.lit(TRIM))
     sets = written(texts.select("e.doc", "e.sub", "e.h", "e.h2", _words(line).alias("words")), "line-words")
@@ -207,7 +207,7 @@ def dedup(docs: DataFrame, t: float = 0.8, doc_id: str = "doc_id", text: str = "
     if repeats:                                                  # the others lose every line
         nth = F.row_number().over(Window.partitionBy(mark).orderBy(ident(doc_id)))
         once = once.union(joined(full, again, repeats, mark, "left_semi").withColumn(copy, nth))
-    full = joined(once, out, out.count() * 4, mark, "left").withColumn(lines, F.split(ident(text), "\n"))
+    full = joined(once, out, out.count(), mark, "left").withColumn(lines, F.split(ident(text), "\n"))
     worded = F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: F.trim(F.get(lines, i), F.lit(TRIM)) != "")
     none = F.array().cast("array<int>")
     full = full.withColumn(gone, F.when(ident(text).isNull(), none).when(F.col(copy) > 1, worded).otherwise(F.coalesce(gone, none)))
