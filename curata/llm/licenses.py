@@ -3,15 +3,17 @@ inheritance from the nearest ancestor directory.
 
 Every line of a text, and every paragraph of several lines, is compared with
 every template.  Term weights come from how many lines of the whole corpus
-hold a template's word; a word of no template counts as a word of its own that
-one line holds.  Only template words are ever looked up, so the vocabulary and
-what is collected are bounded by the templates, while statistics and matches
-cover all lines.  A licence file (by its name) covers its directory: paths are
+hold a word, counted for every word.  Templates and a bounded number of common
+words are broadcast with their weights; those bound the weights of the rare
+words, so that only few lines are left as candidates for a text's best cosine.
+The rare words of these are joined to their counts.  A licence file (by its name) covers its directory: paths are
 joined on ancestor directories, once per directory and not per file.
 """
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -56,6 +58,13 @@ TEMPLATES = (
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
     ("Proprietary", "All rights reserved."),
 )
+COMMON = 50_000                  # words broadcast with their counts, the most frequent ones
+HELD = 200_000                   # words counted in a task before they are passed on
+_RARE = T.ArrayType(T.StructType([T.StructField("word", T.BinaryType()), T.StructField("square", T.LongType())]))
+UNITS = T.ArrayType(T.StructType([T.StructField("line", T.IntegerType()), T.StructField("base", T.DoubleType()), T.StructField("ks", T.ArrayType(T.IntegerType())),
+                                  T.StructField("dots", T.ArrayType(T.DoubleType())), T.StructField("rare", _RARE)]))
+UNITS_ARROW = pa.list_(pa.struct([("line", pa.int32()), ("base", pa.float64()), ("ks", pa.list_(pa.int32())), ("dots", pa.list_(pa.float64())),
+                                  ("rare", pa.list_(pa.struct([("word", pa.binary()), ("square", pa.int64())])))]))
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|unlicense|copyright)([.-].*)?$"
 _KEPT = bytes(c if chr(c).isalnum() or c >= 128 or c == 10 else 32 for c in range(256))
 
@@ -66,104 +75,164 @@ def words_of(text: str) -> list[list[bytes]]:
 
 
 class Matcher:
-    """Templates as weighted vectors over their own words."""
+    """Templates as weighted vectors over their own words.
 
-    def __init__(self, templates, df: dict[bytes, int], lines: int):
+    ``counts`` holds the lines of every template word and every common word;
+    all other words are rare: at least one and at most ``most`` lines each.
+    """
+
+    def __init__(self, templates, counts: dict[bytes, int], lines: int, most: int):
         self.names = [name for name, _ in templates]
         bags = [sum(words_of(text), []) for _, text in templates]
-        self.vocabulary = {w: i for i, w in enumerate(sorted({w for bag in bags for w in bag}))}
-        size = len(self.vocabulary)
-        self.idf = np.array([np.log((1 + lines) / (1 + df.get(w, 0))) + 1 for w in self.vocabulary])
-        self.other = np.log((1 + lines) / 2) + 1
-        m = np.zeros((len(bags), size))
+        own = sorted({w for bag in bags for w in bag})
+        self.own, self.lines = len(own), lines
+        self.ids = {w: i for i, w in enumerate([*own, *sorted(counts.keys() - set(own))])}
+        self.idf = np.array([self.weight(counts.get(w, 0)) for w in self.ids])
+        self.bounds = self.weight(most) ** 2, self.weight(1) ** 2       # of a rare word
+        m = np.zeros((len(bags), len(own)))
         for k, bag in enumerate(bags):
             for w in bag:
-                m[k, self.vocabulary[w]] += 1
-        m *= self.idf
+                m[k, self.ids[w]] += 1
+        m *= self.idf[:self.own]
         self.weights = (m / np.linalg.norm(m, axis=1, keepdims=True)).T.copy()      # words x templates
 
-    def cosines(self, unit: np.ndarray, word: np.ndarray, units: int) -> np.ndarray:
-        """Cosine of each unit to each template; ``word`` is -1 outside the templates."""
-        other = np.bincount(unit[word < 0], minlength=units)
-        known = word >= 0
-        size = len(self.vocabulary)
-        pair, tf = np.unique(unit[known] * size + word[known], return_counts=True)
-        at, w = pair // size, pair % size
-        weight = tf * self.idf[w]
-        norm = np.sqrt(np.bincount(at, weights=weight ** 2, minlength=units) + other * self.other ** 2)
-        out = np.zeros((units, self.weights.shape[1]))
-        if len(at):
-            first = np.flatnonzero(np.diff(at, prepend=-1))
-            out[at[first]] = np.add.reduceat(weight[:, None] * self.weights[w], first, axis=0)
-        return out / np.maximum(norm, 1e-300)[:, None]
-
-    def best(self, text: str) -> tuple[str | None, float, int | None]:
-        """(name, cosine, line number from 1) of the best template: of equal
-        cosines the earlier template, then the earlier line."""
+    def weight(self, df: int) -> float:
+        return float(np.log((1 + self.lines) / (1 + df)) + 1)
+
+    def candidates(self, text: str, threshold: float) -> list[dict]:
+        """The lines and paragraphs that may hold the best cosine or one at
+        the threshold, whatever the weights of their rare words are within
+        their bounds: dot products, squared norm without rare words, and
+        those words with their squared counts."""
         rows = words_of(text)
-        get = self.vocabulary.get
-        word = np.array([get(w, -1) for row in rows for w in row], np.int64)
-        if not (word >= 0).any():
-            return None, 0.0, None
+        flat = [w for row in rows for w in row]
+        known, total, other = self.ids, len(self.ids), {}
+        word = np.array([known[w] if w in known else total + other.setdefault(w, len(other)) for w in flat], np.int64)
+        if not (word < self.own).any():
+            return []
         line = np.repeat(np.arange(len(rows)), [len(row) for row in rows])
         blank = np.array([not row for row in rows])
         block = np.cumsum(blank)
-        both = self.cosines(line, word, len(rows)), self.cosines(block[line], word, int(block[-1]) + 1)
-        scores = [s.max(axis=0) for s in both]
-        k = int(np.argmax(np.maximum(*scores).round(12)))
-        if scores[0][k] >= scores[1][k]:
-            return self.names[k], round(float(scores[0][k]), 9), int(both[0][:, k].argmax()) + 1
-        return self.names[k], round(float(scores[1][k]), 9), int(np.flatnonzero((block == both[1][:, k].argmax()) & ~blank)[0]) + 1
+        several = (np.bincount(block[~blank], minlength=block[-1] + 1) > 1)[block[line]]    # one line is a paragraph as it is
+        unit = np.concatenate([line, len(rows) + block[line][several]])
+        word = np.concatenate([word, word[several]])
+        size = total + len(other)
+        pair, tf = np.unique(unit * size + word, return_counts=True)
+        at, w = pair // size, pair % size
+        rare = w >= total
+        squares = tf.astype(np.float64) ** 2
+        units = len(rows) + int(block[-1]) + 1
+        base = np.bincount(at[~rare], squares[~rare] * self.idf[w[~rare]] ** 2, minlength=units)
+        rest = np.bincount(at[rare], squares[rare], minlength=units)
+        held = w < self.own
+        first = np.flatnonzero(np.diff(at[held], prepend=-1))
+        dots = np.add.reduceat((tf[held] * self.idf[w[held]])[:, None] * self.weights[w[held]], first, axis=0)
+        some = at[held][first]
+        least, most = (dots / np.sqrt(base[some] + rest[some] * x)[:, None] for x in self.bounds[::-1])
+        fits = most >= min(least.max(), threshold) - 1e-9
+        out, words = [], list(other)
+        for i in np.flatnonzero(fits.any(axis=1)):
+            u = int(some[i])
+            lo, hi = np.searchsorted(at, (u, u + 1))
+            ks = np.flatnonzero(fits[i])
+            start = u if u < len(rows) else int(np.flatnonzero((block == u - len(rows)) & ~blank)[0])
+            out.append({"line": start + 1, "base": float(base[u]), "ks": ks.tolist(), "dots": dots[i, ks].tolist(),
+                        "rare": [{"word": words[w[j] - total], "square": int(squares[j])} for j in range(lo, hi) if rare[j]]})
+        return out
+
+    def best(self, candidates: list[dict], rare: list[dict]) -> tuple[str | None, float, int | None]:
+        """(name, cosine, line number from 1) of the best template: of equal
+        cosines the earlier template, then the earlier line.  ``rare`` has
+        the squared count and the lines of each rare word by candidate."""
+        rest = [[] for _ in candidates]
+        for x in rare:
+            rest[x["at"]].append(x["square"] * self.weight(x["n"]) ** 2)
+        got = None
+        for c, more in zip(candidates, rest):
+            norm = math.sqrt(c["base"] + math.fsum(more))
+            for k, dot in zip(c["ks"], c["dots"]):
+                one = (-round(dot / norm, 12), k, c["line"])
+                got = min(got or one, one)
+        return (self.names[got[1]], round(-got[0], 9), got[2]) if got else (None, 0.0, None)
 
 
-def _statistics(texts: DataFrame, vocabulary: list[bytes]) -> tuple[dict[bytes, int], int]:
-    """How many lines hold each template word, and the number of lines with a word."""
+def _counted(texts: DataFrame) -> DataFrame:
+    """(word, n): how many lines hold each word of the corpus; under the empty
+    word the number of lines with a word."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = {w: i for i, w in enumerate(vocabulary)}
-        n = np.zeros(len(known) + 1, np.int64)
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(list(n), pa.binary()), pa.array(list(n.values()), pa.int64())], names=["word", "n"])
+
+        n = Counter()
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 for row in words_of(text):
                     if row:
-                        n[-1] += 1
-                        for w in known.keys() & row:
-                            n[known[w]] += 1
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(n))), pa.array(n)], names=["word", "n"])
+                        n.update({b"", *row})
+            if len(n) > HELD:
+                yield out()
+                n.clear()
+        yield out()
 
-    got = texts.mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()   # one row per word
-    counts = {r["word"]: r["n"] for r in got}
-    return {w: counts.get(i, 0) for i, w in enumerate(vocabulary)}, counts.get(len(vocabulary), 0)
+    return written(texts.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "licence-words")
 
 
 def declared(files: DataFrame, text: str = "text", templates=TEMPLATES, threshold: float = 0.6,
-             names=("license", "score", "license_line")) -> DataFrame:
-    """All columns of ``files`` plus the licence that a text declares itself
-    (null below ``threshold``), the best cosine and the line where it starts."""
+             names=("license", "score", "license_line"), common: int = COMMON, drop: bool = False) -> DataFrame:
+    """All columns of ``files`` (with ``drop`` without the text) plus the
+    licence that a text declares itself (null below ``threshold``), the best
+    cosine and the line where it starts."""
     spark = files.sparkSession
     python_ready(spark)
     vocabulary = sorted({w for _, t in templates for row in words_of(t) for w in row})
     clean = F.coalesce(ident(text), F.lit(""))
-    df, lines = _statistics(files.select(clean.alias("text")), vocabulary)
-    matcher = spark.sparkContext.broadcast(Matcher(templates, df, lines))          # bounded by the templates
+    words = _counted(files.select(clean.alias("text")))
+    bits, least = F.length(F.bin("n")), 1
+    left = common
+    for r in words.groupBy(bits.alias("bits")).count().orderBy(F.desc("bits")).collect():          # 63 rows at most
+        left -= r["count"]
+        if left < 0:
+            least = 1 << r["bits"]
+            break
+    held = words.where((F.col("n") >= least) | F.col("word").isin([b"", *vocabulary])).collect()   # ``common`` words and the templates'
+    counts = {bytes(r["word"]): r["n"] for r in held}
+    lines = counts.pop(b"", 0)
+    matcher = spark.sparkContext.broadcast(Matcher(templates, counts, lines, max(1, least - 1)))
     low = [n.lower() for n in names]
-    kept = [c for c in files.columns if c.lower() not in low]
-    (tmp,) = fresh([*files.columns, *names], "text_in")
+    gone = [*low, text.lower()] if drop else low
+    kept = [c for c in files.columns if c.lower() not in gone]
+    tmp, key, units, rare = fresh([*files.columns, *names], "text_in", "row_key", "units", "rare")
+    fields = [f for f in files.schema.fields if f.name in kept]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = matcher.value
+        for batch in batches:
+            got = [m.candidates(x, threshold) for x in batch.column(batch.num_columns - 1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(got, UNITS_ARROW)], names=[*batch.schema.names[:-1], units])
+
+    seen = files.select(*(ident(c) for c in kept), clean.alias(tmp)).mapInArrow(look, T.StructType([*fields, T.StructField(units, UNITS)]))
+    seen = written(seen.withColumn(key, F.monotonically_increasing_id()), "licence-units")          # the key is fixed by writing
+    pairs = seen.select(F.col(key).alias("key"), F.posexplode(units).alias("at", "unit")).select("key", "at", F.explode("unit.rare").alias("x"))
+    pairs = pairs.select("key", "at", F.col("x.word").alias("word"), F.col("x.square").alias("square"))
+    weighed = pairs.join(words, "word").groupBy("key").agg(F.collect_list(F.struct("at", "square", "n")).alias(rare))
+    rest = F.transform(units, lambda u: u.dropFields("rare")).alias(units)
+    d = seen.select(*(ident(c) for c in kept), rest, F.col(key)).join(weighed.withColumnRenamed("key", key), key, "left")
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = matcher.value
         for batch in batches:
-            got = [m.best(x) for x in batch.column(batch.num_columns - 1).to_pylist()]
+            got = [m.best(u or [], r or []) for u, r in zip(*(c.to_pylist() for c in batch.columns[-2:]))]
             got = [g if g[1] >= threshold else (None, g[1], None) for g in got]
             cols = [pa.array([g[k] for g in got], t) for k, t in enumerate((pa.string(), pa.float64(), pa.int64()))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *cols], names=[*batch.schema.names[:-1], *names])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], *cols], names=[*batch.schema.names[:-2], *names])
 
     kinds = (T.StringType(), T.DoubleType(), T.LongType())
-    schema = T.StructType([*(f for f in files.schema.fields if f.name in kept), *(T.StructField(n, t) for n, t in zip(names, kinds))])
-    return files.select(*(ident(c) for c in kept), clean.alias(tmp)).mapInArrow(run, schema)
+    schema = T.StructType([*fields, *(T.StructField(n, t) for n, t in zip(names, kinds))])
+    return d.select(*(ident(c) for c in kept), units, rare).mapInArrow(settle, schema)
 
 
 def scan(files: DataFrame, file_id: str = "doc_id", path: str = "path", text: str = "text", templates=TEMPLATES,
-         threshold: float = 0.6) -> DataFrame:
+         threshold: float = 0.6, common: int = COMMON) -> DataFrame:
     """One row per row of ``files``: file_id, path, license (declared), score,
     license_line, inherited, inherited_from (a directory), effective.
 
@@ -173,7 +242,7 @@ def scan(files: DataFrame, file_id: str = "doc_id", path: str = "path", text: st
     ``effective``.  A null path inherits nothing; a null text declares nothing.
     """
     d = files.select(ident(file_id).alias("file_id"), ident(path).alias("path"), ident(text).alias("text"))
-    d = written(declared(d, "text", templates, threshold).drop("text"), "licences")        # read three times below
+    d = written(declared(d, "text", templates, threshold, common=common, drop=True), "licences")        # read three times below
     parts = F.split("path", "/")
     folder = F.array_join(F.slice(parts, F.lit(1), F.size(parts) - 1), "/")
     d = d.withColumn("folder", F.when(F.col("path").isNotNull(), folder))

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 import xxhash
 from helpers import ascii_words, components, docs_frame, fold, later_lines, mix_by_hand
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from curata.llm import langid, licenses, linededup, lmscore, mixing, rpforest, simhash
@@ -408,3 +409,32 @@ def test_license_scan_on_documents(spark, sf):
         says = {n for n, t in licenses.TEMPLATES if t in r["text"].split("\n")}
         if says:
             assert got[r["doc_id"]]["license"] in says
+
+
+@pytest.mark.parametrize("common", [0, 6, 10_000])
+def test_license_words_outside_templates_have_their_own_counts(spark, common):
+    rng = random.Random(5)
+    pool = ["jane", "doe", "by", "acme", "2021", "corp", "zzz", "yyy", "the", "of", "license", "under"]
+    texts = ["\n".join(" ".join(rng.choices(pool, range(1, len(pool) + 1), k=rng.randint(1, 9))) for _ in range(rng.randint(1, 6))) for _ in range(60)]
+    texts += ["Released under the MIT License by Jane Doe.", "Copyright (c) 2021 Acme Corp. All rights reserved.", "\n\nLicensed under the\nApache License, by Jane\n\nx"] * 2
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("path", F.lit("x"))
+    got = {r["file_id"]: r for r in licenses.scan(d, common=common).collect()}
+    lines = [row for t in texts for row in licenses.words_of(t) if row]
+
+    def vector(words):
+        return {w: words.count(w) * (math.log((1 + len(lines)) / (1 + sum(w in row for row in lines))) + 1) for w in set(words)}
+
+    def cosine(a, b):
+        return sum(x * b.get(w, 0) for w, x in a.items()) / math.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
+
+    marks = [(n, vector(sum(licenses.words_of(t), []))) for n, t in licenses.TEMPLATES]
+    for k, text in enumerate(texts):
+        rows = licenses.words_of(text)
+        units, block = [r for r in rows if r], []
+        for row in [*rows, []]:
+            if not row and block:
+                units.append(block)
+            block = block + row if row else []
+        score = max(cosine(vector(u), m) for u in units for _, m in marks)
+        assert got[k]["score"] == pytest.approx(score, abs=1e-8)
+        assert (got[k]["license"] is not None) == (got[k]["score"] >= 0.6)
