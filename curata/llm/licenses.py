@@ -37,27 +37,60 @@ TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
                    "compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+                "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+                "option) any later version."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+                "Public License version 2 as published by the Free Software Foundation."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
                 "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
                 "option) any later version."),
+    ("LGPL-2.1", "This library is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+                 "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or "
+                 "(at your option) any later version."),
     ("LGPL-3.0", "This library is licensed under the GNU Lesser General Public License, version 3."),
+    ("LGPL-3.0", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
+                 "General Public License as published by the Free Software Foundation, either version 3 of the License, or "
+                 "(at your option) any later version."),
     ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+                 "General Public License as published by the Free Software Foundation, either version 3 of the License, or "
+                 "(at your option) any later version."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
                 "not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+    ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
                      "that the following conditions are met:"),
+    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+                     "products derived from this software without specific prior written permission."),
+    ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
     ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
             "granted, provided that the above copyright notice and this permission notice appear in all copies."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
+    ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("CC-BY-ND-4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("CC-BY-NC-SA-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    ("CC-BY-NC-ND-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related rights to this work."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
     ("Proprietary", "All rights reserved."),
+    *((name, f"SPDX-License-Identifier: {name}{form}") for name, forms in (
+        *((x, ("",)) for x in ("MIT", "Apache-2.0", "MPL-2.0", "BSD-2-Clause", "BSD-3-Clause", "ISC", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0",
+                               "CC-BY-ND-4.0", "CC-BY-NC-SA-4.0", "CC-BY-NC-ND-4.0", "CC0-1.0", "Unlicense")),
+        *((x, ("", "-only", "-or-later")) for x in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0"))) for form in forms),
 )
+SPDX = "SPDX-License-Identifier: "   # such templates match only where all words of the identifier stand
+LONGER = {"BSD-2-Clause": "BSD-3-Clause"}        # same opening line; the second where the text has its own clause too
 COMMON = 50_000                  # words broadcast with their counts, the most frequent ones
 HELD = 200_000                   # words counted in a task before they are passed on
 _RARE = T.ArrayType(T.StructType([T.StructField("word", T.BinaryType()), T.StructField("square", T.LongType())]))
@@ -94,6 +127,9 @@ class Matcher:
             for w in bag:
                 m[k, self.ids[w]] += 1
         m *= self.idf[:self.own]
+        marked = [(k, text[len(SPDX):]) for k, (_, text) in enumerate(templates) if text.startswith(SPDX)]
+        self.needs = {k: {self.ids[w] for w in (b"spdx", *sum(words_of(x), []))} for k, x in marked}
+        self.marked = list(self.needs)
         self.weights = (m / np.linalg.norm(m, axis=1, keepdims=True)).T.copy()      # words x templates
 
     def weight(self, df: int) -> float:
@@ -128,6 +164,11 @@ class Matcher:
         first = np.flatnonzero(np.diff(at[held], prepend=-1))
         dots = np.add.reduceat((tf[held] * self.idf[w[held]])[:, None] * self.weights[w[held]], first, axis=0)
         some = at[held][first]
+        if self.marked:
+            tags = np.isin(some, at[w == self.ids[b"spdx"]])
+            dots[np.ix_(~tags, self.marked)] = 0.0
+            for k, need in self.needs.items() if tags.any() else ():
+                dots[~np.logical_and.reduce([np.isin(some, at[w == x]) for x in need]), k] = 0.0
         least, most = (dots / np.sqrt(base[some] + rest[some] * x)[:, None] for x in self.bounds[::-1])
         fits = most >= min(least.max(), threshold) - 1e-9
         out, words = [], list(other)
@@ -140,20 +181,25 @@ class Matcher:
                         "rare": [{"word": words[w[j] - total], "square": int(squares[j])} for j in range(lo, hi) if rare[j]]})
         return out
 
-    def best(self, candidates: list[dict], rare: list[dict]) -> tuple[str | None, float, int | None]:
+    def best(self, candidates: list[dict], rare: list[dict], threshold: float) -> tuple[str | None, float, int | None]:
         """(name, cosine, line number from 1) of the best template: of equal
         cosines the earlier template, then the earlier line.  ``rare`` has
         the squared count and the lines of each rare word by candidate."""
         rest = [[] for _ in candidates]
         for x in rare:
             rest[x["at"]].append(x["square"] * self.weight(x["n"]) ** 2)
-        got = None
+        got, found = None, set()
         for c, more in zip(candidates, rest):
             norm = math.sqrt(c["base"] + math.fsum(more))
             for k, dot in zip(c["ks"], c["dots"]):
                 one = (-round(dot / norm, 12), k, c["line"])
                 got = min(got or one, one)
-        return (self.names[got[1]], round(-got[0], 9), got[2]) if got else (None, 0.0, None)
+                if -one[0] >= threshold:
+                    found.add(self.names[k])
+        if not got or -round(got[0], 9) < threshold:
+            return None, -round(got[0], 9) if got else 0.0, None
+        name = self.names[got[1]]
+        return LONGER[name] if LONGER.get(name) in found else name, -round(got[0], 9), got[2]
 
 
 def _counted(texts: DataFrame) -> DataFrame:
@@ -221,8 +267,7 @@ def declared(files: DataFrame, text: str = "text", templates=TEMPLATES, threshol
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = matcher.value
         for batch in batches:
-            got = [m.best(u or [], r or []) for u, r in zip(*(c.to_pylist() for c in batch.columns[-2:]))]
-            got = [g if g[1] >= threshold else (None, g[1], None) for g in got]
+            got = [m.best(u or [], r or [], threshold) for u, r in zip(*(c.to_pylist() for c in batch.columns[-2:]))]
             cols = [pa.array([g[k] for g in got], t) for k, t in enumerate((pa.string(), pa.float64(), pa.int64()))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-2], *cols], names=[*batch.schema.names[:-2], *names])
 

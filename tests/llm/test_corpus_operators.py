@@ -427,7 +427,7 @@ def test_license_words_outside_templates_have_their_own_counts(spark, common):
     def cosine(a, b):
         return sum(x * b.get(w, 0) for w, x in a.items()) / math.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
 
-    marks = [(n, vector(sum(licenses.words_of(t), []))) for n, t in licenses.TEMPLATES]
+    marks = [(n, vector(sum(licenses.words_of(t), []))) for n, t in licenses.TEMPLATES if not t.startswith(licenses.SPDX)]
     for k, text in enumerate(texts):
         rows = licenses.words_of(text)
         units, block = [r for r in rows if r], []
@@ -438,3 +438,24 @@ def test_license_words_outside_templates_have_their_own_counts(spark, common):
         score = max(cosine(vector(u), m) for u in units for _, m in marks)
         assert got[k]["score"] == pytest.approx(score, abs=1e-8)
         assert (got[k]["license"] is not None) == (got[k]["score"] >= 0.6)
+
+
+def test_license_near_pairs_get_their_own_names(spark):
+    gnu = ("This {} is free software{} you can redistribute it and/or modify\nit under the terms of the GNU {}General Public License as published by\n"
+           "the Free Software Foundation{} either version {} of the License, or\n(at your option) any later version.")
+    says = [("GPL-2.0", gnu.format("program", ";", "", ";", "2")), ("GPL-3.0", gnu.format("program", ":", "", ",", "3")),
+            ("LGPL-2.1", gnu.format("library", ";", "Lesser ", ";", "2.1")), ("LGPL-3.0", gnu.format("library", ":", "Lesser ", ",", "3")),
+            ("AGPL-3.0", gnu.format("program", ":", "Affero ", ",", "3"))]
+    for kind in ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND"):
+        says += [(f"CC-{kind}-4.0", f"Licensed under CC {kind} 4.0."), (f"CC-{kind}-4.0", f"CC {kind} 4.0"), (f"CC-{kind}-4.0", f"// SPDX-License-Identifier: CC-{kind}-4.0")]
+    says += [(n, f"# SPDX-License-Identifier: {n}{x}") for n in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0") for x in ("", "-only", "-or-later")]
+    says += [(n, f"/* SPDX-License-Identifier: {n} */") for n in ("MIT", "Apache-2.0", "MPL-2.0", "BSD-2-Clause", "BSD-3-Clause", "ISC", "CC0-1.0", "Unlicense")]
+    says += [(None, "SPDX-License-Identifier: Zlib"), (None, "SPDX-License-Identifier: EPL-2.0")]
+    bsd = ("Redistribution and use in source and binary forms, with or without modification,\nare permitted provided that the following conditions are met:\n\n"
+           "1. Redistributions of source code must retain the above copyright notice.\n\n")
+    says += [("BSD-2-Clause", bsd), ("BSD-3-Clause", bsd + "3. Neither the name of the copyright holder nor the names of its contributors\nmay be used to endorse or promote "
+                                     "products derived from this software without\nspecific prior written permission.")]
+    plain = [(None, f"nothing but words {k}") for k in range(300)]
+    d = spark.createDataFrame([(k, "x", t) for k, (_, t) in enumerate(says + plain)], "doc_id long, path string, text string")
+    got = {r["file_id"]: r["license"] for r in licenses.scan(d).collect()}
+    assert [(says[k][1], got[k]) for k in range(len(says))] == [(t, n) for n, t in says]
