@@ -94,10 +94,12 @@ LONGER = {"BSD-2-Clause": "BSD-3-Clause"}        # same opening line; the second
 COMMON = 50_000                  # words broadcast with their counts, the most frequent ones
 HELD = 200_000                   # words counted in a task before they are passed on
 _RARE = T.ArrayType(T.StructType([T.StructField("word", T.BinaryType()), T.StructField("square", T.LongType())]))
-UNITS = T.ArrayType(T.StructType([T.StructField("line", T.IntegerType()), T.StructField("base", T.DoubleType()), T.StructField("ks", T.ArrayType(T.IntegerType())),
+UNITS = T.ArrayType(T.StructType([T.StructField("line", T.IntegerType()), T.StructField("block", T.IntegerType()), T.StructField("base", T.DoubleType()), T.StructField("ks", T.ArrayType(T.IntegerType())),
                                   T.StructField("dots", T.ArrayType(T.DoubleType())), T.StructField("rare", _RARE)]))
-UNITS_ARROW = pa.list_(pa.struct([("line", pa.int32()), ("base", pa.float64()), ("ks", pa.list_(pa.int32())), ("dots", pa.list_(pa.float64())),
-                                  ("rare", pa.list_(pa.struct([("word", pa.binary()), ("square", pa.int64())])))]))
+UNITS_ARROW = pa.list_(pa.struct([("line", pa.int32()), ("block", pa.int32()), ("base", pa.float64()), ("ks", pa.list_(pa.int32())),
+                                  ("dots", pa.list_(pa.float64())), ("rare", pa.list_(pa.struct([("word", pa.binary()), ("square", pa.int64())])))]))
+FOUND = T.ArrayType(T.StructType([T.StructField("license", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("line", T.LongType())]))
+FOUND_ARROW = pa.list_(pa.struct([("license", pa.string()), ("score", pa.float64()), ("line", pa.int64())]))
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|unlicense|copyright)([.-].*)?$"
 _KEPT = bytes(c if chr(c).isalnum() or c >= 128 or c == 10 else 32 for c in range(256))
 
@@ -177,29 +179,46 @@ class Matcher:
             lo, hi = np.searchsorted(at, (u, u + 1))
             ks = np.flatnonzero(fits[i])
             start = u if u < len(rows) else int(np.flatnonzero((block == u - len(rows)) & ~blank)[0])
-            out.append({"line": start + 1, "base": float(base[u]), "ks": ks.tolist(), "dots": dots[i, ks].tolist(),
+            out.append({"line": start + 1, "block": int(block[start]) if u < len(rows) else -1 - u + len(rows), "base": float(base[u]), "ks": ks.tolist(), "dots": dots[i, ks].tolist(),
                         "rare": [{"word": words[w[j] - total], "square": int(squares[j])} for j in range(lo, hi) if rare[j]]})
         return out
 
-    def best(self, candidates: list[dict], rare: list[dict], threshold: float) -> tuple[str | None, float, int | None]:
+    def best(self, candidates: list[dict], rare: list[dict], threshold: float) -> tuple[str | None, float, int | None, list[dict]]:
         """(name, cosine, line number from 1) of the best template: of equal
-        cosines the earlier template, then the earlier line.  ``rare`` has
-        the squared count and the lines of each rare word by candidate."""
+        cosines the earlier template, then the earlier line; and all licences
+        declared, best first.  ``rare`` has the squared count and the lines of
+        each rare word by candidate.
+
+        A paragraph or line declares its best template at the threshold, a
+        line only if it is no worse than its paragraph; an SPDX line declares
+        every identifier that it holds and that is no part of a longer one.
+        """
         rest = [[] for _ in candidates]
         for x in rare:
             rest[x["at"]].append(x["square"] * self.weight(x["n"]) ** 2)
-        got, found = None, set()
+        units = []
         for c, more in zip(candidates, rest):
             norm = math.sqrt(c["base"] + math.fsum(more))
-            for k, dot in zip(c["ks"], c["dots"]):
-                one = (-round(dot / norm, 12), k, c["line"])
-                got = min(got or one, one)
-                if -one[0] >= threshold:
-                    found.add(self.names[k])
-        if not got or -round(got[0], 9) < threshold:
-            return None, -round(got[0], 9) if got else 0.0, None
-        name = self.names[got[1]]
-        return LONGER[name] if LONGER.get(name) in found else name, -round(got[0], 9), got[2]
+            units.append(sorted((-round(dot / norm, 12), k, c["line"]) for k, dot in zip(c["ks"], c["dots"])))
+        if not units:
+            return None, 0.0, None, []
+        got = min(u[0] for u in units)
+        score = -round(got[0], 9)
+        if score < threshold:
+            return None, score, None, []
+        whole = {-1 - c["block"]: u[0][0] for c, u in zip(candidates, units) if c["block"] < 0}
+        said = {got}
+        for c, unit in zip(candidates, units):
+            full = [x for x in unit if -round(x[0], 9) >= threshold]
+            if full and full[0][0] <= whole.get(c["block"], 0.0):
+                tags = [x for x in full if x[1] in self.needs] if full[0][1] in self.needs else []
+                said |= {full[0], *(x for x in tags if not any(self.needs[x[1]] < self.needs[y[1]] for y in tags))}
+        names = {self.names[k] for _, k, _ in said}
+        found = {}
+        for minus, k, line in sorted(said):
+            name = LONGER[self.names[k]] if LONGER.get(self.names[k]) in names else self.names[k]
+            found.setdefault(name, {"license": name, "score": -round(minus, 9), "line": line})
+        return next(iter(found)), score, got[2], list(found.values())
 
 
 def _counted(texts: DataFrame) -> DataFrame:
@@ -224,10 +243,11 @@ def _counted(texts: DataFrame) -> DataFrame:
 
 
 def declared(files: DataFrame, text: str = "text", templates=TEMPLATES, threshold: float = 0.6,
-             names=("license", "score", "license_line"), common: int = COMMON, drop: bool = False) -> DataFrame:
+             names=("license", "score", "license_line", "licenses"), common: int = COMMON, drop: bool = False) -> DataFrame:
     """All columns of ``files`` (with ``drop`` without the text) plus the
     licence that a text declares itself (null below ``threshold``), the best
-    cosine and the line where it starts."""
+    cosine, the line where it starts, and all licences declared (license,
+    score, line; the best first)."""
     spark = files.sparkSession
     python_ready(spark)
     vocabulary = sorted({w for _, t in templates for row in words_of(t) for w in row})
@@ -268,10 +288,10 @@ def declared(files: DataFrame, text: str = "text", templates=TEMPLATES, threshol
         m = matcher.value
         for batch in batches:
             got = [m.best(u or [], r or [], threshold) for u, r in zip(*(c.to_pylist() for c in batch.columns[-2:]))]
-            cols = [pa.array([g[k] for g in got], t) for k, t in enumerate((pa.string(), pa.float64(), pa.int64()))]
+            cols = [pa.array([g[k] for g in got], t) for k, t in enumerate((pa.string(), pa.float64(), pa.int64(), FOUND_ARROW))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-2], *cols], names=[*batch.schema.names[:-2], *names])
 
-    kinds = (T.StringType(), T.DoubleType(), T.LongType())
+    kinds = (T.StringType(), T.DoubleType(), T.LongType(), FOUND)
     schema = T.StructType([*fields, *(T.StructField(n, t) for n, t in zip(names, kinds))])
     return d.select(*(ident(c) for c in kept), units, rare).mapInArrow(settle, schema)
 
@@ -279,11 +299,13 @@ def declared(files: DataFrame, text: str = "text", templates=TEMPLATES, threshol
 def scan(files: DataFrame, file_id: str = "doc_id", path: str = "path", text: str = "text", templates=TEMPLATES,
          threshold: float = 0.6, common: int = COMMON) -> DataFrame:
     """One row per row of ``files``: file_id, path, license (declared), score,
-    license_line, inherited, inherited_from (a directory), effective.
+    license_line, inherited, inherited_from (a directory), effective, licenses
+    (all declared, with score and line), inherited_licenses (names).
 
     ``inherited`` is the licence of the nearest directory at or above the
     file's that has a licence file declaring one (of several the highest
-    cosine, then the smallest path).  Own declarations go first in
+    cosine, then the smallest path); ``inherited_licenses`` are all that this
+    directory's licence files declare.  Own declarations go first in
     ``effective``.  A null path inherits nothing; a null text declares nothing.
     """
     d = files.select(ident(file_id).alias("file_id"), ident(path).alias("path"), ident(text).alias("text"))
@@ -292,14 +314,17 @@ def scan(files: DataFrame, file_id: str = "doc_id", path: str = "path", text: st
     folder = F.array_join(F.slice(parts, F.lit(1), F.size(parts) - 1), "/")
     d = d.withColumn("folder", F.when(F.col("path").isNotNull(), folder))
     named = d.where(F.element_at(parts, -1).rlike(LICENCE_FILE) & F.col("license").isNotNull())
-    covers = named.groupBy("folder").agg(F.min_by("license", F.struct(-F.col("score"), "path", "license")).alias("inherited"))
+    named = named.withColumn("one", F.explode("licenses.license"))
+    covers = named.groupBy("folder").agg(F.min_by("license", F.struct(-F.col("score"), "path", "license")).alias("inherited"),
+                                         F.sort_array(F.collect_set("one")).alias("every"))
     folders = d.where("folder IS NOT NULL").select("folder").distinct()
     steps = F.split("folder", "/")
     above = folders.select("folder", F.explode(F.transform(
         F.sequence(F.lit(0), F.size(steps)), lambda i: F.array_join(F.slice(steps, F.lit(1), i), "/"))).alias("up")).distinct()
     near = above.join(covers.withColumnRenamed("folder", "up"), "up").groupBy("folder").agg(
-        F.max(F.struct(F.length("up").alias("n"), "up", "inherited")).alias("best"))
-    near = near.select("folder", F.col("best.inherited").alias("inherited"), F.col("best.up").alias("inherited_from"))
+        F.max(F.struct(F.length("up").alias("n"), "up", "inherited", "every")).alias("best"))
+    near = near.select("folder", F.col("best.inherited").alias("inherited"), F.col("best.up").alias("inherited_from"),
+                       F.col("best.every").alias("inherited_licenses"))
     d = d.join(near, "folder", "left")
     return d.select("file_id", "path", "license", "score", "license_line", "inherited", "inherited_from",
-                    F.coalesce("license", "inherited").alias("effective"))
+                    F.coalesce("license", "inherited").alias("effective"), "licenses", "inherited_licenses")

@@ -459,3 +459,19 @@ def test_license_near_pairs_get_their_own_names(spark):
     d = spark.createDataFrame([(k, "x", t) for k, (_, t) in enumerate(says + plain)], "doc_id long, path string, text string")
     got = {r["file_id"]: r["license"] for r in licenses.scan(d).collect()}
     assert [(says[k][1], got[k]) for k in range(len(says))] == [(t, n) for n, t in says]
+
+
+def test_license_scan_returns_every_licence(spark):
+    apache = "Licensed under the Apache License,\nVersion 2.0."
+    files = [(0, "a/LICENSE", f"Released under the MIT License.\n\nwords\n\n{apache}"), (1, "a/LICENSE-CC", "Licensed under CC BY 4.0."), (2, "a/b/x.py", "nothing"),
+             (3, "c/x.py", "// SPDX-License-Identifier: MIT OR Apache-2.0"), (4, "c/y.py", "Licensed under the Apache License, Version 2.0."),
+             (5, "c/z.py", "Released under the MIT License.\nLicensed under CC BY-NC 4.0.")]
+    d = spark.createDataFrame(files + [(k, None, f"just words {k}") for k in range(10, 200)], "doc_id long, path string, text string")
+    got = {r["file_id"]: r for r in licenses.scan(d).collect()}
+    every = {k: [(x["license"], x["line"]) for x in got[k]["licenses"]] for k in range(6)}
+    assert every[0] == [("MIT", 1), ("Apache-2.0", 5)] and every[1] == [("CC-BY-4.0", 1)] and every[2] == []
+    assert sorted(every[3]) == [("Apache-2.0", 1), ("MIT", 1)] and every[4] == [("Apache-2.0", 1)] and sorted(every[5]) == [("CC-BY-NC-4.0", 2), ("MIT", 1)]
+    for k in (0, 1, 3, 4, 5):
+        first = got[k]["licenses"][0]
+        assert (first["license"], first["score"], first["line"]) == (got[k]["license"], got[k]["score"], got[k]["license_line"])
+    assert got[2]["inherited"] == "MIT" and got[2]["inherited_licenses"] == ["Apache-2.0", "CC-BY-4.0", "MIT"]
