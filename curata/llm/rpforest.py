@@ -6,8 +6,8 @@ vector is indexed, once per tree, under the leaf it falls into.  A query walks
 all trees through one shared priority queue, always continuing where its
 distance to the planes crossed so far is smallest, until the leaves it has
 seen hold ``search`` times as many vectors as there are.  Queries and vectors
-meet by leaf; leaf candidates are scored there, the best are merged and scored
-again exactly.  Copies of a vector are indexed once with their smallest ids,
+meet by leaf; leaf candidates are scored there, those that may be among the
+best with the exact measure, and the best are merged.  Copies of a vector are indexed once with their smallest ids,
 which is all that a list of k neighbours can show.
 """
 
@@ -27,6 +27,8 @@ TREES, DEPTH, LEAF = 6, 8, 48
 SAMPLE_ROWS = 16_384
 SEARCH = 0.9                    # vectors seen, as a share of all, counted once per tree
 PART_ROWS = 20_000              # vectors of a leaf scored together
+BLOCK_ROWS = 128                # queries of a leaf scored together
+NEAR = 1e-9                     # more than matrix products differ from the exact measure
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -114,11 +116,59 @@ class Forest:
         return out
 
 
-def _cosine(a: Column, b: Column) -> Column:
-    """Cosine in double precision, summed in component order."""
-    def dot(x: Column, y: Column) -> Column:
-        return F.aggregate(F.zip_with(x, y, lambda i, j: i * j), F.lit(0.0), lambda s, z: s + z)
-    return dot(a, b) / (F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
+def _rows(column) -> np.ndarray:
+    return np.array(list(column), dtype=np.float64)
+
+
+def _dot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products of matching rows, summed in component order."""
+    out = np.zeros(len(a))
+    for j in range(a.shape[1]):
+        out += a[:, j] * b[:, j]
+    return out
+
+
+def _best(q: np.ndarray, asked: np.ndarray, v: np.ndarray, ids: list, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(query row, vector row, vec_id, cosine) of each query's ``k`` best ids
+    among the vectors' ``ids``: largest cosine, then smallest id, never the
+    query's own id."""
+    unit, own = _unit(v), np.array([x[0] if len(x) == 1 else 0 for x in ids], np.int64)
+    single = np.array([len(x) == 1 for x in ids])
+    u, got = _unit(q), []
+    for at in range(0, len(q), BLOCK_ROWS):
+        block = slice(at, at + BLOCK_ROWS)
+        s = u[block] @ unit.T
+        s[single & (own == asked[block, None])] = -np.inf
+        floor = np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k] if s.shape[1] > k else np.full(len(s), -np.inf)
+        row, col = np.nonzero((s >= floor[:, None] - NEAR) & (s > -np.inf))
+        for r, one in zip(*_runs(row, col)):
+            score = _cosine(np.broadcast_to(q[at + r], (len(one), q.shape[1])), v[one])
+            many = np.array([len(ids[c]) for c in one])
+            flat = np.concatenate([np.asarray(ids[c], np.int64) for c in one])
+            score, one = np.repeat(score, many), np.repeat(one, many)
+            other = np.flatnonzero(flat != asked[at + r])
+            first = other[np.lexsort((flat[other], -score[other]))][:k]
+            got.append((np.full(len(first), at + r), one[first], flat[first], score[first]))
+    if not got:
+        return tuple(np.zeros(0, np.int64) for _ in range(4))
+    return tuple(np.concatenate(x) for x in zip(*got))
+
+
+def _runs(row: np.ndarray, col: np.ndarray) -> tuple[list[int], list[np.ndarray]]:
+    """Columns of every row that has some; rows in order."""
+    if not len(row):
+        return [], []
+    first = np.flatnonzero(np.diff(row, prepend=-1))
+    return row[first].tolist(), np.split(col, first[1:])
+
+
+def _cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Cosine of matching rows in double precision, summed in component order;
+    rows are first scaled by powers of two, so that squares stay finite."""
+    def scaled(x: np.ndarray) -> np.ndarray:
+        return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+    a, b = scaled(a), scaled(b)
+    return _dot(a, b) / (np.sqrt(_dot(a, a)) * np.sqrt(_dot(b, b)))
 
 
 def nearest(vectors: DataFrame, queries: Column, k: int = 5, vec_id: str = "vec_id", embedding: str = "embedding",
@@ -155,10 +205,9 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, vec_id: str = "vec_
             if len(p):
                 at = forest.value.leaves(_unit(p["v"]))
                 for t in range(len(at)):
-                    yield pd.DataFrame({"tree": t, "leaf": at[t], "a": p["a"].to_numpy(), "b": p["b"].to_numpy(), "v": p["v"].to_numpy()})
+                    yield p.assign(tree=t, leaf=at[t])[["tree", "leaf", "a", "b", "ids", "v"]]
 
-    index = classes.select("cls.a", "cls.b", "v").mapInPandas(route, "tree int, leaf long, a long, b int, v array<double>")
-    index = index.select("tree", "leaf", "a", "b", F.transform("v", lambda x: x.cast("float")).alias("v"))
+    index = classes.select("cls.a", "cls.b", "ids", "v").mapInPandas(route, "tree int, leaf long, a long, b int, ids array<long>, v array<double>")
     index = written(index, "ann-index")
     sizes = {(r["tree"], r["leaf"]): r["count"] for r in index.groupBy("tree", "leaf").count().collect()}   # one row per leaf
     split = 1 + max(sizes.values(), default=0) // PART_ROWS
@@ -176,25 +225,16 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, vec_id: str = "vec_
     visits = asks.mapInPandas(walk, "tree int, leaf long, query_id long, q array<double>")
     visits = visits.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(split - 1))))
     index = index.withColumn("part", F.pmod("a", F.lit(split)).cast("int"))
-    keep = k + 3
 
     def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
-            return pd.DataFrame({"query_id": [], "a": [], "b": [], "near": []})
-        s = _unit(left["q"]) @ _unit(right["v"]).T
-        top = np.argpartition(-s, keep - 1, axis=1)[:, :keep] if s.shape[1] > keep else np.tile(np.arange(s.shape[1]), (len(s), 1))
-        rows = np.repeat(np.arange(len(s)), top.shape[1])
-        flat = top.ravel()
-        return pd.DataFrame({"query_id": left["query_id"].to_numpy()[rows], "a": right["a"].to_numpy()[flat],
-                             "b": right["b"].to_numpy()[flat], "near": s[rows, flat]})
+            return pd.DataFrame({"query_id": [], "a": [], "b": [], "vec_id": [], "score": []})
+        asked = left["query_id"].to_numpy()
+        row, col, vec_id, score = _best(_rows(left["q"]), asked, _rows(right["v"]), right["ids"].tolist(), k)
+        return pd.DataFrame({"query_id": asked[row], "a": right["a"].to_numpy()[col], "b": right["b"].to_numpy()[col], "vec_id": vec_id, "score": score})
 
     on = ("tree", "leaf", "part")
-    found = visits.groupBy(*on).cogroup(index.groupBy(*on)).applyInPandas(score, "query_id long, a long, b int, near double")
-    found = found.groupBy("query_id", "a", "b").agg(F.max("near").alias("near"))
-    first = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("near"), "a", "b"))
-    found = found.withColumn("place", first).where(F.col("place") <= keep)
-    found = found.join(asks, "query_id").join(classes.select("cls.a", "cls.b", "ids", "v"), ["a", "b"])
-    found = found.select("query_id", _cosine(F.col("q"), F.col("v")).alias("score"), F.explode("ids").alias("vec_id"))
-    found = found.where("vec_id <> query_id")
+    found = visits.groupBy(*on).cogroup(index.groupBy(*on)).applyInPandas(score, "query_id long, a long, b int, vec_id long, score double")
+    found = found.groupBy("query_id", "a", "b", "vec_id").agg(F.first("score").alias("score"))      # the same from every tree
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

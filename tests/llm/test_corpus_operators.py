@@ -475,3 +475,30 @@ def test_license_scan_returns_every_licence(spark):
         first = got[k]["licenses"][0]
         assert (first["license"], first["score"], first["line"]) == (got[k]["license"], got[k]["score"], got[k]["license_line"])
     assert got[2]["inherited"] == "MIT" and got[2]["inherited_licenses"] == ["Apache-2.0", "CC-BY-4.0", "MIT"]
+
+
+def test_forest_ties_go_to_the_smallest_ids(spark):
+    rng = random.Random(9)
+    base = [rng.gauss(0, 1) for _ in range(8)]
+    hot = [[float(j == i % 8) for j in range(8)] for i in range(16)]
+    scaled = [(1000 - i, [x * 2.0 ** (i % 40) * (1 + i // 40) for x in base]) for i in range(300)]
+    near = [(i, [x + 1e-5 * rng.gauss(0, 1) for x in base]) for i in range(2000, 2060)]
+    ones = [(3000 + i, [x * (1 + i) for x in v]) for i, v in enumerate(hot)]
+    pairs = [(4000 + i, [float(j in (0, 1 + i % 7)) * (i + 1) for j in range(8)]) for i in range(140)]
+    rows = scaled + near + ones + pairs
+    d = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = rpforest.nearest(d, F.col("vec_id").isin(1000, 3000, 3003, 4000), k=5, search=50.0).collect()
+    vec = dict(rows)
+
+    def exact(a, b):
+        def dot(x, y):
+            out = 0.0
+            for i, j in zip(x, y):
+                out += i * j
+            return out
+        return dot(a, b) / (math.sqrt(dot(a, a)) * math.sqrt(dot(b, b)))
+
+    for q in (1000, 3000, 3003, 4000):
+        mine = [(r["vec_id"], r["score"]) for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q]
+        best = sorted((-exact(vec[q], v), i) for i, v in rows if i != q)[:5]
+        assert mine == [(i, -s) for s, i in best]
