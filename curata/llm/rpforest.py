@@ -27,6 +27,7 @@ TREES, DEPTH, LEAF = 6, 8, 48
 SAMPLE_ROWS = 16_384
 SEARCH = 0.9                    # vectors seen, as a share of all, counted once per tree
 PART_ROWS = 20_000              # vectors of a leaf scored together
+ASK_ROWS = 100_000              # queries that may meet one leaf part in one task
 BLOCK_ROWS = 128                # queries of a leaf scored together
 NEAR = 1e-9                     # more than matrix products differ from the exact measure
 
@@ -172,7 +173,8 @@ def _cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def nearest(vectors: DataFrame, queries: Column, k: int = 5, vec_id: str = "vec_id", embedding: str = "embedding",
-            trees: int = TREES, search: float = SEARCH, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+            trees: int = TREES, search: float = SEARCH, sample_rows: int = SAMPLE_ROWS,
+            part_rows: int = PART_ROWS, ask_rows: int = ASK_ROWS) -> DataFrame:
     """For each row where ``queries`` (a condition on vec_id) holds its k nearest
     other rows found: query_id, rank (from 1), vec_id, score (cosine).
 
@@ -210,7 +212,8 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, vec_id: str = "vec_
     index = classes.select("cls.a", "cls.b", "ids", "v").mapInPandas(route, "tree int, leaf long, a long, b int, ids array<long>, v array<double>")
     index = written(index, "ann-index")
     sizes = {(r["tree"], r["leaf"]): r["count"] for r in index.groupBy("tree", "leaf").count().collect()}   # one row per leaf
-    split = 1 + max(sizes.values(), default=0) // PART_ROWS
+    split = 1 + max(sizes.values(), default=0) // part_rows
+    shares = 1 + asks.count() // ask_rows           # by query id; each share meets its own copy of the leaf parts
     want = max(search * n, 40.0 * (k + 1) * trees)
 
     def walk(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -224,7 +227,9 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, vec_id: str = "vec_
 
     visits = asks.mapInPandas(walk, "tree int, leaf long, query_id long, q array<double>")
     visits = visits.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(split - 1))))
+    visits = visits.withColumn("share", F.pmod(F.xxhash64("query_id"), F.lit(shares)).cast("int"))
     index = index.withColumn("part", F.pmod("a", F.lit(split)).cast("int"))
+    index = index.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
 
     def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
@@ -233,7 +238,7 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, vec_id: str = "vec_
         row, col, vec_id, score = _best(_rows(left["q"]), asked, _rows(right["v"]), right["ids"].tolist(), k)
         return pd.DataFrame({"query_id": asked[row], "a": right["a"].to_numpy()[col], "b": right["b"].to_numpy()[col], "vec_id": vec_id, "score": score})
 
-    on = ("tree", "leaf", "part")
+    on = ("tree", "leaf", "part", "share")
     found = visits.groupBy(*on).cogroup(index.groupBy(*on)).applyInPandas(score, "query_id long, a long, b int, vec_id long, score double")
     found = found.groupBy("query_id", "a", "b", "vec_id").agg(F.first("score").alias("score"))      # the same from every tree
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))

@@ -502,3 +502,14 @@ def test_forest_ties_go_to_the_smallest_ids(spark):
         mine = [(r["vec_id"], r["score"]) for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q]
         best = sorted((-exact(vec[q], v), i) for i, v in rows if i != q)[:5]
         assert mine == [(i, -s) for s, i in best]
+
+
+def test_forest_queries_of_a_leaf_are_split(spark):
+    rng = random.Random(4)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(6)]) for i in range(400)]
+    d = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    every = F.col("vec_id") % 2 == 0
+    whole = rpforest.nearest(d, every).collect()
+    split = rpforest.nearest(d, every, part_rows=20, ask_rows=30)
+    assert sorted(split.collect()) == sorted(whole) and len(whole) == 1000
+    assert "share" in split._jdf.queryExecution().analyzed().toString()
