@@ -34,14 +34,11 @@ NEAR = 1e-9                     # more than matrix products differ from the exac
 
 def usable(vectors: DataFrame) -> DataFrame:
     """(vec_id, v): vectors as doubles, without those that take no part: null,
-    zero, with null or non-finite components, or not of the commonest length
-    (of two equally common lengths the smaller counts)."""
+    zero, or with null or non-finite components."""
     v = F.transform("v", lambda x: x.cast("double"))
     d = vectors.where("vec_id IS NOT NULL AND v IS NOT NULL").select("vec_id", v.alias("v"))
     good = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
-    d = d.where(F.coalesce(good, F.lit(False)))
-    sizes = d.groupBy(F.size("v").alias("size")).count().orderBy(F.desc("count"), "size").limit(1).collect()
-    return d.where(F.size("v") == (sizes[0]["size"] if sizes else 0))
+    return d.where(F.coalesce(good, F.lit(False)))
 
 
 def _unit(rows) -> np.ndarray:
@@ -77,15 +74,20 @@ def _fit(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
 
 
 class Forest:
-    def __init__(self, trees: int, nodes):
-        self.trees = [{} for _ in range(trees)]
+    """``trees`` trees for every length of vectors, one length after the other."""
+
+    def __init__(self, trees: int, lengths: list[int], nodes):
+        self.of = {n: range(k * trees, (k + 1) * trees) for k, n in enumerate(lengths)}
+        self.trees = [{} for _ in range(trees * len(lengths))]
         for tree, node, plane, cut in nodes:
             self.trees[tree][node] = (np.array(plane), cut)
 
     def leaves(self, m: np.ndarray) -> np.ndarray:
-        """Leaf of every row in every tree (trees x rows)."""
-        out = np.ones((len(self.trees), len(m)), np.int64)
-        for t, nodes in enumerate(self.trees):
+        """Leaf of every row in every tree of its length (trees x rows)."""
+        own_trees = self.of[m.shape[1]]
+        out = np.ones((len(own_trees), len(m)), np.int64)
+        for t, tree in enumerate(own_trees):
+            nodes = self.trees[tree]
             todo = [(1, np.arange(len(m)))]
             while todo:
                 node, own = todo.pop()
@@ -98,8 +100,8 @@ class Forest:
         return out
 
     def search(self, q: np.ndarray, sizes: dict, want: float) -> list[tuple[int, int]]:
-        """(tree, leaf) pairs by one priority queue over all trees, until they hold ``want`` vectors."""
-        queue = [(0.0, t, 1) for t in range(len(self.trees))]
+        """(tree, leaf) pairs by one priority queue over all trees of its length, until they hold ``want`` vectors."""
+        queue = [(0.0, t, 1) for t in self.of[len(q)]]
         out, got = [], 0
         while queue and got < want:
             far, t, node = heapq.heappop(queue)
@@ -182,6 +184,7 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, vec_id: str = "vec_
     :func:`usable`) are neither queries nor candidates.  Rows that share a
     query's vec_id are its own and no candidates; several vectors under one
     query id count as the least of them.  Repeated rows count once.
+    Vectors meet those of their own length only, each length with its own trees.
     """
     spark = vectors.sparkSession
     python_ready(spark, 5000)
@@ -191,36 +194,41 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, vec_id: str = "vec_
     some = d.withColumn("place", place).where(F.col("place") <= k + 1)
     classes = some.groupBy("cls").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"), F.first("v").alias("v"))
     classes = written(classes, "ann-classes")
-    n = classes.count()
+    many = {r["size"]: r["count"] for r in classes.groupBy(F.size("v").alias("size")).count().collect()}     # one row per length
+    lengths = sorted(many)
+    if not lengths:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    of_length = F.element_at(F.create_map(*(F.lit(x) for k, n in enumerate(lengths) for x in (n, k))), F.size("v"))
+    count = F.element_at(F.create_map(*(F.lit(x) for n in lengths for x in (n, many[n]))), F.size("v"))
     asks = written(d.where(queries).groupBy(F.col("vec_id").alias("query_id")).agg(F.min("v").alias("q")), "ann-queries")
 
-    sample = classes
-    if n > sample_rows:
-        sample = classes.where(F.pmod(F.xxhash64(F.lit("sample"), "cls.a"), F.lit(1 << 30)) < sample_rows * (1 << 30) // n)
-    sample = sample.select("cls", "v", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
+    chosen = F.pmod(F.xxhash64(F.lit("sample"), "cls.a"), F.lit(1 << 30)) < F.floor(F.lit(sample_rows * (1 << 30)) / count)
+    sample = classes.where((count <= sample_rows) | chosen)
+    sample = sample.select("cls", "v", F.explode(F.sequence(of_length * trees, of_length * trees + trees - 1)).alias("tree"))
     sample = sample.select("tree", F.concat_ws("/", "cls.a", "cls.b").alias("cls"), "v")
-    nodes = sample.groupBy("tree").applyInPandas(_fit, NODE).collect()          # trees * 2**DEPTH planes at most
-    forest = spark.sparkContext.broadcast(Forest(trees, [tuple(r) for r in nodes]))
+    nodes = sample.groupBy("tree").applyInPandas(_fit, NODE).collect()          # trees * 2**DEPTH planes a length at most
+    forest = spark.sparkContext.broadcast(Forest(trees, lengths, [tuple(r) for r in nodes]))
 
     def route(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
-            if len(p):
-                at = forest.value.leaves(_unit(p["v"]))
-                for t in range(len(at)):
-                    yield p.assign(tree=t, leaf=at[t])[["tree", "leaf", "a", "b", "ids", "v"]]
+            for n, own in p.groupby(p["v"].map(len)):
+                at = forest.value.leaves(_unit(own["v"]))
+                for t, tree in enumerate(forest.value.of[n]):
+                    yield own.assign(tree=tree, leaf=at[t])[["tree", "leaf", "a", "b", "ids", "v"]]
 
     index = classes.select("cls.a", "cls.b", "ids", "v").mapInPandas(route, "tree int, leaf long, a long, b int, ids array<long>, v array<double>")
     index = written(index, "ann-index")
     sizes = {(r["tree"], r["leaf"]): r["count"] for r in index.groupBy("tree", "leaf").count().collect()}   # one row per leaf
     split = 1 + max(sizes.values(), default=0) // part_rows
     shares = 1 + asks.count() // ask_rows           # by query id; each share meets its own copy of the leaf parts
-    want = max(search * n, 40.0 * (k + 1) * trees)
+    want = {n: max(search * c, 40.0 * (k + 1) * trees) for n, c in many.items()}
 
     def walk(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
             if not len(p):
                 continue
-            out = [(t, leaf, i) for i, q in enumerate(_unit(p["q"])) for t, leaf in forest.value.search(q, sizes, want)]
+            units = (_unit([q])[0] for q in p["q"])
+            out = [(t, leaf, i) for i, q in enumerate(units) for t, leaf in forest.value.search(q, sizes, want[len(q)])]
             at = [i for _, _, i in out]
             yield pd.DataFrame({"tree": [t for t, _, _ in out], "leaf": [x for _, x, _ in out],
                                 "query_id": p["query_id"].to_numpy()[at], "q": p["q"].to_numpy()[at]})

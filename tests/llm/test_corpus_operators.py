@@ -513,3 +513,15 @@ def test_forest_queries_of_a_leaf_are_split(spark):
     split = rpforest.nearest(d, every, part_rows=20, ask_rows=30)
     assert sorted(split.collect()) == sorted(whole) and len(whole) == 1000
     assert "share" in split._jdf.queryExecution().analyzed().toString()
+
+
+def test_forest_of_several_lengths(spark):
+    rng = random.Random(8)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(4 if i % 3 else 6)]) for i in range(300)] + [(300, [1.0])]
+    d = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = rpforest.nearest(d, F.col("vec_id") % 50 == 0).collect()
+    for n in (4, 6):
+        own = [(i, v) for i, v in rows if len(v) == n]
+        asked = {i for i, _ in own if i % 50 == 0}
+        assert asked and check_nearest(own, [g for g in got if g["query_id"] in asked], 50) == 1.0
+    assert not [g for g in got if g["query_id"] == 300]
