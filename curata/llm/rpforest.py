@@ -123,55 +123,45 @@ def _rows(column) -> np.ndarray:
     return np.array(list(column), dtype=np.float64)
 
 
-def _dot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Products of matching rows, summed in component order."""
-    out = np.zeros(len(a))
-    for j in range(a.shape[1]):
-        out += a[:, j] * b[:, j]
-    return out
-
-
 def _best(q: np.ndarray, asked: np.ndarray, v: np.ndarray, ids: list, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(query row, vector row, vec_id, cosine) of each query's ``k`` best ids
     among the vectors' ``ids``: largest cosine, then smallest id, never the
     query's own id."""
-    unit, own = _unit(v), np.array([x[0] if len(x) == 1 else 0 for x in ids], np.int64)
-    single = np.array([len(x) == 1 for x in ids])
-    u, got = _unit(q), []
+    many = np.array([len(x) for x in ids])
+    flat, start = np.concatenate([np.asarray(x, np.int64) for x in ids]), np.cumsum(many) - many
+    single, own = many == 1, flat[start]
+    u, unit = _unit(q), _unit(v)
+    (q, q_length), (v, v_length) = _scaled(q), _scaled(v)
+    got = []
     for at in range(0, len(q), BLOCK_ROWS):
-        block = slice(at, at + BLOCK_ROWS)
-        s = u[block] @ unit.T
-        s[single & (own == asked[block, None])] = -np.inf
+        s = u[at:at + BLOCK_ROWS] @ unit.T
+        s[single & (own == asked[at:at + BLOCK_ROWS, None])] = -np.inf
         floor = np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k] if s.shape[1] > k else np.full(len(s), -np.inf)
         row, col = np.nonzero((s >= floor[:, None] - NEAR) & (s > -np.inf))
-        for r, one in zip(*_runs(row, col)):
-            score = _cosine(np.broadcast_to(q[at + r], (len(one), q.shape[1])), v[one])
-            many = np.array([len(ids[c]) for c in one])
-            flat = np.concatenate([np.asarray(ids[c], np.int64) for c in one])
-            score, one = np.repeat(score, many), np.repeat(one, many)
-            other = np.flatnonzero(flat != asked[at + r])
-            first = other[np.lexsort((flat[other], -score[other]))][:k]
-            got.append((np.full(len(first), at + r), one[first], flat[first], score[first]))
-    if not got:
-        return tuple(np.zeros(0, np.int64) for _ in range(4))
+        row += at
+        score = np.zeros(len(row))
+        for j in range(q.shape[1]):                 # in component order
+            score += q[row, j] * v[col, j]
+        score /= q_length[row] * v_length[col]
+        each = many[col]
+        place = np.arange(each.sum()) + np.repeat(start[col] - np.cumsum(each) + each, each)
+        row, col, score, vec_id = np.repeat(row, each), np.repeat(col, each), np.repeat(score, each), flat[place]
+        other = np.flatnonzero(vec_id != asked[row])
+        other = other[np.lexsort((vec_id[other], -score[other], row[other]))]
+        first = np.searchsorted(row[other], row[other])
+        other = other[np.arange(len(other)) - first < k]
+        got.append((row[other], col[other], vec_id[other], score[other]))
     return tuple(np.concatenate(x) for x in zip(*got))
 
 
-def _runs(row: np.ndarray, col: np.ndarray) -> tuple[list[int], list[np.ndarray]]:
-    """Columns of every row that has some; rows in order."""
-    if not len(row):
-        return [], []
-    first = np.flatnonzero(np.diff(row, prepend=-1))
-    return row[first].tolist(), np.split(col, first[1:])
-
-
-def _cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Cosine of matching rows in double precision, summed in component order;
-    rows are first scaled by powers of two, so that squares stay finite."""
-    def scaled(x: np.ndarray) -> np.ndarray:
-        return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
-    a, b = scaled(a), scaled(b)
-    return _dot(a, b) / (np.sqrt(_dot(a, a)) * np.sqrt(_dot(b, b)))
+def _scaled(m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows scaled by powers of two, so that squares stay finite, and their
+    lengths, summed in component order."""
+    m = np.ldexp(m, -np.frexp(np.abs(m).max(axis=1, keepdims=True))[1])
+    squares = np.zeros(len(m))
+    for j in range(m.shape[1]):
+        squares += m[:, j] * m[:, j]
+    return m, np.sqrt(squares)
 
 
 def nearest(vectors: DataFrame, queries: Column, k: int = 5, vec_id: str = "vec_id", embedding: str = "embedding",
