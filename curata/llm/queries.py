@@ -5,8 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, langid, licenses, linededup, lmscore, merkle, mixing, pii, rpforest, simhash
-from .common import table
+from . import (bpe, bytecnn, langid, licenses, linededup, lmscore, merkle, mixing, periodic, pii, rpforest, simhash,
+               whitening)
+from .common import WORD, table
 
 QUERIES = {}
 ORACLE = {}
@@ -81,3 +82,42 @@ def source_mix(spark, sf_dir):
 @query("op10_pii")
 def personal_data(spark, sf_dir):
     return pii.summary(table(spark, sf_dir, "documents"))
+
+
+@query("op11_whitening")
+def embedding_whitening(spark, sf_dir):
+    d = whitening.whiten(table(spark, sf_dir, "embeddings"), components=4, scale=256)
+    return d.withColumn("deviation", F.expr("try_cast(deviation AS long)"))      # null beyond the long range
+
+
+def with_planted_periods(docs):
+    """doc_id and text of ``docs``, where every tenth text by crc32 of its id repeats a passage of itself to its end."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    g = F.floor(h / 10)
+    d = docs.select("doc_id", "text", g.alias("g"), (F.pmod(h, F.lit(10)) == 0).alias("chosen"))
+    d = d.withColumn("words", F.when(F.col("chosen"), F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), F.lit(0))))
+    d = d.withColumn("n", F.greatest(F.size("words"), F.lit(0)).cast("long"))
+    a = F.pmod(F.col("g"), F.greatest("n", F.lit(1)))
+    d = d.withColumn("a", a).withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.pmod(F.col("g"), F.lit(8)))))
+    rest = (F.col("n") - F.col("a")).cast("int")
+    times = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    passage = F.slice("words", (F.col("a") + 1).cast("int"), F.col("p").cast("int"))
+    made = F.concat(F.slice("words", F.lit(1), F.col("a").cast("int")), F.slice(F.flatten(F.array_repeat(passage, times)), F.lit(1), rest))
+    return d.select("doc_id", F.when(F.col("chosen") & (F.col("n") > 0), F.array_join(made, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query("op12_periodic_runs")
+def periodic_runs(spark, sf_dir):
+    d = periodic.detect(with_planted_periods(table(spark, sf_dir, "documents")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("back"), (-r["period"]).alias("short"))))
+    d = d.withColumn("best", best)
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    length, period = F.col("best.length"), -F.col("best.short")
+    return d.select("doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.back")).alias("start"), length.alias("length"),
+                    period.alias("period"), F.floor(1000 * length / period).alias("exponent_milli"),
+                    F.sha2(listed.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+@query("op13_byte_cnn")
+def byte_cnn(spark, sf_dir):
+    return bytecnn.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), label="quality", threshold=0.3)
