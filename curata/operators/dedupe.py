@@ -10,9 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def _order(order: Sequence, ties: Sequence = (), descending: bool = True) -> list[Column]:
@@ -46,99 +45,103 @@ def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 # Skew handling for version numbering.  A window puts every row of a key in
 # one task; a key with a third of all rows would stall the whole stage.  So a
-# key that holds more than half an even partition's share of the rows is split
-# into ranges of (start, ties) at sampled quantiles.  Shares are measured on a
-# seeded sample of key and order columns; at most 2n keys can have such a
-# share of n partitions, which bounds the table of split points without a cap.
-# A key takes one path or the other, its result is the same.
+# batch in which some key holds more than half an even partition's share takes
+# another path: it is dealt into ranges of (keys, start, ties), whatever the key,
+# and the first row of a key in a range is handed to the range before.  A seeded
+# sample of the key columns only chooses the path; both give the same result.
 SKEW_DEFAULTS = {
-    "fraction": 0.001,       # sample for the keys' shares
+    "fraction": 0.001,       # sample for the largest key's share
     "partitions": None,      # n; None: the shuffle partition count
-    "per_split": 50,         # sampled rows behind each split point
     "seed": 17,
 }
 
 
-def _same_key(keys: Sequence[str]) -> Column:
-    return F.struct(*[F.col(k) for k in keys]).eqNullSafe(F.col("_key"))
+def _partitions(df: DataFrame, n) -> int:
+    return int(n or df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def hot_key_splits(df: DataFrame, keys: Sequence[str], start: str, ties: Sequence[str] = (), **opts) -> DataFrame | None:
-    """Split points of the keys that hold a large share of rows: a literal
-    DataFrame (_key, _bounds), or None when there is no such key.
+def has_hot_key(df: DataFrame, keys: Sequence[str], fraction: float = 0.001, partitions: int | None = None,
+                seed: int = 17) -> bool:
+    """Whether some key (null keys count as one) seems to hold over half an even partition's share of the rows."""
+    key = F.struct(*[F.col(k) for k in keys]).alias("_key")
+    per = df.select(key).sample(fraction=fraction, seed=seed).groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
+    top = per.agg(F.max("_n").alias("top"), F.sum("_n").alias("total")).first()        # one row
+    return bool(top["top"] and top["top"] > 1 and top["top"] * 2 * _partitions(df, partitions) >= top["total"])
 
-    Null keys count as a key; ties belong to the order, so rows of one start
-    are split too.  Order columns may be of any type that can be ordered.
-    """
-    o = {**SKEW_DEFAULTS, **opts}
-    n = int(o["partitions"] or df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    key = F.struct(*[F.col(k) for k in keys])
-    smp = df.select(key.alias("_key"), F.struct(*[F.col(c) for c in [start, *ties]]).alias("_at"))
-    smp = smp.sample(fraction=o["fraction"], seed=o["seed"])
-    seen = Observation()
-    top = (smp.observe(seen, F.count(F.lit(1)).alias("n")).groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
-           .orderBy(F.desc("_n")).limit(2 * n).collect())          # no more keys than these can qualify
-    total = seen.get["n"] if top else 0
-    hot = [r for r in top if r["_n"] > 1 and r["_n"] * 2 * n >= total]
-    if not hot:
-        return None
-    spark = df.sparkSession
-    schema = T.StructType([T.StructField("_hk", smp.schema["_key"].dataType), T.StructField("_n", T.LongType())])
-    table = spark.createDataFrame([(r["_key"], r["_n"]) for r in hot], schema)
-    want = float(n * o["per_split"])
-    picked = (smp.join(F.broadcast(table), smp["_key"].eqNullSafe(F.col("_hk")))
-              .where(F.rand(o["seed"]) < want / F.col("_n"))         # about n * per_split rows of a key, or all
-              .groupBy("_key").agg(F.sort_array(F.collect_list("_at")).alias("_all")))
-    # every key gets as many ranges as its share of rows needs, at most n
-    parts = F.least(F.lit(n), F.size("_all"))
-    at = F.transform(F.sequence(F.lit(1), parts), lambda i: F.get("_all", F.floor(i * F.size("_all") / (parts + 1)).cast("int")))
-    found = picked.select("_key", F.array_distinct(at).alias("_bounds"))
-    return spark.createDataFrame(found.collect(), found.schema)
+
+def _carried(ranges: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """One row per (range, key) for keys that lie in several ranges: the key's first
+    row of its next range (``_alive`` = 1 if there is one) and its rows in earlier
+    ranges (``_off``).  Only the first and the last key of a range can go on, so
+    these are at most two rows a range."""
+    at = F.struct(*[F.col(c) for c in order])
+    heads = ranges.groupBy("_part", *keys).agg(F.min(at).alias("_first"), F.count(F.lit(1)).alias("_cnt"))
+    line = Window.partitionBy(*keys).orderBy("_part")
+    before = F.coalesce(F.sum("_cnt").over(line.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    heads = heads.select("_part", *keys, F.lead("_first").over(line).alias("_first"),
+                         F.lead(F.lit(1)).over(line).alias("_alive"), before.alias("_off"))
+    heads = heads.where("_alive IS NOT NULL OR _off > 0")
+    return heads.select("_part", *keys, F.col("_first").getField(order[0]).alias(order[0]), "_alive", "_off", F.lit(1).alias("_carry"))
 
 
 def versions_per_key(df: DataFrame, keys: Sequence[str], start: str, ties: Sequence = (),
                      end_col: str = "end_time", current_col: str = "is_current",
-                     version_col: str | None = "version", skew: bool | dict = True) -> DataFrame:
+                     version_col: str | None = "version", skew: str | bool | dict = "auto",
+                     repeats: tuple[str, Sequence[str]] | None = None) -> DataFrame:
     """All versions kept: end = next version's start, newest is current.
 
-    One window pass.  With ``skew`` (default), keys that hold a large share of
-    the rows are split into ranges of (start, ties): each range is windowed on
-    its own, and its last row takes the first row of the key's next range,
-    found in a table of one row per (key, range) of those keys only.  Other
-    keys take the plain window, so the result is exact either way.
+    A window over the keys: one exchange.  ``skew="auto"`` looks for a key that
+    holds a large share of the rows (``has_hot_key``); with one, or with
+    ``skew=True`` or a dict of SKEW_DEFAULTS' settings, the rows are range
+    partitioned on (keys, start, ties) and staged once under the shared folder, each
+    range is windowed on its own, and the last row of a key in a range takes the
+    key's first row of the next range.  No key is ever whole in one task then,
+    not even rows tied in all of these, and the result is the same.
+
+    ``repeats=(flag, columns)``: of rows alike in keys, start, ties and ``columns``,
+    those whose integer column ``flag`` is 1 go, but for one if none has 0.  Then rows
+    of one start and ties are ordered by ``flag``.
     """
     keys = list(keys)
-    order = [F.col(c).asc() for c in [start, *ties]]
-    splits = hot_key_splits(df, keys, start, ties, **(skew if isinstance(skew, dict) else {})) if skew else None
+    order = list(dict.fromkeys([start, *ties]))
+    opts = {**SKEW_DEFAULTS, **(skew if isinstance(skew, dict) else {})}
+    ranged = skew is True or isinstance(skew, dict) or (skew == "auto" and has_hot_key(df, keys, **opts))
     added = [c for c in (end_col, current_col, version_col) if c]
     cols = [c for c in df.columns if c not in added]
-    if splits is None:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        nxt = F.lead(F.col(start)).over(w)
-        out = df.withColumns({end_col: nxt, current_col: F.when(F.lead(F.lit(1)).over(w).isNull(), 1).otherwise(0)})
-        if version_col:
-            out = out.withColumn(version_col, F.row_number().over(w))
-        return out.select(*cols, *added)
-
-    at = F.struct(*[F.col(c) for c in [start, *ties]])
-    b = df.join(F.broadcast(splits), _same_key(keys), "left").drop("_key")      # at most 2n keys
-    b = b.withColumns({"_hot": F.col("_bounds").isNotNull(),
-                       "_sub": F.when(F.col("_bounds").isNull(), F.lit(0))
-                                .otherwise(F.size(F.filter("_bounds", lambda x: x <= at)))}).drop("_bounds")
-    stats = (b.where("_hot").groupBy(F.struct(*[F.col(k) for k in keys]).alias("_key"), F.col("_sub").alias("_s"))
-             .agg(F.min(at).alias("_first"), F.count(F.lit(1)).alias("_cnt")))
-    ws = Window.partitionBy("_key").orderBy("_s")
-    stats = stats.select("_key", "_s", F.lead("_first").over(ws).getField(start).alias("_next"),
-                         F.lead(F.lit(1)).over(ws).alias("_more"),
-                         F.coalesce(F.sum("_cnt").over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    w = Window.partitionBy(*keys, "_sub").orderBy(*order)
-    b = b.withColumns({"_lead": F.lead(F.col(start)).over(w), "_here": F.lead(F.lit(1)).over(w), "_rn": F.row_number().over(w)})
-    out = b.join(F.broadcast(stats), _same_key(keys) & (F.col("_sub") == F.col("_s")), "left")     # 2n keys x n ranges
-    here, more = F.col("_here").isNotNull(), F.col("_hot") & F.col("_more").isNotNull()
-    out = out.withColumns({end_col: F.when(here, F.col("_lead")).when(more, F.col("_next")),
-                           current_col: F.when(here | more, 0).otherwise(1)})
+    by, b, more = keys, df, F.lit(1)
+    last = [repeats[0]] if repeats else []
+    alike_cols = [c for c in repeats[1] if c not in [*order, *keys]] if repeats else []
+    if ranged:
+        from ..sources.sinks import staged
+        if repeats:                                    # copies within the flagged rows go before they meet in one range
+            once = df.where(F.col(repeats[0]) == 1).dropDuplicates([*keys, *order, *alike_cols])
+            df = df.where(F.col(repeats[0]) != 1).unionByName(once)
+        else:
+            df = df.withColumn("_nth", F.monotonically_increasing_id())
+            order, last = [*order, "_nth"], []
+        n = _partitions(df, opts["partitions"])
+        ranges = df.repartitionByRange(n, *[F.col(c).asc() for c in [*keys, *order]]).withColumn("_part", F.spark_partition_id())
+        ranges = staged(ranges, "ranges")              # the ranges are fixed from here on, also for a lost executor
+        by, more, last = ["_part", *keys], F.col("_alive"), [*last, "_carry"]
+        order = ["_carry", *order]
+        b = (ranges.withColumns({"_alive": F.lit(1), "_carry": F.lit(0), "_off": F.lit(0).cast("bigint")})
+             .unionByName(_carried(ranges, keys, order[1:]), allowMissingColumns=True))
+    if repeats:
+        same = [*order, *alike_cols]
+        w = Window.partitionBy(*by).orderBy(*[F.col(c).asc() for c in [*same, repeats[0]]])
+        alike = F.lag(F.lit(1)).over(w) == 1
+        for c in same:
+            alike = alike & F.lag(c).over(w).eqNullSafe(F.col(c))
+        b = b.withColumn("_again", F.coalesce(alike & (F.col(repeats[0]) == 1), F.lit(False))).where("NOT _again").drop("_again")
+    w = Window.partitionBy(*by).orderBy(*[F.col(c).asc() for c in [*order, *last]])
+    goes_on = F.lead(more).over(w) == 1
+    out = b.withColumns({end_col: F.when(goes_on, F.lead(start).over(w)),
+                         current_col: F.when(F.coalesce(goes_on, F.lit(False)), 0).otherwise(1)})
     if version_col:
-        out = out.withColumn(version_col, (F.col("_rn") + F.coalesce(F.col("_off"), F.lit(0))).cast("int"))
+        off = F.max("_off").over(Window.partitionBy(*by)) if ranged else F.lit(0)
+        out = out.withColumn(version_col, (F.row_number().over(w) + off).cast("int"))
+    if ranged:
+        out = out.where("_carry = 0")
     return out.select(*cols, *added)
 
 

@@ -2,8 +2,9 @@
 
 Parquet tables have no row-level MERGE, so each load returns the complete new
 snapshot, which the caller publishes (see ``sources.sinks.publish_snapshot``).
-Only the rows that can change -- open rows of the keys in the batch -- go
-through a shuffle; closed history rows are passed through untouched.
+Only the open rows and the batch go through a shuffle.  Type-2 loads first test
+whether any batch row reaches back to before its key's open row; if none does, closed
+history passes through untouched, else only the closed rows of those keys join in.
 """
 
 from __future__ import annotations
@@ -167,7 +168,7 @@ def scd2(target: DataFrame, source: DataFrame, keys: Sequence[str], start: str,
     with a repeated key is refused when the result is computed.
     """
     keys = list(keys)
-    source = one_per_key(source, keys)
+    batch, source = source, one_per_key(source, keys)
     tcols = target.columns
     vals = list(compare) if compare is not None else [
         c for c in source.columns if c not in set(keys) | set(CONTROL_COLUMNS) | {start}]
@@ -200,16 +201,36 @@ def scd2(target: DataFrame, source: DataFrame, keys: Sequence[str], start: str,
     kinds = F.array(F.when(has_t & ~change, 0), F.when(change, 0), F.when(change | (has_s & ~has_t), 0), F.when(late & diff, 1))
     pairs = F.arrays_zip(rows.alias("row"), kinds.alias("late"))
     merged = j.select(F.explode(F.filter(pairs, lambda x: x["row"].isNotNull())).alias("p")).select("p.row.*", F.col("p.late").alias("_late"))
-    return _settle_late(closed, merged, keys, start, vals, end_col)
+    late_keys = _late_keys(target, opened, batch, keys, start)
+    if late_keys is None:
+        return closed.unionByName(merged.drop("_late"))
+    return _settle_late(closed, merged, late_keys, keys, start, vals, end_col)
 
 
-def _settle_late(closed: DataFrame, merged: DataFrame, keys: list[str], start: str, vals: Sequence[str],
-                 end_col: str) -> DataFrame:
+def _late_keys(target: DataFrame, opened: DataFrame, src: DataFrame, keys: list[str], start: str) -> DataFrame | None:
+    """Distinct keys of ``src`` rows that do not start after their key's open row, staged
+    as files of known size; None when there is none, so closed history need not be read.
+
+    Most loads are settled by two aggregates: no source row starts at or before the
+    newest start of the target.  Otherwise keys and starts alone are joined once.
+    """
+    src = src.withColumn(start, F.col(start).cast(target.schema[start].dataType))
+    first, newest = src.agg(F.min(start)).first()[0], target.agg(F.max(start)).first()[0]
+    if first is None or newest is None or first > newest:
+        return None
+    from ..sources.sinks import staged
+    early = src.groupBy(*keys).agg(F.min(start).alias("_from"))
+    late = opened.select(*keys, F.col(start).alias("_open")).join(early, on=keys).where("_from <= _open").select(*keys).distinct()
+    late = staged(late, "late-keys")
+    return None if late.isEmpty() else late
+
+
+def _settle_late(closed: DataFrame, merged: DataFrame, late_keys: DataFrame, keys: list[str], start: str,
+                 vals: Sequence[str], end_col: str) -> DataFrame:
     """Fit late rows (_late = 1) into the histories of their keys: closed rows
     of those keys join the timeline, repeats go, ends stop at the next start.
     Closed rows of all other keys pass through."""
     cols = closed.columns
-    late_keys = merged.where("_late = 1").select(*keys)
     old = closed.join(late_keys, on=keys, how="left_semi").withColumn("_late", F.lit(0))
     rest = closed.join(late_keys, on=keys, how="left_anti")
     same = Window.partitionBy(*keys, start, *vals)
@@ -224,7 +245,7 @@ def _settle_late(closed: DataFrame, merged: DataFrame, keys: list[str], start: s
 
 def scd2_versions(target: DataFrame, source: DataFrame, keys: Sequence[str], start: str,
                   ties: Sequence = (), end_col: str = "end_time", current_col: str = "is_current",
-                  deleted_col: str | None = "is_deleted") -> DataFrame:
+                  deleted_col: str | None = "is_deleted", skew: str | bool | dict = "auto") -> DataFrame:
     """Type-2 upsert of a multi-version batch in one pass.
 
     The open target rows and the batch rows form one timeline per key: a
@@ -245,23 +266,21 @@ def scd2_versions(target: DataFrame, source: DataFrame, keys: Sequence[str], sta
         if c not in src.columns and c not in (end_col, current_col):
             src = src.withColumn(c, F.lit(None).cast(target.schema[c].dataType))
     base = [c for c in tcols if c not in (end_col, current_col)]
-    back = src.select(*keys, F.col(start).alias("_from")).join(
-        opened.select(*keys, F.col(start).alias("_open")), on=keys).where("_from <= _open").select(*keys).distinct()
-    old = closed.join(back, on=keys, how="left_semi")
-    rest = closed.join(back, on=keys, how="left_anti")
+    late_keys = _late_keys(target, opened, src, keys, start)
     mark = [F.lit(None).cast(target.schema[end_col].dataType).alias("_was"), F.lit(False).alias("_closed")]
-    timeline = (opened.select(*base, *mark)
-                .unionByName(old.select(*base, F.col(end_col).alias("_was"), F.lit(True).alias("_closed")))
-                .withColumn("_new", F.lit(0)).unionByName(src.select(*base, *mark, F.lit(1).alias("_new"))))
+    timeline = opened.select(*base, *mark)
+    if late_keys is not None:
+        old = closed.join(late_keys, on=keys, how="left_semi")
+        timeline = timeline.unionByName(old.select(*base, F.col(end_col).alias("_was"), F.lit(True).alias("_closed")))
+        closed = closed.join(late_keys, on=keys, how="left_anti")
+    timeline = timeline.withColumn("_new", F.lit(0)).unionByName(src.select(*base, *mark, F.lit(1).alias("_new")))
     # repeats of a version: the target's row stays, else one of the batch's
     vals = [c for c in base if c not in CONTROL_COLUMNS or c == start]
-    nth = F.row_number().over(Window.partitionBy(*keys, *[c for c in vals if c not in keys]).orderBy("_new"))
-    timeline = timeline.withColumn("_nth", nth).where((F.col("_new") == 0) | (F.col("_nth") == 1)).drop("_nth")
-    v = versions_per_key(timeline, keys, start, [*ties, "_new"], end_col, current_col, version_col=None)
+    v = versions_per_key(timeline, keys, start, ties, end_col, current_col, version_col=None, skew=skew, repeats=("_new", vals))
     end = F.when(F.col("_closed"), F.least("_was", end_col)).otherwise(F.col(end_col))
     v = v.withColumn("_end", end.cast(target.schema[end_col].dataType)).withColumn(end_col, F.col("_end"))
     v = v.withColumn(current_col, F.when(F.col("_closed"), 0).otherwise(F.col(current_col)).cast(target.schema[current_col].dataType))
-    return rest.unionByName(v.select(*tcols))
+    return closed.unionByName(v.select(*tcols))
 
 
 def scd2_full_compare(target: DataFrame, snapshot: DataFrame, keys: Sequence[str],

@@ -23,9 +23,9 @@ from ..operators import compare, dedupe, dims, incremental, quality, scd
 def landing_to_raw(target: DataFrame | None, batch: DataFrame, keys: Sequence[str], order: Sequence,
                    ties: Sequence = (), rules: Sequence[dict] = (), load_type: str = "update",
                    hash_exclude: Sequence[str] = ()) -> tuple[DataFrame, dict]:
-    """New raw table content and the observations {"raw", "dedup"} (an append
-    does not de-duplicate and has no "dedup")."""
-    raw_obs, dedup_obs = Observation(), Observation()      # unique names: loads can be chained
+    """New raw table content and the observations {"raw", "dedup", "rules"} (an append
+    does not de-duplicate and has no "dedup"; "rules" holds the flagged rows of every rule, by its id)."""
+    raw_obs, dedup_obs, rule_obs = Observation(), Observation(), Observation()      # unique names: loads can be chained
     b = batch.observe(raw_obs, F.count(F.lit(1)).alias("rows"))
     latest = dedupe.latest_per_key(b, keys, order, ties).observe(dedup_obs, F.count(F.lit(1)).alias("rows"))
     kind = load_type.lower()
@@ -33,6 +33,8 @@ def landing_to_raw(target: DataFrame | None, batch: DataFrame, keys: Sequence[st
     hashed = hashing.hash_keys(b if kind == "append" else latest, keys, exclude=hash_exclude)
     if rules:
         flagged = quality.flag_rules(hashed, rules)
+        flagged = flagged.observe(rule_obs, *[F.count_if(F.array_contains("data_quality_result_array", str(r["id"]))).alias(str(r["id"]))
+                                              for r in rules])
     else:
         flagged = hashed.withColumns({"data_quality_result_array": F.array().cast("array<string>"),
                                       "data_quality_valid_flag": F.lit("Y")})
@@ -45,7 +47,8 @@ def landing_to_raw(target: DataFrame | None, batch: DataFrame, keys: Sequence[st
         new = flagged
     else:
         raise ValueError(f"unknown load type {load_type!r}")
-    return new, {"raw": raw_obs} if kind == "append" else {"raw": raw_obs, "dedup": dedup_obs}
+    seen = {"raw": raw_obs} if kind == "append" else {"raw": raw_obs, "dedup": dedup_obs}
+    return new, {**seen, "rules": rule_obs} if rules else seen
 
 
 def landing_history(target: DataFrame | None, batch: DataFrame, keys: Sequence[str], order: Sequence,

@@ -61,18 +61,77 @@ def run_targets(spark: SparkSession, config: dict, targets: dict[str, DataFrame
 
 
 def run_stream_load(spark: SparkSession, config: dict, root: str, checkpoint: str, initial: DataFrame | None = None,
-                    registry: dict | None = None) -> DataFrame | None:
-    """A configured load of a streaming source: every micro-batch runs the steps
-    and the load against the snapshot of the batch before.  Processes what has
-    arrived (availableNow) and returns the last snapshot (None: nothing yet)."""
+                    registry: dict | None = None, audit=None) -> DataFrame | None:
+    """A configured load of a streaming source: every micro-batch runs the steps, the
+    data-quality checks and the load.  Processes what has arrived (availableNow) and
+    returns the table as it is then, also when nothing new has arrived (None or
+    ``initial`` before the first batch).
+
+    Type-1 and type-2 loads rewrite only the key buckets a batch reaches
+    (``streaming.buckets``; ``load["buckets"]``, default 64); other load types write one
+    snapshot per batch.  Rows that fail an active check go to ``<root>-invalid``, one
+    folder per batch.  ``audit`` (an ``AuditLog``) takes the counts of every batch.
+    """
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
     from ..streaming import sinks as ss
+    from ..streaming.buckets import BucketedTable
+    load_cfg, dq = config["load"], config.get("dq")
+    kind = load_cfg["type"].lower()
+
+    def prepared(batch: DataFrame) -> DataFrame:
+        return step_mod.run(batch, config.get("steps", []), registry)[0]
 
     def load(target: DataFrame | None, batch: DataFrame) -> DataFrame:
-        out, _ = step_mod.run(batch, config.get("steps", []), registry)
-        return _loaded(config["load"], target, out)
-    q = ss.for_each_batch(read_source(spark, config["source"]), ss.snapshot_loader(spark, root, load, initial), checkpoint)
-    last = ss.last_batch(q)
-    return initial if last is None else spark.read.parquet(ss.batch_path(root, last))
+        return _loaded(load_cfg, target, batch)
+
+    def checked(batch: DataFrame, batch_id: int) -> tuple[DataFrame, dict]:
+        """The batch's rows to load; with checks the others are written and both are counted as they are."""
+        batch = prepared(batch)
+        if not dq:
+            return batch, {}
+        good, bad = _checked(batch, dq, obs := Observation())
+        bad.write.mode("overwrite").parquet(ss.batch_path(f"{root.rstrip('/')}-invalid", batch_id))
+        return good, {"source": obs.get}
+    done = audit.on_commit("load") if audit is not None else (lambda batch_id, metrics: None)
+    source = read_source(spark, config["source"])
+    if kind in ("update", "scd2"):
+        versions = kind == "scd2"
+        table = BucketedTable(spark, root, load_cfg["keys"], load_cfg.get("buckets", 64),
+                              open_when="is_current = 1 AND is_deleted = 0" if versions else None,
+                              start="start_time" if versions else None, batch_start=load_cfg["order"][0] if versions else None)
+        if initial is not None and not table.versions():
+            table.seed(initial)
+
+        def fn(batch: DataFrame, batch_id: int) -> None:
+            good, counts = checked(batch, batch_id)
+            done(batch_id, {**counts, **table.merge(good, batch_id, load)})
+        ss.for_each_batch(source, fn, checkpoint)
+        return table.read()
+    write = ss.snapshot_loader(spark, root, load, initial)
+
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        good, counts = checked(batch, batch_id)
+        obs = Observation()
+        write(good.observe(obs, F.count(F.lit(1)).alias("rows")), batch_id)
+        done(batch_id, {**counts, "batch": obs.get})
+    ss.for_each_batch(source, fn, checkpoint)
+    last = ss.newest_snapshot(spark, root)
+    return initial if last is None else last
+
+
+def _checked(df: DataFrame, dq: dict | None, obs=None) -> tuple[DataFrame, DataFrame | None]:
+    """(rows to load, rows held back) by the active and passive checks of ``dq``;
+    ``obs`` counts both while the rows held back are written."""
+    from pyspark.sql import functions as F
+    from ..operators import quality
+    if not dq:
+        return df, None
+    flagged = quality.active_passive(df, dq.get("active", []), dq.get("passive", []))
+    good = flagged.where(~F.col("blocked")).drop("blocked", "active_reason")
+    if obs is not None:
+        flagged = flagged.observe(obs, F.count(F.lit(1)).alias("rows"), F.count_if("blocked").alias("invalid"))
+    return good if dq.get("passive") else good.drop("passive_reason"), flagged.where("blocked").drop("blocked")
 
 
 def run_config_load(spark: SparkSession, config: dict, target: DataFrame | None = None,
@@ -88,7 +147,6 @@ def run_config_load(spark: SparkSession, config: dict, target: DataFrame | None
     """
     from pyspark.sql import Observation
     from pyspark.sql import functions as F
-    from ..operators import quality
 
     df = read_source(spark, config["source"])
     if config.get("skip_if_empty") and not df.isStreaming and files.is_empty(df):
@@ -96,14 +154,7 @@ def run_config_load(spark: SparkSession, config: dict, target: DataFrame | None
     df, step_ids = step_mod.run(df, config.get("steps", []), registry)
     src_obs, out_obs = Observation(), Observation()
     df = df.observe(src_obs, F.count(F.lit(1)).alias("rows"))
-    invalid = None
-    dq = config.get("dq")
-    if dq:
-        flagged = quality.active_passive(df, dq.get("active", []), dq.get("passive", []))
-        invalid = flagged.where("blocked").drop("blocked")
-        df = flagged.where(~F.col("blocked")).drop("blocked", "active_reason")
-        if not dq.get("passive"):
-            df = df.drop("passive_reason")
+    df, invalid = _checked(df, config.get("dq"))
     df = df.observe(out_obs, F.count(F.lit(1)).alias("rows"))
     load = config.get("load")
     new = df if not load else _loaded(load, target, df)

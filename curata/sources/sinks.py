@@ -142,6 +142,17 @@ def publish_snapshot(spark: SparkSession, df: DataFrame, table: str, root: str,
     return path
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once under the shared checkpoint folder and read it back: later
+    steps read files, at a size known to the planner, instead of recomputing it.
+    The files stay there for the deployment to expire."""
+    from ..session import checkpoint_root
+    spark = df.sparkSession
+    path = f"{checkpoint_root(spark)}/curata/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def materialize(spark: SparkSession, df: DataFrame, name: str, database: str = "curata_staging") -> tuple[DataFrame, str]:
     """Write a staging frame as a managed table of a staging database that
     lives under the shared checkpoint folder, and read it back.

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
@@ -33,6 +34,38 @@ def append(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", quer
     return q
 
 
+def append_table(df: DataFrame, table: str, checkpoint: str, fmt: str = "parquet", query_name: str | None = None,
+                 merge_schema: bool = False, trigger: str | None = None, wait: bool = True) -> StreamingQuery:
+    """Append a stream to a catalog table (created by the first run).
+
+    With ``merge_schema`` columns that the table lacks are added to it first, so
+    earlier rows read null there; without it such a column is refused.  A type
+    that differs from the table's is refused either way.  A table belongs to one
+    checkpoint: its log counts that checkpoint's batches, and skips numbers it has.
+    """
+    spark = df.sparkSession
+    if spark.catalog.tableExists(table):
+        have = {f.name.lower(): f.dataType for f in spark.table(table).schema.fields}
+        for f in df.schema.fields:
+            if f.name.lower() in have and have[f.name.lower()] != f.dataType:
+                raise ValueError(f"{table}.{f.name} is {have[f.name.lower()].simpleString()}, the stream has {f.dataType.simpleString()}")
+        new = [f for f in df.schema.fields if f.name.lower() not in have]
+        if new and not merge_schema:
+            raise ValueError(f"{table} lacks {', '.join(f.name for f in new)}; merge_schema adds columns")
+        if new:
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+            spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({cols})")
+        df = df.select(*[F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                         for f in spark.table(table).schema.fields])
+    w = df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
+    if query_name:
+        w = w.queryName(query_name)
+    q = _trigger(w, trigger).toTable(table)
+    if wait:
+        q.awaitTermination()
+    return q
+
+
 def for_each_batch(df: DataFrame, fn: Callable, checkpoint: str, query_name: str | None = None,
                    trigger: str | None = None, output_mode: str = "append", wait: bool = True) -> StreamingQuery:
     w = df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint).foreachBatch(fn)
@@ -82,7 +115,7 @@ def snapshot_loader(spark: SparkSession, root: str, load: Callable[[DataFrame |
     def _table(batch_id: int) -> str:
         return f"{table_prefix}_b{batch_id}"
 
-    def _target(batch_id: int):
+    def _target(batch_id: int, spark: SparkSession):
         if batch_id == 0:
             return initial
         prev = batch_path(root, batch_id - 1)
@@ -98,7 +131,8 @@ def snapshot_loader(spark: SparkSession, root: str, load: Callable[[DataFrame |
         return spark.table(name)
 
     def fn(batch_df: DataFrame, batch_id: int):
-        new = load(_target(batch_id), batch_df)
+        # foreachBatch has a session of its own: what a plan observes is reported to the session of all its parts
+        new = load(_target(batch_id, batch_df.sparkSession), batch_df)
         path = batch_path(root, batch_id)
         if bucket_by:
             n, keys = bucket_by
@@ -109,6 +143,17 @@ def snapshot_loader(spark: SparkSession, root: str, load: Callable[[DataFrame |
     return fn
 
 
+def newest_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
+    """The last complete folder that ``snapshot_loader`` or ``overwrite_latest`` wrote (None: no batch yet)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [x.getPath().getName() for x in fs.listStatus(path)] if fs.exists(path) else []
+    for n in sorted((int(x[6:]) for x in names if x.startswith("batch=")), reverse=True):
+        if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{batch_path(root, n)}/_SUCCESS")):
+            return spark.read.parquet(batch_path(root, n))
+    return None
+
+
 def last_batch(q: StreamingQuery) -> int | None:
     """Id of the last batch the query ran (None when it processed nothing)."""
     ids = [p["batchId"] for p in q.recentProgress if p.get("numInputRows", 0) > 0]

@@ -9,6 +9,8 @@ from ..operators import dedupe, scd
 from ..plans import flows, steps
 from ..session import scratch_path
 from ..streaming import sinks as ss
+from ..streaming.audit import AuditLog, ProgressAudit, observed
+from ..streaming.buckets import BucketedTable
 from ..streaming.sources import file_name, stream, with_stream_control
 from ..constants import ts
 from .inputs import AS_OF, table
@@ -49,11 +51,12 @@ def _waves(spark, d, root):
         yield
 
 
-def _run_batches(spark, d, root, fn):
+def _run_batches(spark, d, root, fn, prepare=lambda s: s, output_mode="append"):
     """One micro-batch per wave: each run resumes from the checkpoint of the one before."""
     for _ in _waves(spark, d, root):
-        q = ss.for_each_batch(stream(spark, "parquet", f"{root}/landing", {}), fn, f"{root}/_checkpoint")
-    return spark.read.parquet(ss.batch_path(f"{root}/out", ss.last_batch(q)))
+        s = prepare(stream(spark, "parquet", f"{root}/landing", {}))
+        q = ss.for_each_batch(s, fn, f"{root}/_checkpoint", output_mode=output_mode)
+    return q
 
 
 @query("stream_overwrite", LATEST_USER.replace("FROM events)", f"FROM events WHERE ts >= TIMESTAMP '{WAVES[2]} 00:00:00')"))
@@ -61,7 +64,8 @@ def stream_overwrite(spark, d):
     root = scratch_path(spark, "stream-overwrite")
     fn = ss.overwrite_latest(spark, f"{root}/out",
                              lambda b: dedupe.latest_per_key(b, ["user_id"], ["ts"], ["event_id"]))
-    return _run_batches(spark, d, root, fn)
+    _run_batches(spark, d, root, fn)
+    return ss.newest_snapshot(spark, f"{root}/out")
 
 
 @query("stream_scd1", LATEST_USER)
@@ -70,10 +74,9 @@ def stream_scd1(spark, d):
 
     def load(target, batch):
         return scd.scd1_latest(target, batch, ["user_id"], ["ts"], ["event_id"])
-    # snapshots bucketed by the key: a later batch merges without shuffling the target
-    fn = ss.snapshot_loader(spark, f"{root}/out", load, bucket_by=(8, ["user_id"]),
-                            table_prefix="curata_scd1_" + root.rsplit("-", 1)[-1])
-    return _run_batches(spark, d, root, fn)
+    out = BucketedTable(spark, f"{root}/out", ["user_id"], buckets=8)
+    _run_batches(spark, d, root, out.loader(load))
+    return out.read()
 
 
 @query("stream_scd2", """
@@ -88,7 +91,11 @@ def stream_scd2(spark, d):
         if target is None:                       # first batch: every version, newest current
             return scd.scd2_first_load(b, ["user_id"], "start_time", ["event_id"])
         return scd.scd2_versions(target, b, ["user_id"], "start_time", ["event_id"])
-    return _run_batches(spark, d, root, ss.snapshot_loader(spark, f"{root}/out", load))
+    # closed history is added to, never rewritten, as long as no batch reaches back
+    out = BucketedTable(spark, f"{root}/out", ["user_id"], buckets=8, open_when="is_current = 1 AND is_deleted = 0",
+                        start="start_time", batch_start="ts")
+    _run_batches(spark, d, root, out.loader(load))
+    return out.read()
 
 
 RAW_RULES = [
@@ -111,11 +118,74 @@ def stream_landing_to_raw(spark, d):
     root = scratch_path(spark, "stream-raw")
 
     def load(target, batch):
-        return flows.landing_to_raw(target, batch, ["event_id"], ["ts"], rules=RAW_RULES)[0]
-    fn = ss.snapshot_loader(spark, f"{root}/out", load, bucket_by=(8, ["hkey"]),
-                            table_prefix="curata_raw_" + root.rsplit("-", 1)[-1])
-    out = _run_batches(spark, d, root, fn)
-    return out.withColumn("data_quality_result_array", F.array_join("data_quality_result_array", ","))
+        return flows.landing_to_raw(target, batch, ["event_id"], ["ts"], rules=RAW_RULES)
+    out = BucketedTable(spark, f"{root}/out", ["event_id"], buckets=8)
+    _run_batches(spark, d, root, out.loader(load))
+    return out.read().withColumn("data_quality_result_array", F.array_join("data_quality_result_array", ","))
+
+
+WAVE = "CASE " + " ".join(f"WHEN ts < TIMESTAMP '{w} 00:00:00' THEN {i}" for i, w in enumerate(WAVES[1:])) + " END"
+
+
+@query("stream_audit_rows", f"""
+WITH e AS (SELECT *, CAST({WAVE} AS BIGINT) AS batch_id FROM events),
+  u AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY batch_id, user_id ORDER BY ts DESC, event_id DESC) AS rn FROM e) WHERE rn = 1)
+SELECT 'landed' AS source, batch_id, 'Target_Append_Count' AS audit_record_type_desc, count(*) AS audit_value FROM e GROUP BY batch_id
+UNION ALL SELECT 'landed', batch_id, 'Purchase_Count', count(*) FILTER (WHERE event_type = 'purchase') FROM e GROUP BY batch_id
+UNION ALL SELECT 'raw', batch_id, 'Source_Object_Raw_Count', count(*) FROM e GROUP BY batch_id
+UNION ALL SELECT 'raw', batch_id, 'Source_Object_DeDupe_Count', count(*) FROM u GROUP BY batch_id
+UNION ALL SELECT 'raw', batch_id, 'rules.701', count(*) FILTER (WHERE NOT (event_type IN ('click', 'view', 'purchase', 'signup'))) FROM u GROUP BY batch_id
+UNION ALL SELECT 'raw', batch_id, 'rules.702', count(*) FILTER (WHERE NOT (value < 40)) FROM u GROUP BY batch_id""")
+def stream_audit_rows(spark, d):
+    """Audit rows of every micro-batch: of an appending stream from its progress, of a merge from its observations."""
+    root = scratch_path(spark, "stream-audit")
+    log = AuditLog(spark, f"{root}/audit", AS_OF, 7, 42)
+    listener = ProgressAudit(log, {"landed"})
+    raw = BucketedTable(spark, f"{root}/raw", ["user_id"], buckets=8)
+
+    def load(target, batch):
+        return flows.landing_to_raw(target, batch, ["user_id"], ["ts"], ["event_id"], rules=RAW_RULES)
+    merge = raw.loader(load, log.on_commit("raw", {"raw.rows": "Source_Object_Raw_Count", "dedup.rows": "Source_Object_DeDupe_Count", "batch.rows": None}))
+    spark.streams.addListener(listener)
+    try:
+        for _ in _waves(spark, d, root):
+            s = observed(stream(spark, "parquet", f"{root}/landing", {}), "landed", Target_Append_Count=F.count(F.lit(1)),
+                         Purchase_Count=F.count_if(F.col("event_type") == "purchase"))
+            listener.wait(ss.append(s, f"{root}/log", f"{root}/_checkpoint-log"))
+            ss.for_each_batch(stream(spark, "parquet", f"{root}/landing", {}), merge, f"{root}/_checkpoint")
+    finally:
+        spark.streams.removeListener(listener)
+    return log.rows().select("source", "batch_id", "audit_record_type_desc", "audit_value")
+
+
+@query("stream_update_counts", """
+SELECT date_trunc('day', ts)::TIMESTAMP AS day, event_type, count(*) AS n, max(value) AS top
+FROM events GROUP BY 1, 2""")
+def stream_update_counts(spark, d):
+    """A stateful aggregate in update mode: each batch hands over only the groups it changed, which are merged."""
+    root = scratch_path(spark, "stream-update")
+
+    def changed(s):
+        s = s.withColumn("event_time", F.col("ts").cast("timestamp")).withWatermark("event_time", "3 days")
+        g = s.groupBy(F.window("event_time", "1 day").alias("w"), "event_type")
+        g = g.agg(F.count(F.lit(1)).alias("n"), F.max("value").alias("top"))
+        return g.select(F.col("w.start").cast("timestamp_ntz").alias("day"), "event_type", "n", "top")
+    out = BucketedTable(spark, f"{root}/out", ["day", "event_type"], buckets=8)
+    merge = out.loader(lambda target, batch: batch if target is None else scd.scd1_full_join(target, batch, ["day", "event_type"]))
+    _run_batches(spark, d, root, merge, changed, output_mode="update")
+    return out.read()
+
+
+@query("stream_append_table", f"""
+SELECT event_id, ts, user_id, event_type, value, CASE WHEN ts < TIMESTAMP '{WAVES[1]} 00:00:00' THEN NULL ELSE props END AS props FROM events""")
+def stream_append_table(spark, d):
+    """A stream into a catalog table; from the second wave on it has one column more."""
+    root = scratch_path(spark, "stream-table")
+    name = "curata_stream_" + root.rsplit("-", 1)[-1]
+    for i, _ in enumerate(_waves(spark, d, root)):
+        s = stream(spark, "parquet", f"{root}/landing", {})
+        ss.append_table(s if i else s.drop("props"), name, f"{root}/_checkpoint", merge_schema=True)
+    return spark.table(name)
 
 
 @query("stream_dedupe_watermark", "SELECT DISTINCT user_id, event_type FROM events")

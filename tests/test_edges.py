@@ -56,8 +56,7 @@ def test_hot_keys_are_split_exactly(spark, kind):
         data = [(1, (T(2024, 1, 1) + dt.timedelta(seconds=k)).isoformat(), k) for k in range(3000)]
     df = spark.createDataFrame(data + [(7, "z", 1), (7, None, 2)], "k int, s string, tb int")
     opts = {"fraction": 1.0, "partitions": 6}
-    splits = dedupe.hot_key_splits(df, ["k"], "s", ["tb"], **opts).collect()
-    assert len(splits) == 1 and len(splits[0]["_bounds"]) >= 5
+    assert dedupe.has_hot_key(df, ["k"], **opts)
     cols = ("k", "s", "tb", "end_time", "is_current", "version")
     plain = dedupe.versions_per_key(df, ["k"], "s", ["tb"], skew=False)
     assert rows(dedupe.versions_per_key(df, ["k"], "s", ["tb"], skew=opts), *cols) == rows(plain, *cols)

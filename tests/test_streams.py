@@ -143,3 +143,54 @@ def test_processing_time_trigger(spark):
     finally:
         q.stop()
     assert spark.read.parquet(f"{root}/out").count() == 7
+
+
+def test_configured_stream_load_reruns_checks_and_counts(spark):
+    from curata.plans import loader
+    from curata.streaming.audit import AuditLog
+    for kind in ("update", "scd2", "complete", "append"):
+        root = scratch_path(spark, "t-cfg-stream")
+        _land(spark, root, B[:2])
+        cfg = {"source": {"streaming": True, "format": "parquet", "path": f"{root}/landing", "schema": SCHEMA,
+                          "options": {"recursiveFileLookup": "true", "maxFilesPerTrigger": 1}},
+               "dq": {"active": [{"type": "valid_values_check", "columns": ["v"], "valid_values": ["a", "b", "a2", "a3", "b2"]}]},
+               "load": {"type": kind, "keys": ["k"], "order": ["ts"], "buckets": 4}}
+        log = AuditLog(spark, f"{root}/audit", "2002-01-01 00:00:00")
+        first = rows(loader.run_stream_load(spark, cfg, f"{root}/out", f"{root}/_ck", audit=log), "k", "v")
+        want = {"update": [(1, "a2"), (2, "b")], "scd2": [(1, "a"), (1, "a2"), (2, "b")], "complete": [(1, "a2")],
+                "append": [(1, "a"), (1, "a2"), (2, "b")]}[kind]
+        assert first == want, kind
+        # nothing new has landed: the table is still there
+        assert rows(loader.run_stream_load(spark, cfg, f"{root}/out", f"{root}/_ck", audit=log), "k", "v") == want
+        assert rows(spark.read.parquet(f"{root}/out-invalid"), "k", "v") == [(3, "c")]
+        counts = rows(log.rows(), "batch_id", "audit_record_type_desc", "audit_value")
+        assert counts == [(0, "batch.rows", 2), (0, "source.invalid", 0), (0, "source.rows", 2),
+                          (1, "batch.rows", 1), (1, "source.invalid", 1), (1, "source.rows", 2)], kind
+
+
+def test_stream_load_before_the_first_batch(spark):
+    from curata.plans import loader
+    root = scratch_path(spark, "t-cfg-empty")
+    spark.createDataFrame([], SCHEMA).write.parquet(f"{root}/landing")
+    cfg = {"source": {"streaming": True, "format": "parquet", "path": f"{root}/landing", "schema": SCHEMA},
+           "load": {"type": "update", "keys": ["k"], "order": ["ts"]}}
+    initial = spark.createDataFrame(B[0], SCHEMA)
+    assert rows(loader.run_stream_load(spark, cfg, f"{root}/out", f"{root}/_ck", initial)) == rows(initial)
+    assert loader.run_stream_load(spark, cfg, f"{root}/out2", f"{root}/_ck2") is None
+
+
+def test_table_sink_refuses_what_it_cannot_merge(spark):
+    import pytest
+    root = scratch_path(spark, "t-table")
+    name = "curata_t_" + root.rsplit("-", 1)[-1]
+    read = {"recursiveFileLookup": "true"}
+    spark.range(3).write.parquet(f"{root}/in/a")
+    ss.append_table(stream(spark, "parquet", f"{root}/in", read), name, f"{root}/_ck")
+    spark.range(3, 5).withColumn("extra", F.lit("x")).write.parquet(f"{root}/in/b")
+    grown = stream(spark, "parquet", f"{root}/in", read, schema="id long, extra string")
+    with pytest.raises(ValueError):
+        ss.append_table(grown, name, f"{root}/_ck")
+    with pytest.raises(ValueError):
+        ss.append_table(grown.withColumn("id", F.col("id").cast("string")), name, f"{root}/_ck", merge_schema=True)
+    ss.append_table(grown, name, f"{root}/_ck", merge_schema=True)
+    assert rows(spark.table(name)) == [(0, None), (1, None), (2, None), (3, "x"), (4, "x")]
