@@ -96,3 +96,9 @@ def ident(name: str):
 def hash_fold(col, folds: int):
     """crc32 of a value's text modulo ``folds`` (null ids: fold of the empty text)."""
     return F.pmod(F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary")), F.lit(folds))
+
+
+def let(value, use):
+    """``use`` of an expression that is computed once, however often ``use`` (also
+    inside other lambdas) refers to it."""
+    return F.transform(F.array(value), use)[0]

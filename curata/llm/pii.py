@@ -2,9 +2,14 @@
 
 DataFrame functions only, one map over the rows.  A pattern's matches come
 from regexp_extract_all and the text between them from a split by the same
-pattern; running sums of both lengths give the code-point offsets, and the
-neighbouring pieces are the context.  Patterns use possessive quantifiers, so
-no text makes them backtrack over a run again and again.
+pattern; running sums of both lengths, chunk by chunk, give the code-point offsets,
+and the neighbouring pieces are the context.  Patterns use possessive quantifiers,
+so no text makes them backtrack over a run again and again, and no array grows
+match by match, so a text that is one long list of matches takes time in
+proportion to its length.
+
+Context words count as whole words (with a plural ending); words that speak for the
+kind raise a match's score and words that speak against it lower it.
 """
 
 from __future__ import annotations
@@ -15,9 +20,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ident
+from .common import ident, let
 
 BEFORE, AFTER = 40, 20           # code points of context looked at on either side
+CHUNK = 32                       # matches whose offsets are summed up in one array
 
 
 @dataclass(frozen=True)
@@ -26,7 +32,8 @@ class Kind:
     pattern: str                 # Java regular expression; matches are leftmost and do not overlap
     hint: str                    # a text without this cannot match (a cheap test), "" for none
     valid: Callable[[Column], Column]
-    words: str                   # context words, as an alternation
+    words: str                   # context words that speak for the kind, as an alternation
+    against: str                 # and those that speak against it
     start: float                 # score of a bare match
     checked: float               # added when the validator is a real check
     base: bool = True            # kept whatever its score
@@ -99,28 +106,27 @@ def _ssn(m: Column) -> Column:
 _LOCAL = "A-Za-z0-9._%+-"
 KINDS = (
     Kind("email", rf"(?:(?<![{_LOCAL}])|\G)[{_LOCAL}]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@", _always,
-         "mail|contact|write|kontakt|correo|courriel", 0.7, 0.0),
+         "mail|e-?mail|contact|write|kontakt|correo|courriel", "example|sample|beispiel|ejemplo|exemple", 0.7, 0.0),
     Kind("ip", r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", ".", _ip,
-         "ip|host|server|address|adresse|login", 0.5, 0.2),
+         "ip|host|server|address|adresse|login", "version|release|section|chapter|kapitel|versión", 0.5, 0.2),
     Kind("card", r"[0-9](?:[\x20-]?[0-9])++", "", _card,
-         "card|credit|visa|master|pay|karte|tarjeta|carte", 0.4, 0.4),
+         "card|credit|visa|mastercard|pay|payment|karte|kreditkarte|tarjeta|carte", "isbn|serial|tracking|order|invoice", 0.4, 0.4),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "+", _phone,
-         "phone|tel|call|mobile|fax|anruf|llama|appel", 0.5, 0.1),
+         "phone|telephone|telefon|tel|call|mobile|fax|anruf|llama|appel", "isbn|serial|tracking|order|invoice", 0.5, 0.1),
     Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])", "", _iban,
-         "iban|bank|account|konto|cuenta|compte", 0.4, 0.4, base=False),
+         "iban|bank|account|konto|cuenta|compte", "serial|tracking|model|part", 0.4, 0.4, base=False),
     Kind("ssn", r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])", "-", _ssn,
-         "ssn|social|security|insurance|versicherung|seguro", 0.3, 0.1, base=False),
+         "ssn|social|security|insurance|versicherung|seguro", "serial|tracking|part|phone|fax", 0.3, 0.1, base=False),
 )
 
 
-def _found(text: Column, k: Kind) -> Column:
-    """array<struct<kind,start,end,score,match>> of one kind, valid matches only."""
-    match = F.regexp_extract_all(text, F.lit(k.pattern), F.lit(0))
-    gaps = F.split(text, k.pattern, -1)                       # one more than matches
-    parts = F.zip_with(match, gaps, lambda m, g: F.struct(m.alias("m"), g.alias("g")))
-    parts = F.transform(parts, lambda p, i: F.struct(p["m"].alias("m"), p["g"].alias("g"), F.get(gaps, i + 1).alias("next")))
+def _word(text: Column, words: str) -> Column:
+    return text.rlike(rf"(?<![\p{{L}}\p{{N}}])(?:{words})(?:s|n|en)?(?![\p{{L}}\p{{N}}])")
+
+
+def _spots(match: Column, gaps: Column) -> Column:
+    """array<struct<start,end,m,around>> of the matches and the one more gaps around them."""
     spot = "array<struct<start:bigint,end:bigint,m:string,around:string>>"
-    first = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(spot).alias("out"))
 
     def step(a: Column, p: Column) -> Column:
         start = a["at"] + F.length(p["g"])
@@ -129,13 +135,38 @@ def _found(text: Column, k: Kind) -> Column:
         one = F.struct(start.alias("start"), end.alias("end"), p["m"].alias("m"), around.alias("around"))
         return F.struct(end.alias("at"), F.concat(a["out"], F.array(one)).alias("out"))
 
-    spots = F.aggregate(F.filter(parts, lambda p: p["m"].isNotNull()), first, step, lambda a: a["out"])
+    def paired(z: Column) -> Column:
+        parts = F.zip_with(z["match"], z["gaps"], lambda m, g: F.struct(m.alias("m"), g.alias("g")))
+        after = F.slice(z["gaps"], F.lit(2), F.size(z["gaps"]))
+        parts = F.zip_with(parts, after, lambda p, g: F.struct(p["m"].alias("m"), p["g"].alias("g"), g.alias("next")))
+        return F.filter(parts, lambda p: p["m"].isNotNull())
+
+    def chunked(parts: Column) -> Column:
+        each = F.sequence(F.lit(0), F.greatest(F.ceil(F.size(parts) / CHUNK).cast("int") - 1, F.lit(0)))
+        return F.transform(each, lambda c: F.slice(parts, c * CHUNK + 1, F.lit(CHUNK)))
+
+    def measured(chunks: Column) -> Column:
+        long = F.transform(chunks, lambda ch: F.aggregate(ch, F.lit(0).cast("bigint"), lambda a, p: a + F.length(p["g"]) + F.length(p["m"])))
+        return F.struct(chunks.alias("chunks"), long.alias("long"))
+
+    def placed(z: Column) -> Column:
+        def one(ch: Column, c: Column) -> Column:
+            at = F.aggregate(F.slice(z["long"], F.lit(1), c), F.lit(0).cast("bigint"), lambda a, x: a + x)
+            return F.aggregate(ch, F.struct(at.alias("at"), F.array().cast(spot).alias("out")), step, lambda a: a["out"])
+        return F.flatten(F.transform(z["chunks"], one))
+
+    return let(let(let(let(F.struct(match.alias("match"), gaps.alias("gaps")), paired), chunked), measured), placed)
+
+
+def _found(text: Column, k: Kind) -> Column:
+    """array<struct<kind,start,end,score,match>> of one kind, valid matches only."""
+    spots = _spots(F.regexp_extract_all(text, F.lit(k.pattern), F.lit(0)), F.split(text, k.pattern, -1))
 
     def scored(s: Column) -> Column:
-        near = F.lower(s["around"]).rlike(rf"(?:{k.words})")
+        near = F.lower(s["around"])
+        score = F.lit(k.start + k.checked) + F.when(_word(near, k.words), 0.2).otherwise(0.0) - F.when(_word(near, k.against), 0.2).otherwise(0.0)
         return F.struct(F.lit(k.name).alias("kind"), s["start"].alias("start"), s["end"].alias("end"),
-                        F.round(F.least(F.lit(1.0), F.lit(k.start + k.checked) + F.when(near, 0.2).otherwise(0.0)), 2).alias("score"),
-                        s["m"].alias("match"))
+                        F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), score)), 2).alias("score"), s["m"].alias("match"))
 
     some = text.rlike(k.pattern)
     if k.hint:
