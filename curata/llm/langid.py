@@ -208,12 +208,13 @@ class Identifier:
 
 
 def _sampled(docs: DataFrame, rows: int, salt: str) -> DataFrame:
-    """About ``rows`` of each language, by a hash of the id (all, if fewer)."""
+    """About ``rows`` of each language, by a hash of id and text (all, if fewer): rows
+    that share an id, null or not, are chosen one by one."""
     counts = {r["lang"]: r["count"] for r in docs.groupBy("lang").count().collect()}     # one row per language
     if not counts:
         return docs.where(F.lit(False))
     part = F.create_map(*(F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, rows / n))))
-    at = F.pmod(F.xxhash64(F.lit(salt), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
+    at = F.pmod(F.xxhash64(F.lit(salt), "doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
     return docs.where(at < F.element_at(part, F.col("lang")))
 
 
@@ -248,7 +249,7 @@ def train(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "t
           train_rows: int = 3000, calibration_rows: int = 300) -> Identifier:
     """Fit the models on labelled rows for which ``learn`` holds.
 
-    Three quarters of them (by another hash of the id) may teach, the rest
+    Three quarters of them (by another hash of id and text) may teach, the rest
     calibrates; a language with rows in only one part uses it for both.  Rows
     with a null label or text teach nothing.  Without any row the result
     predicts ``und`` for everything.
@@ -257,7 +258,7 @@ def train(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "t
     python_ready(spark)
     d = docs.where(learn).select(ident(doc_id).alias("doc_id"), ident(text).alias("text"), ident(lang).alias("lang"))
     d = d.where("lang IS NOT NULL AND text IS NOT NULL")
-    teach = F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(4)) != 0
+    teach = F.pmod(F.xxhash64(F.lit("part"), "doc_id", "text"), F.lit(4)) != 0
     made = "lang string, " + ", ".join(f"c{k} int" for k in range(ORDER)) + ", n long"
 
     def grams(rows: DataFrame) -> pd.DataFrame:

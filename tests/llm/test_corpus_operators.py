@@ -525,3 +525,14 @@ def test_forest_of_several_lengths(spark):
         asked = {i for i, _ in own if i % 50 == 0}
         assert asked and check_nearest(own, [g for g in got if g["query_id"] in asked], 50) == 1.0
     assert not [g for g in got if g["query_id"] == 300]
+
+
+def test_language_samples_of_rows_that_share_an_id(spark):
+    """Null or equal ids do not bring all rows into the sample or none."""
+    docs = spark.createDataFrame([(None if k % 2 else 7, f"text number {k}", "en") for k in range(4000)], "doc_id long, text string, lang string")
+    for salt in ("teach", "calibrate"):
+        for d in (docs, docs.where("doc_id IS NULL"), docs.where("doc_id = 7")):
+            assert 250 < langid._sampled(d, 300, salt).count() < 350
+    mixed = [(None, ("the house of the king and the queen " if k % 2 else "das haus und der garten sind nicht gross ") + str(k), "en" if k % 2 else "de") for k in range(400)]
+    got = langid.identify(spark.createDataFrame(mixed, "doc_id long, text string, lang string"))
+    assert {r["lang_pred"] for r in got.collect()} == {"en", "de"}
