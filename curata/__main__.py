@@ -10,6 +10,13 @@ The JSON file holds one load (the decoded control row):
      "quarantine": {"table": "curated.orders_invalid", "root": "<shared folder>"},
      "audit": {"url": "jdbc:...", "table": "AUDIT_FACT", "properties": {...}}}
 
+With "targets" ({table: load}) instead of "load" and "target" the source is loaded into
+every table and all are published together under "root".  A streaming source
+({"streaming": true, "format": ..., "path": ...}) needs "root" and "checkpoint": what
+has arrived is merged batch by batch (counts of every batch under <root>-audit).  With
+"state" ({"root": ...}), "change_col" and a source of "initial_filepath" and
+"delta_filepath" the load goes on from its committed watermark.
+
 ``root`` defaults to spark.sql.warehouse.dir.  ``master`` and
 ``shuffle_partitions`` may be named for local runs; by default both come from
 the submitted configuration.  Held-back rows are appended to the quarantine
@@ -26,8 +33,10 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from .plans.loader import run_config_load
+from .plans import state
+from .plans.loader import load_targets, run_config_load, run_stream_load
 from .sources.sinks import append_write, publish_snapshot
+from .streaming.audit import AuditLog
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict:
@@ -39,6 +48,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     if spark is None:
         from .session import build_session
         spark = build_session(master=config.get("master"), shuffle_partitions=config.get("shuffle_partitions"))
+    special = _special(spark, config)
+    if special is not None:
+        print(json.dumps(special))
+        return special
     tgt_cfg = config.get("target", {})
     name = tgt_cfg.get("table")
     target = spark.table(name) if name and spark.catalog.tableExists(name) else None
@@ -67,6 +80,21 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     return out
 
 
+def _special(spark: SparkSession, config: dict) -> dict | None:
+    """Loads other than one batch into one table."""
+    if "targets" in config:
+        return {"snapshots": load_targets(spark, config, config.get("root", spark.conf.get("spark.sql.warehouse.dir")))}
+    if config["source"].get("streaming"):
+        root = config["root"].rstrip("/")
+        audit = AuditLog(spark, f"{root}-audit")
+        out = run_stream_load(spark, config, root, config["checkpoint"], audit=audit)
+        return {"rows": 0 if out is None else out.count()}
+    if "state" in config:
+        done = state.run(spark, config, config["state"]["root"], config.get("until"))
+        return dict(done.__dict__)
+    return None
+
+
 def _write_audit(spark: SparkSession, a: dict, out: dict) -> None:
     """Audit count rows (audit-fact layout) appended to a JDBC table."""
     import datetime as dt

@@ -32,13 +32,22 @@ def count_row(df: DataFrame, kind: str, as_of, sla_dim_id: int, audit_dim_id: in
         F.lit(audit_dim_id).cast("bigint").alias("audit_dim_id"))
 
 
+def dim_rows(loads: DataFrame, prefix: str = "") -> DataFrame:
+    """Audit dimension rows of loads (table_name, data_product_name,
+    source_table_name, target_table_name); a name prefix is cut off."""
+    name = F.col("table_name")
+    if prefix:
+        name = F.when(F.startswith(name, F.lit(prefix)), F.substring(name, F.lit(len(prefix) + 1), F.length(name))).otherwise(name)
+    return loads.select(name.alias("table_name"), "data_product_name", "source_table_name", "target_table_name")
+
+
 def dim_row(spark: SparkSession, table_name: str, data_product: str, source: str, target: str,
             prefix: str = "") -> DataFrame:
-    """Audit dimension row for a load (a name prefix is cut off)."""
-    name = table_name[len(prefix):] if prefix and table_name.startswith(prefix) else table_name
-    return spark.createDataFrame([(name, data_product, source, target)],
-                                 "table_name string, data_product_name string, source_table_name string, "
-                                 "target_table_name string")
+    """Audit dimension row for one load."""
+    row = spark.createDataFrame([(table_name, data_product, source, target)],
+                                "table_name string, data_product_name string, source_table_name string, "
+                                "target_table_name string")
+    return dim_rows(row, prefix)
 
 
 def latest_ids(audit_dim: DataFrame, targets: DataFrame, id_col: str = "audit_dim_id",
@@ -74,15 +83,31 @@ def action_counts(merged: DataFrame, action_col: str) -> DataFrame:
     return merged.groupBy(action_col).agg(F.count(F.lit(1)).alias("n"))
 
 
+def counted(merged: DataFrame, action_col: str, actions: Sequence[str] = ("KEEP", "UPDATE", "INSERT")):
+    """(``merged`` without its action column, Observation of the rows per action): the
+    counts come while the result is written, the merge is not run again for them."""
+    from pyspark.sql import Observation
+    obs = Observation()
+    seen = merged.observe(obs, *[F.count_if(F.col(action_col) == a).alias(a) for a in actions])
+    return seen.drop(action_col), obs
+
+
+def counts_row(spark: SparkSession, actions: dict[str, int]) -> DataFrame:
+    """source_count, target_before and target_after from the action counts of an upsert."""
+    keep, update, insert = (actions.get(a, 0) for a in ("KEEP", "UPDATE", "INSERT"))
+    return spark.createDataFrame([(update + insert, keep + update, keep + update + insert)],
+                                 "source_count bigint, target_before bigint, target_after bigint")
+
+
 def reconcile(source: DataFrame, query: DataFrame, strict: bool = False) -> DataFrame:
-    """Source count must equal query count; ``strict`` raises on mismatch
-    when the row is evaluated (assert_true)."""
+    """Source count must equal query count; with ``strict`` a mismatch raises
+    when the row is evaluated, since the check is part of ``is_reconciled``."""
     c = tagged_counts({"source_count": source, "query_count": query})
     ok = F.col("source_count") == F.col("query_count")
-    c = c.withColumn("is_reconciled", ok)
     if strict:
-        c = c.withColumn("_check", F.assert_true(ok, F.lit("source and query counts differ"))).drop("_check")
-    return c
+        text = F.concat(F.lit("source and query counts differ: "), F.col("source_count"), F.lit(" and "), F.col("query_count"))
+        ok = F.when(ok, True).otherwise(F.raise_error(text).cast("boolean"))
+    return c.withColumn("is_reconciled", ok)
 
 
 def explode_metrics(df: DataFrame, keys: Sequence[str], map_col: str, key_name: str = "metric",

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.loads import apply_load
-from ..sources import files, tables
+from ..sources import files, jdbc, sinks, tables
 from . import steps as step_mod
 
 READERS = {
@@ -18,6 +18,8 @@ READERS = {
     "orc": lambda spark, c: files.read_orc(spark, c["path"], c.get("options")),
     "path": lambda spark, c: files.read_format_path(spark, c["path"], c.get("options"), c.get("format", "parquet")),
     "table": lambda spark, c: tables.read_table(spark, c["table"]),
+    "jdbc": lambda spark, c: jdbc.read_jdbc(spark, c["url"], f"({c['query']}) q" if c.get("query") else c["table"], c.get("properties"),
+                                            c.get("partition_column"), c.get("lower"), c.get("upper"), c.get("num_partitions")),
     "table3": lambda spark, c: tables.read_three_level(spark, c["table"]),
 }
 
@@ -43,10 +45,10 @@ def run_load(spark: SparkSession, config: dict, target: DataFrame | None = None,
     load = config.get("load")
     if not load:
         return df
-    return _loaded(load, target, df)
+    return load_into(load, target, df)
 
 
-def _loaded(load: dict, target: DataFrame | None, df: DataFrame) -> DataFrame:
+def load_into(load: dict, target: DataFrame | None, df: DataFrame) -> DataFrame:
     return apply_load(load["type"], target, df, load["keys"], load.get("order", []), load.get("ties", ()),
                       load.get("as_of"), load.get("start_cols", ()), load.get("compare"))
 
@@ -54,10 +56,26 @@ def _loaded(load: dict, target: DataFrame | None, df: DataFrame) -> DataFrame:
 def run_targets(spark: SparkSession, config: dict, targets: dict[str, DataFrame | None],
                 registry: dict | None = None) -> dict[str, DataFrame]:
     """One source, several targets: {name: new content} for every entry of
-    ``config["targets"]`` (name -> its own load), read and transformed alike."""
+    ``config["targets"]`` (name -> its own load).
+
+    Source, steps and data-quality checks are evaluated once: the rows to load are
+    staged as files under the shared folder and every target's load reads those.  A
+    single target reads the source itself.
+    """
     df = read_source(spark, config["source"])
     df, _ = step_mod.run(df, config.get("steps", []), registry)
-    return {name: _loaded(load, targets.get(name), df) for name, load in config["targets"].items()}
+    df, _ = _checked(df, config.get("dq"))
+    if len(config["targets"]) > 1:
+        df = sinks.staged(df, "targets")
+    return {name: load_into(load, targets.get(name), df) for name, load in config["targets"].items()}
+
+
+def load_targets(spark: SparkSession, config: dict, root: str, registry: dict | None = None) -> dict[str, str]:
+    """``run_targets`` for tables: merges the source into every table that
+    ``config["targets"]`` names and publishes all new snapshots together, or none if one
+    fails.  Returns {table: snapshot folder}."""
+    now = {name: spark.table(name) if spark.catalog.tableExists(name) else None for name in config["targets"]}
+    return sinks.publish_together(spark, run_targets(spark, config, now, registry), root)
 
 
 def run_stream_load(spark: SparkSession, config: dict, root: str, checkpoint: str, initial: DataFrame | None = None,
@@ -83,7 +101,7 @@ def run_stream_load(spark: SparkSession, config: dict, root: str, checkpoint: st
         return step_mod.run(batch, config.get("steps", []), registry)[0]
 
     def load(target: DataFrame | None, batch: DataFrame) -> DataFrame:
-        return _loaded(load_cfg, target, batch)
+        return load_into(load_cfg, target, batch)
 
     def checked(batch: DataFrame, batch_id: int) -> tuple[DataFrame, dict]:
         """The batch's rows to load; with checks the others are written and both are counted as they are."""
@@ -157,5 +175,5 @@ def run_config_load(spark: SparkSession, config: dict, target: DataFrame | None
     df, invalid = _checked(df, config.get("dq"))
     df = df.observe(out_obs, F.count(F.lit(1)).alias("rows"))
     load = config.get("load")
-    new = df if not load else _loaded(load, target, df)
+    new = df if not load else load_into(load, target, df)
     return new, {"steps": step_ids, "source_rows": src_obs, "loaded_rows": out_obs, "invalid": invalid}

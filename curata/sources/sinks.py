@@ -142,6 +142,38 @@ def publish_snapshot(spark: SparkSession, df: DataFrame, table: str, root: str,
     return path
 
 
+def publish_together(spark: SparkSession, contents: dict[str, DataFrame], root: str, fmt: str = "parquet") -> dict[str, str]:
+    """Publish new snapshots of several tables, all or none.
+
+    Every snapshot is written before any table moves; a failed write leaves all
+    tables as they were.  If moving a table fails, the ones already moved go back.
+    Returns {table: folder}.
+    """
+    paths = {}
+    for table, df in contents.items():
+        paths[table] = f"{root.rstrip('/')}/{table.replace('.', '_')}/v-{uuid.uuid4().hex[:16]}"
+        write(df, "error", fmt, path=paths[table])
+    moved: list[tuple[str, str | None]] = []
+    try:
+        for table, path in paths.items():
+            before = None
+            if spark.catalog.tableExists(table):
+                rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
+                before = rows[0]["data_type"]
+                spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+                spark.catalog.refreshTable(table)
+            else:
+                spark.catalog.createTable(table, path=path, source=fmt)
+            moved.append((table, before))
+    except Exception:
+        for table, before in reversed(moved):
+            spark.sql(f"DROP TABLE {table}" if before is None else f"ALTER TABLE {table} SET LOCATION '{before}'")
+            if before is not None:
+                spark.catalog.refreshTable(table)
+        raise
+    return paths
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once under the shared checkpoint folder and read it back: later
     steps read files, at a size known to the planner, instead of recomputing it.

@@ -31,6 +31,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources import commits
+
 STATES = ("open", "closed")
 
 
@@ -49,33 +51,14 @@ class BucketedTable:
         self.keep, self.compact_after = keep, compact_after
 
     # ------------------------------------------------------------- manifests
-    def _path(self, name: str):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
-
-    def _names(self, folder: str) -> list[str]:
-        fs, path = self._path(folder)
-        return [x.getPath().getName() for x in fs.listStatus(path)] if fs.exists(path) else []
-
     def versions(self) -> list[int]:
         """Ids of the batches whose state can be read, oldest first."""
-        return sorted(int(n[:-5]) for n in self._names(f"{self.root}/_manifest") if n.endswith(".json"))
+        return commits.numbers(self.spark, f"{self.root}/_manifest")
 
     def manifest(self, batch_id: int) -> dict:
-        text = self.spark.read.option("wholetext", "true").text(f"{self.root}/_manifest/{batch_id}.json").first()[0]
-        m = json.loads(text)
+        m = commits.read(self.spark, f"{self.root}/_manifest", batch_id)
         return {**m, "open": {int(b): v for b, v in m["open"].items()}, "closed": {int(b): v for b, v in m["closed"].items()}}
 
-    def _commit(self, m: dict) -> None:
-        fs, target = self._path(f"{self.root}/_manifest/{m['batch']}.json")
-        _, draft = self._path(f"{self.root}/_manifest/{m['batch']}.draft")
-        out = fs.create(draft, True)
-        out.write(bytearray(json.dumps(m), "utf-8"))
-        out.close()
-        fs.delete(target, False)
-        if not fs.rename(draft, target):
-            raise OSError(f"cannot commit {target}")
-
     @staticmethod
     def _files(m: dict) -> set[tuple[int, str, int]]:
         return {(v, "open", b) for b, v in m["open"].items()} | {(v, "closed", b) for b, vs in m["closed"].items() for v in vs}
@@ -148,13 +131,13 @@ class BucketedTable:
         folder = f"{self.root}/v={batch_id}"
         # rows of a bucket meet in few files; AQE splits a bucket that is too large for one task
         out.hint("rebalance", F.col("_state"), F.col("_bucket")).write.mode("overwrite").partitionBy("_state", "_bucket").parquet(folder)
-        written = {s: {int(n.split("=")[1]) for n in self._names(f"{folder}/_state={s}") if "=" in n} for s in STATES}
+        written = {s: {int(n.split("=")[1]) for n in commits.names(self.spark, f"{folder}/_state={s}") if "=" in n} for s in STATES}
         new = {"batch": batch_id, "schema": content.schema.json(),
                "open": {b: v for b, v in (m["open"] if m else {}).items() if b not in touched} | {b: batch_id for b in written["open"]},
                "closed": {b: v for b, v in (m["closed"] if m else {}).items() if b not in replaced}}
         for b in written["closed"]:
             new["closed"][b] = [*new["closed"].get(b, []), batch_id]
-        self._commit(new)
+        commits.write(self.spark, f"{self.root}/_manifest", batch_id, new)
         self._expire(batch_id)
         return {"batch": {"rows": rows}, **{k: obs.get for k, obs in seen.items()}}
 
@@ -164,10 +147,8 @@ class BucketedTable:
         named = set().union(*(self._files(self.manifest(v)) for v in kept))
         for v in old:
             for f in self._files(self.manifest(v)) - named:
-                fs, path = self._path(self._leaf(*f))
-                fs.delete(path, True)
-            fs, path = self._path(f"{self.root}/_manifest/{v}.json")
-            fs.delete(path, False)
+                commits.remove(self.spark, self._leaf(*f), recursive=True)
+            commits.remove(self.spark, f"{self.root}/_manifest/{v}.json")
 
     def loader(self, load: Callable, on_commit: Callable[[int, dict], None] | None = None) -> Callable:
         """A foreachBatch function.  ``on_commit(batch_id, metrics)`` runs after the merge (and again if the batch is replayed)."""

@@ -145,11 +145,10 @@ def snapshot_loader(spark: SparkSession, root: str, load: Callable[[DataFrame |
 
 def newest_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
     """The last complete folder that ``snapshot_loader`` or ``overwrite_latest`` wrote (None: no batch yet)."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = [x.getPath().getName() for x in fs.listStatus(path)] if fs.exists(path) else []
-    for n in sorted((int(x[6:]) for x in names if x.startswith("batch=")), reverse=True):
-        if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{batch_path(root, n)}/_SUCCESS")):
+    from ..sources import commits
+    batches = [int(n[6:]) for n in commits.names(spark, root) if n.startswith("batch=")]
+    for n in sorted(batches, reverse=True):
+        if "_SUCCESS" in commits.names(spark, batch_path(root, n)):
             return spark.read.parquet(batch_path(root, n))
     return None
 

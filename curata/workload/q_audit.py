@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import audit, scd
+from ..session import scratch_path
 from .inputs import AS_OF, LI_KEYS, li_batch, src_orders, table, tgt_orders, with_
 from .registry import query
 from .q_dims import STAGED, _staged
@@ -46,8 +47,23 @@ SELECT (SELECT count(*) FROM src_orders) AS source_count, (SELECT count(*) FROM
   (SELECT count(*) FROM (SELECT o_orderkey FROM tgt_orders t WHERE NOT EXISTS
      (SELECT 1 FROM src_orders s WHERE s.o_orderkey = t.o_orderkey) UNION ALL SELECT o_orderkey FROM src_orders)) AS target_after""")
 def audit_counts(spark, d):
-    src, tgt = src_orders(spark, d), tgt_orders(spark, d)
-    return audit.load_counts(src, tgt, scd.scd1(tgt, src, ["o_orderkey"]))
+    """Counted while the merged snapshot is written."""
+    merged = scd.scd1_full_join(tgt_orders(spark, d), src_orders(spark, d), ["o_orderkey"], action_col="action")
+    new, seen = audit.counted(merged, "action")
+    new.write.parquet(scratch_path(spark, "audit-counts"))
+    return audit.counts_row(spark, seen.get)
+
+
+@query("audit_dim_rows", """
+SELECT DISTINCT o_orderpriority AS table_name, 'sales' AS data_product_name, 'landing.' || o_orderstatus AS source_table_name,
+  'curated.tgt_' || o_orderpriority AS target_table_name FROM orders""")
+def audit_dim_rows(spark, d):
+    """One audit dimension row per load, the loads taken from the orders' priorities and states."""
+    pairs = table(spark, d, "orders").select("o_orderpriority", "o_orderstatus").distinct()
+    loads = pairs.select(F.concat(F.lit("tgt_"), "o_orderpriority").alias("table_name"), F.lit("sales").alias("data_product_name"),
+                         F.concat(F.lit("landing."), "o_orderstatus").alias("source_table_name"),
+                         F.concat(F.lit("curated.tgt_"), "o_orderpriority").alias("target_table_name"))
+    return audit.dim_rows(loads, "tgt_")
 
 
 @query("audit_dedupe_counts", """
@@ -72,7 +88,7 @@ def audit_reconcile(spark, d):
     """All orders against two target queries: one that has them all, one that lost some."""
     o = table(spark, d, "orders")
     good = audit.reconcile(o, o.where("o_totalprice > 0"), strict=True)
-    return good.unionByName(audit.reconcile(o, o.where("o_orderstatus <> 'F'"), strict=True))
+    return good.unionByName(audit.reconcile(o, o.where("o_orderstatus <> 'F'")))
 
 
 @query("metrics_explode", "SELECT user_id, event_type AS metric, count(*) AS value FROM events GROUP BY user_id, event_type")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import dedupe, scd
 from ..operators import quality as Q
-from ..plans import flows, loader
+from ..plans import flows, loader, state
 from ..session import scratch_path
 from ..sources import sinks
 from .inputs import AS_OF, LI_KEYS, LI_ORDER, LI_TIES, SPLIT, dirty_orders, li_batch, li_hist, li_new, src_orders, table, tgt_orders, with_
@@ -120,19 +120,63 @@ def pipe_full_compare(spark, d):
     return target
 
 
-@query("pipe_targets", f"""
-SELECT l_orderkey, l_linenumber, l_shipdate, 'latest' AS load FROM (SELECT *, row_number() OVER ({LI_W_DESC}) rn FROM lineitem) WHERE rn = 1
-UNION ALL SELECT l_orderkey, l_linenumber, l_shipdate, 'all' FROM lineitem""")
+@query("pipe_targets", with_("tgt_orders", "src_orders", extra={
+    "lat": "SELECT coalesce(s.o_orderkey, t.o_orderkey) AS k, CASE WHEN s.o_orderkey IS NULL THEN t.o_totalprice ELSE s.o_totalprice END AS price "
+           "FROM tgt_orders t FULL JOIN src_orders s ON t.o_orderkey = s.o_orderkey",
+}) + f"""
+SELECT 'type1' AS load, k AS o_orderkey, price AS o_totalprice, 1 AS is_current FROM lat
+UNION ALL SELECT 'everything', o_orderkey, o_totalprice, 1 FROM tgt_orders
+UNION ALL SELECT 'everything', o_orderkey, o_totalprice, 1 FROM src_orders
+UNION ALL SELECT 'replaced', o_orderkey, o_totalprice, 1 FROM src_orders
+UNION ALL SELECT 'compared', t.o_orderkey, t.o_totalprice, CASE WHEN s.o_orderkey IS NULL OR ({ORD_DIFF}) THEN 0 ELSE 1 END
+  FROM tgt_orders t LEFT JOIN src_orders s ON t.o_orderkey = s.o_orderkey
+UNION ALL SELECT 'compared', s.o_orderkey, s.o_totalprice, 1 FROM src_orders s LEFT JOIN tgt_orders t ON t.o_orderkey = s.o_orderkey
+  WHERE t.o_orderkey IS NULL OR ({ORD_DIFF})""")
 def pipe_targets(spark, d):
-    """One source loaded into two targets, each with its own load type."""
-    path = scratch_path(spark, "pipe-targets")
-    table(spark, d, "lineitem").write.parquet(path)
-    load = {"keys": LI_KEYS, "order": LI_ORDER, "ties": LI_TIES}
-    config = {"source": {"source_table_type": "path", "path": path},
-              "targets": {"latest": {**load, "type": "complete"}, "all": {**load, "type": "append"}}}
-    got = loader.run_targets(spark, config, {})
-    cols = [*LI_KEYS, "l_shipdate"]
-    return got["latest"].select(*cols, F.lit("latest").alias("load")).unionByName(got["all"].select(*cols, F.lit("all").alias("load")))
+    """One source, twice, into four tables with a load type each; the tables move together."""
+    root = scratch_path(spark, "pipe-targets")
+    tgt_orders(spark, d).write.parquet(f"{root}/1")
+    src_orders(spark, d).write.parquet(f"{root}/2")
+    load = {"keys": ["o_orderkey"], "order": ["o_orderdate"], "as_of": AS_OF}
+    tag = root.rsplit("-", 1)[-1]
+    kinds = {"type1": "update", "everything": "append", "replaced": "complete", "compared": "full_compare"}
+    for part in ("1", "2"):
+        config = {"source": {"source_table_type": "path", "path": f"{root}/{part}"},
+                  "targets": {f"curata_{name}_{tag}": {**load, "type": kind} for name, kind in kinds.items()}}
+        loader.load_targets(spark, config, f"{root}/tables")
+    out = None
+    for name in kinds:
+        t = spark.table(f"curata_{name}_{tag}")
+        cur = F.col("is_current") if name == "compared" else F.lit(1)
+        one = t.select(F.lit(name).alias("load"), "o_orderkey", "o_totalprice", cur.alias("is_current"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("pipe_load_state", f"""
+SELECT * EXCLUDE (rn), 3 AS loads, (SELECT strftime(max(l_shipdate), '%Y-%m-%d %H:%M:%S') FROM lineitem) AS watermark
+FROM (SELECT *, row_number() OVER ({LI_W_DESC}) rn FROM lineitem) WHERE rn = 1""")
+def pipe_load_state(spark, d):
+    """An initial load, two deltas, a load that fails and one that finds nothing: flag,
+    watermark and content always advance together."""
+    root = scratch_path(spark, "pipe-state")
+    li, mid = table(spark, d, "lineitem"), "2000-01-01 00:00:00"
+    li.where(F.col("l_shipdate") < F.lit(SPLIT).cast("timestamp_ntz")).write.parquet(f"{root}/initial")
+    li.write.parquet(f"{root}/delta")                      # holds old changes too: the watermark leaves them out
+    config = {"source": {"source_table_type": "path", "initial_filepath": f"{root}/initial", "delta_filepath": f"{root}/delta"},
+              "change_col": "l_shipdate", "load": {"type": "update", "keys": LI_KEYS, "order": LI_ORDER, "ties": LI_TIES}}
+    state.run(spark, config, f"{root}/load")
+    failing = {**config, "steps": [{"op": "where", "expr": "raise_error('source broke') IS NULL"}]}
+    try:
+        state.run(spark, failing, f"{root}/load", until=mid)
+    except Exception as e:  # noqa: BLE001
+        if "source broke" not in str(e):
+            raise
+    state.run(spark, config, f"{root}/load", until=mid)    # reads what the failed load read
+    state.run(spark, config, f"{root}/load")
+    last = state.run(spark, config, f"{root}/load")        # nothing new: the state stays
+    out = state.table(spark, last)
+    return out.withColumns({"loads": F.lit(last.number), "watermark": F.lit(last.watermark)})
 
 
 @query("pipe_stream_merge", """

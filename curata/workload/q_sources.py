@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -35,6 +38,26 @@ def src_parquet_plain(spark, d):
             .drop("file_path", "file_modification_time"))
 
 
+@query("src_parquet_file_order", f"""
+SELECT CASE WHEN o_orderdate < TIMESTAMP '{SPLIT}' THEN 'z-first' ELSE 'a-second' END AS folder, count(*) AS n, true AS in_order
+FROM orders GROUP BY 1""")
+def src_parquet_file_order(spark, d):
+    """Files landed one after the other, read in the order they landed in (against that of
+    their names): per folder its rows, and whether they all come after those of the folder before."""
+    root = scratch_path(spark, "file-order")
+    o = table(spark, d, "orders")
+    early = F.col("o_orderdate") < F.lit(SPLIT).cast("timestamp_ntz")
+    o.where(early).write.parquet(f"{root}/z-first")
+    time.sleep(1.1)                                       # file times count whole seconds on some stores
+    o.where(~early).write.parquet(f"{root}/a-second")
+    df = files.read_parquet(spark, root, options={"recursiveFileLookup": "true"}, as_of=AS_OF, order_by_file_time=True)
+    df = df.select(F.element_at(F.split("file_path", "/"), -2).alias("folder"), "file_modification_time", F.monotonically_increasing_id().alias("at"))
+    per = df.groupBy("folder").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("low"), F.max("at").alias("high"),
+                                   F.min("file_modification_time").alias("landed"))
+    before = F.lag("high").over(Window.orderBy("landed"))                      # one row per landing folder
+    return per.select("folder", "n", F.coalesce(F.col("low") > before, F.lit(True)).alias("in_order"))
+
+
 def _roundtrip(spark, d, fmt, options=None):
     cust = table(spark, d, "customer")
     path = scratch_path(spark, f"customer-{fmt}")

@@ -53,3 +53,35 @@ def test_point_in_interval_join_rides_on_the_key(spark, sf):
     plan = _plan(QUERIES["late_dc_items"](spark, sf))
     assert ("SortMergeJoin" in plan or "BroadcastHashJoin" in plan or "ShuffledHashJoin" in plan)
     assert "LeftAnti" in plan
+
+
+def test_type2_merges_evaluate_the_batch_once(spark, sf):
+    """No late row: closed history is passed through, the batch is scanned once and the merge
+    input has an exchange per side."""
+    from curata.workload.inputs import LI_KEYS, LI_TIES, li_batch
+    from pyspark.sql import functions as F
+    from curata.session import scratch_path
+    root = scratch_path(spark, "t-plan")
+    li = li_batch(spark, sf).withColumns({"start_time": F.col("l_shipdate"), "is_deleted": F.lit(0)})
+    old = li.where("l_shipdate < '1998-01-01'")
+    scd.scd2_first_load(old, LI_KEYS, "start_time", LI_TIES).write.parquet(f"{root}/hist")
+    li.where("l_shipdate >= '1998-01-01'").dropDuplicates(LI_KEYS).write.parquet(f"{root}/batch")
+    hist, batch = spark.read.parquet(f"{root}/hist"), spark.read.parquet(f"{root}/batch")
+    for df in (scd.scd2(hist, batch, LI_KEYS, "start_time"), scd.scd2_versions(hist, batch, LI_KEYS, "start_time", LI_TIES)):
+        plan = _plan(df)
+        assert plan.count("Exchange hashpartitioning") <= 2, plan
+        assert plan.count(f"{root}/batch") <= 1 or plan.count("/batch]") == 1, plan
+        assert plan.count("FileScan parquet") == 3, plan                       # open rows, closed rows, batch
+
+
+def test_versions_of_a_hot_key_meet_in_no_task(spark):
+    from curata.operators import dedupe
+    from pyspark.sql import functions as F
+    df = spark.range(20_000).select(F.when(F.col("id") % 10 < 9, 1).otherwise(F.col("id")).alias("k"), F.col("id").alias("t"), (F.col("id") % 3).alias("v"))
+    out = dedupe.versions_per_key(df, ["k"], "t", skew={"partitions": 8})
+    largest = out.withColumn("p", F.spark_partition_id()).groupBy("p").count().agg(F.max("count")).first()[0]
+    assert largest < 9000                                                       # 18,000 rows share a key
+    plain = dedupe.versions_per_key(df, ["k"], "t", skew=False)
+    assert out.exceptAll(plain).count() == 0 and plain.exceptAll(out).count() == 0
+    plan = _plan(out)
+    assert "BroadcastExchange" not in plan and "_part" in plan
