@@ -55,11 +55,13 @@ def scd2_staging(src: DataFrame, dim: DataFrame, keys: Sequence[str], tracked: S
     open row ('close') and a copy with a never-matching merge key ('insert');
     keys without any row, open or closed, are new members ('new').  A member
     that has only closed rows is neither."""
-    opened, _ = open_rows(dim)
+    opened, closed = open_rows(dim)
     j, has, changed = _compare(src, opened, keys, tracked)
-    known = dim.select(*keys, F.lit(True).alias("_known")).distinct()
-    j = j.join(known, on=list(keys), how="left")
-    fresh = F.col("_known").isNull()
+    # of closed history only the increment's keys matter: the semi join drops the others before any shuffle that
+    # a small increment does not need
+    known = closed.select(*keys).join(src.select(*keys), on=list(keys), how="left_semi").distinct()
+    j = j.join(known.withColumn("_known", F.lit(True)), on=list(keys), how="left")
+    fresh = ~has & F.col("_known").isNull()
     cols = src.columns
     key_expr = _merge_token(keys)          # an opaque text token, one form for any key width
     null_key = F.lit(None).cast("string")
@@ -217,3 +219,11 @@ def collapse_json(df: DataFrame, keys: Sequence[str], detail: Sequence[str], nam
     per = df.groupBy(*keys, *detail).agg(F.count(F.lit(1)).alias("n"))
     return per.groupBy(*keys).agg(
         F.to_json(F.sort_array(F.collect_list(F.struct(*detail, "n")))).alias(name))
+
+
+def collapse_parts(df: DataFrame, keys: Sequence[str], detail: Sequence[str], per_part: int | None = None) -> DataFrame:
+    """``collapse_json``'s entries without a bound on a key's detail: (keys, part, entries),
+    each part a sorted array of at most ``per_part`` combinations with their counts."""
+    from . import lists
+    per = df.groupBy(*keys, *detail).agg(F.count(F.lit(1)).alias("n"))
+    return lists.parts(per, keys, [*detail, "n"], per_part=per_part or lists.PER_PART)

@@ -235,6 +235,15 @@ def value_lists(values: DataFrame, list_col: str = "list_id", value_col: str = "
     return q.groupBy(list_col).agg(F.array_join(F.sort_array(F.collect_list("_q")), ",").alias("valid_list"))
 
 
+def value_list_parts(values: DataFrame, list_col: str = "list_id", value_col: str = "column_value", per_part: int | None = None) -> DataFrame:
+    """``value_lists`` without a bound on a list: (list, part, valid_list), each part the quoted,
+    sorted, comma-joined text of at most ``per_part`` values; parts rise with their values."""
+    from . import lists
+    q = values.where(F.col(value_col).isNotNull()).select(list_col, F.concat(F.lit("'"), F.col(value_col), F.lit("'")).alias("_q")).distinct()
+    got = lists.parts(q, [list_col], ["_q"], per_part=per_part or lists.PER_PART)
+    return got.select(list_col, "part", F.array_join(F.transform("entries", lambda x: x["_q"]), ",").alias("valid_list"))
+
+
 # Parameter columns that a relation or rule row may carry.
 PARAMETERS = ("regex_string", "expected_datatype", "expected_date_format", "related_table_name", "related_column_name",
               "grouping_columns")

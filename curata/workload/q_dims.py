@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..operators import dims
 from .inputs import AS_OF, dim_part, src_part, table, with_
 from .registry import query
@@ -116,3 +118,17 @@ SELECT l_partkey, CAST(to_json(list(struct_pack(l_returnflag := l_returnflag, l_
 FROM (SELECT l_partkey, l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY ALL) GROUP BY l_partkey""")
 def dim_collapse_json(spark, d):
     return dims.collapse_json(table(spark, d, "lineitem"), ["l_partkey"], ["l_returnflag", "l_linestatus"])
+
+
+@query("dim_collapse_parts", """
+SELECT o_orderpriority, count(*) AS entries, max(n) AS top, min(o_custkey) AS first_custkey, max(o_custkey) AS last_custkey, true AS in_bounds
+FROM (SELECT o_orderpriority, o_custkey, count(*) AS n FROM orders GROUP BY ALL) GROUP BY o_orderpriority""")
+def dim_collapse_parts(spark, d):
+    """The customers of every order priority with their counts, in parts of at most 50 entries: five keys
+    with long lists.  Read part by part: no list is whole in one row."""
+    p = dims.collapse_parts(table(spark, d, "orders"), ["o_orderpriority"], ["o_custkey"], per_part=50)
+    size, ends = F.size("entries"), [F.col("entries")[0]["o_custkey"], F.element_at("entries", -1)["o_custkey"]]
+    p = p.select("o_orderpriority", "part", size.alias("size"), ends[0].alias("low"), ends[1].alias("high"),
+                 F.array_max(F.transform("entries", lambda x: x["n"])).alias("top"))
+    return p.groupBy("o_orderpriority").agg(F.sum("size").alias("entries"), F.max("top").alias("top"), F.min_by("low", "part").alias("first_custkey"),
+                                            F.max_by("high", "part").alias("last_custkey"), F.max(F.col("size") <= 50).alias("in_bounds"))
