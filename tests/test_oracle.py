@@ -2,6 +2,9 @@
 
 import datetime as dt
 import decimal
+import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -58,3 +61,23 @@ def test_query_matches_oracle(spark, sf, duck, name):
     assert sc == oc
     assert len(sr) == len(orr)
     assert sr == orr
+
+
+@pytest.mark.parametrize("missing", ["public_tokenizers", "regex", "curata.llm", "corpus_pipeline"])
+def test_survey_keys_stay_without_optional_modules(missing):
+    """In a fresh interpreter in which an optional module cannot be imported."""
+    code = f"""
+import sys
+class Gone:
+    def find_spec(self, name, path=None, target=None):
+        if name == {missing!r}:
+            raise ModuleNotFoundError(f"No module named {{name!r}}", name=name)
+sys.meta_path.insert(0, Gone())
+import warnings
+warnings.simplefilter("ignore")
+import __spark_entry__ as E
+from curata.workload import QUERIES
+assert set(QUERIES) <= set(E.queries()) and E.oracle_sql()
+"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=root, timeout=120)
