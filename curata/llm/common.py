@@ -102,3 +102,25 @@ def let(value, use):
     """``use`` of an expression that is computed once, however often ``use`` (also
     inside other lambdas) refers to it."""
     return F.transform(F.array(value), use)[0]
+
+
+CHUNK = 32                       # lengths summed up in one go by ``starts``
+
+
+def starts(lengths):
+    """Where pieces of these ``lengths`` (array<bigint>) start when they stand one after the
+    other, from 0.  Sums go chunk by chunk, so no element costs more than CHUNK steps."""
+    zero = F.lit(0).cast("bigint")
+
+    def total(a):
+        return F.aggregate(a, zero, lambda t, x: t + x)
+
+    def chunked(a):
+        each = F.sequence(F.lit(0), F.greatest(F.ceil(F.size(a) / CHUNK).cast("int") - 1, F.lit(0)))
+        return F.transform(each, lambda c: F.slice(a, c * CHUNK + 1, F.lit(CHUNK)))
+
+    def placed(z):
+        return F.flatten(F.transform(z["chunks"], lambda ch, c: let(
+            F.struct(total(F.slice(z["long"], F.lit(1), c)).alias("at"), ch.alias("ch")),
+            lambda y: F.transform(y["ch"], lambda x, i: y["at"] + total(F.slice(y["ch"], F.lit(1), i))))))
+    return let(let(let(lengths, chunked), lambda ch: F.struct(ch.alias("chunks"), F.transform(ch, total).alias("long"))), placed)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ident, let, written
+from .common import ident, let, starts, written
 
 SECTION = r"(?:[^\n]++\n?+){1,8}+\n*+|\n++"
 PARAGRAPH = r"[^\n]++\n*+|\n++"
@@ -84,38 +84,40 @@ def differing(a: Column, b: Column) -> Column:
     def missing(x: Column, known: Column) -> Column:
         return F.filter(x, lambda v: ~F.array_contains(known, v["hash"]))
 
-    def length(s: Column) -> Column:
-        return F.aggregate(s["paragraphs"], F.lit(0).cast("long"),
-                           lambda t, p: t + F.aggregate(p["leaves"], F.lit(0).cast("long"), lambda u, x: u + x["n"]))
+    def size(ps: Column) -> Column:
+        return F.aggregate(ps, F.lit(0).cast("long"), lambda t, p: t + F.aggregate(p["leaves"], F.lit(0).cast("long"), lambda u, x: u + x["n"]))
 
     def sections(z: Column) -> Column:
-        long = F.transform(z["a"], length)
-        known = F.struct(hashes(z["a"]).alias("a"), hashes(z["b"]).alias("b"), long.alias("long"))
+        known = F.struct(hashes(z["a"]).alias("a"), hashes(z["b"]).alias("b"),
+                         starts(F.transform(z["a"], lambda s: size(s["paragraphs"]))).alias("at"))
 
         def apart(k: Column) -> Column:
-            own = F.transform(z["a"], lambda s, i: F.struct(s["hash"].alias("hash"), i.alias("section"), s["paragraphs"].alias("paragraphs")))
-            own = F.transform(missing(own, k["b"]), lambda s: F.struct(
-                s["section"].alias("section"), s["paragraphs"].alias("paragraphs"),
-                F.aggregate(F.slice(k["long"], F.lit(1), s["section"]), F.lit(0).cast("long"), lambda t, x: t + x).alias("at")))
+            own = F.transform(z["a"], lambda s, i: F.struct(s["hash"].alias("hash"), i.alias("section"), F.get(k["at"], i).alias("at"),
+                                                            s["paragraphs"].alias("paragraphs")))
             other = F.flatten(F.transform(missing(z["b"], k["a"]), lambda s: s["paragraphs"]))
-            return F.struct(own.alias("own"), other.alias("other"))
+            return F.struct(missing(own, k["b"]).alias("own"), other.alias("other"))
         return let(known, apart)
 
     def paragraphs(z: Column) -> Column:
         own = F.flatten(F.transform(z["own"], lambda s: F.transform(s["paragraphs"], lambda p, j: F.struct(
             p["hash"].alias("hash"), s["section"].alias("section"), j.alias("paragraph"), p["leaves"].alias("leaves"),
-            (s["at"] + F.aggregate(F.flatten(F.transform(F.slice(s["paragraphs"], F.lit(1), j), lambda q: q["leaves"])),
-                                   F.lit(0).cast("long"), lambda t, x: t + x["n"])).alias("at")))))
-        known = F.struct(hashes(own).alias("a"), hashes(z["other"]).alias("b"), own.alias("own"))
-        return let(known, lambda k: F.struct(missing(k["own"], k["b"]).alias("own"),
-                                             F.flatten(F.transform(missing(z["other"], k["a"]), lambda p: hashes(p["leaves"]))).alias("other")))
+            (s["at"] + size(F.slice(s["paragraphs"], F.lit(1), j))).alias("at")))))         # a section is a few lines
+
+        def apart(k: Column) -> Column:
+            known = F.struct(hashes(k["own"]).alias("a"), hashes(z["other"]).alias("b"))
+            return let(known, lambda h: F.struct(missing(k["own"], h["b"]).alias("own"),
+                                                 F.flatten(F.transform(missing(z["other"], h["a"]), lambda p: hashes(p["leaves"]))).alias("other")))
+        return let(F.struct(own.alias("own")), apart)
 
     def last(z: Column) -> Column:
-        every = F.flatten(F.transform(z["own"], lambda p: F.transform(p["leaves"], lambda x, i: F.struct(
-            x["hash"].alias("hash"), p["section"].alias("section"), p["paragraph"].alias("paragraph"), i.alias("leaf"),
-            (p["at"] + F.aggregate(F.slice(p["leaves"], F.lit(1), i), F.lit(0).cast("long"), lambda t, v: t + v["n"])).alias("at"), x["n"].alias("n")))))
-        return F.transform(missing(every, z["other"]), lambda x: F.struct(
-            x["section"].alias("section"), x["paragraph"].alias("paragraph"), x["leaf"].alias("leaf"), x["at"].alias("at"), x["n"].alias("n")))
+        def placed(p: Column) -> Column:
+            at = starts(F.transform(p["leaves"], lambda x: x["n"].cast("long")))
+            return let(at, lambda s: F.transform(p["leaves"], lambda x, i: F.struct(
+                x["hash"].alias("hash"), p["section"].alias("section"), p["paragraph"].alias("paragraph"), i.alias("leaf"),
+                (p["at"] + F.get(s, i)).alias("at"), x["n"].alias("n"))))
+        gone = missing(F.flatten(F.transform(z["own"], placed)), z["other"])
+        return F.transform(gone, lambda x: F.struct(x["section"].alias("section"), x["paragraph"].alias("paragraph"), x["leaf"].alias("leaf"),
+                                                    x["at"].alias("at"), x["n"].alias("n")))
 
     return let(let(let(F.struct(a.alias("a"), b.alias("b")), sections), paragraphs), last)
 
