@@ -35,8 +35,8 @@ def append(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", quer
 
 
 def append_table(df: DataFrame, table: str, checkpoint: str, fmt: str = "parquet", query_name: str | None = None,
-                 merge_schema: bool = False, trigger: str | None = None, wait: bool = True) -> StreamingQuery:
-    """Append a stream to a catalog table (created by the first run).
+                 merge_schema: bool = False, trigger: str | None = None, wait: bool = True, path: str | None = None) -> StreamingQuery:
+    """Append a stream to a catalog table (created by the first run, external with ``path``).
 
     With ``merge_schema`` columns that the table lacks are added to it first, so
     earlier rows read null there; without it such a column is refused.  A type
@@ -60,6 +60,8 @@ def append_table(df: DataFrame, table: str, checkpoint: str, fmt: str = "parquet
     w = df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
     if query_name:
         w = w.queryName(query_name)
+    if path is not None:
+        w = w.option("path", path)
     q = _trigger(w, trigger).toTable(table)
     if wait:
         q.awaitTermination()

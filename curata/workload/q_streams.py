@@ -166,10 +166,13 @@ def stream_update_counts(spark, d):
     root = scratch_path(spark, "stream-update")
 
     def changed(s):
-        s = s.withColumn("event_time", F.col("ts").cast("timestamp")).withWatermark("event_time", "3 days")
+        # the same wall clock in UTC, whatever the session's time zone: windows are cut in UTC
+        micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts)")
+        s = s.withColumn("event_time", F.timestamp_micros(micros)).withWatermark("event_time", "3 days")
         g = s.groupBy(F.window("event_time", "1 day").alias("w"), "event_type")
         g = g.agg(F.count(F.lit(1)).alias("n"), F.max("value").alias("top"))
-        return g.select(F.col("w.start").cast("timestamp_ntz").alias("day"), "event_type", "n", "top")
+        day = F.expr("timestampadd(MICROSECOND, unix_micros(w.start), TIMESTAMP_NTZ '1970-01-01 00:00:00')")
+        return g.select(day.alias("day"), "event_type", "n", "top")
     out = BucketedTable(spark, f"{root}/out", ["day", "event_type"], buckets=8)
     merge = out.loader(lambda target, batch: batch if target is None else scd.scd1_full_join(target, batch, ["day", "event_type"]))
     _run_batches(spark, d, root, merge, changed, output_mode="update")
@@ -184,7 +187,7 @@ def stream_append_table(spark, d):
     name = "curata_stream_" + root.rsplit("-", 1)[-1]
     for i, _ in enumerate(_waves(spark, d, root)):
         s = stream(spark, "parquet", f"{root}/landing", {})
-        ss.append_table(s if i else s.drop("props"), name, f"{root}/_checkpoint", merge_schema=True)
+        ss.append_table(s if i else s.drop("props"), name, f"{root}/_checkpoint", merge_schema=True, path=f"{root}/table")
     return spark.table(name)
 
 
