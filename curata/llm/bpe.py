@@ -11,9 +11,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import heapq
 from collections.abc import Iterator
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 from itertools import chain
 
 import numpy as np
@@ -109,6 +109,7 @@ class Codec:
     def _ready(self):
         self.rank = dict(zip(self.tokens, self.ids))
         self.token_of = dict(zip(self.ids, self.tokens))
+        self.byte_id = [self.rank.get(bytes([x])) for x in range(256)]
         self.text_of = {i: str(i) for i in self.ids}
         self.split = regex.compile(self.pattern).findall
         self.memo: dict[str, tuple[int, ...]] = {}
@@ -116,31 +117,32 @@ class Codec:
     def merge(self, b: bytes) -> tuple[int, ...]:
         """Merge the bytes of one pre-token: a heap of candidate pairs over a linked list."""
         n, rank = len(b), self.rank.get
+        ids = [self.byte_id[x] for x in b]                                 # ids[i]: token of the piece that starts at i
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))     # after[i]: end of the piece at i; -1: merged away
         heap = [(r, i, i + 2) for i in range(n - 1) if (r := rank(b[i:i + 2])) is not None]
-        heapq.heapify(heap)
+        heapify(heap)
         while heap:
-            _, i, end = heapq.heappop(heap)
+            r, i, end = heappop(heap)
             j = after[i]
             if j < 0 or j >= n or after[j] != end:
                 continue                                                   # a neighbour has changed since
-            after[i], after[j] = end, -1
+            ids[i], after[i], after[j] = r, end, -1
             if end < n:
                 before[end] = i
-                if (r := rank(b[i:after[end]])) is not None:
-                    heapq.heappush(heap, (r, i, after[end]))
+                stop = after[end]
+                if (r := rank(b[i:stop])) is not None:
+                    heappush(heap, (r, i, stop))
             p = before[i]
             if p >= 0 and (r := rank(b[p:end])) is not None:
-                heapq.heappush(heap, (r, p, end))
-        out, i = [], 0
-        while i < n:
-            out.append(self.rank[b[i:after[i]]])
-            i = after[i]
-        return tuple(out)
+                heappush(heap, (r, p, end))
+        out = tuple([t for t, e in zip(ids, after) if e > 0])
+        if None in out:
+            raise KeyError(f"the vocabulary lacks a byte of {b!r}")
+        return out
 
     def learn(self, pieces: set[str]) -> None:
         """Fill the memo for new pre-tokens: perfect hash first, merges for the rest."""
-        new = [p for p in pieces if p not in self.memo]
+        new = list(pieces.difference(self.memo))
         if not new:
             return
         if len(self.memo) + len(new) > MEMO:
