@@ -64,8 +64,8 @@ def _ordered(words: Column, levels: list[int]) -> Column:
     """Word hashes as longs that sort by rarity: level in the high byte, hash below."""
     table = F.split(F.lit(",".join(map(str, levels))), ",").cast("array<bigint>")     # folded to a constant
 
-    def key(h: Column) -> Column:
-        level = F.get(table, F.pmod(h, F.lit(BUCKETS)).cast("int"))
+    def key(h: Column) -> Column:                                                    # never null: primitive sort
+        level = F.coalesce(F.get(table, F.pmod(h, F.lit(BUCKETS)).cast("int")), F.lit(1).cast("long"))
         return F.shiftleft(level, 56).bitwiseOR(F.shiftrightunsigned(h, 8))
 
     return F.sort_array(F.transform(words, key))
