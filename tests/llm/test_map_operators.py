@@ -256,3 +256,11 @@ def test_merkle_edge_cases(spark):
     assert merkle.compare_edits(d.limit(0)).collect() == []
     one = merkle.compare_edits(docs_frame(spark, [(7, "only one here", None, None)])).collect()
     assert one[0]["edited_sha256"] == hashlib.sha256(b"only one only").hexdigest()
+
+
+def test_bpe_vocabulary_without_a_byte_raises():
+    codec = bpe.Codec([b"a", b"b", b"ab", b"\xc3\xa9"], [0, 1, 2, 3], r"\S+")
+    assert codec.encode("ab abab ba é") == [2, 2, 2, 1, 0, 3]
+    assert codec.merge(b"\xc3\xa9a") == (3, 0)                 # bytes that always merge need no token of their own
+    with pytest.raises(KeyError):
+        codec.encode("abc")
