@@ -140,9 +140,9 @@ def scd1_latest(target: DataFrame | None, source: DataFrame, keys: Sequence[str]
 
 # --------------------------------------------------------------------- type 2
 def scd2_first_load(source: DataFrame, keys: Sequence[str], start: str, ties: Sequence = (),
-                    end_col: str = "end_time", current_col: str = "is_current") -> DataFrame:
+                    end_col: str = "end_time", current_col: str = "is_current", skew: str | bool | dict = "auto") -> DataFrame:
     """All versions kept, newest current, the others closed at the next start."""
-    return versions_per_key(source, keys, start, ties, end_col, current_col, version_col=None)
+    return versions_per_key(source, keys, start, ties, end_col, current_col, version_col=None, skew=skew)
 
 
 def _split_open(target: DataFrame, current_col: str, deleted_col: str | None):
@@ -201,25 +201,26 @@ def scd2(target: DataFrame, source: DataFrame, keys: Sequence[str], start: str,
     kinds = F.array(F.when(has_t & ~change, 0), F.when(change, 0), F.when(change | (has_s & ~has_t), 0), F.when(late & diff, 1))
     pairs = F.arrays_zip(rows.alias("row"), kinds.alias("late"))
     merged = j.select(F.explode(F.filter(pairs, lambda x: x["row"].isNotNull())).alias("p")).select("p.row.*", F.col("p.late").alias("_late"))
-    late_keys = _late_keys(target, opened, batch, keys, start)
+    late_keys = _late_keys(opened, batch, keys, start) if _reaches_back(target, batch, start) else None
     if late_keys is None:
         return closed.unionByName(merged.drop("_late"))
     return _settle_late(closed, merged, late_keys, keys, start, vals, end_col)
 
 
-def _late_keys(target: DataFrame, opened: DataFrame, src: DataFrame, keys: list[str], start: str) -> DataFrame | None:
+def _reaches_back(target: DataFrame, src: DataFrame, start: str) -> bool:
+    """Whether some ``src`` row starts at or before the newest start of the target: two
+    aggregates, which settle most loads."""
+    first = src.agg(F.min(F.col(start).cast(target.schema[start].dataType))).first()[0]
+    newest = target.agg(F.max(start)).first()[0]
+    return first is not None and newest is not None and first <= newest
+
+
+def _late_keys(opened: DataFrame, src: DataFrame, keys: list[str], start: str) -> DataFrame | None:
     """Distinct keys of ``src`` rows that do not start after their key's open row, staged
     as files of known size; None when there is none, so closed history need not be read.
-
-    Most loads are settled by two aggregates: no source row starts at or before the
-    newest start of the target.  Otherwise keys and starts alone are joined once.
-    """
-    src = src.withColumn(start, F.col(start).cast(target.schema[start].dataType))
-    first, newest = src.agg(F.min(start)).first()[0], target.agg(F.max(start)).first()[0]
-    if first is None or newest is None or first > newest:
-        return None
+    Keys and starts alone are joined, once."""
     from ..sources.sinks import staged
-    early = src.groupBy(*keys).agg(F.min(start).alias("_from"))
+    early = src.groupBy(*keys).agg(F.min(F.col(start).cast(opened.schema[start].dataType)).alias("_from"))
     late = opened.select(*keys, F.col(start).alias("_open")).join(early, on=keys).where("_from <= _open").select(*keys).distinct()
     late = staged(late, "late-keys")
     return None if late.isEmpty() else late
@@ -266,7 +267,12 @@ def scd2_versions(target: DataFrame, source: DataFrame, keys: Sequence[str], sta
         if c not in src.columns and c not in (end_col, current_col):
             src = src.withColumn(c, F.lit(None).cast(target.schema[c].dataType))
     base = [c for c in tcols if c not in (end_col, current_col)]
-    late_keys = _late_keys(target, opened, src, keys, start)
+    late_keys = None
+    if _reaches_back(target, src, start):
+        from ..sources.sinks import staged_once
+        target, src = staged_once(target, "history"), staged_once(src, "batch")      # each is read several times from here on
+        opened, closed = _split_open(target, current_col, deleted_col)
+        late_keys = _late_keys(opened, src, keys, start)
     mark = [F.lit(None).cast(target.schema[end_col].dataType).alias("_was"), F.lit(False).alias("_closed")]
     timeline = opened.select(*base, *mark)
     if late_keys is not None:

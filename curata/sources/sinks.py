@@ -185,6 +185,13 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def staged_once(df: DataFrame, name: str) -> DataFrame:
+    """``df`` itself if its rows come straight from their files, else ``staged``: for a frame
+    that several steps read and that takes a shuffle each time it is computed."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return staged(df, name) if "Exchange" in plan else df
+
+
 def materialize(spark: SparkSession, df: DataFrame, name: str, database: str = "curata_staging") -> tuple[DataFrame, str]:
     """Write a staging frame as a managed table of a staging database that
     lives under the shared checkpoint folder, and read it back.

@@ -74,6 +74,25 @@ def test_type2_merges_evaluate_the_batch_once(spark, sf):
         assert plan.count("FileScan parquet") == 3, plan                       # open rows, closed rows, batch
 
 
+def test_late_type2_merge_computes_its_inputs_once(spark):
+    """Late rows: target and batch that take a shuffle are staged, not computed again by every step."""
+    from pyspark.sql import functions as F
+    from curata.session import scratch_path
+    root = scratch_path(spark, "t-late")
+    rows = [(k, v, f"2020-01-0{day}") for k in range(20) for v, day in (("a", 1), ("b", 3), ("b", 3), ("c", 5))]
+    raw = spark.createDataFrame(rows, "k int, v string, day string")
+    raw.selectExpr("k", "v", "CAST(day AS timestamp_ntz) AS start_time", "0 AS is_deleted").write.parquet(f"{root}/raw")
+    raw = spark.read.parquet(f"{root}/raw")
+    first = scd.scd2_first_load(raw.where("v <> 'a'").distinct(), ["k"], "start_time", skew=False)
+    out = scd.scd2_versions(first, raw.distinct(), ["k"], "start_time", skew=False)
+    assert f"{root}/raw" not in _plan(out)
+    want = scd.scd2_first_load(raw.distinct(), ["k"], "start_time", skew=False).select(*out.columns)
+    assert out.count() == 60 and out.exceptAll(want).count() == 0
+    files = scd.scd2_versions(spark.read.parquet(f"{root}/raw").withColumns({"end_time": F.lit(None).cast("timestamp_ntz"), "is_current": F.lit(1)}),
+                              raw, ["k"], "start_time", skew=False)
+    assert f"{root}/raw" in _plan(files)                                         # read straight from files: not staged
+
+
 def test_versions_of_a_hot_key_meet_in_no_task(spark):
     from curata.operators import dedupe
     from pyspark.sql import functions as F
