@@ -21,28 +21,31 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SMALL, fresh, ident, joined, packed, written
+from .common import SMALL, fresh, ident, joined, let, packed, written
 
 BLANKS = "\t\x0b\x0c\r"          # white space within a line beside the space
-TRIM = " " + BLANKS + "\n"
 BUCKETS = 1 << 17                # word counts are kept by hash bucket; a bounded table
 LEADS = 5                        # rarest words under which a class meets its family's earliest line
 FIELD = (1 << 15) - 1            # word counts and positions are kept up to here; at it, no filter applies
 LAST = (1 << 63) - 1
 
 
-def _spaced(line: Column) -> Column:
-    """The line with every blank a space (rarely any work)."""
+def _spaced(text: Column) -> Column:
+    """The text with every blank a space (rarely any work), so that its lines split and trim at spaces alone."""
     odd = F.lit(False)
     for c in BLANKS:
-        odd = odd | F.contains(line, F.lit(c))
-    return F.when(odd, F.translate(line, BLANKS, " " * len(BLANKS))).otherwise(line)
+        odd = odd | F.contains(text, F.lit(c))
+    return F.when(odd, F.translate(text, BLANKS, " " * len(BLANKS))).otherwise(text)
+
+
+def _bucket(h: Column) -> Column:
+    return h.bitwiseAND(F.lit(BUCKETS - 1).cast("long"))
 
 
 def rarity(docs: DataFrame) -> list[int]:
     """For each hash bucket of words how often its words occur, on a logarithmic scale (1 to 62)."""
     words = docs.select(F.explode(F.split(F.replace(_spaced(F.col("text")), F.lit("\n"), F.lit(" ")), " ")).alias("w"))
-    counts = words.where("w <> ''").groupBy(F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).alias("b")).count().collect()   # at most BUCKETS rows
+    counts = words.where("w <> ''").groupBy(_bucket(F.xxhash64("w")).alias("b")).count().collect()   # at most BUCKETS rows
     out = [1] * BUCKETS
     for b, n in counts:
         out[b] = min(62, 1 + int(1.5 * math.log2(n)))
@@ -51,35 +54,33 @@ def rarity(docs: DataFrame) -> list[int]:
 
 def _lines(docs: DataFrame) -> DataFrame:
     """(doc, mark, no, line): every line with a word, trimmed."""
-    d = docs.select("doc", "mark", F.posexplode(F.split("text", "\n")).alias("no", "line"))
-    return d.withColumn("line", F.trim("line", F.lit(TRIM))).where("line <> ''")
+    d = docs.select("doc", "mark", F.posexplode(F.split(_spaced(F.col("text")), "\n")).alias("no", "line"))
+    return d.withColumn("line", F.trim("line")).where("line <> ''")
 
 
 def _words(line: Column) -> Column:
-    hashes = F.array_distinct(F.transform(F.split(_spaced(line), " "), lambda w: F.xxhash64(w)))
+    hashes = F.array_distinct(F.transform(F.split(line, " "), lambda w: F.xxhash64(w)))
     return F.array_remove(hashes, F.xxhash64(F.lit("")))
 
 
 def _ordered(words: Column, levels: list[int]) -> Column:
     """Word hashes as longs that sort by rarity: level in the high byte, hash below."""
-    table = F.split(F.lit(",".join(map(str, levels))), ",").cast("array<bigint>")     # folded to a constant
+    table = F.split(F.lit(",".join(map(str, levels))), ",").cast("array<bigint>")     # folded to a constant; small numbers stay in the CPU's cache
 
     def key(h: Column) -> Column:                                                    # never null: primitive sort
-        level = F.coalesce(F.get(table, F.pmod(h, F.lit(BUCKETS)).cast("int")), F.lit(1).cast("long"))
+        level = F.coalesce(F.get(table, _bucket(h).cast("int")), F.lit(1).cast("long"))
         return F.shiftleft(level, 56).bitwiseOR(F.shiftrightunsigned(h, 8))
 
     return F.sort_array(F.transform(words, key))
 
 
-def _parity(keys: Column, half: int) -> Column:
-    """64 of the 128 parity bits: every word flips one bit of one half."""
-    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
-
+def _parity(keys: Column, upper: bool) -> Column:
+    """64 parity bits: every word flips one; ``upper``: only words with bit 6 set do."""
     def flip(a: Column, k: Column) -> Column:
-        bit = F.call_function("shiftleft", one, k.bitwiseAND(F.lit(63)).cast("int"))
-        return F.when(k.bitwiseAND(F.lit(64)) == 64 * half, a.bitwiseXOR(bit)).otherwise(a)
+        one = F.shiftright(k, 6).bitwiseAND(F.lit(1).cast("long")) if upper else F.lit(1).cast("long")
+        return a.bitwiseXOR(F.call_function("shiftleft", one, k.bitwiseAND(F.lit(63).cast("long")).cast("int")))
 
-    return F.aggregate(keys, zero, flip)
+    return F.aggregate(keys, F.lit(0).cast("long"), flip)
 
 
 def _sub(no: Column, mark: Column) -> Column:
@@ -96,8 +97,9 @@ def _classes(docs: DataFrame, levels: list[int], t: float) -> DataFrame:
     long = (n - F.ceil(n * t - 1e-9) + 1).cast("int")
     d = d.select("h", "h2", F.struct(
         F.coalesce("doc", F.lit(LAST)).alias("doc"), _sub(F.col("no"), F.col("mark")).alias("sub"), "mark", "no", n.alias("n"),
-        _parity(F.col("keys"), 0).alias("parity"), _parity(F.col("keys"), 1).alias("parity2"), F.slice("keys", F.lit(1), long).alias("prefix")).alias("first"))
-    return d.groupBy("h", "h2").agg(F.min("first").alias("first")).select("h", "h2", "first.*")
+        _parity(F.col("keys"), False).alias("both"), _parity(F.col("keys"), True).alias("parity2"), F.slice("keys", F.lit(1), long).alias("prefix")).alias("first"))
+    c = d.groupBy("h", "h2").agg(F.min("first").alias("first")).select("h", "h2", "first.*")
+    return c.select("h", "h2", "doc", "sub", "mark", "no", "n", F.col("both").bitwiseXOR(F.col("parity2")).alias("parity"), "parity2", "prefix")
 
 
 def _packed_size(n: Column, at: Column, done: Column) -> Column:
@@ -136,8 +138,8 @@ def _verified(docs: DataFrame, classes: DataFrame, both: DataFrame, t: float) ->
     # the needed lines of a text by number, so that its other lines are left alone
     need = written(at.groupBy("mark").agg(F.collect_list(F.struct("no", "doc", "sub", "h", "h2")).alias("need")), "line-needs")
     texts = joined(docs.select("mark", "text"), need, need.count() * 2, "mark")
-    texts = texts.select(F.split("text", "\n").alias("lines"), F.explode("need").alias("e"))
-    line = F.trim(F.get("lines", F.col("e.no")), F.lit(TRIM))
+    texts = texts.select(F.split(_spaced(F.col("text")), "\n").alias("lines"), F.explode("need").alias("e"))
+    line = F.trim(F.get("lines", F.col("e.no")))
     sets = written(texts.select("e.doc", "e.sub", "e.h", "e.h2", _words(line).alias("words")), "line-words")
     small = rows <= SMALL // 20                                     # word sets are some 20 times as wide
     x = sets.select(F.col("doc").alias("xd"), F.col("sub").alias("xs"), F.col("words").alias("xwords"))
@@ -207,12 +209,13 @@ def dedup(docs: DataFrame, t: float = 0.8, doc_id: str = "doc_id", text: str = "
     if repeats:                                                  # the others lose every line
         nth = F.row_number().over(Window.partitionBy(mark).orderBy(ident(doc_id)))
         once = once.union(joined(full, again, repeats, mark, "left_semi").withColumn(copy, nth))
-    full = joined(once, out, out.count(), mark, "left").withColumn(lines, F.split(ident(text), "\n"))
-    worded = F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: F.trim(F.get(lines, i), F.lit(TRIM)) != "")
+    full = joined(once, out, out.count(), mark, "left").withColumn(lines, F.split(_spaced(ident(text)), "\n"))
+    worded = F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: F.trim(F.get(lines, i)) != "")
     none = F.array().cast("array<int>")
     full = full.withColumn(gone, F.when(ident(text).isNull(), none).when(F.col(copy) > 1, worded).otherwise(F.coalesce(gone, none)))
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
-    shown = F.when(F.size(gone) == 0, ident(text)).otherwise(F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n"))
+    rest = let(F.split(ident(text), "\n"), lambda own: F.array_join(F.transform(stay, lambda i: F.get(own, i)), "\n"))
+    shown = F.when(F.size(gone) == 0, ident(text)).otherwise(rest)
     count = F.when(ident(text).isNull(), F.lit(0)).otherwise(F.size(worded))
     return full.select(*(shown.alias(c) if c == text else ident(c) for c in kept),
                        count.cast("long").alias(n_lines), F.size(gone).cast("long").alias(n_removed))

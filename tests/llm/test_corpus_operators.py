@@ -156,6 +156,18 @@ def test_line_dedup_families(spark):
     check_lines(spark, rows)
 
 
+def test_line_dedup_blanks(spark):
+    rows = [(1, "a b c\n\t\x0c"), (2, "\x0ba\tb  c\r\nd e"), (3, "c\x0bb\x0ca \n \r\n\x0bd\te\t\nf\x0bg"), (4, "\x0b"), (5, "f\u00a0g\nz\ty\nz y")]
+    check_lines(spark, rows)
+    d = docs_frame(spark, [(i, x, "en", "s") for i, x in rows])
+    got = {g["doc_id"]: (g["text"], g["n_lines"], g["n_removed"]) for g in linededup.dedup(d).collect()}
+    assert got == {1: ("a b c\n\t\x0c", 1, 0), 2: ("d e", 2, 1), 3: (" \r\nf\x0bg", 3, 2), 4: ("\x0b", 0, 0), 5: ("f\u00a0g\nz\ty", 3, 1)}
+    d = d.select(F.col("doc_id").alias("doc"), F.xxhash64("doc_id").alias("mark"), F.lit("k l\tm").alias("text")).where("doc < 3").union(
+        spark.createDataFrame([(7, 7, "\x0bk\tl m \r")], "doc long, mark long, text string"))
+    classes, _, _ = linededup.matches(d)               # lines that differ in blanks alone are one class
+    assert [(r["doc"], r["n"]) for r in classes.collect()] == [(1, 3)]
+
+
 def test_line_dedup_edge_cases(spark):
     d = docs_frame(spark, SAMPLE, extra=CLASH)
     got = linededup.dedup(d).collect()
