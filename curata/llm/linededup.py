@@ -17,6 +17,7 @@ leaves without an earlier match come out of the full join.
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -74,13 +75,21 @@ def _ordered(words: Column, levels: list[int]) -> Column:
     return F.sort_array(F.transform(words, key))
 
 
-def _parity(keys: Column, upper: bool) -> Column:
-    """64 parity bits: every word flips one; ``upper``: only words with bit 6 set do."""
-    def flip(a: Column, k: Column) -> Column:
-        one = F.shiftright(k, 6).bitwiseAND(F.lit(1).cast("long")) if upper else F.lit(1).cast("long")
-        return a.bitwiseXOR(F.call_function("shiftleft", one, k.bitwiseAND(F.lit(63).cast("long")).cast("int")))
+def _middle(levels: list[int]) -> int:
+    """The least key of the common words: about half of all words in the texts are rarer."""
+    uses = {level: n * (2 ** ((level - 1) / 1.5) - 1) for level, n in Counter(levels).items()}     # empty buckets weigh nothing
+    at, rest = 0, sum(uses.values()) / 2
+    while rest > 0:
+        at += 1
+        rest -= uses.get(at, 0)
+    return (at + 1) << 56
 
-    return F.aggregate(keys, F.lit(0).cast("long"), flip)
+
+def _parity(keys: Column) -> Column:
+    """64 parity bits: every word flips one."""
+    one = F.lit(1).cast("long")
+    return F.aggregate(keys, F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(
+        F.call_function("shiftleft", one, k.bitwiseAND(F.lit(63).cast("long")).cast("int"))))
 
 
 def _sub(no: Column, mark: Column) -> Column:
@@ -89,17 +98,20 @@ def _sub(no: Column, mark: Column) -> Column:
 
 
 def _classes(docs: DataFrame, levels: list[int], t: float) -> DataFrame:
-    """One row per different line: h, h2 (its hash), doc, sub, mark, no (the earliest), n, parity, parity2, prefix."""
+    """One row per different line: h, h2 (its hash), doc, sub, mark, no (the earliest), n, parity (of its
+    rare words), parity2 (of the common ones), prefix, copies."""
     d = _lines(docs).select(
         F.xxhash64("line").alias("h"), F.hash("line").alias("h2"), "doc", "mark", "no",
         _ordered(_words(F.col("line")), levels).alias("keys"))
+    cut = F.lit(_middle(levels)).cast("long")
+    d = d.withColumn("common", F.array_position(F.sort_array(F.concat("keys", F.array(cut))), cut).cast("int"))    # where the common words start
     n = F.size("keys")
     long = (n - F.ceil(n * t - 1e-9) + 1).cast("int")
     d = d.select("h", "h2", F.struct(
         F.coalesce("doc", F.lit(LAST)).alias("doc"), _sub(F.col("no"), F.col("mark")).alias("sub"), "mark", "no", n.alias("n"),
-        _parity(F.col("keys"), False).alias("both"), _parity(F.col("keys"), True).alias("parity2"), F.slice("keys", F.lit(1), long).alias("prefix")).alias("first"))
-    c = d.groupBy("h", "h2").agg(F.min("first").alias("first")).select("h", "h2", "first.*")
-    return c.select("h", "h2", "doc", "sub", "mark", "no", "n", F.col("both").bitwiseXOR(F.col("parity2")).alias("parity"), "parity2", "prefix")
+        _parity(F.slice("keys", F.lit(1), F.col("common") - 1)).alias("parity"), _parity(F.slice("keys", F.col("common"), n)).alias("parity2"),
+        F.slice("keys", F.lit(1), long).alias("prefix")).alias("first"))
+    return d.groupBy("h", "h2").agg(F.min("first").alias("first"), F.count("*").alias("copies")).select("h", "h2", "first.*", "copies")
 
 
 def _packed_size(n: Column, at: Column, done: Column) -> Column:
@@ -138,9 +150,9 @@ def _verified(docs: DataFrame, classes: DataFrame, both: DataFrame, t: float) ->
     # the needed lines of a text by number, so that its other lines are left alone
     need = written(at.groupBy("mark").agg(F.collect_list(F.struct("no", "doc", "sub", "h", "h2")).alias("need")), "line-needs")
     texts = joined(docs.select("mark", "text"), need, need.count() * 2, "mark")
-    texts = texts.select(F.split(_spaced(F.col("text")), "\n").alias("lines"), F.explode("need").alias("e"))
-    line = F.trim(F.get("lines", F.col("e.no")))
-    sets = written(texts.select("e.doc", "e.sub", "e.h", "e.h2", _words(line).alias("words")), "line-words")
+    texts = texts.select(F.explode(let(F.split(_spaced(F.col("text")), "\n"), lambda lines: F.transform("need", lambda e: F.struct(
+        e["doc"].alias("doc"), e["sub"].alias("sub"), e["h"].alias("h"), e["h2"].alias("h2"), F.trim(F.get(lines, e["no"])).alias("line"))))).alias("e"))
+    sets = written(texts.select("e.doc", "e.sub", "e.h", "e.h2", _words(F.col("e.line")).alias("words")), "line-words")
     small = rows <= SMALL // 20                                     # word sets are some 20 times as wide
     x = sets.select(F.col("doc").alias("xd"), F.col("sub").alias("xs"), F.col("words").alias("xwords"))
     y = sets.select(F.col("doc").alias("yd"), F.col("sub").alias("ys"), "h", "h2", F.col("words").alias("ywords"))
@@ -197,10 +209,11 @@ def dedup(docs: DataFrame, t: float = 0.8, doc_id: str = "doc_id", text: str = "
             joined(d, again, repeats, "mark", "left_semi").dropDuplicates(["mark"]))
     again = again.withColumnRenamed("mark", mark)
     classes, matched, found = matches(d, t)
-    state = joined(classes.select("h", "h2", F.col("mark").alias("m0"), F.col("no").alias("no0")),
+    state = joined(classes.select("h", "h2", F.col("mark").alias("m0"), F.col("no").alias("no0"), "copies"),
                    matched.withColumn("hit", F.lit(True)), found, ["h", "h2"], "left")
+    state = written(state.where("hit OR copies > 1").drop("copies"), "line-state")       # lines of the other classes all stay
     seen = _lines(d).select("mark", "no", F.xxhash64("line").alias("h"), F.hash("line").alias("h2"))
-    out = seen.join(state, ["h", "h2"]).where("hit OR mark <> m0 OR no <> no0")
+    out = joined(seen, state, state.count(), ["h", "h2"]).where("hit OR mark <> m0 OR no <> no0")
     out = written(out.groupBy("mark").agg(F.collect_set("no").alias("gone")), "line-removed")     # lists within one text
     out = out.select(F.col("mark").alias(mark), F.col("gone").alias(gone))
 

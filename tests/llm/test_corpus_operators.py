@@ -168,6 +168,33 @@ def test_line_dedup_blanks(spark):
     assert [(r["doc"], r["n"]) for r in classes.collect()] == [(1, 3)]
 
 
+def test_line_dedup_removes_by_few_classes(spark, monkeypatch):
+    sizes, real = {}, linededup.written
+
+    def seen(df, name):
+        out = real(df, name)
+        sizes[name] = out.count()
+        return out
+    monkeypatch.setattr(linededup, "written", seen)
+    rows = [(k, " ".join(f"w{k}x{j}" for j in range(10)) + ("\na line that stands in many texts" if k < 9 else "")) for k in range(30)]
+    rows.append((30, rows[4][1].split("\n")[0] + " more"))
+    check_lines(spark, rows)
+    assert sizes["line-state"] == 2                    # of 32 classes: the copied line and the near copy
+
+
+def test_line_dedup_parity_bounds_the_difference(spark):
+    rng = random.Random(8)
+    lines = [" ".join(rng.choices([f"v{j}" for j in range(40)], [1 / (j + 1) for j in range(40)], k=rng.randint(1, 120))) for _ in range(60)]
+    d = spark.createDataFrame([(k, k, x) for k, x in enumerate([*lines, lines[0]])], "doc long, mark long, text string")
+    classes = {r["doc"]: r for r in linededup.matches(d)[0].collect()}
+    assert classes[0]["copies"] == 2 and sum(r["copies"] for r in classes.values()) == 61
+    for i, x in classes.items():
+        for j, y in classes.items():
+            bits = sum(((x[p] ^ y[p]) & (1 << 64) - 1).bit_count() for p in ("parity", "parity2"))
+            assert bits <= len(set(lines[i].split()) ^ set(lines[j].split()))
+    assert any(r["parity"] for r in classes.values()) and any(r["parity2"] for r in classes.values())
+
+
 def test_line_dedup_edge_cases(spark):
     d = docs_frame(spark, SAMPLE, extra=CLASH)
     got = linededup.dedup(d).collect()
